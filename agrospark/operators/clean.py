@@ -194,10 +194,11 @@ def merge_sources(df: DataFrame, keys=("region", "date", "latitude", "longitude"
     """
     keys = list(keys)
     cols = [c for c in (cols or df.columns) if c not in keys and c not in order]
-    ordk = F.struct(*[F.col(c) for c in order])
     aggs = []
     for c in cols:
-        # min_by ignores rows whose ordering is null: null the ordering where the value is null
+        # order, then the value itself: a total order even when order columns repeat.
+        # min_by ignores rows whose ordering is null: null the ordering where the value is null.
+        ordk = F.struct(*[F.col(o) for o in order], F.col(c).alias("_v"))
         aggs.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordk)).alias(c))
     nn = None
     for k in keys:
