@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _grid(digits: int) -> float:
+    """Power of two at least 10**digits: scaling by it is exact in binary floating point."""
+    return float(2 ** math.ceil(digits * math.log2(10)))
+
+
 def snap(x: Column, digits: int = 6) -> Column:
-    """Deterministic rounding, bit-identical in Spark and DuckDB: floor(x*10^d + 0.5) / 10^d.
+    """Deterministic rounding onto a binary grid finer than 10**-digits: floor(x*2^k + 0.5) / 2^k.
 
-    Used at report boundaries only, to hide summation-order noise of doubles (aggregates and
-    window averages add in a partition-dependent order).
+    x*2^k is exact, so Spark and DuckDB give bit-identical results for the same x, and unlike
+    decimal rounding there are no exact ties on the dyadic values interpolation produces. Used
+    at report boundaries and before threshold tests, to remove summation-order noise of doubles
+    (window and group sums add in an engine- and partition-dependent order).
     """
-    s = float(10 ** digits)
-    return F.floor(x * F.lit(s) + F.lit(0.5)) / F.lit(s)
+    g = _grid(digits)
+    return F.floor(x * F.lit(g) + F.lit(0.5)) / F.lit(g)
 
 
 def nan_to_null(x: Column) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 
 def snap(expr: str, digits: int = 6) -> str:
-    """Same deterministic rounding as ``agrospark.functions.snap``: floor(x*10^d + 0.5) / 10^d."""
-    s = f"1e{digits}"
-    return f"(floor(({expr}) * {s} + 0.5) / {s})"
+    """Same deterministic rounding as ``agrospark.functions.snap`` (binary grid 2^k >= 10^digits)."""
+    from agrospark.functions.numeric import _grid
+    g = f"cast({_grid(digits)!r} as double)"
+    return f"(floor(({expr}) * {g} + 0.5) / {g})"
 
 
 def snapped(cols, digits: int = 6, keep=()) -> str:
