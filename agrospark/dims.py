@@ -201,9 +201,9 @@ def _sql_lit(v):
     return str(int(v))
 
 
-def values_sql(name: str) -> str:
-    """The same dimension as an inline ``(VALUES ...) AS t(cols)`` for the DuckDB oracle."""
+def values_sql(name: str, alias: str | None = None) -> str:
+    """The same dimension as an inline ``(VALUES ...) AS alias(cols)`` for the DuckDB oracle."""
     schema, _ = _SCHEMAS[name]
     cols = [c.strip().split(" ")[0] for c in schema.split(",")]
     body = ", ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows_of(name))
-    return f"(VALUES {body}) AS {name}({', '.join(cols)})"
+    return f"(VALUES {body}) AS {alias or name}({', '.join(cols)})"
