@@ -23,7 +23,11 @@ def read_fao(spark: SparkSession, glob: str, schema: T.StructType | str | None =
     r = spark.read.option("header", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
     df = r.csv(glob)
-    return tag_source(df.withColumn("file_name", F.col("_metadata.file_name")), "file_name")
+    # the source name may be the file's own name or a folder on its path
+    # (_metadata.file_path is a URI: decode it, keeping literal '+' signs)
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    name = F.regexp_extract(path, r"(FAOSTAT_data_[^/]*)", 1)
+    return tag_source(df.withColumn("file_name", name), "file_name")
 
 
 def latest_version(df: DataFrame, name_col: str = "file_name") -> DataFrame:
