@@ -38,3 +38,33 @@ def build_panel(obs: DataFrame, order=("source_rank",)) -> DataFrame:
     df = C.season4(df)
     df = C.repair_ssm(df)
     return C.project_known(df, C.PANEL_COLUMNS)
+
+
+_TABLES: dict = {}
+
+
+def materialize(spark, key: str, build, buckets: int | None = None, name: str = "panel"):
+    """Write ``build()`` once per session and key, bucketed by region and sorted by (region, date),
+    under the shared checkpoint folder, and return it as a table.
+
+    This is the ETL's "load" step: downstream feature, label and scoring jobs read the clean
+    table instead of recomputing the merge / interpolation plan in every branch. A written table
+    also cuts lineage: losing an executor later does not replay the ETL. Because the table is
+    bucketed by region, windows partitioned by region read it without a shuffle.
+    """
+    import hashlib
+    import os
+
+    from agrospark.session import checkpoint_dir
+    ident = (spark.sparkContext.applicationId, name, os.path.abspath(key))
+    table = _TABLES.get(ident)
+    if table is None or not spark.catalog.tableExists(table):
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        digest = hashlib.sha1(repr(ident).encode()).hexdigest()[:12]
+        table = f"agrospark_{name}_{digest}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/{table}"
+        df = build()
+        (df.repartition(buckets, "region").write.mode("overwrite").bucketBy(buckets, "region")
+         .sortBy("region", "date").option("path", path).saveAsTable(table))
+        _TABLES[ident] = table
+    return spark.table(table)

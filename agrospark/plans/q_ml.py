@@ -1 +1,160 @@
-"""Registered queries."""
+"""Registered queries: model training, evaluation and scoring.
+
+Training queries are rows-only (forests differ from any SQL); the deterministic pieces around
+them (standardisation, split, class weights, a one-feature linear fit, the irrigation plan) are
+checked against SQL. Registered training runs use small forests so the check stays quick; the
+API defaults are the platform's sizes (``agrospark.operators.ml.SIZES``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from agrospark.functions.numeric import snap
+from agrospark.operators import ml as M
+from agrospark.operators.indices import disease_label, drought_label
+from agrospark.operators.windows import rain_target
+from agrospark.plans import features as FT
+from agrospark.plans import features_sql as FS
+from agrospark.plans.panel_sql import panel_ctes
+from agrospark.plans.q_features import snapped
+from agrospark.plans.q_panel import panel
+from agrospark.plans.registry import register
+from agrospark.plans.sqlkit import snap as ssnap
+
+D = FS.D
+SMALL = dict(numTrees=20, maxDepth=6)
+SMALL_GBT = dict(maxIter=5, maxDepth=3)
+KEYS = ["region", "date"]
+
+
+def labelled_frames(spark, sf):
+    """task -> (frame, features, label), each frame carrying keys, features and label together."""
+    p = panel(spark, sf)
+    rain = FT.rainfall_features(p).join(rain_target(p).select(*KEYS, "target"), KEYS)
+    dr = FT.drought_features(p).join(drought_label(p).select(*KEYS, "drought_class"), KEYS)
+    irr = FT.irrigation_labelled(p)
+    dis = FT.disease_features(p).join(disease_label(p).select(*KEYS, "disease_class"), KEYS)
+    return {"rainfall": (rain, FT.RAINFALL_FEATURES, "target"),
+            "drought": (dr, FT.DROUGHT_FEATURES, "drought_class"),
+            "irrigation": (irr, FT.IRRIGATION_FEATURES, "irrigation_need"),
+            "disease": (dis, FT.DISEASE_FEATURES, "disease_class")}
+
+
+_STD_COLS = ["temperature_2m", "ssm", "ndvi"]
+
+
+@register("standardize", f"""{panel_ctes()},
+st as (select {', '.join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in _STD_COLS)} from panel)
+select region, date, {', '.join(f"{ssnap(f'case when s_{c} <> 0 then ({c} - m_{c}) / s_{c} else {D(0)} end')} as {c}"
+                                for c in _STD_COLS)}
+from panel cross join st""")
+def q_standardize(spark, sf):
+    d = M.standardize(panel(spark, sf).select(*KEYS, *_STD_COLS), _STD_COLS, ddof=0)
+    return snapped(d)
+
+
+_KEY_SQL = "(cast(date_diff('day', DATE '1970-01-01', date) as bigint) * 31 + ascii(right(region, 1)))"
+
+
+@register("train_test_split", f"""{panel_ctes()}
+select region, date, (((({_KEY_SQL} + 42) * 2654435761) % 4294967296) % 1000) < 200 as is_test from panel""")
+def q_train_test_split(spark, sf):
+    return M.train_test_split(panel(spark, sf).select(*KEYS))
+
+
+@register("class_weights", f"""{panel_ctes()},
+d as (select *, {ssnap(FS.strict('sum', 'total_precipitation_sum', 30), 9)} as precip_sum_30 from panel),
+q as (select quantile_cont(precip_sum_30, 0.2) as qa, quantile_cont(temperature_2m, 0.8) as qb,
+        quantile_cont(ssm, 0.2) as qc, quantile_cont(ndvi, 0.2) as qd from d),
+s as (select (case when coalesce(precip_sum_30 < qa, false) then {D(0.3)} else {D(0)} end)
+    + (case when coalesce(temperature_2m > qb, false) then {D(0.2)} else {D(0)} end)
+    + (case when coalesce(ssm < qc, false) then {D(0.3)} else {D(0)} end)
+    + (case when coalesce(ndvi < qd, false) then {D(0.2)} else {D(0)} end) as drought_score from d cross join q),
+c as (select case when drought_score <= {D(0.2)} then 0 when drought_score <= {D(0.4)} then 1
+    when drought_score <= {D(0.6)} then 2 else 3 end as drought_class, count(*) as n from s group by 1)
+select drought_class, n, {ssnap('(select sum(n) from c) / ((select count(*) from c) * n)')} as weight from c""")
+def q_class_weights(spark, sf):
+    lab = drought_label(panel(spark, sf)).select("drought_class")
+    w = M.class_weights(lab, "drought_class")
+    return w.groupBy("drought_class").agg(F.count(F.lit(1)).alias("n"), snap(F.first("weight")).alias("weight"))
+
+
+@register("fit_linear", f"""{panel_ctes()},
+t as (select temperature_2m as x, coalesce(lead(total_precipitation_sum, 1) over (partition by region order by date),
+  {D(0)}) as y from panel)
+select {ssnap('regr_slope(y, x)', 4)} as slope, {ssnap('regr_intercept(y, x)', 4)} as intercept from t
+where x is not null and y is not null""")
+def q_fit_linear(spark, sf):
+    """Ordinary least squares of next-day rain on temperature with MLlib (one feature)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    d = rain_target(panel(spark, sf)).select(F.col("temperature_2m").alias("x"), F.col("target").alias("y")) \
+        .dropna()
+    v = VectorAssembler(inputCols=["x"], outputCol="f").transform(d)
+    lr = LinearRegression(featuresCol="f", labelCol="y", regParam=0.0, solver="normal", standardization=False) \
+        .fit(v)
+    spark_ = d.sparkSession
+    row = spark_.createDataFrame([(float(lr.coefficients[0]), float(lr.intercept))], "slope double, intercept double")
+    return row.select(snap(F.col("slope"), 4).alias("slope"), snap(F.col("intercept"), 4).alias("intercept"))
+
+
+def _train(task, algorithm="random_forest", **size):
+    def q(spark, sf):
+        df, feats, label = labelled_frames(spark, sf)[task]
+        fm = M.train_model(df, feats, label, task, algorithm, **size)
+        return fm.metrics
+    return q
+
+
+register("train_rainfall")(_train("rainfall", **SMALL))
+register("train_drought")(_train("drought", **SMALL))
+register("train_irrigation")(_train("irrigation", **SMALL))
+register("train_disease")(_train("disease", **SMALL))
+register("train_gbt")(_train("rainfall", "gradient_boosting", **SMALL_GBT))
+register("train_gbt_classifier")(_train("drought", "gradient_boosting", **SMALL_GBT))
+register("train_svm")(_train("drought", "svm", maxIter=10))
+register("fit_ridge")(_train("irrigation", "linear"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Train, save, reload and batch-score the drought model; confidence = max class probability."""
+    from agrospark.plans.q_sources import _scratch
+    df, feats, label = labelled_frames(spark, sf)["drought"]
+    fm = M.train_model(df, feats, label, "drought", **SMALL)
+    path = _scratch(spark, "model")
+    M.save(fm, path)
+    back = M.load(spark, path)
+    return M.score(df, back)
+
+
+@register("train_all")
+def q_train_all(spark, sf):
+    _, metrics = M.train_all(labelled_frames(spark, sf), "random_forest", **SMALL)
+    return metrics
+
+
+def _plan_sql():
+    from agrospark.plans.q_rules import _irr_sql_ctes, band_sql, q
+    from agrospark.operators import rules as R
+    times = (f"concat_ws(' | ', case when coalesce(temp_max, {D(35)}) > 30 then {q(R.TIME_EARLY_HOT)} else "
+             f"{q(R.TIME_EARLY)} end, case when coalesce(temp_max, {D(35)}) > 35 or coalesce(wind_speed, {D(2)}) > 5 "
+             f"then {q(R.TIME_EVENING)} end)")
+    return f"""{_irr_sql_ctes()}
+select region, date, crop_type, {ssnap('irrigation_need')} as irrigation_need, {ssnap('etc')} as etc,
+  {band_sql('irrigation_need', R.IRRIGATION_BANDS, R.IRRIGATION_TOP, 1)} as frequency,
+  {band_sql('irrigation_need', R.IRRIGATION_BANDS, R.IRRIGATION_TOP, 2)} as duration,
+  case when etc = 0 then 100 else cast(trunc(least({D(100)}, greatest({D(0)},
+    {D(100)} - abs(irrigation_need - etc) / etc * {D(50)}))) as integer) end as efficiency_score,
+  {ssnap(f'irrigation_need * {D(0.1)}')} as water_cost, {times} as best_times from irr"""
+
+
+@register("irrigation_plan", _plan_sql())
+def q_irrigation_plan(spark, sf):
+    from agrospark.plans.q_rules import _irr_frame
+    from agrospark.plans.scoring import irrigation_plan
+    d = irrigation_plan(_irr_frame(spark, sf))
+    return d.select("region", "date", "crop_type", snap(F.col("irrigation_need")).alias("irrigation_need"),
+                    snap(F.col("etc")).alias("etc"), "frequency", "duration", "efficiency_score",
+                    snap(F.col("water_cost")).alias("water_cost"), F.array_join("best_times", " | ").alias("best_times"))

@@ -20,7 +20,9 @@ def _keyed(spark, sf):
 
 
 def panel(spark, sf):
-    return P.build_panel(A.obs(spark, sf), A.OBS_ORDER)
+    """The clean panel as downstream jobs read it: written once per session and input as a
+    table bucketed by region (see ``agrospark.plans.panel.materialize``)."""
+    return P.materialize(spark, sf, lambda: P.build_panel(A.obs(spark, sf), A.OBS_ORDER))
 
 
 _MERGED = S.merged_sql()
@@ -70,7 +72,8 @@ def q_fill_table_order(spark, sf):
 
 @register("build_panel", f"{S.panel_ctes()} select * from panel")
 def q_build_panel(spark, sf):
-    return panel(spark, sf)
+    """The full ETL plan from the raw stacked rows (never the materialised copy)."""
+    return P.build_panel(A.obs(spark, sf), A.OBS_ORDER)
 
 
 @register("stack_sources", f"""
