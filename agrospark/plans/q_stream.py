@@ -1 +1,70 @@
-"""Registered queries."""
+"""Registered queries: streaming jobs driven to completion over a landing folder (L1-L4).
+
+The landing folder is written from the adapters (whole tables); the stream reads it with the
+file source and an explicit schema, the sink is parquet under the shared checkpoint folder, and
+the query returns the sink as a batch DataFrame. Streaming results equal the batch results.
+"""
+
+from __future__ import annotations
+
+from agrospark.plans.panel_sql import panel_ctes
+from agrospark.plans.q_panel import panel
+from agrospark.plans.q_sources import _scratch
+from agrospark.plans.registry import ORACLE, register
+from agrospark.sources import adapters as A
+from agrospark.streaming import jobs as L
+
+
+def _land(spark, df, name, files: int = 4):
+    path = _scratch(spark, f"landing-{name}")
+    df.repartition(files).write.mode("overwrite").parquet(path)
+    return path, df.schema
+
+
+def _run(spark, name, build, stream_input, mode="append"):
+    src, schema = stream_input
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    out, ck = _scratch(spark, f"sink-{name}"), _scratch(spark, f"ckpt-{name}")
+    L.run_to_table(build(sdf), out, ck, mode)
+    return spark.read.parquet(out)
+
+
+@register("stream_clean_weather", ORACLE["clean_weather"])
+def q_stream_clean_weather(spark, sf):
+    return _run(spark, "clean", lambda s: L.stream_clean_weather(s, "30 days"),
+                _land(spark, A.meteo_raw(spark, sf), "meteo"))
+
+
+@register("stream_alerts", ORACLE["alerts_all"])
+def q_stream_alerts(spark, sf):
+    return _run(spark, "alerts", L.stream_alerts, _land(spark, A.readings(spark, sf), "readings"))
+
+
+@register("stream_daily_stats", f"""with r as ({A.READINGS_SQL}),
+w as (select time_bucket(INTERVAL 1 DAY, ts) as window_start, city, count(*) as n, avg(temperature) as avg_temperature,
+  avg(precipitation) as avg_precipitation from r group by 1, 2)
+select window_start, window_start + INTERVAL 1 DAY as window_end, city, n,
+  floor(avg_temperature * cast(1048576.0 as double) + 0.5) / cast(1048576.0 as double) as avg_temperature,
+  floor(avg_precipitation * cast(1048576.0 as double) + 0.5) / cast(1048576.0 as double) as avg_precipitation
+from w where window_start + INTERVAL 1 DAY <= (select max(ts) from r) - INTERVAL 1 HOUR""")
+def q_stream_daily_stats(spark, sf):
+    from pyspark.sql import functions as F
+
+    from agrospark.functions.numeric import snap
+    d = _run(spark, "daily", lambda s: L.stream_daily_stats(s, "1 hour"), _land(spark, A.readings(spark, sf), "rd"))
+    return d.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window_end").cast("timestamp_ntz").alias("window_end"), "city", "n",
+                    snap(F.col("avg_temperature")).alias("avg_temperature"),
+                    snap(F.col("avg_precipitation")).alias("avg_precipitation"))
+
+
+@register("stream_dry_days", f"""{panel_ctes()},
+a as (select region, date, row_number() over (partition by region order by date) as _pos,
+        coalesce(total_precipitation_sum < cast(0.1 as double), false) as _dry from panel),
+b as (select *, max(case when not _dry then _pos end) over (partition by region order by date rows between unbounded
+        preceding and current row) as _lw from a)
+select region, date, cast(case when _dry then _pos - coalesce(_lw, 0) else 0 end as integer) as consecutive_dry_days
+from b""")
+def q_stream_dry_days(spark, sf):
+    p = panel(spark, sf).select("region", "date", "total_precipitation_sum")
+    return _run(spark, "dry", L.stream_dry_days, _land(spark, p, "panel", files=1))
