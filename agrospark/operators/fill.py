@@ -94,13 +94,18 @@ def _series_edges(df: DataFrame, cols, part, order) -> DataFrame:
     return s.select(*sel)
 
 
-def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date") -> DataFrame:
+def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date",
+                  edges_from: DataFrame | None = None) -> DataFrame:
     """Per-series ffill, then a table-wide bfill in (part, order) order: a series with no value
-    takes the first value of the next series that has one; an all-null last series stays null."""
+    takes the first value of the next series that has one; an all-null last series stays null.
+
+    ``edges_from``: a frame with the same first/last non-null value per series (e.g. the frame
+    before interpolation, which only fills nulls and copies edge values). Summarising it instead
+    of ``df`` keeps the window stage of ``df`` from being evaluated a second time."""
     part, order = _cols(part, order)
     back = _running(part, order)
     fwd = _running_reversed(part, order)
-    edges = _series_edges(df, cols, part, order)
+    edges = _series_edges(edges_from if edges_from is not None else df, cols, part, order)
     j = df.join(edges, part, "left")
     out = {c: F.coalesce(F.col(c), F.last(c, True).over(back), F.last(c, True).over(fwd), F.col(f"_next_{c}"))
            for c in cols}

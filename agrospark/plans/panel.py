@@ -31,8 +31,11 @@ def merge_stage(obs: DataFrame, order=("source_rank",)) -> DataFrame:
 def build_panel(obs: DataFrame, order=("source_rank",)) -> DataFrame:
     df = merge_stage(obs, order)
     num = [c for c in C.PANEL_NUMERIC if c in df.columns]
-    df = D.interpolate_linear(df, num, "region", "date")
-    df = D.fallback_fill(df, num, "region", "date")
+    keyed = df
+    df = D.interpolate_linear(keyed, num, "region", "date")
+    # interpolation keeps each region's first/last known values: take the edge summary from the
+    # keyed frame, so the interpolation windows run once
+    df = D.fallback_fill(df, num, "region", "date", edges_from=keyed)
     df = C.kelvin_to_celsius(df)
     df = C.calendar_parts(df)
     df = C.season4(df)
