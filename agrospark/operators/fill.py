@@ -38,12 +38,18 @@ def _running_reversed(part, order):
         .rowsBetween(Window.unboundedPreceding, 0)
 
 
-def interpolate_linear(df: DataFrame, cols: Sequence[str], part="region", order="date") -> DataFrame:
+def interpolate_linear(df: DataFrame, cols: Sequence[str], part="region", order="date",
+                       block_rows: int | None = None) -> DataFrame:
     """Linear interpolation by row position within each series (not by elapsed time).
 
     Inner gaps: slope*(pos - pos0) + v0 with slope = (v1 - v0)/(pos1 - pos0) (numpy's form);
     leading gaps take the first value, trailing gaps the last; an all-null series stays null.
+    ``block_rows``: evaluate per row block with carried neighbours (see ``operators.blocked``).
     """
+    if block_rows:
+        from agrospark.operators.blocked import interpolate
+        p, o = _cols(part, order)
+        return interpolate(df, cols, p[0], o[0], block_rows)
     part, order = _cols(part, order)
     w = _w(part, order)
     back = _running(part, order)

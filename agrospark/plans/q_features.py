@@ -234,3 +234,49 @@ from c left join {__import__('agrospark.dims', fromlist=['x']).values_sql('crop_
 def q_growth_stage(spark, sf):
     d = H.assign_crop(panel(spark, sf).select("region", "date")).drop("growth_stage")
     return H.growth_stage(d)
+
+
+# ----------------------------------------------------------------------------- skew-proof (blocked) variants
+# Same results as the per-region windows above, evaluated per block of consecutive rows so a hot
+# region is spread over many tasks. The block size here is small so that every region of the
+# test data spans several blocks (halo copies and carries are exercised); production sizes are
+# 1e5-1e6 rows per block.
+from agrospark.plans.registry import ORACLE  # noqa: E402
+from agrospark.operators import fill as _fill  # noqa: E402
+
+BLOCK = 256
+
+
+@register("moving_averages_blocked", ORACLE["moving_averages"])
+def q_moving_averages_blocked(spark, sf):
+    d = G.moving_averages(panel(spark, sf), dict(_MA), (3, 7, 15, 30), block_rows=BLOCK)
+    return snapped(d.select("region", "date", *[f"{p}_ma_{w}" for w in (3, 7, 15, 30) for p, _ in _MA]))
+
+
+@register("precip_cumul_blocked", ORACLE["precip_cumul"])
+def q_precip_cumul_blocked(spark, sf):
+    d = G.rolling_sums(panel(spark, sf), "total_precipitation_sum", (3, 7, 15, 30, 60), block_rows=BLOCK)
+    return snapped(d.select("region", "date", *[f"precip_cumul_{p}" for p in (3, 7, 15, 30, 60)]))
+
+
+@register("precip_lags_blocked", ORACLE["precip_lags"])
+def q_precip_lags_blocked(spark, sf):
+    return G.lags(panel(spark, sf), "total_precipitation_sum", (1, 3, 7), block_rows=BLOCK).select(
+        "region", "date", "precipitation_lag_1", "precipitation_lag_3", "precipitation_lag_7")
+
+
+@register("rain_target_blocked", ORACLE["rain_target"])
+def q_rain_target_blocked(spark, sf):
+    return G.rain_target(panel(spark, sf), block_rows=BLOCK).select("region", "date", "target")
+
+
+@register("consecutive_dry_days_blocked", ORACLE["consecutive_dry_days"])
+def q_consecutive_dry_days_blocked(spark, sf):
+    return G.consecutive_dry_days(panel(spark, sf), block_rows=BLOCK).select("region", "date",
+                                                                             "consecutive_dry_days")
+
+
+@register("interpolate_linear_blocked", ORACLE["interpolate_linear"])
+def q_interpolate_linear_blocked(spark, sf):
+    from agrospark.plans.q_panel import NUM, _keyed
+    return _fill.interpolate_linear(_keyed(spark, sf), NUM, "region", "date", block_rows=BLOCK)

@@ -87,3 +87,40 @@ def test_split_is_deterministic(spark):
     assert a == b
     share = sum(1 for r in a if r[2]) / len(a)
     assert 0.1 < share < 0.3
+
+
+@pytest.mark.parametrize("block_rows", [3, 7, 64])
+def test_blocked_windows_equal_series_windows(spark, block_rows):
+    from agrospark.operators import windows as G
+    df = _random_panel(spark, regions=4, days=90, seed=3).withColumnRenamed("x", "p")
+    spec = {"m": "p"}
+    a = G.moving_averages(df, spec, (2, 3), block_rows=None)
+    b = G.moving_averages(df, spec, (2, 3), block_rows=block_rows)
+    assert _sorted(a) == _sorted(b)
+    a = G.rolling_sums(df, "p", (3,), block_rows=None)
+    b = G.rolling_sums(df, "p", (3,), block_rows=block_rows)
+    assert _sorted(a) == _sorted(b)
+    a = G.lags(df, "p", (1, 3), block_rows=None)
+    b = G.lags(df, "p", (1, 3), block_rows=block_rows)
+    assert _sorted(a) == _sorted(b)
+    a = G.rain_target(df, "p", block_rows=None)
+    b = G.rain_target(df, "p", block_rows=block_rows)
+    assert _sorted(a) == _sorted(b)
+    a = G.consecutive_dry_days(df, "p", 5.0, block_rows=None)
+    b = G.consecutive_dry_days(df, "p", 5.0, block_rows=block_rows)
+    assert _sorted(a) == _sorted(b)
+
+
+@pytest.mark.parametrize("block_rows", [2, 5, 50])
+def test_blocked_interpolation_equals_series_interpolation(spark, block_rows):
+    rnd = random.Random(11)
+    rows = []
+    for r in range(3):
+        for d in range(40):
+            v = None if rnd.random() < 0.6 else float(rnd.randint(0, 100))
+            rows.append((f"R{r}", dt.date(2021, 3, 1) + dt.timedelta(days=d), v))
+    rows += [("R9", dt.date(2021, 3, 1) + dt.timedelta(days=d), None) for d in range(10)]   # all-null series
+    df = spark.createDataFrame(rows, "region string, date date, x double")
+    a = D.interpolate_linear(df, ["x"])
+    b = D.interpolate_linear(df, ["x"], block_rows=block_rows)
+    assert _sorted(a) == _sorted(b)
