@@ -76,7 +76,8 @@ def bounded(df: DataFrame, exprs, part: str = "region", order: str = "date", blo
     """Evaluate bounded-frame window columns per block. ``exprs(window)`` returns {name: Column}
     built on the given window spec (partitioned by series and block, ordered by position)."""
     d = df if positioned else positions(df, part, order)
-    d = with_blocks(d, block_rows, back, fwd)
+    # a halo only reaches into the neighbouring block: blocks are at least as long as the frame
+    d = with_blocks(d, max(block_rows, back, fwd), back, fwd)
     d = d.withColumns(exprs(_bw(part)))
     out = d.filter(~F.col(HALO)).drop(BLK, HALO)
     return out if positioned else out.drop(POS)
@@ -141,3 +142,39 @@ def interpolate(df: DataFrame, cols: Sequence[str], part: str = "region", order:
         inner = (n_v - p_v) / (n_rn - p_rn).cast("double") * (pos - p_rn).cast("double") + p_v
         out[c] = F.coalesce(x, F.when(p_rn.isNotNull() & n_rn.isNotNull(), inner), p_v, n_v)
     return j.withColumns(out).select(*df.columns)
+
+
+def series_fills(df: DataFrame, cols: Sequence[str], part: str = "region", order: str = "date",
+                 block_rows: int = 100000) -> DataFrame:
+    """Adds ``_ff_<c>`` (last known value at or before the row within its series) and ``_bf_<c>``
+    (first known value at or after it), evaluated per block with carries from neighbouring blocks.
+    These are the in-series legs of ffill / bfill; table-order fills add the cross-series carry."""
+    d = positions(df, part, order)
+    d = d.withColumn(BLK, F.floor((F.col(POS) - F.lit(1)) / F.lit(block_rows)))
+    aggs, wins = {}, {}
+    prev = Window.partitionBy(part).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    nxt = Window.partitionBy(part).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    for c in cols:
+        known = F.when(F.col(c).isNotNull(), F.col(POS))
+        aggs[f"_lp_{c}"] = F.max(known)
+        aggs[f"_lv_{c}"] = F.max_by(F.col(c), known)
+        aggs[f"_fp_{c}"] = F.min(known)
+        aggs[f"_fv_{c}"] = F.min_by(F.col(c), known)
+        wins[f"_cpv_{c}"] = F.max_by(f"_lv_{c}", f"_lp_{c}").over(prev)
+        wins[f"_cnv_{c}"] = F.min_by(f"_fv_{c}", f"_fp_{c}").over(nxt)
+    carry = _block_carry(d, part, aggs, wins)
+    j = d.join(carry, [part, BLK], "left")
+    back = _bw(part).rowsBetween(Window.unboundedPreceding, 0)
+    fwd = Window.partitionBy(part, BLK).orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    out = {}
+    for c in cols:
+        out[f"_ff_{c}"] = F.coalesce(F.last(c, True).over(back), F.col(f"_cpv_{c}"))
+        out[f"_bf_{c}"] = F.coalesce(F.last(c, True).over(fwd), F.col(f"_cnv_{c}"))
+    return j.withColumns(out).select(*df.columns, *out.keys())
+
+
+def default_block_rows(spark) -> int | None:
+    """Cluster-wide switch: ``spark.conf.set("agrospark.window.blockRows", "1000000")`` makes every
+    per-series window operator use the blocked evaluation (unset: one window partition per series)."""
+    v = spark.conf.get("agrospark.window.blockRows", None)
+    return int(v) if v else None

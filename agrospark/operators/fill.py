@@ -46,10 +46,11 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], part="region", order=
     leading gaps take the first value, trailing gaps the last; an all-null series stays null.
     ``block_rows``: evaluate per row block with carried neighbours (see ``operators.blocked``).
     """
+    from agrospark.operators import blocked as B
+    block_rows = block_rows or B.default_block_rows(df.sparkSession)
     if block_rows:
-        from agrospark.operators.blocked import interpolate
         p, o = _cols(part, order)
-        return interpolate(df, cols, p[0], o[0], block_rows)
+        return B.interpolate(df, cols, p[0], o[0], block_rows)
     part, order = _cols(part, order)
     w = _w(part, order)
     back = _running(part, order)
@@ -69,9 +70,27 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], part="region", order=
     return df.withColumns(out).drop(rn)
 
 
-def ffill_bfill(df: DataFrame, cols: Sequence[str], part="region", order="date") -> DataFrame:
+def _legs(df, cols, part, order, block_rows):
+    """In-series ffill / bfill legs per column: window expressions, or blocked columns."""
+    from agrospark.operators import blocked as B
+    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    if block_rows:
+        d = B.series_fills(df, cols, part[0], order[0], block_rows)
+        return d, {c: F.col(f"_ff_{c}") for c in cols}, {c: F.col(f"_bf_{c}") for c in cols}, \
+            [f"_ff_{c}" for c in cols] + [f"_bf_{c}" for c in cols]
+    back = _running(part, order)
+    fwd = _running_reversed(part, order)
+    return df, {c: F.last(c, True).over(back) for c in cols}, {c: F.last(c, True).over(fwd) for c in cols}, []
+
+
+def ffill_bfill(df: DataFrame, cols: Sequence[str], part="region", order="date",
+                block_rows: int | None = None) -> DataFrame:
     """Per-series forward fill, then per-series backward fill."""
     part, order = _cols(part, order)
+    from agrospark.operators import blocked as B
+    if block_rows or B.default_block_rows(df.sparkSession):
+        d, ff, bf, helpers = _legs(df, cols, part, order, block_rows)
+        return d.withColumns({c: F.coalesce(F.col(c), ff[c], bf[c]) for c in cols}).drop(*helpers)
     back = _running(part, order)
     fwd = _running_reversed(part, order)
     return df.withColumns({c: F.coalesce(F.col(c), F.last(c, True).over(back), F.last(c, True).over(fwd))
@@ -101,7 +120,7 @@ def _series_edges(df: DataFrame, cols, part, order) -> DataFrame:
 
 
 def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date",
-                  edges_from: DataFrame | None = None) -> DataFrame:
+                  edges_from: DataFrame | None = None, block_rows: int | None = None) -> DataFrame:
     """Per-series ffill, then a table-wide bfill in (part, order) order: a series with no value
     takes the first value of the next series that has one; an all-null last series stays null.
 
@@ -109,29 +128,25 @@ def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date
     before interpolation, which only fills nulls and copies edge values). Summarising it instead
     of ``df`` keeps the window stage of ``df`` from being evaluated a second time."""
     part, order = _cols(part, order)
-    back = _running(part, order)
-    fwd = _running_reversed(part, order)
     edges = _series_edges(edges_from if edges_from is not None else df, cols, part, order)
-    j = df.join(edges, part, "left")
-    out = {c: F.coalesce(F.col(c), F.last(c, True).over(back), F.last(c, True).over(fwd), F.col(f"_next_{c}"))
-           for c in cols}
+    d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
+    j = d.join(edges, part, "left")
+    out = {c: F.coalesce(F.col(c), ff[c], bf[c], F.col(f"_next_{c}")) for c in cols}
     return j.withColumns(out).select(*df.columns)
 
 
 def fill_table_order(df: DataFrame, cols: Sequence[str], part="region", order="date",
-                     scope: str = "table") -> DataFrame:
+                     scope: str = "table", block_rows: int | None = None) -> DataFrame:
     """Frame-wide ffill then bfill in (part, order) order (``scope='table'``, the platform's
     behaviour: warm-up rows of a series take the last value of the previous series), or
     per-series only (``scope='region'``)."""
     part, order = _cols(part, order)
     if scope == "region":
-        return ffill_bfill(df, cols, part, order)
-    back = _running(part, order)
-    fwd = _running_reversed(part, order)
+        return ffill_bfill(df, cols, part, order, block_rows)
     edges = _series_edges(df, cols, part, order)
-    j = df.join(edges, part, "left")
-    out = {c: F.coalesce(F.col(c), F.last(c, True).over(back), F.col(f"_prev_{c}"),
-                         F.last(c, True).over(fwd), F.col(f"_next_{c}")) for c in cols}
+    d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
+    j = d.join(edges, part, "left")
+    out = {c: F.coalesce(F.col(c), ff[c], F.col(f"_prev_{c}"), bf[c], F.col(f"_next_{c}")) for c in cols}
     return j.withColumns(out).select(*df.columns)
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from agrospark.dims import CROPS, dim
 from agrospark.functions.agro import et0 as et0_expr, irrigation_efficiency, kc_stage, soil_water_deficit
 from agrospark.functions.numeric import flag, score_cut, snap
-from agrospark.functions.rolling import strict_sum
 from agrospark.operators.stats import index_stats, qname, threshold_quantiles, with_stats, zscore
 
 DROUGHT_EDGES = (0.2, 0.4, 0.6)
@@ -51,10 +50,10 @@ def _weighted(terms) -> Column:
 def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region", order="date",
                   method: str = "rank") -> DataFrame:
     """Drought class 0..3 from .3[30-row precip sum < q20] + .2[temp > q80] + .3[ssm < q20] + .2[ndvi < q20]."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(part).orderBy(order)
+    from agrospark.operators.windows import rolling_sums
     # the 30-row sum is snapped (grid 2^-30) so ties with its own quantile do not depend on summation order
-    d = df.withColumn("precip_sum_30", snap(strict_sum(F.col(precip), w, 30), 9))
+    d = rolling_sums(df, precip, (30,), "_psum", part, order)
+    d = d.withColumn("precip_sum_30", snap(F.col("_psum_30"), 9)).drop("_psum_30")
     spec = {"precip_sum_30": [0.2], "temperature_2m": [0.8], "ssm": [0.2], "ndvi": [0.2]}
     q = threshold_quantiles(d, spec, method=method)
     j = with_stats(d, q)

@@ -124,3 +124,31 @@ def test_blocked_interpolation_equals_series_interpolation(spark, block_rows):
     a = D.interpolate_linear(df, ["x"])
     b = D.interpolate_linear(df, ["x"], block_rows=block_rows)
     assert _sorted(a) == _sorted(b)
+
+
+def test_session_block_switch_keeps_feature_frames(spark):
+    """agrospark.window.blockRows turns every per-series window into the blocked evaluation;
+    the composite drought frame and label must not change."""
+    from agrospark.operators.indices import drought_label
+    from agrospark.plans.features import drought_features
+    rnd = random.Random(5)
+    rows = []
+    for r in range(3):
+        for d in range(80):
+            def v(lo, hi, p=0.15):
+                return None if rnd.random() < p else round(rnd.uniform(lo, hi), 2)
+            rows.append((f"R{r}", dt.date(2020, 1, 1) + dt.timedelta(days=d), 1 + (d // 30) % 12, "Dry",
+                         v(20, 35), v(0, 5), v(1e7, 2e7), v(290, 310), v(280, 300), v(10, 30), v(5, 25),
+                         v(1000, 5000), v(1000, 6000), v(0.1, 0.6), v(0.1, 0.5), v(0.05, 0.5)))
+    cols = ("region string, date date, month int, season string, temperature_2m double, "
+            "total_precipitation_sum double, surface_solar_radiation_downwards_sum double, lst_day_1km double, "
+            "lst_night_1km double, temp_day_celsius double, temp_night_celsius double, evi double, ndvi double, "
+            "ndvi_normalized double, evi_normalized double, ssm double")
+    df = spark.createDataFrame(rows, cols)
+    plain_f, plain_l = _sorted(drought_features(df)), _sorted(drought_label(df).drop("precip_sum_30"))
+    spark.conf.set("agrospark.window.blockRows", "7")
+    try:
+        assert _sorted(drought_features(df)) == plain_f
+        assert _sorted(drought_label(df).drop("precip_sum_30")) == plain_l
+    finally:
+        spark.conf.unset("agrospark.window.blockRows")
