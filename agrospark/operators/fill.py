@@ -120,15 +120,23 @@ def _series_edges(df: DataFrame, cols, part, order) -> DataFrame:
 
 
 def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date",
-                  edges_from: DataFrame | None = None, block_rows: int | None = None) -> DataFrame:
+                  edges_from: DataFrame | None = None, block_rows: int | None = None,
+                  series_complete: bool = False) -> DataFrame:
     """Per-series ffill, then a table-wide bfill in (part, order) order: a series with no value
     takes the first value of the next series that has one; an all-null last series stays null.
 
     ``edges_from``: a frame with the same first/last non-null value per series (e.g. the frame
     before interpolation, which only fills nulls and copies edge values). Summarising it instead
-    of ``df`` keeps the window stage of ``df`` from being evaluated a second time."""
+    of ``df`` keeps the window stage of ``df`` from being evaluated a second time.
+
+    ``series_complete``: every series is either fully known or fully null in each column (true
+    after ``interpolate_linear``), so the in-series legs are no-ops and only the cross-series
+    carry is applied: no window pass at all."""
     part, order = _cols(part, order)
     edges = _series_edges(edges_from if edges_from is not None else df, cols, part, order)
+    if series_complete:
+        j = df.join(edges, part, "left")
+        return j.withColumns({c: F.coalesce(F.col(c), F.col(f"_next_{c}")) for c in cols}).select(*df.columns)
     d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
     j = d.join(edges, part, "left")
     out = {c: F.coalesce(F.col(c), ff[c], bf[c], F.col(f"_next_{c}")) for c in cols}

@@ -35,7 +35,7 @@ def build_panel(obs: DataFrame, order=("source_rank",)) -> DataFrame:
     df = D.interpolate_linear(keyed, num, "region", "date")
     # interpolation keeps each region's first/last known values: take the edge summary from the
     # keyed frame, so the interpolation windows run once
-    df = D.fallback_fill(df, num, "region", "date", edges_from=keyed)
+    df = D.fallback_fill(df, num, "region", "date", edges_from=keyed, series_complete=True)
     df = C.kelvin_to_celsius(df)
     df = C.calendar_parts(df)
     df = C.season4(df)
