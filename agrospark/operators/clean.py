@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -206,6 +206,46 @@ def merge_sources(df: DataFrame, keys=("region", "date", "latitude", "longitude"
     return df.filter(nn).groupBy(*keys).agg(*aggs)
 
 
+def merge_by_rank(df: DataFrame, keys=("region", "date", "latitude", "longitude"), rank: str = "source_rank",
+                  cols: Sequence[str] | None = None, labels: Sequence[str] | None = None,
+                  label_col: str = "data_source") -> DataFrame:
+    """Coalescing merge by source priority, as two hash aggregations with fixed-width buffers:
+
+    1. per (key, rank): the smallest value of each column (the deterministic tie-break among
+       duplicate rows of one source), combined map-side, so a hot key is reduced before the shuffle;
+    2. per key: each column from its highest-priority (smallest rank) source that has a value;
+       ``label_col`` = ``labels[min rank present]`` (the source of the first row in priority order).
+
+    Rows with a null key are dropped (pandas' groupby default). Same answer as ``merge_sources``
+    ordered by (rank, value); no sort-based aggregation on the raw input.
+    """
+    keys = list(keys)
+    cols = [c for c in (cols or df.columns) if c not in keys and c != rank and c != label_col]
+    nn = None
+    for k in keys:
+        nn = F.col(k).isNotNull() if nn is None else nn & F.col(k).isNotNull()
+    per_rank = df.filter(nn).groupBy(*keys, rank).agg(*[F.min(c).alias(c) for c in cols])
+    aggs = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(rank))).alias(c) for c in cols]
+    if labels is not None:
+        aggs.append(F.min(rank).alias("_min_rank"))
+    out = per_rank.groupBy(*keys).agg(*aggs)
+    if labels is not None:
+        out = out.withColumn(label_col, F.element_at(F.array(*[F.lit(x) for x in labels]),
+                                                     F.col("_min_rank").cast("int"))).drop("_min_rank")
+    return out
+
+
+def dedup_first_in_series(df: DataFrame, series: str = "region", key: str = "date",
+                          order=("latitude", "longitude")) -> DataFrame:
+    """One row per (series, key): the smallest ``order``. Evaluated inside the series partitioning
+    (a window ordered by key then ``order``; the first row of each key is kept), so it shares the
+    exchange and the sort of the per-series windows that follow instead of adding a shuffle."""
+    w = Window.partitionBy(series).orderBy(key, *order)
+    prev = F.lag(F.col(key)).over(w)
+    return df.withColumn("_prev_key", prev).filter(F.col("_prev_key").isNull() | (F.col("_prev_key") != F.col(key))) \
+        .drop("_prev_key")
+
+
 def dedup_key(df: DataFrame, keys=("region", "date"), order=("latitude", "longitude")) -> DataFrame:
     """Keep one row per key: the smallest ``order`` (a second aggregation, map-side combined)."""
     keys = list(keys)

@@ -103,7 +103,8 @@ def _series_edges(df: DataFrame, cols, part, order) -> DataFrame:
 
     The neighbour search is a window over this summary (one row per series), not over the facts.
     """
-    ordk = F.struct(*[F.col(o) for o in order])
+    # a single order column keeps the aggregation buffers fixed-width (hash aggregation)
+    ordk = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
     aggs = []
     for c in cols:
         keep = F.when(F.col(c).isNotNull(), ordk)

@@ -1,9 +1,9 @@
 """C6 build_panel: stacked sparse satellite rows -> clean daily (region, date) panel.
 
-Plan shape: scan -> partial agg -> Exchange(region, date, lat, lon) -> merge agg -> Exchange(region,
-date) -> key dedup agg -> Exchange(region) -> Sort(region, date) -> all interpolation / fill windows
--> join with the per-region edge summary -> projection. Both aggregations combine map-side, so
-a hot region/date key is reduced before it is shuffled.
+Plan shape: scan -> partial hash agg -> Exchange(keys, rank) -> hash agg -> Exchange(keys) ->
+hash agg (the merge) -> Exchange(region) -> Sort(region, date, lat, lon) -> key dedup + all
+interpolation windows -> join with the per-region edge summary -> projection. The merge
+aggregations combine map-side, so a hot region/date key is reduced before it is shuffled.
 """
 
 from __future__ import annotations
@@ -18,18 +18,20 @@ MERGE_KEYS = ["region", "date", "latitude", "longitude"]
 PANEL_MEASURES = [c for c in C.PANEL_NUMERIC if c not in ("latitude", "longitude")]
 
 
-def merge_stage(obs: DataFrame, order=("source_rank",)) -> DataFrame:
-    """C2 + C3: coalescing merge per (region, date, lat, lon), then one row per (region, date)."""
-    order = list(order)
+def merge_stage(obs: DataFrame, rank: str = "source_rank", labels=None) -> DataFrame:
+    """C2 + C3: coalescing merge per (region, date, lat, lon) by source priority (two hash
+    aggregations), then one row per (region, date): the smallest (lat, lon), chosen inside the
+    region partitioning that the interpolation windows use (no extra shuffle)."""
+    from agrospark.sources.adapters import SOURCES
     df = C.normalize_names(obs)
     df = C.coerce_numeric(df, C.PANEL_NUMERIC)
-    value_cols = [c for c in df.columns if c not in MERGE_KEYS and c not in order]
-    merged = C.merge_sources(df, MERGE_KEYS, order, value_cols)
-    return C.dedup_key(merged, ["region", "date"], ["latitude", "longitude"])
+    value_cols = [c for c in C.PANEL_NUMERIC if c in df.columns and c not in MERGE_KEYS]
+    merged = C.merge_by_rank(df, MERGE_KEYS, rank, value_cols, labels or SOURCES, "data_source")
+    return C.dedup_first_in_series(merged, "region", "date", ("latitude", "longitude"))
 
 
-def build_panel(obs: DataFrame, order=("source_rank",)) -> DataFrame:
-    df = merge_stage(obs, order)
+def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None) -> DataFrame:
+    df = merge_stage(obs, rank, labels)
     num = [c for c in C.PANEL_NUMERIC if c in df.columns]
     keyed = df
     df = D.interpolate_linear(keyed, num, "region", "date")

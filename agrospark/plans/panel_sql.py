@@ -9,7 +9,8 @@ from agrospark.sources.adapters import OBS_ORDER, OBS_SQL
 MERGE_VALUE_COLS = [c for c in PANEL_NUMERIC if c not in ("latitude", "longitude")] + ["data_source"]
 
 
-def merged_sql() -> str:
+def merged_ordered_sql() -> str:
+    """merge_sources with a full ordering (rank, row ids, value)."""
     order = ", ".join(f"k{i} := {o}" for i, o in enumerate(OBS_ORDER))
     aggs = ",\n    ".join(
         f"arg_min({c}, struct_pack({order}, v := {c})) filter (where {c} is not null) as {c}" for c in MERGE_VALUE_COLS)
@@ -20,6 +21,20 @@ def merged_sql() -> str:
   group by region, date, latitude, longitude"""
 
 
+def merged_sql() -> str:
+    """merge_by_rank: per (key, rank) the smallest value, then per key the smallest rank with a value."""
+    vals = [c for c in MERGE_VALUE_COLS if c != "data_source"]
+    l1 = ", ".join(f"min({c}) as {c}" for c in vals)
+    l2 = ", ".join(f"arg_min({c}, source_rank) filter (where {c} is not null) as {c}" for c in vals)
+    return f"""select region, date, latitude, longitude, {l2},
+    ['ERA5', 'CHIRPS', 'MODIS_TEMP', 'MODIS_VI', 'SMAP'][min(source_rank)] as data_source
+  from (select region, date, latitude, longitude, source_rank, {l1}
+        from ({OBS_SQL}) o
+        where region is not null and date is not null and latitude is not null and longitude is not null
+        group by region, date, latitude, longitude, source_rank) l1
+  group by region, date, latitude, longitude"""
+
+
 def dedup_sql(src: str) -> str:
     return f"""select * exclude (_k) from (
     select *, row_number() over (partition by region, date order by latitude, longitude) as _k from {src}) where _k = 1"""

@@ -16,20 +16,27 @@ NUM = C.PANEL_NUMERIC
 
 
 def _keyed(spark, sf):
-    return P.merge_stage(A.obs(spark, sf), A.OBS_ORDER)
+    return P.merge_stage(A.obs(spark, sf))
 
 
 def panel(spark, sf):
     """The clean panel as downstream jobs read it: written once per session and input as a
     table bucketed by region (see ``agrospark.plans.panel.materialize``)."""
-    return P.materialize(spark, sf, lambda: P.build_panel(A.obs(spark, sf), A.OBS_ORDER))
+    return P.materialize(spark, sf, lambda: P.build_panel(A.obs(spark, sf)))
 
 
 _MERGED = S.merged_sql()
 _KEYED = f"with merged as ({_MERGED}), keyed as ({S.dedup_sql('merged')})"
 
 
-@register("merge_sources", _MERGED)
+@register("merge_by_rank", _MERGED)
+def q_merge_by_rank(spark, sf):
+    obs = A.obs(spark, sf)
+    return C.merge_by_rank(obs, P.MERGE_KEYS, "source_rank", [c for c in C.PANEL_NUMERIC if c not in P.MERGE_KEYS],
+                           A.SOURCES, "data_source")
+
+
+@register("merge_sources", S.merged_ordered_sql())
 def q_merge_sources(spark, sf):
     obs = A.obs(spark, sf)
     vals = [c for c in obs.columns if c not in P.MERGE_KEYS and c not in A.OBS_ORDER]
@@ -73,7 +80,7 @@ def q_fill_table_order(spark, sf):
 @register("build_panel", f"{S.panel_ctes()} select * from panel")
 def q_build_panel(spark, sf):
     """The full ETL plan from the raw stacked rows (never the materialised copy)."""
-    return P.build_panel(A.obs(spark, sf), A.OBS_ORDER)
+    return P.build_panel(A.obs(spark, sf))
 
 
 @register("stack_sources", f"""
