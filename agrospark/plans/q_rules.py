@@ -482,9 +482,44 @@ def q_seasonal_baseline(spark, sf):
                     "leaf_wetness", snap(F.col("evi")).alias("evi"), "crop_type", "growth_stage")
 
 
-@register("serving_features")
+def _serving_sql(features):
+    """SQL twin of ``rules.serving_features`` for readings with temperature, humidity, wind and rain
+    (every other input takes its default), same operation order."""
+    dv = R.SERVING_DEFAULTS
+    temp = f"coalesce(temperature, {D(dv['temperature'])})"
+    precip = f"coalesce(precipitation, {D(dv['precipitation'])})"
+    wind = f"coalesce(wind_speed, {D(dv['wind_speed'])})"
+    hum = f"coalesce(humidity, {D(dv['humidity'])})"
+    ndvi, evi, sm, p7 = D(dv["ndvi"]), D(dv["evi"]), D(dv["soil_moisture"]), D(dv["precipitation_7d"])
+    tmax, tmin = temp, f"({temp} - {D(8)})"
+    ssm = f"({hum} / {D(100)} * {D(0.8)})"
+    two_pi = "cast(6.283185307179586 as double)"
+    e = {
+        "temperature_2m": temp, "total_precipitation_sum": precip,
+        "surface_solar_radiation_downwards_sum": f"{D(dv['solar_radiation'])} * {D(1000000)}",
+        "u_component_of_wind_10m": f"{wind} * {D(0.7)}", "v_component_of_wind_10m": f"{wind} * {D(0.3)}",
+        "lst_day_1km": f"{tmax} * {D(100)}", "lst_night_1km": f"{tmin} * {D(100)}",
+        "temp_day_celsius": tmax, "temp_night_celsius": tmin, "evi": evi, "ndvi": ndvi,
+        "ndvi_normalized": ndvi, "evi_normalized": evi, "ssm": ssm,
+        "month_sin": f"sin({two_pi} * month(date) / {D(12)})", "month_cos": f"cos({two_pi} * month(date) / {D(12)})",
+        "is_dry_season": "0",
+        "water_stress_index": f"({temp} - {D(25)}) / {D(10)} - ({ndvi} - {D(0.5)}) / {D(0.3)}",
+        "meteorological_drought_index": f"({temp} - {D(25)}) / {D(10)} - ({precip} - {D(2)}) / {D(5)}",
+        "agricultural_drought_index": f"({D(1)} - {sm}) * ({D(1)} - {ndvi})",
+        "consecutive_dry_days": f"case when {p7} > 1 then 0 else 3 end",
+    }
+    for w in (3, 7, 14, 15, 30):
+        e.update({f"temp_ma_{w}": temp, f"precip_ma_{w}": precip, f"ssm_ma_{w}": ssm, f"ndvi_ma_{w}": ndvi,
+                  f"temp_deviation_{w}": D(0), f"precip_deviation_{w}": D(0), f"ndvi_deviation_{w}": D(0)})
+    for p in (1, 3, 7, 14, 15, 30, 60):
+        e[f"precip_cumul_{p}"] = f"{p7} * ({D(p)} / {D(7)})"
+    cols = ", ".join(f"{ssnap(f'cast({e.get(f, D(0))} as double)')} as {f}" for f in features)
+    return f"""select reading_id, city, cast(ts as date) as date, {cols} from {_READ}"""
+
+
+@register("serving_features", _serving_sql(FT.DROUGHT_FEATURES))
 def q_serving_features(spark, sf):
-    """Model inputs for the drought feature list, from each reading (rows-only check)."""
+    """Model inputs for the drought feature list, from each reading."""
     r = A.readings(spark, sf).select("reading_id", "city", F.to_date("ts").alias("date"), "temperature", "humidity",
                                      "wind_speed", "precipitation")
     return snapped(R.serving_features(r, FT.DROUGHT_FEATURES))

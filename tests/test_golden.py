@@ -118,3 +118,22 @@ def test_irrigation_need_clipped(spark):
                                "irrigation_efficiency double")
     out = [r["irrigation_need"] for r in H.irrigation_need(df).collect()]
     assert out[0] == 15.0 and out[1] == 0.0 and out[2] is None
+
+
+def test_merge_by_rank_priority_and_ties(spark):
+    from agrospark.operators.clean import dedup_first_in_series, merge_by_rank
+    d = dt.date(2020, 1, 1)
+    rows = [  # region, date, lat, lon, rank, a, b
+        ("r", d, 1.0, 2.0, 2, 5.0, None),
+        ("r", d, 1.0, 2.0, 1, None, 7.0),
+        ("r", d, 1.0, 2.0, 1, 3.0, 9.0),     # same source twice: the smaller value wins
+        ("r", d, 1.0, 2.0, 1, 4.0, None),
+        ("r", d, 0.5, 2.0, 3, None, 1.0),    # another location of the same day
+        (None, d, 1.0, 2.0, 1, 100.0, 100.0),
+    ]
+    df = spark.createDataFrame(rows, "region string, date date, lat double, lon double, rank int, a double, b double")
+    m = merge_by_rank(df, ["region", "date", "lat", "lon"], "rank", ["a", "b"], ["S1", "S2", "S3"], "src")
+    got = {(r["lat"]): (r["a"], r["b"], r["src"]) for r in m.collect()}
+    assert got == {1.0: (3.0, 7.0, "S1"), 0.5: (None, 1.0, "S3")}
+    one = dedup_first_in_series(m, "region", "date", ("lat", "lon")).collect()
+    assert len(one) == 1 and one[0]["lat"] == 0.5          # smallest (lat, lon) row kept, nulls and all
