@@ -68,3 +68,14 @@ from b""")
 def q_stream_dry_days(spark, sf):
     p = panel(spark, sf).select("region", "date", "total_precipitation_sum")
     return _run(spark, "dry", L.stream_dry_days, _land(spark, p, "panel", files=1))
+
+
+@register("stream_top_alerts")
+def q_stream_top_alerts(spark, sf):
+    """Per micro-batch, the first three alerts in (city, rule) order via a foreachBatch sink
+    (rows-only: the answer depends on where the batches cut the input)."""
+    src, schema = _land(spark, A.readings(spark, sf), "readings-top")
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    out, ck = _scratch(spark, "sink-top"), _scratch(spark, "ckpt-top")
+    L.run_to_table(L.stream_alerts(sdf), out, ck, foreach_batch=L.top_alerts_per_batch(3))
+    return spark.read.parquet(out)
