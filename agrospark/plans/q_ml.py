@@ -158,3 +158,15 @@ def q_irrigation_plan(spark, sf):
     return d.select("region", "date", "crop_type", snap(F.col("irrigation_need")).alias("irrigation_need"),
                     snap(F.col("etc")).alias("etc"), "frequency", "duration", "efficiency_score",
                     snap(F.col("water_cost")).alias("water_cost"), F.array_join("best_times", " | ").alias("best_times"))
+
+
+def _score(task):
+    def q(spark, sf):
+        df, feats, label = labelled_frames(spark, sf)[task]
+        fm = M.train_model(df, feats, label, task, **SMALL)
+        return M.score(df, fm)
+    return q
+
+
+register("score_rainfall")(_score("rainfall"))
+register("score_irrigation")(_score("irrigation"))
