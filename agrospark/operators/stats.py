@@ -4,8 +4,8 @@ A global statistic is a one-row DataFrame: broadcasting it is size-safe by const
 moments of all columns come from a single aggregation pass.
 
 Quantiles: ``method="rank"`` (default) is exact and distributed. Values are range-partitioned
-(with a tie-breaker, so even one value repeated over a third of the rows is spread over many
-tasks), each task ranks its slice, per-slice counts give global offsets, and only the two order
+(with a content-hash tie-breaker, so even one value repeated over a third of the rows is spread
+over many tasks, deterministically under task retries), each task ranks its slice, per-slice counts give global offsets, and only the two order
 statistics around each requested position are kept. ``method="agg"`` uses Spark's exact
 ``percentile`` aggregate (simple, but its final merge holds every distinct value in one task);
 ``method="approx"`` uses ``percentile_approx`` (bounded memory, approximate).
@@ -44,12 +44,14 @@ def _rank_quantiles(df: DataFrame, spec: dict[str, list[float]], slices: int | N
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(spec)
-    long = df.select(F.explode(F.array(*[
+    # tie-breaker: a hash of the whole input row. Equal values are interchangeable for a quantile,
+    # so any split of ties is fine, but it must be a function of the data: a recomputed task (lost
+    # executor) must send every row to the same slice again, or slice counts and ranks disagree.
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    long = df.select(tie.alias("_t"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])).alias("e")) \
-        .select("e.k", "e.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    # tie-breaker: equal values are interchangeable for a quantile, so any unique id will do
-    ranged = long.withColumn("_t", F.monotonically_increasing_id()) \
-        .repartitionByRange(slices, "k", "v", "_t").withColumn("_s", F.spark_partition_id())
+        .select("e.k", "e.v", "_t").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    ranged = long.repartitionByRange(slices, "k", "v", "_t").withColumn("_s", F.spark_partition_id())
     counts = ranged.groupBy("k", "_s").agg(F.count(F.lit(1)).alias("_c"))
     wk = Window.partitionBy("k").orderBy("_s")
     offsets = counts.select(
