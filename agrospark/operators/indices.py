@@ -55,7 +55,7 @@ def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region"
     d = rolling_sums(df, precip, (30,), "_psum", part, order)
     d = d.withColumn("precip_sum_30", snap(F.col("_psum_30"), 9)).drop("_psum_30")
     spec = {"precip_sum_30": [0.2], "temperature_2m": [0.8], "ssm": [0.2], "ndvi": [0.2]}
-    q = threshold_quantiles(d, spec, method=method)
+    q = threshold_quantiles(d, spec, method=method, tie_cols=[part, order])
     j = with_stats(d, q)
     score = _weighted([
         (F.col("precip_sum_30") < F.col(qname("precip_sum_30", 0.2)), 0.3),
@@ -71,7 +71,8 @@ def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region"
 def disease_label(df: DataFrame, method: str = "rank") -> DataFrame:
     """Disease risk 0..3 from .4[ssm > q70] + .3[20 <= temp <= 32] + .2[precip > q60] + .1[solar < q40]."""
     spec = {"ssm": [0.7], "total_precipitation_sum": [0.6], "surface_solar_radiation_downwards_sum": [0.4]}
-    j = with_stats(df, threshold_quantiles(df, spec, method=method))
+    keys = [c for c in ("region", "date") if c in df.columns] or None
+    j = with_stats(df, threshold_quantiles(df, spec, method=method, tie_cols=keys))
     score = _weighted([
         (F.col("ssm") > F.col(qname("ssm", 0.7)), 0.4),
         (F.col("temperature_2m").between(F.lit(20.0), F.lit(32.0)), 0.3),

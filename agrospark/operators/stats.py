@@ -31,23 +31,25 @@ def qname(col: str, q: float) -> str:
 
 
 def threshold_quantiles(df: DataFrame, spec: dict[str, list[float]], method: str = "rank",
-                        slices: int | None = None, accuracy: int = 100000) -> DataFrame:
-    """One row with a column ``{col}_q{pp}`` per requested quantile (nulls skipped)."""
+                        slices: int | None = None, accuracy: int = 100000, tie_cols=None) -> DataFrame:
+    """One row with a column ``{col}_q{pp}`` per requested quantile (nulls skipped).
+    ``tie_cols``: columns identifying a row (e.g. the series key and date); they feed the
+    tie-breaker of the rank method, so only they and the value columns are read (default: all)."""
     if method == "agg":
         return df.agg(*[F.expr(f"percentile(`{c}`, {q})").alias(qname(c, q)) for c, qs in spec.items() for q in qs])
     if method == "approx":
         return df.agg(*[F.percentile_approx(c, q, accuracy).alias(qname(c, q)) for c, qs in spec.items() for q in qs])
-    return _rank_quantiles(df, spec, slices)
+    return _rank_quantiles(df, spec, slices, tie_cols)
 
 
-def _rank_quantiles(df: DataFrame, spec: dict[str, list[float]], slices: int | None) -> DataFrame:
+def _rank_quantiles(df: DataFrame, spec: dict[str, list[float]], slices: int | None, tie_cols=None) -> DataFrame:
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(spec)
     # tie-breaker: a hash of the whole input row. Equal values are interchangeable for a quantile,
     # so any split of ties is fine, but it must be a function of the data: a recomputed task (lost
     # executor) must send every row to the same slice again, or slice counts and ranks disagree.
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    tie = F.xxhash64(*[F.col(c) for c in (tie_cols or df.columns)])
     long = df.select(tie.alias("_t"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])).alias("e")) \
         .select("e.k", "e.v", "_t").filter(F.col("v").isNotNull() & ~F.isnan("v"))

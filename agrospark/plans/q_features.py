@@ -124,7 +124,7 @@ _QSPEC = {"temperature_2m": [0.2, 0.4, 0.6, 0.7, 0.8], "ssm": [0.2, 0.7], "ndvi"
 select {', '.join(f"{ssnap(f'quantile_cont({c}, {q})')} as {ST.qname(c, q)}" for c, qs in _QSPEC.items()
                   for q in qs)} from panel""")
 def q_threshold_quantiles(spark, sf):
-    q = ST.threshold_quantiles(panel(spark, sf), _QSPEC, method="rank")
+    q = ST.threshold_quantiles(panel(spark, sf), _QSPEC, method="rank", tie_cols=["region", "date"])
     return snapped(q)
 
 
