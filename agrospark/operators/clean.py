@@ -236,11 +236,13 @@ def merge_by_rank(df: DataFrame, keys=("region", "date", "latitude", "longitude"
 
 
 def dedup_first_in_series(df: DataFrame, series: str = "region", key: str = "date",
-                          order=("latitude", "longitude")) -> DataFrame:
+                          order=("latitude", "longitude"), by_key: bool = False) -> DataFrame:
     """One row per (series, key): the smallest ``order``. Evaluated inside the series partitioning
     (a window ordered by key then ``order``; the first row of each key is kept), so it shares the
-    exchange and the sort of the per-series windows that follow instead of adding a shuffle."""
-    w = Window.partitionBy(series).orderBy(key, *order)
+    exchange and the sort of the per-series windows that follow instead of adding a shuffle.
+    ``by_key``: partition by (series, key) instead - groups of a few locations, so a hot series is
+    spread over many tasks (used with blocked windows, which re-partition anyway)."""
+    w = Window.partitionBy(series, key).orderBy(*order) if by_key else Window.partitionBy(series).orderBy(key, *order)
     prev = F.lag(F.col(key)).over(w)
     return df.withColumn("_prev_key", prev).filter(F.col("_prev_key").isNull() | (F.col("_prev_key") != F.col(key))) \
         .drop("_prev_key")

@@ -48,11 +48,11 @@ def _weighted(terms) -> Column:
 
 
 def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region", order="date",
-                  method: str = "rank") -> DataFrame:
+                  method: str = "rank", block_rows: int | None = None) -> DataFrame:
     """Drought class 0..3 from .3[30-row precip sum < q20] + .2[temp > q80] + .3[ssm < q20] + .2[ndvi < q20]."""
     from agrospark.operators.windows import rolling_sums
     # the 30-row sum is snapped (grid 2^-30) so ties with its own quantile do not depend on summation order
-    d = rolling_sums(df, precip, (30,), "_psum", part, order)
+    d = rolling_sums(df, precip, (30,), "_psum", part, order, block_rows=block_rows)
     d = d.withColumn("precip_sum_30", snap(F.col("_psum_30"), 9)).drop("_psum_30")
     spec = {"precip_sum_30": [0.2], "temperature_2m": [0.8], "ssm": [0.2], "ndvi": [0.2]}
     q = threshold_quantiles(d, spec, method=method, tie_cols=[part, order])

@@ -66,29 +66,30 @@ def _month_cyc(df: DataFrame) -> DataFrame:
     return df.withColumns({"month_sin": s, "month_cos": c})
 
 
-def _finish(df: DataFrame, features, fill: str | None = "table", carry=()) -> DataFrame:
+def _finish(df: DataFrame, features, fill: str | None = "table", carry=(), block_rows=None) -> DataFrame:
     out = df.select(*KEYS, *features, *carry)
-    return D.fill_table_order(out, list(features), "region", "date", scope=fill) if fill else out
+    return D.fill_table_order(out, list(features), "region", "date", scope=fill, block_rows=block_rows) \
+        if fill else out
 
 
-def rainfall_features(panel: DataFrame, fill: str | None = "table") -> DataFrame:
+def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
     f = C.cyclic_time(panel, day_basis="month")
     f = C.derived_features(f)
-    f = G.lags(f, "total_precipitation_sum", (1, 3, 7), "precipitation_lag")
-    f = G.moving_averages(f, {"temp": "temperature_2m", "humidity": "ssm"}, (3, 7, 15))
-    return _finish(f, RAINFALL_FEATURES, fill)
+    f = G.lags(f, "total_precipitation_sum", (1, 3, 7), "precipitation_lag", block_rows=block_rows)
+    f = G.moving_averages(f, {"temp": "temperature_2m", "humidity": "ssm"}, (3, 7, 15), block_rows=block_rows)
+    return _finish(f, RAINFALL_FEATURES, fill, block_rows=block_rows)
 
 
-def drought_features(panel: DataFrame, fill: str | None = "table") -> DataFrame:
+def drought_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
     f = _month_cyc(panel)
     f = C.season_flags(f)
     f = H.drought_indices(f)
     f = G.moving_averages(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ndvi": "ndvi",
-                              "ssm": "ssm"}, DW)
+                              "ssm": "ssm"}, DW, block_rows=block_rows)
     f = G.ma_deviation(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ndvi": "ndvi"}, DW)
-    f = G.rolling_sums(f, "total_precipitation_sum", (7, 15, 30, 60), "precip_cumul")
-    f = G.consecutive_dry_days(f, "total_precipitation_sum", 0.1)
-    return _finish(f, DROUGHT_FEATURES, fill)
+    f = G.rolling_sums(f, "total_precipitation_sum", (7, 15, 30, 60), "precip_cumul", block_rows=block_rows)
+    f = G.consecutive_dry_days(f, "total_precipitation_sum", 0.1, block_rows=block_rows)
+    return _finish(f, DROUGHT_FEATURES, fill, block_rows=block_rows)
 
 
 def irrigation_base(panel: DataFrame) -> DataFrame:
@@ -105,26 +106,27 @@ def irrigation_base(panel: DataFrame) -> DataFrame:
     return H.water_features(f)
 
 
-def irrigation_features(panel: DataFrame, fill: str | None = "table", carry=()) -> DataFrame:
+def irrigation_features(panel: DataFrame, fill: str | None = "table", carry=(),
+                        block_rows: int | None = None) -> DataFrame:
     f = irrigation_base(panel)
     f = f.withColumns({alias: F.col(src) for alias, src in carry})
     f = G.moving_averages(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ssm": "ssm",
-                              "et0": "et0"}, IW)
-    f = G.rolling_sums(f, "total_precipitation_sum", IW, "precip_cumul")
+                              "et0": "et0"}, IW, block_rows=block_rows)
+    f = G.rolling_sums(f, "total_precipitation_sum", IW, "precip_cumul", block_rows=block_rows)
     f = H.crop_onehot(f)
-    return _finish(f, IRRIGATION_FEATURES, fill, [alias for alias, _ in carry])
+    return _finish(f, IRRIGATION_FEATURES, fill, [alias for alias, _ in carry], block_rows=block_rows)
 
 
-def disease_features(panel: DataFrame, fill: str | None = "table") -> DataFrame:
+def disease_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
     f = _month_cyc(panel)
     f = C.season_flags(f)
     f = f.withColumn("day_of_year", F.dayofyear("date"))
     f = H.assign_crop(f)
     f = H.crop_onehot(f)
-    return _finish(f, DISEASE_FEATURES, fill)
+    return _finish(f, DISEASE_FEATURES, fill, block_rows=block_rows)
 
 
-def irrigation_labelled(panel: DataFrame) -> DataFrame:
+def irrigation_labelled(panel: DataFrame, block_rows: int | None = None) -> DataFrame:
     """Features (after the table-order fill) + need; the need's rainfall term is the panel's."""
-    feats = irrigation_features(panel, carry=[("_panel_precip", "total_precipitation_sum")])
+    feats = irrigation_features(panel, carry=[("_panel_precip", "total_precipitation_sum")], block_rows=block_rows)
     return H.irrigation_need(feats, "_panel_precip").drop("_panel_precip")

@@ -18,7 +18,7 @@ MERGE_KEYS = ["region", "date", "latitude", "longitude"]
 PANEL_MEASURES = [c for c in C.PANEL_NUMERIC if c not in ("latitude", "longitude")]
 
 
-def merge_stage(obs: DataFrame, rank: str = "source_rank", labels=None) -> DataFrame:
+def merge_stage(obs: DataFrame, rank: str = "source_rank", labels=None, by_key: bool = False) -> DataFrame:
     """C2 + C3: coalescing merge per (region, date, lat, lon) by source priority (two hash
     aggregations), then one row per (region, date): the smallest (lat, lon), chosen inside the
     region partitioning that the interpolation windows use (no extra shuffle)."""
@@ -27,14 +27,18 @@ def merge_stage(obs: DataFrame, rank: str = "source_rank", labels=None) -> DataF
     df = C.coerce_numeric(df, C.PANEL_NUMERIC)
     value_cols = [c for c in C.PANEL_NUMERIC if c in df.columns and c not in MERGE_KEYS]
     merged = C.merge_by_rank(df, MERGE_KEYS, rank, value_cols, labels or SOURCES, "data_source")
-    return C.dedup_first_in_series(merged, "region", "date", ("latitude", "longitude"))
+    return C.dedup_first_in_series(merged, "region", "date", ("latitude", "longitude"), by_key=by_key)
 
 
-def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None) -> DataFrame:
-    df = merge_stage(obs, rank, labels)
+def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None, block_rows: int | None = None) -> DataFrame:
+    """``block_rows`` (or the session's ``agrospark.window.blockRows``): skew-proof evaluation of
+    the per-region steps (dedup per (region, date), blocked interpolation); same result."""
+    from agrospark.operators.blocked import default_block_rows
+    block_rows = block_rows or default_block_rows(obs.sparkSession)
+    df = merge_stage(obs, rank, labels, by_key=bool(block_rows))
     num = [c for c in C.PANEL_NUMERIC if c in df.columns]
     keyed = df
-    df = D.interpolate_linear(keyed, num, "region", "date")
+    df = D.interpolate_linear(keyed, num, "region", "date", block_rows=block_rows)
     # interpolation keeps each region's first/last known values: take the edge summary from the
     # keyed frame, so the interpolation windows run once
     df = D.fallback_fill(df, num, "region", "date", edges_from=keyed, series_complete=True)

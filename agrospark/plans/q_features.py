@@ -280,3 +280,28 @@ def q_consecutive_dry_days_blocked(spark, sf):
 def q_interpolate_linear_blocked(spark, sf):
     from agrospark.plans.q_panel import NUM, _keyed
     return _fill.interpolate_linear(_keyed(spark, sf), NUM, "region", "date", block_rows=BLOCK)
+
+
+@register("build_panel_blocked", ORACLE["build_panel"])
+def q_build_panel_blocked(spark, sf):
+    """The whole ETL with the skew-proof evaluation (dedup per (region, date), blocked windows)."""
+    from agrospark.plans import panel as P
+    from agrospark.sources import adapters as A
+    return P.build_panel(A.obs(spark, sf), block_rows=BLOCK)
+
+
+@register("drought_features_blocked", ORACLE["drought_features"])
+def q_drought_features_blocked(spark, sf):
+    return snapped(FT.drought_features(panel(spark, sf), block_rows=BLOCK))
+
+
+@register("irrigation_features_blocked", ORACLE["irrigation_features"])
+def q_irrigation_features_blocked(spark, sf):
+    return snapped(FT.irrigation_features(panel(spark, sf), block_rows=BLOCK))
+
+
+@register("drought_label_blocked", ORACLE["drought_label"])
+def q_drought_label_blocked(spark, sf):
+    d = H.drought_label(panel(spark, sf), block_rows=BLOCK)
+    return d.groupBy("region", "season", "drought_class").agg(
+        F.count(F.lit(1)).alias("n_days"), snap(F.avg("drought_score")).alias("mean_score"))
