@@ -127,6 +127,21 @@ BASELINE_PRESSURE = 1012.0
 BASELINE_WIND = 2.5
 EMPIRICAL_WET_MONTHS = (5, 6, 7, 8, 9, 10)
 
+# second bandings of the irrigation need: the prediction page (threshold 5) and the advice panel (3 / 6)
+PAGE_THRESHOLD = 5.0
+PAGE_HIGH = ("Quotidienne", "45-60 minutes")
+PAGE_LOW = ("Tous les 2 jours", "30-45 minutes")
+PAGE_ETC_FACTOR = 0.8
+PAGE_ET0_FACTOR = 0.7
+ADVICE_BANDS = [  # lower bound (exclusive), level, plan lines
+    (6.0, "Besoins élevés", ["Irrigation 2 fois par jour (matin et soir)", "Durée : 45-60 minutes par session",
+                             "Surveiller le drainage pour éviter l'engorgement"]),
+    (3.0, "Besoins modérés", ["Irrigation quotidienne ou tous les 2 jours", "Durée : 30-45 minutes",
+                              "Meilleurs moments : 6h-8h ou 17h-19h"]),
+]
+ADVICE_LOW = ("Besoins faibles", ["Irrigation tous les 3-4 jours", "Durée : 15-30 minutes",
+                                  "Surveiller l'humidité du sol"])
+
 # ---------------------------------------------------------------- FIXED VALUES (end)
 
 
@@ -500,3 +515,27 @@ def equal_width_bins(df: DataFrame, col: str, n: int = 4, out: str = "bin") -> D
         cls = t if cls is None else cls + t
     return j.withColumn(out, F.when(F.col(col).isNotNull(), cls)).drop("_mn", "_mx")
 
+
+
+def irrigation_page_plan(df: DataFrame, col: str = "irrigation_need") -> DataFrame:
+    """The prediction page's banding: one threshold at 5, plus its derived ETc / ET0 shares."""
+    x = F.col(col)
+    high = x > F.lit(PAGE_THRESHOLD)
+    return df.withColumns({
+        "page_frequency": F.when(x.isNotNull(), F.when(high, F.lit(PAGE_HIGH[0])).otherwise(F.lit(PAGE_LOW[0]))),
+        "page_duration": F.when(x.isNotNull(), F.when(high, F.lit(PAGE_HIGH[1])).otherwise(F.lit(PAGE_LOW[1]))),
+        "page_etc": x * F.lit(PAGE_ETC_FACTOR),
+        "page_et0": x * F.lit(PAGE_ET0_FACTOR),
+    })
+
+
+def irrigation_advice(df: DataFrame, col: str = "irrigation_need") -> DataFrame:
+    """The advice panel's banding at 3 / 6: need level and a three-line plan."""
+    x = F.col(col)
+    level, plan = None, None
+    for lo, name, lines in ADVICE_BANDS:
+        cond = x > F.lit(lo)
+        level = F.when(cond, F.lit(name)) if level is None else level.when(cond, F.lit(name))
+        plan = F.when(cond, _arr(lines)) if plan is None else plan.when(cond, _arr(lines))
+    return df.withColumns({"need_level": level.when(x.isNotNull(), F.lit(ADVICE_LOW[0])),
+                           "plan": plan.when(x.isNotNull(), _arr(ADVICE_LOW[1]))})

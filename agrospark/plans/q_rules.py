@@ -544,3 +544,37 @@ def q_score_all_cities(spark, sf):
     d = score_all_cities(A.readings(spark, sf))
     return d.select("city", "city_rank", "season", "predicted_mm", "category", "severity", "risk_short",
                     snap(F.col("irrigation_need")).alias("irrigation_need"), "frequency")
+
+
+@register("irrigation_page_plan", f"""{_irr_sql_ctes()}
+select region, date, {ssnap('irrigation_need')} as irrigation_need,
+  case when irrigation_need is not null then case when irrigation_need > {D(R.PAGE_THRESHOLD)}
+    then {q(R.PAGE_HIGH[0])} else {q(R.PAGE_LOW[0])} end end as page_frequency,
+  case when irrigation_need is not null then case when irrigation_need > {D(R.PAGE_THRESHOLD)}
+    then {q(R.PAGE_HIGH[1])} else {q(R.PAGE_LOW[1])} end end as page_duration,
+  {ssnap(f'irrigation_need * {D(R.PAGE_ETC_FACTOR)}')} as page_etc,
+  {ssnap(f'irrigation_need * {D(R.PAGE_ET0_FACTOR)}')} as page_et0 from irr""")
+def q_irrigation_page_plan(spark, sf):
+    d = R.irrigation_page_plan(_irr_frame(spark, sf))
+    return d.select("region", "date", snap(F.col("irrigation_need")).alias("irrigation_need"), "page_frequency",
+                    "page_duration", snap(F.col("page_etc")).alias("page_etc"),
+                    snap(F.col("page_et0")).alias("page_et0"))
+
+
+def _advice_sql():
+    lvl = " ".join(f"when irrigation_need > {D(lo)} then {q(name)}" for lo, name, _ in R.ADVICE_BANDS)
+    plan = " ".join(f"when irrigation_need > {D(lo)} then {list_sql(lines)}" for lo, _, lines in R.ADVICE_BANDS)
+    return (f"case {lvl} when irrigation_need is not null then {q(R.ADVICE_LOW[0])} end",
+            f"case {plan} when irrigation_need is not null then {list_sql(R.ADVICE_LOW[1])} end")
+
+
+_ADV_LVL, _ADV_PLAN = _advice_sql()
+
+
+@register("irrigation_advice", f"""{_irr_sql_ctes()},
+adv as (select region, date, {_ADV_LVL} as need_level, {_ADV_PLAN} as plan from irr)
+select region, date, need_level, cast(generate_subscripts(plan, 1) - 1 as integer) as pos, unnest(plan) as text
+from adv""")
+def q_irrigation_advice(spark, sf):
+    d = R.irrigation_advice(_irr_frame(spark, sf))
+    return d.select("region", "date", "need_level", F.posexplode("plan").alias("pos", "text"))
