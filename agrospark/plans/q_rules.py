@@ -578,3 +578,16 @@ from adv""")
 def q_irrigation_advice(spark, sf):
     d = R.irrigation_advice(_irr_frame(spark, sf))
     return d.select("region", "date", "need_level", F.posexplode("plan").alias("pos", "text"))
+
+
+@register("fallback_forecast", f"""with c as (select distinct city from {_READ}),
+s as (select city, cast(unnest(generate_series(DATE '2024-01-30', DATE '2024-01-30' + INTERVAL 6 DAY,
+    INTERVAL 1 DAY)) as date) as day from c)
+select s.city, s.day, (temp_min + temp_max) / {D(2)} as temperature, (hum_min + hum_max) / {D(2)} as humidity,
+  {D(1013)} as pressure, {D(3)} as wind_speed, precip_avg as precipitation, {D(30)} as cloudiness
+from s left join {values_sql('seasonal_norms')}
+  on (case when s.city in {_NORM_CITIES} then s.city else 'Dakar' end) = seasonal_norms.city
+  and month(s.day) = seasonal_norms.month""")
+def q_fallback_forecast(spark, sf):
+    from agrospark.operators.fill import fallback_forecast
+    return fallback_forecast(A.readings(spark, sf).select("city"), "2024-01-30", 7)
