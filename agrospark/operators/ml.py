@@ -15,7 +15,6 @@ one-vs-rest linear SVM.
 from __future__ import annotations
 
 import math
-import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 

@@ -9,7 +9,6 @@ aggregations combine map-side, so a hot region/date key is reduced before it is
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from agrospark.operators import clean as C
 from agrospark.operators import fill as D

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from agrospark.dims import values_sql
 from agrospark.functions.numeric import snap
 from agrospark.operators import indices as H
 from agrospark.operators import stats as ST
@@ -229,7 +230,7 @@ def q_water_features(spark, sf):
 select c.region, c.date, c.crop_type, cast(least(180, greatest(1, (case when month(c.date) >= planting_month
     then month(c.date) - planting_month else 12 - planting_month + month(c.date) end) * 30 + day(c.date))) as integer)
     as growth_stage
-from c left join {__import__('agrospark.dims', fromlist=['x']).values_sql('crop_calendar')}
+from c left join {values_sql('crop_calendar')}
   on c.crop_type = crop_calendar.crop""")
 def q_growth_stage(spark, sf):
     d = H.assign_crop(panel(spark, sf).select("region", "date")).drop("growth_stage")

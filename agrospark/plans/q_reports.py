@@ -14,6 +14,7 @@ from agrospark.plans import features_sql as FS
 from agrospark.plans.panel_sql import panel_ctes
 from agrospark.plans.q_features import snapped
 from agrospark.plans.q_panel import panel
+from agrospark.plans.q_rules import _need_expr
 from agrospark.plans.registry import register
 from agrospark.plans.sqlkit import snap as ssnap
 from agrospark.sources import adapters as A
@@ -247,7 +248,7 @@ def q_regional_trend(spark, sf):
 @register("water_need_compare", f"""{FS.irrigation_chain()},
 feat_in as (select region, date, {', '.join(FT.IRRIGATION_FEATURES)}, total_precipitation_sum as _pp from i4),
 feat_out as (select * from ({FS.fill_sql('feat_in', list(FT.IRRIGATION_FEATURES), True)}) z),
-n as (select region, date, et0, etc, {__import__('agrospark.plans.q_rules', fromlist=['x'])._need_expr()}
+n as (select region, date, et0, etc, {_need_expr()}
   as irrigation_need from feat_out)
 select region, date, metric, {ssnap('value')} as value from (
   select region, date, 'ET0' as metric, et0 as value from n union all
