@@ -36,6 +36,12 @@ def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None, block_ro
     block_rows = block_rows or default_block_rows(obs.sparkSession)
     df = merge_stage(obs, rank, labels, by_key=bool(block_rows))
     num = [c for c in C.PANEL_NUMERIC if c in df.columns]
+    if block_rows:
+        # the blocked steps (positions, block carries, edges) each consume the merged frame: cut
+        # lineage once with a reliable checkpoint in the shared folder, so the raw scan and the
+        # merge run once and a lost executor does not replay them
+        from agrospark.session import cut_lineage
+        df = cut_lineage(df)
     keyed = df
     df = D.interpolate_linear(keyed, num, "region", "date", block_rows=block_rows)
     # interpolation keeps each region's first/last known values: take the edge summary from the
