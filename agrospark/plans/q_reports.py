@@ -191,9 +191,12 @@ _READ = f"({A.READINGS_SQL}) r"
     greatest({D(1)}, case when month in (5,6,7,8,9,10) then {D(3)} else {D(5)} end + (temperature - {D(25)}) * {D(0.2)}
       + ({D(70)} - humidity) * {D(0.05)}) as irrigation_need from {_READ})
 select day, count(distinct city) as total_cities,
-  coalesce(list_sort(list(distinct city) filter (where predicted_mm > {D(10)})), []) as high_rainfall_cities,
-  coalesce(list_sort(list(distinct city) filter (where severity >= 2)), []) as drought_risk_cities,
-  coalesce(list_sort(list(distinct city) filter (where irrigation_need > {D(6)})), []) as high_irrigation_need_cities
+  array_to_string(coalesce(list_sort(list(distinct city) filter (where predicted_mm > {D(10)})), []), ', ')
+    as high_rainfall_cities,
+  array_to_string(coalesce(list_sort(list(distinct city) filter (where severity >= 2)), []), ', ')
+    as drought_risk_cities,
+  array_to_string(coalesce(list_sort(list(distinct city) filter (where irrigation_need > {D(6)})), []), ', ')
+    as high_irrigation_need_cities
 from h group by day""")
 def q_city_risk_summary(spark, sf):
     r = A.readings(spark, sf)
@@ -204,7 +207,10 @@ def q_city_risk_summary(spark, sf):
                             + (F.col("temperature") - F.lit(25.0)) * F.lit(0.2)
                             + (F.lit(70.0) - F.col("humidity")) * F.lit(0.05)).alias("irrigation_need"))
     s = RP.city_risk_summary(h, by="day")
-    return s.drop("n_high_rainfall", "n_drought_risk", "n_high_irrigation_need")
+    lists = ["high_rainfall_cities", "drought_risk_cities", "high_irrigation_need_cities"]
+    # city lists rendered as text (as the platform displayed them), so results are plain scalars
+    return s.drop("n_high_rainfall", "n_drought_risk", "n_high_irrigation_need") \
+        .withColumns({c: F.array_join(c, ", ") for c in lists})
 
 
 _TREND_CITIES = ["Dakar", "Thiès", "Saint-Louis", "Kaolack"]
