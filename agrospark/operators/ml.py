@@ -142,8 +142,11 @@ def make_estimator(task: str, algorithm: str = "random_forest", label: str = "la
             return RandomForestRegressor(seed=seed, **common, **params)
         if algorithm == "gradient_boosting":
             return GBTRegressor(seed=seed, **common, **params)
-        alpha = params.pop("alpha", RIDGE_ALPHA.get(task, 0.0))
-        return LinearRegression(regParam=alpha, elasticNetParam=0.0, standardization=False, **common, **params)
+        # sklearn Ridge(alpha) == MLlib regParam = alpha * sigma_y / n (population sigma of the
+        # label, no feature standardisation inside the solver); train_model fills in sigma_y and n
+        reg = params.pop("regParam", 0.0)
+        params.pop("alpha", None)
+        return LinearRegression(regParam=reg, elasticNetParam=0.0, standardization=False, **common, **params)
     if algorithm == "random_forest":
         rf = RandomForestClassifier(seed=seed, **common, **params)
         return rf.setWeightCol(weight) if weight else rf
@@ -184,6 +187,12 @@ def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, a
     if kind == "classification" and task in BALANCED and algorithm != "gradient_boosting":
         data = class_weights(data, "label", "weight")
         weight = "weight"
+    if kind == "regression" and algorithm not in ("random_forest", "gradient_boosting"):
+        alpha = overrides.pop("alpha", RIDGE_ALPHA.get(task, 0.0))
+        if alpha:
+            st = data.filter(~F.col("is_test")).agg(F.count(F.lit(1)).alias("n"),
+                                                    F.stddev_pop("label").alias("sd")).first()
+            overrides["regParam"] = float(alpha) * float(st["sd"] or 0.0) / max(int(st["n"]), 1)
     est = make_estimator(task, algorithm, "label", "features", weight, seed, **overrides)
     # iterative learners scan the training rows many times: materialise the prepared frame once
     # (MEMORY_AND_DISK; if an executor is lost its blocks are recomputed from the deterministic plan)

@@ -137,3 +137,22 @@ def test_merge_by_rank_priority_and_ties(spark):
     assert got == {1.0: (3.0, 7.0, "S1"), 0.5: (None, 1.0, "S3")}
     one = dedup_first_in_series(m, "region", "date", ("lat", "lon")).collect()
     assert len(one) == 1 and one[0]["lat"] == 0.5          # smallest (lat, lon) row kept, nulls and all
+
+
+def test_ridge_mapping_matches_closed_form(spark):
+    """alpha -> regParam = alpha * sigma_y / n reproduces sklearn's Ridge on standardised inputs."""
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 2))
+    y = x @ np.array([1.5, -2.0]) + rng.normal(scale=0.5, size=200) + 3.0
+    alpha = 5.0
+    xc, yc = x - x.mean(0), y - y.mean()
+    w = np.linalg.solve(xc.T @ xc + alpha * np.eye(2), xc.T @ yc)       # Ridge with intercept
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
+    v = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df)
+    reg = alpha * float(np.std(y)) / len(y)
+    m = LinearRegression(featuresCol="f", labelCol="y", regParam=reg, elasticNetParam=0.0, standardization=False,
+                         solver="normal").fit(v)
+    assert list(m.coefficients) == pytest.approx(list(w), rel=1e-6)
