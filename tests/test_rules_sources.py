@@ -69,3 +69,28 @@ def test_global_risk_bands(spark, rain, sev, dis, band):
     df = spark.createDataFrame([(rain, sev, dis)], "predicted_mm double, severity int, disease_class int")
     r = R.global_risk(df).first()
     assert r["global_risk"] == band
+
+
+def test_score_all_cities_with_a_model(spark):
+    """The model path: serving features from readings -> fitted pipeline -> severity from the model."""
+    import random
+    from agrospark.operators import ml as M
+    from agrospark.plans.features import DROUGHT_FEATURES
+    from agrospark.plans.scoring import score_all_cities
+    rnd = random.Random(3)
+    rows = []
+    for i in range(120):
+        vals = [rnd.uniform(0, 1) for _ in DROUGHT_FEATURES]
+        rows.append(tuple([f"R{i % 4}", dt.date(2020, 1, 1) + dt.timedelta(days=i)] + vals + [i % 3]))
+    schema = "region string, date date, " + ", ".join(f"{c} double" for c in DROUGHT_FEATURES) + ", y int"
+    df = spark.createDataFrame(rows, schema)
+    fm = M.train_model(df, DROUGHT_FEATURES, "y", "drought", numTrees=3, maxDepth=3)
+    readings = spark.createDataFrame(
+        [(1, "Dakar", dt.datetime(2024, 1, 5, 8), 25.0, 60.0, 1010.0, 3.0, 0.0),
+         (2, "Kaolack", dt.datetime(2024, 1, 5, 9), 31.0, 40.0, 1008.0, 4.0, 1.0)],
+        "reading_id long, city string, ts timestamp_ntz, temperature double, humidity double, pressure double, "
+        "wind_speed double, precipitation double")
+    out = {r["city"]: r for r in score_all_cities(readings, {"drought": fm}).collect()}
+    assert set(out) == {"Dakar", "Kaolack"}
+    assert all(out[c]["severity"] in (0, 1, 2) for c in out)            # from the model's classes
+    assert all(out[c]["frequency"] is not None for c in out)
