@@ -315,6 +315,11 @@ def _fmt1(x: Column) -> Column:
     return (F.floor(x * F.lit(10.0) + F.lit(0.5)) / F.lit(10.0)).cast("string")
 
 
+def _fmt_raw(x: Column) -> Column:
+    """The reading as given: integral values without a decimal part (45 -> '45'), others as is."""
+    return F.when(x == F.floor(x), x.cast("long").cast("string")).otherwise(x.cast("string"))
+
+
 def alert_rows(readings: DataFrame, city: str = "city", city_rank: str = "city_rank") -> DataFrame:
     """All alerts of the given readings (norms attached): one row per fired rule, with ranks."""
     t, h, w = F.col("temperature"), F.col("humidity"), F.col("wind_speed")
@@ -324,7 +329,7 @@ def alert_rows(readings: DataFrame, city: str = "city", city_rank: str = "city_r
                  F.concat(F.lit(ALERT_RULES[0][3]), _fmt1(t), F.lit(ALERT_RULES[0][4])).alias("message")),
         F.struct(F.lit(1).alias("rule_rank"), (h < F.col("hum_min") - F.lit(ALERT_HUMIDITY_MARGIN)).alias("fired"),
                  F.lit(ALERT_RULES[1][1]).alias("type"), F.lit(ALERT_RULES[1][2]).alias("level"),
-                 F.concat(F.lit(ALERT_RULES[1][3]), h.cast("string"), F.lit(ALERT_RULES[1][4])).alias("message")),
+                 F.concat(F.lit(ALERT_RULES[1][3]), _fmt_raw(h), F.lit(ALERT_RULES[1][4])).alias("message")),
         F.struct(F.lit(2).alias("rule_rank"), (w > F.lit(ALERT_WIND)).alias("fired"),
                  F.lit(ALERT_RULES[2][1]).alias("type"), F.lit(ALERT_RULES[2][2]).alias("level"),
                  F.concat(F.lit(ALERT_RULES[2][3]), _fmt1(w), F.lit(ALERT_RULES[2][4])).alias("message")))

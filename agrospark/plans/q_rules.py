@@ -303,7 +303,7 @@ al as (select city, city_rank, reading_id, ts, 0 as rule_rank, {q(R.ALERT_RULES[
     concat({q(R.ALERT_RULES[0][3])}, {_fmt1_sql('temperature')}, {q(R.ALERT_RULES[0][4])}) as message
     from cn where temperature > temp_max + {D(3)}
   union all select city, city_rank, reading_id, ts, 1, {q(R.ALERT_RULES[1][1])}, {q(R.ALERT_RULES[1][2])},
-    concat({q(R.ALERT_RULES[1][3])}, cast(humidity as varchar), {q(R.ALERT_RULES[1][4])})
+    concat({q(R.ALERT_RULES[1][3])}, case when humidity = floor(humidity) then cast(cast(humidity as bigint) as varchar) else cast(humidity as varchar) end, {q(R.ALERT_RULES[1][4])})
     from cn where humidity < hum_min - {D(10)}
   union all select city, city_rank, reading_id, ts, 2, {q(R.ALERT_RULES[2][1])}, {q(R.ALERT_RULES[2][2])},
     concat({q(R.ALERT_RULES[2][3])}, {_fmt1_sql('wind_speed')}, {q(R.ALERT_RULES[2][4])})
@@ -321,7 +321,7 @@ al as (select city, reading_id, ts, 0 as rule_rank, {q(R.ALERT_RULES[0][1])} as
     concat({q(R.ALERT_RULES[0][3])}, {_fmt1_sql('temperature')}, {q(R.ALERT_RULES[0][4])}) as message
     from cn where temperature > temp_max + {D(3)}
   union all select city, reading_id, ts, 1, {q(R.ALERT_RULES[1][1])}, {q(R.ALERT_RULES[1][2])},
-    concat({q(R.ALERT_RULES[1][3])}, cast(humidity as varchar), {q(R.ALERT_RULES[1][4])})
+    concat({q(R.ALERT_RULES[1][3])}, case when humidity = floor(humidity) then cast(cast(humidity as bigint) as varchar) else cast(humidity as varchar) end, {q(R.ALERT_RULES[1][4])})
     from cn where humidity < hum_min - {D(10)}
   union all select city, reading_id, ts, 2, {q(R.ALERT_RULES[2][1])}, {q(R.ALERT_RULES[2][2])},
     concat({q(R.ALERT_RULES[2][3])}, {_fmt1_sql('wind_speed')}, {q(R.ALERT_RULES[2][4])})
