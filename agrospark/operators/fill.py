@@ -97,11 +97,52 @@ def ffill_bfill(df: DataFrame, cols: Sequence[str], part="region", order="date",
                            for c in cols})
 
 
-def _series_edges(df: DataFrame, cols, part, order) -> DataFrame:
+def _neighbour_carries_distributed(s: DataFrame, cols, part, block_rows: int) -> DataFrame:
+    """Neighbour carries over the per-series summary without a single-partition window.
+
+    The summary is range-partitioned by the series key (so slices follow series order), slice
+    counts give each row's position, positions are cut into blocks, and the carry across blocks
+    comes from a per-block summary (a window over #blocks rows). Every window is partitioned by
+    block; no task holds the whole summary. Same result as the single-partition window.
+    """
+    n = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = s.repartitionByRange(n, *part).withColumn("_rb", F.spark_partition_id())
+    counts = r.groupBy("_rb").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_rb", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    pos = F.col("_off") + F.row_number().over(Window.partitionBy("_rb").orderBy(*part))
+    d = r.join(offs, "_rb").withColumn("_p", pos).withColumn("_b", F.floor((F.col("_p") - 1) / F.lit(block_rows)))
+    aggs, wins = {}, {}
+    prevb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    nextb = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    for c in cols:
+        lk = F.when(F.col(f"_last_{c}").isNotNull(), F.col("_p"))
+        fk = F.when(F.col(f"_first_{c}").isNotNull(), F.col("_p"))
+        aggs[f"_bl_{c}"] = F.max_by(F.col(f"_last_{c}"), lk)
+        aggs[f"_blp_{c}"] = F.max(lk)
+        aggs[f"_bf_{c}"] = F.min_by(F.col(f"_first_{c}"), fk)
+        aggs[f"_bfp_{c}"] = F.min(fk)
+    bs = d.groupBy("_b").agg(*[v.alias(k) for k, v in aggs.items()])
+    for c in cols:   # over the block summary: #blocks rows
+        wins[f"_cp_{c}"] = F.max_by(f"_bl_{c}", f"_blp_{c}").over(prevb)
+        wins[f"_cn_{c}"] = F.min_by(f"_bf_{c}", f"_bfp_{c}").over(nextb)
+    carry = bs.select("_b", *[v.alias(k) for k, v in wins.items()])
+    j = d.join(carry, "_b", "left")
+    inb = Window.partitionBy("_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    inb_rev = Window.partitionBy("_b").orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sel = [F.col(p) for p in part]
+    for c in cols:
+        sel += [F.coalesce(F.last(f"_last_{c}", True).over(inb), F.col(f"_cp_{c}")).alias(f"_prev_{c}"),
+                F.coalesce(F.last(f"_first_{c}", True).over(inb_rev), F.col(f"_cn_{c}")).alias(f"_next_{c}")]
+    return j.select(*sel)
+
+
+def _series_edges(df: DataFrame, cols, part, order, block_rows: int | None = None) -> DataFrame:
     """One row per series: its first and last non-null value of every column, plus the carries
     from neighbouring series (last non-null of any earlier series, first non-null of any later one).
 
-    The neighbour search is a window over this summary (one row per series), not over the facts.
+    The neighbour search runs over this summary (one row per series), not over the facts: a window
+    over the summary, or with ``block_rows`` (skew-proof mode) a distributed block evaluation.
     """
     # a single order column keeps the aggregation buffers fixed-width (hash aggregation)
     ordk = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
@@ -110,6 +151,10 @@ def _series_edges(df: DataFrame, cols, part, order) -> DataFrame:
         keep = F.when(F.col(c).isNotNull(), ordk)
         aggs += [F.min_by(F.col(c), keep).alias(f"_first_{c}"), F.max_by(F.col(c), keep).alias(f"_last_{c}")]
     s = df.groupBy(*part).agg(*aggs)
+    from agrospark.operators import blocked as B
+    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    if block_rows:
+        return _neighbour_carries_distributed(s, cols, part, block_rows)
     # over the per-series summary only (#series rows), never over the facts
     before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy(*[F.col(p).desc() for p in part]).rowsBetween(Window.unboundedPreceding, -1)
@@ -134,7 +179,7 @@ def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date
     after ``interpolate_linear``), so the in-series legs are no-ops and only the cross-series
     carry is applied: no window pass at all."""
     part, order = _cols(part, order)
-    edges = _series_edges(edges_from if edges_from is not None else df, cols, part, order)
+    edges = _series_edges(edges_from if edges_from is not None else df, cols, part, order, block_rows)
     if series_complete:
         j = df.join(edges, part, "left")
         return j.withColumns({c: F.coalesce(F.col(c), F.col(f"_next_{c}")) for c in cols}).select(*df.columns)
@@ -152,7 +197,7 @@ def fill_table_order(df: DataFrame, cols: Sequence[str], part="region", order="d
     part, order = _cols(part, order)
     if scope == "region":
         return ffill_bfill(df, cols, part, order, block_rows)
-    edges = _series_edges(df, cols, part, order)
+    edges = _series_edges(df, cols, part, order, block_rows)
     d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
     j = d.join(edges, part, "left")
     out = {c: F.coalesce(F.col(c), ff[c], F.col(f"_prev_{c}"), bf[c], F.col(f"_next_{c}")) for c in cols}

@@ -46,7 +46,7 @@ def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None, block_ro
     df = D.interpolate_linear(keyed, num, "region", "date", block_rows=block_rows)
     # interpolation keeps each region's first/last known values: take the edge summary from the
     # keyed frame, so the interpolation windows run once
-    df = D.fallback_fill(df, num, "region", "date", edges_from=keyed, series_complete=True)
+    df = D.fallback_fill(df, num, "region", "date", edges_from=keyed, series_complete=True, block_rows=block_rows)
     df = C.kelvin_to_celsius(df)
     df = C.calendar_parts(df)
     df = C.season4(df)

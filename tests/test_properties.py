@@ -152,3 +152,23 @@ def test_session_block_switch_keeps_feature_frames(spark):
         assert _sorted(drought_label(df).drop("precip_sum_30")) == plain_l
     finally:
         spark.conf.unset("agrospark.window.blockRows")
+
+
+@pytest.mark.parametrize("block_rows", [1, 4, 1000])
+def test_distributed_neighbour_carries(spark, block_rows):
+    """Cross-region carries of the table-order fills, distributed over region blocks, equal the
+    single-window version (many regions, runs of all-null regions, gaps at both table ends)."""
+    rnd = random.Random(9)
+    rows = []
+    for r in range(60):
+        empty = rnd.random() < 0.3
+        for d in range(6):
+            v = None if (empty or rnd.random() < 0.5) else float(rnd.randint(0, 50))
+            rows.append((f"R{r:03d}", dt.date(2022, 5, 1) + dt.timedelta(days=d), v, None if r < 3 else v))
+    df = spark.createDataFrame(rows, "region string, date date, x double, y double")
+    a = _sorted(D.fill_table_order(df, ["x", "y"]))
+    b = _sorted(D.fill_table_order(df, ["x", "y"], block_rows=block_rows))
+    assert a == b
+    a = _sorted(D.fallback_fill(df, ["x", "y"]))
+    b = _sorted(D.fallback_fill(df, ["x", "y"], block_rows=block_rows))
+    assert a == b
