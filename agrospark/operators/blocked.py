@@ -75,6 +75,7 @@ def bounded(df: DataFrame, exprs, part: str = "region", order: str = "date", blo
             back: int = 0, fwd: int = 0, positioned: bool = False) -> DataFrame:
     """Evaluate bounded-frame window columns per block. ``exprs(window)`` returns {name: Column}
     built on the given window spec (partitioned by series and block, ordered by position)."""
+    positioned = positioned or POS in df.columns      # positions computed once upstream are reused
     d = df if positioned else positions(df, part, order)
     # a halo only reaches into the neighbouring block: blocks are at least as long as the frame
     d = with_blocks(d, max(block_rows, back, fwd), back, fwd)
@@ -83,6 +84,11 @@ def bounded(df: DataFrame, exprs, part: str = "region", order: str = "date", blo
     return out if positioned else out.drop(POS)
 
 
+def ensure_positions(df: DataFrame, part: str = "region", order: str = "date") -> DataFrame:
+    """Add ``_pos`` unless present: a chain of blocked operators then shares one position pass."""
+    return df if POS in df.columns else positions(df, part, order)
+
+
 def _block_carry(d: DataFrame, part: str, aggs: dict, windows: dict) -> DataFrame:
     """Per (series, block) summary -> window over the summary -> carries keyed by (series, block)."""
     s = d.groupBy(part, BLK).agg(*[v.alias(k) for k, v in aggs.items()])
@@ -93,7 +99,8 @@ def dry_run(df: DataFrame, col: str = "total_precipitation_sum", threshold: floa
             out: str = "consecutive_dry_days", part: str = "region", order: str = "date",
             block_rows: int = 100000) -> DataFrame:
     """Blocked ``consecutive_dry_days``: position - position of the last wet day (0 if none)."""
-    d = positions(df, part, order)
+    had_pos = POS in df.columns
+    d = ensure_positions(df, part, order)
     d = d.withColumn(BLK, F.floor((F.col(POS) - F.lit(1)) / F.lit(block_rows)))
     dry = F.coalesce(F.col(col) < F.lit(threshold), F.lit(False))
     d = d.withColumn("_dry", dry)
@@ -103,8 +110,9 @@ def dry_run(df: DataFrame, col: str = "total_precipitation_sum", threshold: floa
     run = _bw(part).rowsBetween(Window.unboundedPreceding, 0)
     j = d.join(carry, [part, BLK], "left")
     last_wet = F.coalesce(F.max(wet_pos).over(run), F.col("_carry"), F.lit(0))
-    return j.withColumn(out, F.when(F.col("_dry"), F.col(POS) - last_wet).otherwise(F.lit(0)).cast("int")) \
-        .drop("_dry", "_carry", BLK, POS)
+    res = j.withColumn(out, F.when(F.col("_dry"), F.col(POS) - last_wet).otherwise(F.lit(0)).cast("int")) \
+        .drop("_dry", "_carry", BLK)
+    return res if had_pos else res.drop(POS)
 
 
 def interpolate(df: DataFrame, cols: Sequence[str], part: str = "region", order: str = "date",
@@ -149,7 +157,7 @@ def series_fills(df: DataFrame, cols: Sequence[str], part: str = "region", order
     """Adds ``_ff_<c>`` (last known value at or before the row within its series) and ``_bf_<c>``
     (first known value at or after it), evaluated per block with carries from neighbouring blocks.
     These are the in-series legs of ffill / bfill; table-order fills add the cross-series carry."""
-    d = positions(df, part, order)
+    d = ensure_positions(df, part, order)
     d = d.withColumn(BLK, F.floor((F.col(POS) - F.lit(1)) / F.lit(block_rows)))
     aggs, wins = {}, {}
     prev = Window.partitionBy(part).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)

@@ -66,14 +66,23 @@ def _month_cyc(df: DataFrame) -> DataFrame:
     return df.withColumns({"month_sin": s, "month_cos": c})
 
 
+def _positions(df: DataFrame, block_rows) -> DataFrame:
+    """Skew-proof mode: row positions once per frame, shared by every blocked operator."""
+    from agrospark.operators import blocked as B
+    return B.ensure_positions(df, "region", "date") if (block_rows or B.default_block_rows(df.sparkSession)) \
+        else df
+
+
 def _finish(df: DataFrame, features, fill: str | None = "table", carry=(), block_rows=None) -> DataFrame:
-    out = df.select(*KEYS, *features, *carry)
-    return D.fill_table_order(out, list(features), "region", "date", scope=fill, block_rows=block_rows) \
+    pos = ["_pos"] if "_pos" in df.columns else []
+    out = df.select(*KEYS, *features, *carry, *pos)
+    res = D.fill_table_order(out, list(features), "region", "date", scope=fill, block_rows=block_rows) \
         if fill else out
+    return res.drop(*pos)
 
 
 def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
-    f = C.cyclic_time(panel, day_basis="month")
+    f = C.cyclic_time(_positions(panel, block_rows), day_basis="month")
     f = C.derived_features(f)
     f = G.lags(f, "total_precipitation_sum", (1, 3, 7), "precipitation_lag", block_rows=block_rows)
     f = G.moving_averages(f, {"temp": "temperature_2m", "humidity": "ssm"}, (3, 7, 15), block_rows=block_rows)
@@ -81,7 +90,7 @@ def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows:
 
 
 def drought_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
-    f = _month_cyc(panel)
+    f = _month_cyc(_positions(panel, block_rows))
     f = C.season_flags(f)
     f = H.drought_indices(f)
     f = G.moving_averages(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ndvi": "ndvi",
@@ -108,7 +117,7 @@ def irrigation_base(panel: DataFrame) -> DataFrame:
 
 def irrigation_features(panel: DataFrame, fill: str | None = "table", carry=(),
                         block_rows: int | None = None) -> DataFrame:
-    f = irrigation_base(panel)
+    f = irrigation_base(_positions(panel, block_rows))
     f = f.withColumns({alias: F.col(src) for alias, src in carry})
     f = G.moving_averages(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ssm": "ssm",
                               "et0": "et0"}, IW, block_rows=block_rows)
