@@ -8,6 +8,8 @@ aggregations combine map-side, so a hot region/date key is reduced before it is
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 
 from agrospark.operators import clean as C
@@ -55,6 +57,7 @@ def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None, block_ro
 
 
 _TABLES: dict = {}
+_LOCK = threading.Lock()      # queries run from several threads write a table once
 
 
 def materialize(spark, key: str, build, buckets: int | None = None, name: str = "panel"):
@@ -66,11 +69,16 @@ def materialize(spark, key: str, build, buckets: int | None = None, name: str =
     also cuts lineage: losing an executor later does not replay the ETL. Because the table is
     bucketed by region, windows partitioned by region read it without a shuffle.
     """
-    import hashlib
     import os
+    ident = (spark.sparkContext.applicationId, name, os.path.abspath(key))
+    with _LOCK:
+        return spark.table(_materialize_locked(spark, ident, build, buckets, name))
+
+
+def _materialize_locked(spark, ident, build, buckets, name):
+    import hashlib
 
     from agrospark.session import checkpoint_dir
-    ident = (spark.sparkContext.applicationId, name, os.path.abspath(key))
     table = _TABLES.get(ident)
     if table is None or not spark.catalog.tableExists(table):
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -81,4 +89,4 @@ def materialize(spark, key: str, build, buckets: int | None = None, name: str =
         (df.repartition(buckets, "region").write.mode("overwrite").bucketBy(buckets, "region")
          .sortBy("region", "date").option("path", path).saveAsTable(table))
         _TABLES[ident] = table
-    return spark.table(table)
+    return table
