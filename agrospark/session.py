@@ -42,14 +42,18 @@ def get_spark(cpus: int | str | None = None, app: str = "agrospark", shuffle_par
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private scratch folder created and set.
+    Where the setting is absent, the folder given to ``setCheckpointDir`` counts. With neither, a
+    local master (tests) gets a private folder; on a cluster that is an error, since executors
+    would not see a folder of the driver's machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="agrospark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = "file://" + tempfile.mkdtemp(prefix="agrospark-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
