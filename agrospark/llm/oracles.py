@@ -12,3 +12,46 @@ r AS (
   WINDOW w AS (PARTITION BY text_sha256 ORDER BY cp DESC, doc_id ASC NULLS LAST))
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND cp = keep_cp AS kept, text_sha256 FROM r
 """
+
+SOURCE_MIX = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         (('0x' || md5('20:' || coalesce(doc_id::VARCHAR, '~'))[1:13])::BIGINT + 0.5) / 4503599627370496.0 AS u FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+c AS (SELECT *, source_size * 3.0::DOUBLE AS cap, sum(source_size) OVER ()::DOUBLE AS total FROM s),
+l AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+t AS (
+  SELECT source, source_size,
+         least(cap, coalesce((SELECT min(level) FROM l WHERE level * w <= cap) * w, cap))::DOUBLE AS target FROM l),
+k AS (
+  SELECT d.*, t.source_size, t.target, CASE WHEN source_size > 0 THEN least(3.0, target / source_size) ELSE 0 END AS want
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (
+  SELECT *, floor(want + 1e-9)::BIGINT AS whole, greatest(want - floor(want + 1e-9), 0) AS p FROM k),
+r AS (
+  SELECT *, target - sum(whole * size) OVER (PARTITION BY source) AS need,
+         CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM q),
+x AS (
+  SELECT *, CASE WHEN odds IS NOT NULL THEN sum(size) OVER (PARTITION BY source, odds IS NULL ORDER BY odds, doc_id NULLS LAST
+                                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS upto FROM r)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       CASE WHEN size > 0 THEN size * (whole + CASE WHEN odds IS NOT NULL AND upto - size / 2 <= need THEN 1 ELSE 0 END) ELSE 0 END::BIGINT AS taken
+FROM x
+"""
+
+WARC = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (
+  SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 100 OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN NOT (payload_bytes < 100 OR page_id IS NOT DISTINCT FROM first_id) THEN first_id END AS refers_to,
+       true AS verified FROM f
+"""

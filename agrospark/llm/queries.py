@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from agrospark.llm import oracles as SQL
 from agrospark.llm.exact_dedup import exact_dedup
+from agrospark.llm.mixing import pareto_mix
 from agrospark.llm.registry import register
+from agrospark.llm.warc import archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,3 +28,17 @@ def op1_exact_dedup(spark, sf_dir):
     old = snapshot_rule(docs)
     got = exact_dedup(docs.filter(old), docs.filter(~old))
     return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op2_source_mix", SQL.SOURCE_MIX)
+def op2_source_mix(spark, sf_dir):
+    """All documents mixed to source weights 1, 2, 3 in turn; at most three copies of a document."""
+    got = pareto_mix(table(spark, sf_dir, "documents"), weights=[1, 2, 3])
+    return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@register("op3_warc_archive", SQL.WARC)
+def op3_warc_archive(spark, sf_dir):
+    """Every page as a WARC record in a content-addressed archive, read back."""
+    got = archive(table(spark, sf_dir, "pages"))
+    return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
