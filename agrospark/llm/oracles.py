@@ -55,3 +55,16 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN NOT (payload_bytes < 100 OR page_id IS NOT DISTINCT FROM first_id) THEN first_id END AS refers_to,
        true AS verified FROM f
 """
+
+LINE_DEDUP = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, r, len(lines) AS n_lines, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3),
+m AS (SELECT k.*, g.key IS NOT NULL AND k.doc_id IS DISTINCT FROM g.last AS gone FROM k LEFT JOIN g ON k.key = g.key)
+SELECT any_value(doc_id) AS doc_id, any_value(n_lines)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+"""

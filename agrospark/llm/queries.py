@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from agrospark.llm import oracles as SQL
 from agrospark.llm.exact_dedup import exact_dedup
+from agrospark.llm.line_dedup import line_dedup
 from agrospark.llm.mixing import pareto_mix
 from agrospark.llm.registry import register
+from agrospark.llm.simhash import simhash_dedup
 from agrospark.llm.warc import archive
 
 
@@ -42,3 +44,17 @@ def op3_warc_archive(spark, sf_dir):
     """Every page as a WARC record in a content-addressed archive, read back."""
     got = archive(table(spark, sf_dir, "pages"))
     return got.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+
+
+@register("op6_simhash")
+def op6_simhash(spark, sf_dir):
+    """SimHash components of all documents: shingles of 3 words, links at 2 or fewer bits."""
+    got = simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return got.select(F.col("id").alias("doc_id"), "fingerprint", "component_id", "n_links")
+
+
+@register("op7_line_dedup", SQL.LINE_DEDUP)
+def op7_line_dedup(spark, sf_dir):
+    """All documents without the lines that at least 3 documents hold, but for the largest doc_id's."""
+    got = line_dedup(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+    return got.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
