@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrospark.llm import oracles as SQL
+from agrospark.llm.decontam import contaminated, decontaminate
 from agrospark.llm.exact_dedup import exact_dedup
 from agrospark.llm.line_dedup import line_dedup
 from agrospark.llm.mixing import pareto_mix
@@ -58,3 +59,11 @@ def op7_line_dedup(spark, sf_dir):
     """All documents without the lines that at least 3 documents hold, but for the largest doc_id's."""
     got = line_dedup(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
     return got.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op5_decontaminate", SQL.DECONTAMINATE)
+def op5_decontaminate(spark, sf_dir):
+    """All documents against all benchmark items: windows of 13 words."""
+    rows, _ = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated(rows).alias("contaminated"))
