@@ -69,26 +69,27 @@ def word_spans(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, np.flatnonzero(is_word & (~after | next_cut)) + 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each word's bytes, from running polynomial sums over blocks that end at a word's end."""
-    out = np.zeros(len(starts), _U)
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Per block of words: their slice, running polynomial sums of its bytes, and the words' starts and ends in the block.
+
+    A word's hash is ``(run[end] - run[start]) * _DOWN[start]``. A block holds at most BLOCK bytes; of a longer
+    word its last BLOCK bytes and its length count.
+    """
     i = 0
     while i < len(starts):
         lo = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, lo + BLOCK, "right")))
         hi = ends[j - 1]
-        if hi - lo > BLOCK:                                             # one word longer than a block
-            h = _U(0)
-            with np.errstate(over="ignore"):
-                for at in range(lo, hi, BLOCK):
-                    part = data[at:min(hi, at + BLOCK)].astype(_U) + _U(1)
-                    h = h * _UP[len(part)] + np.sum(part * _UP[:len(part)], dtype=_U)
-            out[i] = h
-        else:
-            run = np.concatenate([[_U(0)], np.cumsum((data[lo:hi].astype(_U) + _U(1)) * _UP[:hi - lo], dtype=_U)])
-            s, e = starts[i:j] - lo, ends[i:j] - lo
-            out[i:j] = (run[e] - run[s]) * _DOWN[s]
+        lo = max(lo, hi - BLOCK)
+        run = np.concatenate([[_U(0)], np.cumsum((data[lo:hi].astype(_U) + _U(1)) * _UP[:hi - lo], dtype=_U)])
+        yield slice(i, j), run, np.maximum(starts[i:j] - lo, 0), ends[i:j] - lo
         i = j
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(starts), _U)
+    for rows, run, s, e in hash_runs(data, starts, ends):
+        out[rows] = (run[e] - run[s]) * _DOWN[s] + (ends[rows] - starts[rows]).astype(_U)
     return _mixed(out)
 
 
@@ -125,6 +126,17 @@ def _columns(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _LOWER[data[offsets[0]:offsets[-1]]] if len(t) else data[:0], offsets - offsets[0]
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about BLOCK bytes of text, so that a task's arrays stay small."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size) // BLOCK
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(size)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def _windows_of(data, offsets, window: int, k: int, short: list[int], screen, whole_only: bool):
     """(text index, first word, words, hash, joined words) of the windows that pass ``screen``, and words per text."""
     starts, ends = word_spans(data, offsets[:-1][offsets[:-1] < len(data)])
@@ -158,24 +170,15 @@ def windows(texts: DataFrame, window: int, k: int, short: list[int], screen, who
     kind = pa.list_(pa.struct([("start", pa.int32()), ("len", pa.int32()), ("h", pa.int64()), ("win", pa.string())]))
     table = (np.frombuffer(screen[0], np.uint8), screen[1]) if screen else None
 
-    def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(size) // BLOCK                                 # about BLOCK bytes of text at a time
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(size)]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for batch in pieces(big):
-                data, offsets = _columns(batch.column("text"))
-                found, n_words = _windows_of(data, offsets, window, k, short, table, whole_only)
-                per = [[] for _ in range(batch.num_rows)]
-                for who, *w in found:
-                    per[who].append(dict(zip(("start", "len", "h", "win"), w)))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("_k1", "_k2", "id")], pa.array(n_words), pa.array(per, kind)],
-                                                 names=["_k1", "_k2", "id", "n_words", "wins"])
+        for batch in by_bytes(batches):
+            data, offsets = _columns(batch.column("text"))
+            found, n_words = _windows_of(data, offsets, window, k, short, table, whole_only)
+            per = [[] for _ in range(batch.num_rows)]
+            for who, *w in found:
+                per[who].append(dict(zip(("start", "len", "h", "win"), w)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("_k1", "_k2", "id")], pa.array(n_words), pa.array(per, kind)],
+                                             names=["_k1", "_k2", "id", "n_words", "wins"])
 
     return texts.mapInArrow(run, f"_k1 long, _k2 long, id {texts.schema['id'].dataType.simpleString()}, n_words long, wins {_WINS}")
 

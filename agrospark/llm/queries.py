@@ -12,6 +12,7 @@ from agrospark.llm.line_dedup import line_dedup
 from agrospark.llm.mixing import pareto_mix
 from agrospark.llm.registry import register
 from agrospark.llm.simhash import simhash_dedup
+from agrospark.llm.toxicity import toxicity
 from agrospark.llm.warc import archive
 
 
@@ -67,3 +68,10 @@ def op5_decontaminate(spark, sf_dir):
     rows, _ = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     return rows.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated(rows).alias("contaminated"))
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of all documents; predicted at a score of 0.3."""
+    got = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+    return got.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
