@@ -88,3 +88,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN c USING (r) LEFT JOIN s USING (r)
 """
+
+URL_FILTERS = r"""
+WITH c AS (
+  SELECT page_id, url,
+         nullif(regexp_replace(regexp_replace(lower(regexp_replace(regexp_extract(url, '^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)', 1), '^.*@', '')),
+                ':[0-9]*$', ''), '[.]$', '') , '') AS host,
+         regexp_extract(url, '^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)', 2) AS path,
+         DATE '2023-01-01' + (('0x' || md5(page_id::VARCHAR)[1:7])::BIGINT % 730)::INT AS day FROM pages),
+k AS (
+  SELECT *, string_split(host, '.') AS labels, string_split(regexp_replace(path, '/+$', ''), '/') AS segs, string_split(path, '/') AS parts FROM c WHERE host IS NOT NULL),
+keys AS (
+  SELECT page_id, day, 'd:' || array_to_string(labels[i:], '.') AS entry FROM (SELECT *, unnest(generate_series(1, len(labels))) AS i FROM k)
+  UNION
+  SELECT page_id, day, 'u:' || host || array_to_string(segs[:i], '/') FROM (SELECT *, unnest(generate_series(1, len(segs))) AS i FROM k)),
+ent AS (
+  SELECT DISTINCT entry FROM keys WHERE entry LIKE 'd:%.%'
+  UNION SELECT DISTINCT 'u:' || host || '/' || parts[2] FROM k WHERE len(parts) > 1),
+x AS (SELECT list, entry, ('0x' || md5(list || ':' || entry)[1:7])::BIGINT AS x FROM ent, (SELECT unnest(['adult', 'allow', 'spam']) AS list)),
+y AS (
+  SELECT list, entry, x, floor((x / 7) % 600)::INT AS b, floor((x / 11) % 200 + 30)::INT AS s FROM x WHERE x % (CASE WHEN list = 'allow' THEN 6 ELSE 3 END) = 0),
+iv AS (
+  SELECT list, entry, DATE '2023-01-01' + b AS f, CASE WHEN x % 5 > 1 THEN DATE '2023-01-01' + (b + s) END AS t FROM y
+  UNION ALL SELECT list, entry, DATE '2023-01-01' + (b + s + 40), NULL FROM y WHERE x % 5 > 3),
+h AS (SELECT page_id, list, keys.entry FROM keys JOIN iv ON keys.entry = iv.entry AND day >= f AND (t IS NULL OR day < t)),
+g AS (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) FILTER (list <> 'allow') AS blocked, string_agg(DISTINCT list, ',' ORDER BY list) FILTER (list = 'allow') AS allowed,
+         count(DISTINCT entry) AS n FROM h GROUP BY page_id)
+SELECT c.page_id, host, day::VARCHAR AS fetch_day, coalesce(blocked, '') AS blocked_by, coalesce(allowed, '') AS allowed_by, coalesce(n, 0)::BIGINT AS n_entries,
+       CASE WHEN allowed IS NOT NULL THEN 'allow' WHEN blocked IS NOT NULL THEN 'block' ELSE 'none' END AS verdict
+FROM c LEFT JOIN g USING (page_id)
+"""

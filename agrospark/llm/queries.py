@@ -10,9 +10,12 @@ from agrospark.llm.decontam import contaminated, decontaminate
 from agrospark.llm.exact_dedup import exact_dedup
 from agrospark.llm.line_dedup import line_dedup
 from agrospark.llm.mixing import pareto_mix
+from agrospark.llm.pii import KINDS, pseudonymise
 from agrospark.llm.registry import register
 from agrospark.llm.simhash import simhash_dedup
+from agrospark.llm.substring_dedup import substring_dedup
 from agrospark.llm.toxicity import toxicity
+from agrospark.llm.url_filters import domain_keys, evaluate, host_of, path_of
 from agrospark.llm.warc import archive
 
 
@@ -75,3 +78,53 @@ def op4_toxicity(spark, sf_dir):
     """Toxicity of all documents; predicted at a score of 0.3."""
     got = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
     return got.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
+def _number(*parts):
+    """28 bits of the MD5 of the joined parts: stands for dates and choices that the tables don't have."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 7), 16, 10).cast("long")
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated list entries derived from the pages' hosts and first path segments: some are added, removed and added again."""
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    section = F.concat(F.lit("u:"), host, F.lit("/"), F.element_at(F.split(path, "/"), 2))
+    entry = F.explode(F.concat(F.filter(domain_keys(host), lambda k: k.contains(".")),
+                               F.when(F.size(F.split(path, "/")) > 1, F.array(section)).otherwise(F.array()))).alias("entry")
+    keys = pages.filter(host.isNotNull()).select(entry).distinct()
+    e = keys.withColumn("list", F.explode(F.array(*[F.lit(x) for x in ("adult", "allow", "spam")])))
+    e = e.withColumn("x", _number("list", "entry")).filter(F.col("x") % F.when(F.col("list") == "allow", 6).otherwise(3) == 0)
+    begin = F.col("x") / 7 % 600
+    stay = F.col("x") / 11 % 200 + 30
+    steps = F.array(F.struct(F.lit("add").alias("action"), F.floor(begin).alias("d")),
+                    F.when(F.col("x") % 5 > 1, F.struct(F.lit("remove").alias("action"), (F.floor(begin) + F.floor(stay)).alias("d"))),
+                    F.when(F.col("x") % 5 > 3, F.struct(F.lit("add").alias("action"), (F.floor(begin) + F.floor(stay) + 40).alias("d"))))
+    return (e.select("list", "entry", F.explode(steps).alias("s")).filter("s is not null")
+            .select("list", "entry", F.date_add(F.lit("2023-01-01").cast("date"), F.col("s.d").cast("int")).alias("day"), F.col("s.action").alias("action")))
+
+
+@register("op8_url_filters", SQL.URL_FILTERS)
+def op8_url_filters(spark, sf_dir):
+    """Every page's capture against dated lists as of its fetch day (a day derived from page_id)."""
+    pages = table(spark, sf_dir, "pages")
+    day = F.date_add(F.lit("2023-01-01").cast("date"), (_number(F.col("page_id").cast("string")) % 730).cast("int"))
+    got = evaluate(pages.withColumn("day", day), list_events(pages), allow=["allow"])
+    return got.select(F.col("id").alias("page_id"), "host", F.col("day").cast("string").alias("fetch_day"), F.array_join("blocked_by", ",").alias("blocked_by"),
+                      F.array_join("allowed_by", ",").alias("allowed_by"), F.size("entries").cast("long").alias("n_entries"), "verdict")
+
+
+@register("op9_substring_dedup")
+def op9_substring_dedup(spark, sf_dir):
+    """All documents without the sentences that a repeated span covers anywhere but at its first place."""
+    got = substring_dedup(table(spark, sf_dir, "documents"))
+    ranges = F.array_join(F.transform("cuts", lambda c: F.concat_ws("-", c["start"], c["stop"])), ",")
+    return got.select(F.col("id").alias("doc_id"), F.coalesce(F.size("cuts"), F.lit(0)).cast("long").alias("n_cuts"), "n_removed",
+                      F.coalesce(ranges, F.lit("")).alias("cuts"), "kept_text")
+
+
+@register("op10_pii_pseudonyms")
+def op10_pii_pseudonyms(spark, sf_dir):
+    """All documents with their numbers, dates and mail addresses replaced by keyed pseudonyms (the key is a demonstration one)."""
+    got = pseudonymise(table(spark, sf_dir, "documents"), key=b"demonstration key")
+    count = lambda k: F.size(F.filter("finds", lambda f: f["kind"] == k)).cast("long").alias(f"n_{k}")
+    return got.select(F.col("id").alias("doc_id"), F.size("finds").cast("long").alias("n_finds"), *[count(k) for k in KINDS], "masked_text")
