@@ -7,9 +7,9 @@ with the snapshot's exact buckets. Groups with more than one row are then checke
 whole normalised texts are compared, combined map-side so that a group of copies shrinks before it
 is shuffled. Texts that no filter or group singles out are never moved.
 
-Defined results: null text counts as empty; a null id ranks after all ids; identical rows (same id
-and text) share one decision, so all of them are flagged as kept or none; an empty table gives an
-empty result; further columns of the input are ignored.
+Defined results: null text counts as empty; a null id ranks after all ids; of rows that tie in code points and
+id, the one with the smallest content key (``row_key`` of ``key_cols``) stays; rows equal in all of
+``key_cols`` share one decision; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrospark.llm.common import lookup, within, written
+from agrospark.llm.common import lookup, row_key, within, written
 
 #: deleted before texts are compared: [\x20\x09-\x0D]
 BLANKS = [" ", "\t", "\n", "\x0b", "\x0c", "\r"]
@@ -107,13 +107,12 @@ def fuse_contains(keys: np.ndarray, seed: int, length: int, count: int, table: b
 
 
 # ------------------------------------------------------------------ snapshot and batch
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=None) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=None, key_cols: list[str] | None = None) -> DataFrame:
     """One narrow row per document: id, code points, digest of the normalised text, and a second
     hash and the length, which together with the digest name a text (``digest`` is replaceable)."""
-    norm = normalised(F.col(text_col))
     digest = digest or (lambda c: F.sha2(c, 256))
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).select(
-        "id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_cp"),
+    return docs.select(*row_key(*(key_cols or [id_col, text_col])), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).select(
+        "id", "_k1", "_k2", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_cp"),
         digest(normalised(F.col("text"))).alias("digest"), F.xxhash64(normalised(F.col("text"))).alias("alt"),
         F.octet_length(normalised(F.col("text"))).cast("long").alias("n_bytes"))
 
@@ -121,7 +120,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def groups(prints: DataFrame) -> DataFrame:
     """Groups of one digest: size and the row that stays (most code points, then smallest id)."""
     best = F.max(F.struct(F.col("n_cp"), F.col("id").isNotNull().alias("known"),
-                          F.bitwise_not(F.col("id")).alias("low")))    # ~id falls as id rises
+                          F.bitwise_not(F.col("id")).alias("low"), "_k1", "_k2"))    # ~id falls as id rises
     return (prints.groupBy(*KEY).agg(F.count("*").alias("n"), best.alias("best"))
             .withColumn("filter_key", F.xxhash64("digest", "alt")))
 
@@ -180,15 +179,15 @@ def byte_check(texts: DataFrame, keys: DataFrame, id_col: str, text_col: str, di
 
 
 def exact_dedup(snapshot_docs: DataFrame, batch_docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                digest=None) -> DataFrame:
-    """One row per document of both sides: ``id, keep_id, group_size, kept, text_sha256, in_snapshot``.
+                digest=None, key_cols: list[str] | None = None) -> DataFrame:
+    """One row per document of both sides: ``id, _k1, _k2, keep_id, group_size, kept, text_sha256, in_snapshot``.
 
     ``snapshot_docs`` is the immutable snapshot, ``batch_docs`` the incoming batch. Digests that the
     snapshot and the batch share, and digests that repeat, are checked on whole texts; should two
     different texts ever share digest, second hash and length, the job stops with an error.
     """
-    old = written(fingerprints(snapshot_docs, id_col, text_col, digest), "snapshot-prints")
-    new = written(fingerprints(batch_docs, id_col, text_col, digest), "batch-prints")
+    old = written(fingerprints(snapshot_docs, id_col, text_col, digest, key_cols), "snapshot-prints")
+    new = written(fingerprints(batch_docs, id_col, text_col, digest, key_cols), "batch-prints")
     exact, filters, buckets = build_snapshot(old)
     own = written(groups(new), "batch-groups")                       # new-batch duplicates on their own
     positive = screen(own, filters, buckets)
@@ -206,6 +205,6 @@ def exact_dedup(snapshot_docs: DataFrame, batch_docs: DataFrame, id_col: str = "
     rows = old.withColumn("in_snapshot", F.lit(True)).unionByName(new.withColumn("in_snapshot", F.lit(False)))
     got = lookup(rows, table, KEY, "n", ["id"])
     keep = F.when(F.col("best.known"), F.bitwise_not(F.col("best.low")))
-    return got.select("id", keep.alias("keep_id"), F.col("n").alias("group_size"),
-                      (F.col("id").eqNullSafe(keep) & (F.col("n_cp") == F.col("best.n_cp"))).alias("kept"),
+    return got.select("id", "_k1", "_k2", keep.alias("keep_id"), F.col("n").alias("group_size"),
+                      ((F.col("_k1") == F.col("best._k1")) & (F.col("_k2") == F.col("best._k2"))).alias("kept"),
                       F.col("digest").alias("text_sha256"), "in_snapshot")

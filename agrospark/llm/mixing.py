@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrospark.llm.common import lookup, written
+from agrospark.llm.common import lookup, row_key, written
 
 #: histogram cells per level; the edge cell of the second level holds about 1/BINS^2 of a source
 BINS = 4096
@@ -71,15 +71,15 @@ def _edge(cells: DataFrame, by: list[str], bin_col: str) -> DataFrame:
 
 def pareto_mix(docs: DataFrame, weights: list[float], max_copies: int = 3, share: float = 1.0, seed: int = 20,
                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight_col: str | None = None) -> DataFrame:
-    """One row per document: ``id, h1, h2, size, source, source_size, target, copies, taken``.
+    """One row per document: ``id, _k1, _k2, size, source, source_size, target, copies, taken``.
 
     ``weight_col`` (positive, null counts as 1) makes wanted copies unequal within a source; they are
     scaled so that their words still add up to the target before the limit of ``max_copies``.
-    ``h1, h2`` are two hashes of (id, text), for a join back to the rows.
+    ``_k1, _k2`` are the content key of (id, text), for a join back to the rows. Of identical rows that the last rank
+    cuts apart, as many extra copies as fit are shared: all of them are taken.
     """
     rel = F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)) if weight_col else F.lit(1.0)
-    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("h1"),
-                       F.xxhash64(F.lit(7), id_col, text_col).alias("h2"), word_count(F.col(text_col)).alias("size"),
+    base = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), word_count(F.col(text_col)).alias("size"),
                        F.col(source_col).cast("string").alias("source"), rel.alias("rel"))
     base = written(base, "mix-sizes")
     totals = base.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size"),
@@ -92,7 +92,7 @@ def pareto_mix(docs: DataFrame, weights: list[float], max_copies: int = 3, share
     p = F.greatest(F.col("want") - F.col("whole"), F.lit(0.0))
     u = uniform(seed, F.col("id"))
     odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    ranked = (lookup(base, per_source, ["source"], "n_docs", ["h1"]).withColumn("want", want).withColumn("whole", whole.cast("long"))
+    ranked = (lookup(base, per_source, ["source"], "n_docs", ["_k1"]).withColumn("want", want).withColumn("whole", whole.cast("long"))
               .withColumn("p", p).withColumn("q", F.when((F.col("p") > 0) & (F.col("size") > 0), odds))
               .withColumn("v", F.col("q") / (1 + F.col("q")) * BINS)
               .withColumn("b1", F.least(F.floor("v"), F.lit(BINS - 1)))
@@ -113,23 +113,23 @@ def pareto_mix(docs: DataFrame, weights: list[float], max_copies: int = 3, share
     # the few rows of the edge cell, one after the other
     last = (inside.drop("need", "e_source").join(e2, key & (F.col("b2") == F.col("e_b2")))
             .withColumn("upto", F.sum("size").over(Window.partitionBy("e_source").orderBy(
-                "q", F.col("id").asc_nulls_last(), "h1", "h2").rowsBetween(Window.unboundedPreceding, 0)))
+                "q", F.col("id").asc_nulls_last(), "_k1", "_k2").rowsBetween(Window.unboundedPreceding, 0)))
             .filter(F.col("upto") - F.col("size") / 2 <= F.col("need"))
-            .groupBy("source", "id", "h1", "h2").agg(F.count("*").alias("edge")))
+            .groupBy("source", "id", "_k1", "_k2").agg(F.count("*").alias("edge")))
     last = written(last, "mix-last")
     bounds = written(need.withColumnRenamed("e_source", "n_source").alias("n").join(
         e1.drop("need").alias("a"), F.expr("n.n_source <=> a.e_source"), "left").join(
         e2.drop("need").alias("b"), F.expr("n.n_source <=> b.e_source"), "left").join(
         per_source.select("source", "n_docs").alias("c"), F.expr("n.n_source <=> c.source"))
         .select("source", "n_docs", "e_b1", "e_b2", F.col("need").alias("left_words")), "mix-bounds")
-    got = lookup(ranked, bounds, ["source"], "n_docs", ["h1"])
+    got = lookup(ranked, bounds, ["source"], "n_docs", ["_k1"])
     before = F.coalesce(F.when(F.col("e_b1").isNull(), F.col("left_words") > 0)   # nothing to cut: all are taken
                         .otherwise((F.col("b1") < F.col("e_b1")) | (F.col("b1") == F.col("e_b1")) & (F.col("b2") < F.col("e_b2"))), F.lit(False))
-    edge = last.select(F.col("id").alias("l_id"), F.col("h1").alias("l_h1"), F.col("h2").alias("l_h2"), "edge")
+    edge = last.select(F.col("id").alias("l_id"), F.col("_k1").alias("l_k1"), F.col("_k2").alias("l_k2"), "edge")
     edge = F.broadcast(edge) if last.count() < 100_000 else edge
-    got = got.join(edge, F.col("id").eqNullSafe(F.col("l_id")) & (F.col("h1") == F.col("l_h1")) & (F.col("h2") == F.col("l_h2")), "left")
+    got = got.join(edge, F.col("id").eqNullSafe(F.col("l_id")) & (F.col("_k1") == F.col("l_k1")) & (F.col("_k2") == F.col("l_k2")), "left")
     extra = F.col("q").isNotNull() & (before | F.col("edge").isNotNull())
     copies = (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("long")
     return (got.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0).cast("long")))
-            .select("id", "h1", "h2", "size", "source", "source_size", "target", "copies",
+            .select("id", "_k1", "_k2", "size", "source", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrospark.llm.common import lookup, written
+from agrospark.llm.common import lookup, row_key, written
 from agrospark.llm.components import components
 
 BITS = 64
@@ -55,13 +55,15 @@ def _votes(h: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``id, fp``: the fingerprint as a signed long (the same 64 bits)."""
+    """``id, _k1, _k2, fp``: the fingerprint as a signed long (the same 64 bits), with the row's content key."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.fromiter((simhash(t, shingle) for t in b["text"]), np.uint64, len(b))
-            yield pd.DataFrame({"id": b["id"], "fp": fp.view(np.int64)})
+            yield b[["id", "_k1", "_k2"]].assign(fp=fp.view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), *row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    got = rows.mapInPandas(run, "id string, _k1 long, _k2 long, fp long")          # ids as text: a null among longs would turn into a float
+    return got.withColumn("id", F.col("id").cast("long"))
 
 
 def segments(max_bits: int, count: int) -> list[tuple[int, int, int]]:
@@ -116,16 +118,18 @@ def near_pairs(fps: DataFrame, max_bits: int = 2, count: int = 2, dense: int | N
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id, fp, fingerprint`` (16 lower-case hex digits), ``component_id`` (smallest id reachable)
-    and ``n_links`` (linked other fingerprints)."""
+    """One row per document: ``id, _k1, _k2, fp, fingerprint`` (16 lower-case hex digits), ``component_id`` (smallest id reachable),
+    ``n_links`` (linked other fingerprints) and ``stays`` (the component's row of smallest id, then content key)."""
     prints = written(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    classes = written(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("first")), "simhash-classes")
+    place = F.struct(F.col("id").isNull().alias("unknown"), "id", "_k1", "_k2")
+    classes = written(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min(place).alias("first")), "simhash-classes")
     pairs = written(near_pairs(classes.select("fp"), max_bits), "simhash-pairs")
     roots = components(pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("n_links"))
     linked = written(classes.join(roots, classes["fp"] == roots["node"], "left").join(degree, "fp", "left")
                      .select("fp", "n", "first", F.coalesce("root", "fp").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "simhash-linked")
-    least = written(linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("w")), "simhash-least")
-    table = written(lookup(linked, least, ["root"], "w", ["fp"]).select("fp", "n", "component_id", "n_links"), "simhash-table")
-    return lookup(prints, table, ["fp"], "n", ["id"]).select(
-        "id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
+    least = written(linked.groupBy("root").agg(F.min("first").alias("head"), F.count("*").alias("w")), "simhash-least")
+    table = written(lookup(linked, least, ["root"], "w", ["fp"]).select("fp", "n", "head", "n_links"), "simhash-table")
+    return lookup(prints, table, ["fp"], "n", ["_k1"]).select(
+        "id", "_k1", "_k2", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("head.id").alias("component_id"), "n_links",
+        ((F.col("_k1") == F.col("head._k1")) & (F.col("_k2") == F.col("head._k2"))).alias("stays"))
