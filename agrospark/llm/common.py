@@ -9,7 +9,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,22 @@ SHARES = 1000
 BROADCAST_ROWS = 1_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_agrospark_shipped", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="agrospark-ship-"), "agrospark_package")   # on the driver; addPyFile copies it to executors
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    with zipfile.ZipFile(f"{base}.zip", "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "agrospark")):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    sc.addPyFile(f"{base}.zip")
+    sc._agrospark_shipped = True
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path for a written table in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

@@ -56,7 +56,9 @@ def targets(sizes: DataFrame, weights: list[float], max_copies: float, share: fl
     level = ((F.sum("source_size").over(every) * share - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
              / F.sum("weight").over(upto.rowsBetween(0, Window.unboundedFollowing)))
     s = s.withColumn("level", level).withColumn("open", F.col("level") * F.col("weight") <= F.col("cap"))
-    s = s.withColumn("level", F.min(F.when(F.col("open"), F.col("level"))).over(every))
+    # the first source, in the order of filling up, that its level does not fill: the level holds for all after it
+    place = F.when(F.col("open"), F.struct(F.col("cap") / F.col("weight"), F.col("source").isNull(), "source"))
+    s = s.withColumn("level", F.min_by(F.when(F.col("open"), F.col("level")), place).over(every))
     return s.select("source", "n_docs", "source_size",
                     F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 

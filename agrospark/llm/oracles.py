@@ -26,7 +26,7 @@ l AS (
             / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
 t AS (
   SELECT source, source_size,
-         least(cap, coalesce((SELECT min(level) FROM l WHERE level * w <= cap) * w, cap))::DOUBLE AS target FROM l),
+         least(cap, coalesce((SELECT level FROM l WHERE level * w <= cap ORDER BY cap / w, source NULLS LAST LIMIT 1) * w, cap))::DOUBLE AS target FROM l),
 k AS (
   SELECT d.*, t.source_size, t.target, CASE WHEN source_size > 0 THEN least(3.0, target / source_size) ELSE 0 END AS want
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),

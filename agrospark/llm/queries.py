@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrospark.llm import oracles as SQL
+from agrospark.llm.common import ship
 from agrospark.llm.decontam import contaminated, decontaminate
 from agrospark.llm.exact_dedup import exact_dedup
 from agrospark.llm.line_dedup import line_dedup
@@ -20,6 +21,7 @@ from agrospark.llm.warc import archive
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
