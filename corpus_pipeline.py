@@ -1,7 +1,7 @@
 """Corpus pipeline: toxicity, exact dedup, SimHash near-dedup, benchmark decontamination, source mix.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps with their own columns (the last one
-adds the mix's). A stage's verdicts are joined back by a content key of the row. Null texts count as empty, empty
+adds the mix's, as ``mix_...`` where a document column has the name). A stage's verdicts are joined back by a content key of the row. Null texts count as empty, empty
 tables pass through, rows that repeat in every column are one document from exact dedup on, and other
 columns than (doc_id, text) only ever travel along.
 """
@@ -25,24 +25,34 @@ WINDOW = 13
 WEIGHTS, MAX_COPIES = [1, 2, 3], 3
 
 
-def _keyed(docs: DataFrame, cols: list[str]) -> DataFrame:
-    return docs.select(*docs.columns, *row_key(*cols))
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def _keyed(docs: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """``docs`` with two key columns at the end, and their names (which no column of ``docs`` has)."""
+    names = ["_k1", "_k2"]
+    while {n.lower() for n in names} & {c.lower() for c in docs.columns}:
+        names = [f"_{n}" for n in names]
+    k1, k2 = row_key(*[F.col(f"`{c}`") for c in cols])
+    return docs.select(*_columns(docs), k1.alias(names[0]), k2.alias(names[1])), names
 
 
 def _without(docs: DataFrame, gone: DataFrame, cols: list[str]) -> DataFrame:
     """``docs`` but for the rows whose content key is in ``gone``."""
-    gone = written(gone.select("_k1", "_k2").distinct(), "stage-gone")
-    return within(_keyed(docs, cols), gone, ["_k1", "_k2"], anti=True).select(*docs.columns)
+    rows, names = _keyed(docs, cols)
+    gone = written(gone.select("_k1", "_k2").distinct().toDF(*names), "stage-gone")
+    return within(rows, gone, names, anti=True).select(*_columns(docs))
 
 
 def _once(docs: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
     """``docs`` with one row per content key; ``keys`` has the key of every row, so nothing moves unless one repeats."""
-    twice = written(keys.groupBy("_k1", "_k2").count().filter("count > 1").select("_k1", "_k2"), "stage-twice")
+    rows, names = _keyed(docs, cols)
+    twice = written(keys.groupBy("_k1", "_k2").count().filter("count > 1").select("_k1", "_k2").toDF(*names), "stage-twice")
     if not twice.limit(1).count():
         return docs
-    keyed = _keyed(docs, cols)
-    single = within(keyed, twice, ["_k1", "_k2"], anti=True)
-    return single.unionByName(within(keyed, twice, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])).select(*docs.columns)
+    single = within(rows, twice, names, anti=True)
+    return single.unionByName(within(rows, twice, names).dropDuplicates(names)).select(*_columns(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,13 +84,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every taken document once, with ``copies`` (how often it is taken), ``size``, ``source_size``, ``target``
     and ``taken`` (words). Rows that share doc_id and text become one row with their copies added up."""
     got = written(pareto_mix(docs, weights=WEIGHTS, max_copies=MAX_COPIES), "stage-mix")
-    taken = written(got.groupBy("_k1", "_k2").agg(*[F.max(c).alias(f"_mix_{c}") for c in ("size", "source_size", "target")],
-                                                  *[F.sum(c).alias(f"_mix_{c}") for c in ("copies", "taken")]).filter("_mix_copies > 0"), "stage-taken")
-    rows = _keyed(_once(docs, got, ["doc_id", "text"]), ["doc_id", "text"])
+    mix = ["size", "source_size", "target", "copies", "taken"]
+    rows, names = _keyed(_once(docs, got, ["doc_id", "text"]), ["doc_id", "text"])
+    taken = got.groupBy("_k1", "_k2").agg(*[F.max(c).alias(c) for c in mix[:3]], *[F.sum(c).alias(c) for c in mix[3:]]).filter("copies > 0")
+    used = {c.lower() for c in docs.columns}
+    taken = written(taken.toDF(*names, *[f"mix_{c}" if c in used else c for c in mix]), "stage-taken")
     few = taken.count() <= BROADCAST_ROWS
-    out = rows.join(F.broadcast(taken) if few else taken, ["_k1", "_k2"])
-    extra = ["size", "source_size", "target", "copies", "taken"]
-    return out.select(*docs.columns, *[F.col(f"_mix_{c}").alias(c) for c in extra if c not in docs.columns])
+    return rows.join(F.broadcast(taken) if few else taken, names).drop(*names)
 
 
 STAGES = [
