@@ -27,6 +27,16 @@ from pyspark.sql import types as T
 POS, BLK, HALO = "_pos", "_blk", "_halo"
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``on`` where null equals null: series without a name and rows without a date stay."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        eq = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = eq if cond is None else cond & eq
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
 def _bucket(df: DataFrame, order: str, span_days: int) -> Column:
     dt = df.schema[order].dataType
     if isinstance(dt, T.DateType):
@@ -44,7 +54,7 @@ def positions(df: DataFrame, part: str = "region", order: str = "date", span_day
     counts = b.groupBy(part, "_cb").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(part).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(part, "_cb", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    j = b.join(offsets, [part, "_cb"])
+    j = join_null_safe(b, offsets, [part, "_cb"], "inner")
     local = F.row_number().over(Window.partitionBy(part, "_cb").orderBy(order))
     return j.withColumn(POS, F.col("_off") + local).drop("_off", "_cb")
 
@@ -108,7 +118,7 @@ def dry_run(df: DataFrame, col: str = "total_precipitation_sum", threshold: floa
     prev = Window.partitionBy(part).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     carry = _block_carry(d, part, {"_lw": F.max(wet_pos)}, {"_carry": F.max("_lw").over(prev)})
     run = _bw(part).rowsBetween(Window.unboundedPreceding, 0)
-    j = d.join(carry, [part, BLK], "left")
+    j = join_null_safe(d, carry, [part, BLK])
     last_wet = F.coalesce(F.max(wet_pos).over(run), F.col("_carry"), F.lit(0))
     res = j.withColumn(out, F.when(F.col("_dry"), F.col(POS) - last_wet).otherwise(F.lit(0)).cast("int")) \
         .drop("_dry", "_carry", BLK)
@@ -135,7 +145,7 @@ def interpolate(df: DataFrame, cols: Sequence[str], part: str = "region", order:
         wins[f"_cnp_{c}"] = F.min(f"_fp_{c}").over(nxt)
         wins[f"_cnv_{c}"] = F.min_by(f"_fv_{c}", f"_fp_{c}").over(nxt)
     carry = _block_carry(d, part, aggs, wins)
-    j = d.join(carry, [part, BLK], "left")
+    j = join_null_safe(d, carry, [part, BLK])
     back = _bw(part).rowsBetween(Window.unboundedPreceding, 0)
     fwd = Window.partitionBy(part, BLK).orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
     pos = F.col(POS)
@@ -171,7 +181,7 @@ def series_fills(df: DataFrame, cols: Sequence[str], part: str = "region", order
         wins[f"_cpv_{c}"] = F.max_by(f"_lv_{c}", f"_lp_{c}").over(prev)
         wins[f"_cnv_{c}"] = F.min_by(f"_fv_{c}", f"_fp_{c}").over(nxt)
     carry = _block_carry(d, part, aggs, wins)
-    j = d.join(carry, [part, BLK], "left")
+    j = join_null_safe(d, carry, [part, BLK])
     back = _bw(part).rowsBetween(Window.unboundedPreceding, 0)
     fwd = Window.partitionBy(part, BLK).orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
     out = {}
@@ -181,8 +191,28 @@ def series_fills(df: DataFrame, cols: Sequence[str], part: str = "region", order
     return j.withColumns(out).select(*df.columns, *out.keys())
 
 
-def default_block_rows(spark) -> int | None:
-    """Cluster-wide switch: ``spark.conf.set("agrospark.window.blockRows", "1000000")`` makes every
-    per-series window operator use the blocked evaluation (unset: one window partition per series)."""
-    v = spark.conf.get("agrospark.window.blockRows", None)
-    return int(v) if v else None
+#: rows of the largest series from which per-series windows give way to blocks, and the rows of a block
+HOT_SERIES_ROWS, BLOCK_ROWS = 2_000_000, 1_000_000
+_CHOICE: dict = {}
+
+
+def resolve(df: DataFrame, block_rows: int | None, part="region") -> int:
+    """Rows per block, 0 for one window group per series. Both give the same result.
+
+    An explicit ``block_rows`` holds; else the session's ``agrospark.window.blockRows``; else the largest series is
+    measured (one map-side combined count of the key column per plan and session): from HOT_SERIES_ROWS
+    rows on, windows are evaluated in blocks, so that a hot series is spread over many tasks.
+    """
+    if block_rows is not None:
+        return block_rows
+    conf = df.sparkSession.conf.get("agrospark.window.blockRows", None)
+    if conf:
+        return int(conf)
+    if df.isStreaming:
+        return 0
+    part = [part] if isinstance(part, str) else list(part)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), *part)
+    if key not in _CHOICE:
+        largest = df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0
+        _CHOICE[key] = BLOCK_ROWS if largest >= HOT_SERIES_ROWS else 0
+    return _CHOICE[key]

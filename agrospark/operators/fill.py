@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agrospark.operators import blocked as B
+
 
 def _cols(part, order):
     part = [part] if isinstance(part, str) else list(part)
@@ -46,12 +48,10 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], part="region", order=
     leading gaps take the first value, trailing gaps the last; an all-null series stays null.
     ``block_rows``: evaluate per row block with carried neighbours (see ``operators.blocked``).
     """
-    from agrospark.operators import blocked as B
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
-    if block_rows:
-        p, o = _cols(part, order)
-        return B.interpolate(df, cols, p[0], o[0], block_rows)
     part, order = _cols(part, order)
+    block_rows = B.resolve(df, block_rows, part)
+    if block_rows:
+        return B.interpolate(df, cols, part[0], order[0], block_rows)
     w = _w(part, order)
     back = _running(part, order)
     fwd = _running_reversed(part, order)
@@ -72,8 +72,6 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], part="region", order=
 
 def _legs(df, cols, part, order, block_rows):
     """In-series ffill / bfill legs per column: window expressions, or blocked columns."""
-    from agrospark.operators import blocked as B
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
     if block_rows:
         d = B.series_fills(df, cols, part[0], order[0], block_rows)
         return d, {c: F.col(f"_ff_{c}") for c in cols}, {c: F.col(f"_bf_{c}") for c in cols}, \
@@ -87,8 +85,8 @@ def ffill_bfill(df: DataFrame, cols: Sequence[str], part="region", order="date",
                 block_rows: int | None = None) -> DataFrame:
     """Per-series forward fill, then per-series backward fill."""
     part, order = _cols(part, order)
-    from agrospark.operators import blocked as B
-    if block_rows or B.default_block_rows(df.sparkSession):
+    block_rows = B.resolve(df, block_rows, part)
+    if block_rows:
         d, ff, bf, helpers = _legs(df, cols, part, order, block_rows)
         return d.withColumns({c: F.coalesce(F.col(c), ff[c], bf[c]) for c in cols}).drop(*helpers)
     back = _running(part, order)
@@ -97,39 +95,39 @@ def ffill_bfill(df: DataFrame, cols: Sequence[str], part="region", order="date",
                            for c in cols})
 
 
+def _split_points(s: DataFrame, part, count: int) -> list:
+    """At most ``count`` series keys, sorted: those with the smallest hashes (a top-k, so a fair sample of any size)."""
+    rows = s.select(*part).orderBy(F.xxhash64(*part), *part).limit(count).collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: tuple((v is not None, v) if v is not None else (False,) for v in r))
+
+
 def _neighbour_carries_distributed(s: DataFrame, cols, part, block_rows: int) -> DataFrame:
     """Neighbour carries over the per-series summary without a single-partition window.
 
-    The summary is range-partitioned by the series key (so slices follow series order), slice
-    counts give each row's position, positions are cut into blocks, and the carry across blocks
-    comes from a per-block summary (a window over #blocks rows). Every window is partitioned by
-    block; no task holds the whole summary. Same result as the single-partition window.
+    The summary is cut into slices of consecutive series keys at literal split points, so a row's slice is a function of its
+    key alone, however often and wherever it is computed. Windows run inside slices; the carry across slices
+    comes from a per-slice summary (a window over at most as many rows as there are slices). Same result as
+    the single-partition window.
     """
-    n = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = s.repartitionByRange(n, *part).withColumn("_rb", F.spark_partition_id())
-    counts = r.groupBy("_rb").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_rb", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = F.col("_off") + F.row_number().over(Window.partitionBy("_rb").orderBy(*part))
-    d = r.join(offs, "_rb").withColumn("_p", pos).withColumn("_b", F.floor((F.col("_p") - 1) / F.lit(block_rows)))
+    slices = int(min(512, max(16, 2 * s.count() // block_rows)))
+    key = F.struct(*[F.col(p).alias(p) for p in part])
+    kinds = [s.schema[p].dataType for p in part]
+    points = _split_points(s, part, slices)
+    splits = F.array(*[F.struct(*[F.lit(v).cast(k).alias(p) for v, k, p in zip(r, kinds, part)]) for r in points])
+    d = s.withColumn("_b", F.size(F.filter(splits, lambda x: x <= key)) if points else F.lit(0))
     aggs, wins = {}, {}
     prevb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     nextb = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     for c in cols:
-        lk = F.when(F.col(f"_last_{c}").isNotNull(), F.col("_p"))
-        fk = F.when(F.col(f"_first_{c}").isNotNull(), F.col("_p"))
-        aggs[f"_bl_{c}"] = F.max_by(F.col(f"_last_{c}"), lk)
-        aggs[f"_blp_{c}"] = F.max(lk)
-        aggs[f"_bf_{c}"] = F.min_by(F.col(f"_first_{c}"), fk)
-        aggs[f"_bfp_{c}"] = F.min(fk)
+        aggs[f"_bl_{c}"] = F.max_by(F.col(f"_last_{c}"), F.when(F.col(f"_last_{c}").isNotNull(), key))
+        aggs[f"_bf_{c}"] = F.min_by(F.col(f"_first_{c}"), F.when(F.col(f"_first_{c}").isNotNull(), key))
+        wins[f"_cp_{c}"] = F.last(f"_bl_{c}", True).over(prevb)
+        wins[f"_cn_{c}"] = F.last(f"_bf_{c}", True).over(nextb)
     bs = d.groupBy("_b").agg(*[v.alias(k) for k, v in aggs.items()])
-    for c in cols:   # over the block summary: #blocks rows
-        wins[f"_cp_{c}"] = F.max_by(f"_bl_{c}", f"_blp_{c}").over(prevb)
-        wins[f"_cn_{c}"] = F.min_by(f"_bf_{c}", f"_bfp_{c}").over(nextb)
-    carry = bs.select("_b", *[v.alias(k) for k, v in wins.items()])
-    j = d.join(carry, "_b", "left")
-    inb = Window.partitionBy("_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    inb_rev = Window.partitionBy("_b").orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = bs.select("_b", *[v.alias(k) for k, v in wins.items()])         # one row per slice
+    j = d.join(F.broadcast(carry), "_b", "left")
+    inb = Window.partitionBy("_b").orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    inb_rev = Window.partitionBy("_b").orderBy(*[F.col(p).desc() for p in part]).rowsBetween(Window.unboundedPreceding, -1)
     sel = [F.col(p) for p in part]
     for c in cols:
         sel += [F.coalesce(F.last(f"_last_{c}", True).over(inb), F.col(f"_cp_{c}")).alias(f"_prev_{c}"),
@@ -151,8 +149,6 @@ def _series_edges(df: DataFrame, cols, part, order, block_rows: int | None = Non
         keep = F.when(F.col(c).isNotNull(), ordk)
         aggs += [F.min_by(F.col(c), keep).alias(f"_first_{c}"), F.max_by(F.col(c), keep).alias(f"_last_{c}")]
     s = df.groupBy(*part).agg(*aggs)
-    from agrospark.operators import blocked as B
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
     if block_rows:
         return _neighbour_carries_distributed(s, cols, part, block_rows)
     # over the per-series summary only (#series rows), never over the facts
@@ -179,12 +175,13 @@ def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date
     after ``interpolate_linear``), so the in-series legs are no-ops and only the cross-series
     carry is applied: no window pass at all."""
     part, order = _cols(part, order)
+    block_rows = B.resolve(df, block_rows, part)
     edges = _series_edges(edges_from if edges_from is not None else df, cols, part, order, block_rows)
     if series_complete:
-        j = df.join(edges, part, "left")
+        j = B.join_null_safe(df, edges, part)
         return j.withColumns({c: F.coalesce(F.col(c), F.col(f"_next_{c}")) for c in cols}).select(*df.columns)
     d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
-    j = d.join(edges, part, "left")
+    j = B.join_null_safe(d, edges, part)
     out = {c: F.coalesce(F.col(c), ff[c], bf[c], F.col(f"_next_{c}")) for c in cols}
     return j.withColumns(out).select(*df.columns)
 
@@ -195,11 +192,12 @@ def fill_table_order(df: DataFrame, cols: Sequence[str], part="region", order="d
     behaviour: warm-up rows of a series take the last value of the previous series), or
     per-series only (``scope='region'``)."""
     part, order = _cols(part, order)
+    block_rows = B.resolve(df, block_rows, part)
     if scope == "region":
         return ffill_bfill(df, cols, part, order, block_rows)
     edges = _series_edges(df, cols, part, order, block_rows)
     d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
-    j = d.join(edges, part, "left")
+    j = B.join_null_safe(d, edges, part)
     out = {c: F.coalesce(F.col(c), ff[c], F.col(f"_prev_{c}"), bf[c], F.col(f"_next_{c}")) for c in cols}
     return j.withColumns(out).select(*df.columns)
 

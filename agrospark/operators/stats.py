@@ -3,20 +3,27 @@
 A global statistic is a one-row DataFrame: broadcasting it is size-safe by construction, and all
 moments of all columns come from a single aggregation pass.
 
-Quantiles: ``method="rank"`` (default) is exact and distributed. Values are range-partitioned
-(with a content-hash tie-breaker, so even one value repeated over a third of the rows is spread
-over many tasks, deterministically under task retries), each task ranks its slice, per-slice counts give global offsets, and only the two order
-statistics around each requested position are kept. ``method="agg"`` uses Spark's exact
-``percentile`` aggregate (simple, but its final merge holds every distinct value in one task);
-``method="approx"`` uses ``percentile_approx`` (bounded memory, approximate).
+Quantiles: ``method="rank"`` (default) is exact. Each order statistic is bracketed by two approximate
+quantiles, the rows below the bracket are counted exactly, the counts show whether it holds the wanted ranks (else it
+is widened), and a bracket with too many distinct values is bracketed again. Only the distinct values of
+the final bracket, with their counts, are sorted: at most ``limit`` rows per quantile. Nothing is shuffled but
+sketches, counts and those few rows, and nothing depends on how rows fall into partitions. The value columns are
+written once to the shared checkpoint folder, so the input is evaluated once.
+``method="agg"`` uses Spark's exact ``percentile`` aggregate (simple, but its final merge holds every distinct
+value in one task); ``method="approx"`` uses ``percentile_approx`` (bounded memory, approximate).
 All use linear interpolation between order statistics (pandas' default).
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agrospark.session import cut_lineage
+
 
 def index_stats(df: DataFrame, cols) -> DataFrame:
     """One row: mean, sample std and max of every column."""
@@ -31,56 +38,89 @@ def qname(col: str, q: float) -> str:
 
 
 def threshold_quantiles(df: DataFrame, spec: dict[str, list[float]], method: str = "rank",
-                        slices: int | None = None, accuracy: int = 100000, tie_cols=None) -> DataFrame:
-    """One row with a column ``{col}_q{pp}`` per requested quantile (nulls skipped).
-    ``tie_cols``: columns identifying a row (e.g. the series key and date); they feed the
-    tie-breaker of the rank method, so only they and the value columns are read (default: all)."""
+                        accuracy: int = 100000) -> DataFrame:
+    """One row with a column ``{col}_q{pp}`` per requested quantile (nulls and NaN skipped)."""
     if method == "agg":
         return df.agg(*[F.expr(f"percentile(`{c}`, {q})").alias(qname(c, q)) for c, qs in spec.items() for q in qs])
     if method == "approx":
         return df.agg(*[F.percentile_approx(c, q, accuracy).alias(qname(c, q)) for c, qs in spec.items() for q in qs])
-    return _rank_quantiles(df, spec, slices, tie_cols)
-
-
-def _rank_quantiles(df: DataFrame, spec: dict[str, list[float]], slices: int | None, tie_cols=None) -> DataFrame:
+    return exact_quantiles(df, spec)
+
+
+@dataclass
+class _Rank:
+    """One wanted quantile: ranks ``lo`` and ``hi`` (0-based) lie in [a, b], which has ``below`` smaller values."""
+
+    col: str
+    q: float
+    n: int = 0
+    a: float = float("-inf")
+    b: float = float("inf")
+    below: int = 0
+    inside: int = 0
+    slack: float = 0.0
+    open: bool = True
+
+    @property
+    def pos(self) -> float:
+        return self.q * (self.n - 1)
+
+    @property
+    def lo(self) -> int:
+        return math.floor(self.pos)
+
+    @property
+    def hi(self) -> int:
+        return math.ceil(self.pos)
+
+
+def _narrow_brackets(data: DataFrame, ranks: list[_Rank], limit: int, accuracy: int) -> None:
+    """One round: approximate quantiles inside each open bracket, then exact counts around them."""
+    todo = [r for r in ranks if r.open]
+    inside = lambda r: F.when(F.col(r.col).between(r.a, r.b), F.col(r.col))
+    share = lambda r, rank: min(1.0, max(0.0, (rank - r.below) / r.inside))
+    found = data.agg(*[F.percentile_approx(inside(r), F.array(F.lit(max(0.0, share(r, r.lo) - r.slack)), F.lit(min(1.0, share(r, r.hi + 1) + r.slack))),
+                                           accuracy).alias(f"e{i}") for i, r in enumerate(todo)]).first()
+    edges = [found[f"e{i}"] for i in range(len(todo))]
+    counts = data.agg(*[x for i, (r, (a, b)) in enumerate(zip(todo, edges)) for x in (
+        F.count(F.when(F.col(r.col) < a, 1)).alias(f"below{i}"), F.count(F.when(F.col(r.col).between(a, b), 1)).alias(f"in{i}"),
+        F.approx_count_distinct(F.when(F.col(r.col).between(a, b), F.col(r.col))).alias(f"kinds{i}"))]).first()
+    for i, (r, (a, b)) in enumerate(zip(todo, edges)):
+        below, rows = counts[f"below{i}"], counts[f"in{i}"]
+        if not (below <= r.lo and r.hi < below + rows):
+            r.slack *= 4                                     # the sketch missed the ranks: a wider bracket
+            continue
+        shrunk = rows < r.inside
+        r.a, r.b, r.below, r.inside = a, b, below, rows
+        r.open = counts[f"kinds{i}"] > limit and shrunk
+
+
+def exact_quantiles(df: DataFrame, spec: dict[str, list[float]], limit: int = 100_000, accuracy: int = 10_000) -> DataFrame:
     spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(spec)
-    # tie-breaker: a hash of the whole input row. Equal values are interchangeable for a quantile,
-    # so any split of ties is fine, but it must be a function of the data: a recomputed task (lost
-    # executor) must send every row to the same slice again, or slice counts and ranks disagree.
-    tie = F.xxhash64(*[F.col(c) for c in (tie_cols or df.columns)])
-    long = df.select(tie.alias("_t"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])).alias("e")) \
-        .select("e.k", "e.v", "_t").filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranged = long.repartitionByRange(slices, "k", "v", "_t").withColumn("_s", F.spark_partition_id())
-    counts = ranged.groupBy("k", "_s").agg(F.count(F.lit(1)).alias("_c"))
-    wk = Window.partitionBy("k").orderBy("_s")
-    offsets = counts.select(
-        "k", "_s",
-        F.coalesce(F.sum("_c").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_c").over(Window.partitionBy("k")).alias("_n"))
-    ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_s", "k").orderBy("v", "_t")) - 1)
-    ranked = ranked.join(offsets, ["k", "_s"]).withColumn("_g", F.col("_r") + F.col("_off"))
-    # wanted positions per column: floor and ceil of q*(n-1)
-    wants = []
-    for c, qs in spec.items():
-        for q in qs:
-            pos = F.lit(float(q)) * (F.col("_n") - F.lit(1)).cast("double")
-            wants.append(F.struct(F.lit(c).alias("k"), F.lit(qname(c, q)).alias("name"), pos.alias("pos")))
-    need = offsets.select("k", "_n").distinct().select(F.explode(F.array(*wants)).alias("w"), "k") \
-        .filter(F.col("w.k") == F.col("k")).select("k", "w.name", "w.pos",
-                                                   F.floor("w.pos").alias("_lo"), F.ceil("w.pos").alias("_hi"))
-    # at most two order statistics per requested quantile: a spec-bounded set, safe to broadcast
-    gpos = need.select("k", F.explode(F.array("_lo", "_hi")).alias("_g")).distinct()
-    picked = ranked.join(F.broadcast(gpos), ["k", "_g"]).select("k", "_g", "v")
-    m = need.join(picked, "k").groupBy("name", "pos", "_lo").agg(
-        F.max(F.when(F.col("_g") == F.col("_lo"), F.col("v"))).alias("_vlo"),
-        F.max(F.when(F.col("_g") == F.col("_hi"), F.col("v"))).alias("_vhi"))
-    val = F.col("_vlo") + (F.col("pos") - F.col("_lo").cast("double")) * (F.col("_vhi") - F.col("_vlo"))
-    one = m.select("name", val.alias("q")).groupBy().pivot("name", [qname(c, q) for c, qs in spec.items()
-                                                                    for q in qs]).agg(F.first("q"))
-    return one
+    value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    data = cut_lineage(df.select(*[value(c).alias(c) for c in spec]))
+    n = data.agg(*[F.count(c).alias(c) for c in spec]).first()
+    ranks = [_Rank(c, q, n[c], inside=n[c], slack=2 / accuracy) for c, qs in spec.items() for q in qs]
+    some = [r for r in ranks if r.n]
+    while any(r.open for r in some):
+        _narrow_brackets(data, some, limit, accuracy)
+    got = {}
+    if some:
+        # distinct values of the brackets with their counts; ranks by a running sum over them
+        hits = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.col(r.col).alias("v"), F.col(r.col).between(r.a, r.b).alias("ok"))
+                                  for i, r in enumerate(some)]), lambda x: x["ok"])
+        cells = data.select(F.explode(hits).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("c"))
+        upto = F.sum("c").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        wanted = F.create_map(*[x for i, r in enumerate(some) for x in (F.lit(i), F.struct(F.lit(r.lo - r.below).alias("lo"), F.lit(r.hi - r.below).alias("hi")))])[F.col("i")]
+        ranked = cells.withColumn("to", upto).withColumn("from", F.col("to") - F.col("c")).withColumn("w", wanted)
+        holds = lambda k: (F.col("from") <= F.col(f"w.{k}")) & (F.col(f"w.{k}") < F.col("to"))
+        rows = ranked.filter(holds("lo") | holds("hi")).select("i", "v", holds("lo").alias("lo"), holds("hi").alias("hi")).collect()  # two per quantile
+        for i, r in enumerate(some):
+            vlo = next(x["v"] for x in rows if x["i"] == i and x["lo"])
+            vhi = next(x["v"] for x in rows if x["i"] == i and x["hi"])
+            got[qname(r.col, r.q)] = vlo + (r.pos - r.lo) * (vhi - vlo)
+    names = [qname(r.col, r.q) for r in ranks]
+    return spark.createDataFrame([tuple(got.get(x) for x in names)], ", ".join(f"`{x}` double" for x in names))
 
 
 def with_stats(df: DataFrame, stats_row: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def lags(df: DataFrame, col: str = "total_precipitation_sum", ks: Sequence[int]
          prefix: str = "precipitation_lag", part="region", order="date", block_rows: int | None = None) -> DataFrame:
     def exprs(w):
         return {f"{prefix}_{k}": F.lag(col, k).over(w) for k in ks}
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    block_rows = B.resolve(df, block_rows, part)
     if block_rows:
         return B.bounded(df, exprs, part, order, block_rows, back=max(ks))
     return df.withColumns(exprs(_w(part, order)))
@@ -37,7 +37,7 @@ def rain_target(df: DataFrame, col: str = "total_precipitation_sum", out: str =
     """Next day's value within the series; the last day of a series gets 0."""
     def exprs(w):
         return {out: F.coalesce(F.lead(col, 1).over(w), F.lit(0.0))}
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    block_rows = B.resolve(df, block_rows, part)
     if block_rows:
         return B.bounded(df, exprs, part, order, block_rows, fwd=1)
     return df.withColumns(exprs(_w(part, order)))
@@ -49,7 +49,7 @@ def moving_averages(df: DataFrame, spec: dict[str, str], windows: Sequence[int]
     ``block_rows``: evaluate per row block with a halo (skew-proof, see ``operators.blocked``)."""
     def exprs(w):
         return {f"{p}_ma_{n}": strict_avg(F.col(c), w, n) for n in windows for p, c in spec.items()}
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    block_rows = B.resolve(df, block_rows, part)
     if block_rows:
         return B.bounded(df, exprs, part, order, block_rows, back=max(windows) - 1)
     return df.withColumns(exprs(_w(part, order)))
@@ -65,7 +65,7 @@ def rolling_sums(df: DataFrame, col: str = "total_precipitation_sum", periods: S
                  prefix: str = "precip_cumul", part="region", order="date", block_rows: int | None = None) -> DataFrame:
     def exprs(w):
         return {f"{prefix}_{n}": strict_sum(F.col(col), w, n) for n in periods}
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    block_rows = B.resolve(df, block_rows, part)
     if block_rows:
         return B.bounded(df, exprs, part, order, block_rows, back=max(periods) - 1)
     return df.withColumns(exprs(_w(part, order)))
@@ -76,7 +76,7 @@ def consecutive_dry_days(df: DataFrame, col: str = "total_precipitation_sum", th
                          block_rows: int | None = None) -> DataFrame:
     """Length of the current dry run (value < threshold; null counts as wet): 1, 2, 3... inside a
     run, 0 on wet days. Single pass: position - position of the last wet day (0 if none yet)."""
-    block_rows = block_rows or B.default_block_rows(df.sparkSession)
+    block_rows = B.resolve(df, block_rows, part)
     if block_rows:
         return B.dry_run(df, col, threshold, out, part, order, block_rows)
     w = _w(part, order)

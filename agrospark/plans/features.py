@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from agrospark.dims import CROPS
 from agrospark.functions.calendar import cyclic
+from agrospark.operators import blocked as B
 from agrospark.operators import clean as C
 from agrospark.operators import fill as D
 from agrospark.operators import indices as H
@@ -66,11 +67,9 @@ def _month_cyc(df: DataFrame) -> DataFrame:
     return df.withColumns({"month_sin": s, "month_cos": c})
 
 
-def _positions(df: DataFrame, block_rows) -> DataFrame:
-    """Skew-proof mode: row positions once per frame, shared by every blocked operator."""
-    from agrospark.operators import blocked as B
-    return B.ensure_positions(df, "region", "date") if (block_rows or B.default_block_rows(df.sparkSession)) \
-        else df
+def _positions(df: DataFrame, block_rows: int) -> DataFrame:
+    """Blocked evaluation: row positions once per frame, shared by every operator."""
+    return B.ensure_positions(df, "region", "date") if block_rows else df
 
 
 def _finish(df: DataFrame, features, fill: str | None = "table", carry=(), block_rows=None) -> DataFrame:
@@ -82,6 +81,7 @@ def _finish(df: DataFrame, features, fill: str | None = "table", carry=(), block
 
 
 def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
+    block_rows = B.resolve(panel, block_rows)
     f = C.cyclic_time(_positions(panel, block_rows), day_basis="month")
     f = C.derived_features(f)
     f = G.lags(f, "total_precipitation_sum", (1, 3, 7), "precipitation_lag", block_rows=block_rows)
@@ -90,6 +90,7 @@ def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows:
 
 
 def drought_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
+    block_rows = B.resolve(panel, block_rows)
     f = _month_cyc(_positions(panel, block_rows))
     f = C.season_flags(f)
     f = H.drought_indices(f)
@@ -117,6 +118,7 @@ def irrigation_base(panel: DataFrame) -> DataFrame:
 
 def irrigation_features(panel: DataFrame, fill: str | None = "table", carry=(),
                         block_rows: int | None = None) -> DataFrame:
+    block_rows = B.resolve(panel, block_rows)
     f = irrigation_base(_positions(panel, block_rows))
     f = f.withColumns({alias: F.col(src) for alias, src in carry})
     f = G.moving_averages(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ssm": "ssm",
@@ -127,6 +129,7 @@ def irrigation_features(panel: DataFrame, fill: str | None = "table", carry=(),
 
 
 def disease_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
+    block_rows = B.resolve(panel, block_rows)
     f = _month_cyc(panel)
     f = C.season_flags(f)
     f = f.withColumn("day_of_year", F.dayofyear("date"))

@@ -32,10 +32,10 @@ def merge_stage(obs: DataFrame, rank: str = "source_rank", labels=None, by_key:
 
 
 def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None, block_rows: int | None = None) -> DataFrame:
-    """``block_rows`` (or the session's ``agrospark.window.blockRows``): skew-proof evaluation of
+    """``block_rows`` (see ``blocked.resolve``; decided by the largest region if not given): row-block evaluation of
     the per-region steps (dedup per (region, date), blocked interpolation); same result."""
-    from agrospark.operators.blocked import default_block_rows
-    block_rows = block_rows or default_block_rows(obs.sparkSession)
+    from agrospark.operators.blocked import resolve
+    block_rows = resolve(obs, block_rows)
     df = merge_stage(obs, rank, labels, by_key=bool(block_rows))
     num = [c for c in C.PANEL_NUMERIC if c in df.columns]
     if block_rows:
