@@ -35,7 +35,8 @@ def et0(temp_max: Column, temp_min: Column, humidity: Column, wind: Column, sola
     den = delta + gamma * (F.lit(1.0) + F.lit(0.34) * wind)
     v = num / den
     # max(0, x) with Python semantics: NaN/None -> 0, negative -> 0
-    return F.when(v > F.lit(0.0), v).otherwise(F.lit(0.0))
+    # (Spark orders NaN above all numbers, so it is tested first)
+    return F.when(~F.isnan(v) & (v > F.lit(0.0)), v).otherwise(F.lit(0.0))
 
 
 def kc_stage(stage: Column, kc_initial: Column, kc_mid: Column, kc_end: Column, days: Column) -> Column:

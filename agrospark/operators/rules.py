@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrospark.dims import CROPS, NORM_DEFAULT_CITY, dim
+from agrospark.dims import CROPS, DISEASE_RULES, NORM_DEFAULT_CITY, dim
 
 # ---------------------------------------------------------------- FIXED VALUES (begin)
 # labels and texts shown to users; they must equal the platform's wording
@@ -252,31 +252,33 @@ def irrigation_times(df: DataFrame, temp_max: str = "temp_max", wind: str = "win
 
 # ----------------------------------------------------------------------------- H11, H12 disease
 
-def disease_rules(conditions: DataFrame, rules: DataFrame, temp: str = "temperature", humidity: str = "humidity",
+def disease_rules(conditions: DataFrame, rules: Sequence[tuple] = DISEASE_RULES, temp: str = "temperature", humidity: str = "humidity",
                   season: str = "season", key: Sequence[str] = ("city",)) -> DataFrame:
     """Per condition row and crop: worst rule level (2 high = temp & humidity & season, 1 medium =
     temp & (humidity or season), 0 low) and the sorted names of diseases at that level.
 
-    The rule table is fixed (18 rows) and broadcast; the join is conditions x rules (theta join of
-    a fixed fan-out), followed by one aggregation per (key, crop)."""
-    key = list(key)
-    j = conditions.crossJoin(F.broadcast(rules))
-    t_ok = F.col(temp).between(F.col("temp_min"), F.col("temp_max"))
-    h_ok = F.col(humidity) >= F.col("humidity_min")
-    s_ok = F.col(season) == F.col("risk_season")
-    lvl = F.when(t_ok & h_ok & s_ok, F.lit(2)).when((t_ok & h_ok) | (t_ok & s_ok), F.lit(1)).otherwise(F.lit(0))
-    j = j.withColumn("_lvl", lvl)
-    g = j.groupBy(*key, "crop").agg(
-        F.max("_lvl").alias("risk_level"),
-        F.sort_array(F.collect_list(F.when(F.col("_lvl") == 2, F.col("disease")))).alias("_high"),
-        F.sort_array(F.collect_list(F.when(F.col("_lvl") == 1, F.col("disease")))).alias("_med"),
-        F.count(F.lit(1)).alias("n_diseases"))
-    return g.select(*key, "crop", "risk_level",
-                    F.when(F.col("risk_level") == 2, F.lit(RISK_NAMES[0])).when(F.col("risk_level") == 1,
-                                                                                F.lit(RISK_NAMES[1]))
-                    .otherwise(F.lit(RISK_NAMES[2])).alias("risk_name"),
-                    F.when(F.col("risk_level") == 2, F.col("_high")).when(F.col("risk_level") == 1, F.col("_med"))
-                    .otherwise(F.array().cast("array<string>")).alias("diseases"), "n_diseases")
+    ``rules``: (crop, disease, temp_min, temp_max, humidity_min, season) tuples, a fixed catalogue: its rules are evaluated
+    inside the row and one row per crop is inlined. No join and no shuffle."""
+    def level(r):
+        t_ok = F.col(temp).between(F.lit(r[2]), F.lit(r[3]))
+        h_ok, s_ok = F.col(humidity) >= F.lit(r[4]), F.col(season) == F.lit(r[5])
+        return F.when(t_ok & h_ok & s_ok, F.lit(2)).when((t_ok & h_ok) | (t_ok & s_ok), F.lit(1)).otherwise(F.lit(0))
+
+    crops = list(dict.fromkeys(r[0] for r in rules))
+    none = F.array().cast("array<string>")
+    per_crop = []
+    for crop in crops:
+        own = F.array(*[F.struct(level(r).alias("lvl"), F.lit(r[1]).alias("disease")) for r in rules if r[0] == crop])
+        per_crop.append(F.struct(F.lit(crop).alias("crop"), own.alias("own")))
+    rows = conditions.select(*key, F.inline(F.array(*per_crop)))
+    rows = rows.withColumn("risk_level", F.array_max(F.transform("own", lambda x: x["lvl"])))
+    worst = F.sort_array(F.transform(F.filter("own", lambda x: x["lvl"] == F.col("risk_level")), lambda x: x["disease"]))
+    return rows.select(*key, "crop", "risk_level",
+                       F.when(F.col("risk_level") == 2, F.lit(RISK_NAMES[0])).when(F.col("risk_level") == 1,
+                                                                                   F.lit(RISK_NAMES[1]))
+                       .otherwise(F.lit(RISK_NAMES[2])).alias("risk_name"),
+                       F.when(F.col("risk_level") > 0, worst).otherwise(none).alias("diseases"),
+                       F.size("own").cast("long").alias("n_diseases"))
 
 
 def disease_advice(df: DataFrame, col: str = "disease_class") -> DataFrame:
@@ -409,10 +411,16 @@ def condition_flags(df: DataFrame, ssm: str = "soil_moisture", temp: str = "temp
     })
 
 
-def serving_features(df: DataFrame, feature_names: Sequence[str], date_col: str = "date") -> DataFrame:
+def serving_features(df: DataFrame, feature_names: Sequence[str], date_col: str = "date",
+                     history: DataFrame | None = None, on: Sequence[str] = ("region",)) -> DataFrame:
     """Model input columns from a thin reading (one wide projection, no UDF): defaults for absent
     measures, moving averages = instant values, deviations and lags 0, cumulative rain from the
-    7-day total, absent features 0.0. Keeps the input's key columns."""
+    7-day total. A feature name that is not known is an error. Keeps the input's key columns.
+
+    ``history``: a feature frame (see ``plans.features``) with ``on`` and ``date``; each reading then takes the
+    features of the latest history row of its series up to its own day, and the instant values only where there is
+    none. Readings outnumber neither side: the join is on the series key, the latest row is a map-side combined
+    aggregation per reading."""
     def g(name):
         return F.coalesce(F.col(name), F.lit(SERVING_DEFAULTS[name])) if name in df.columns \
             else F.lit(SERVING_DEFAULTS[name])
@@ -453,7 +461,16 @@ def serving_features(df: DataFrame, feature_names: Sequence[str], date_col: str
         "consecutive_dry_days": F.when(p7 > 1, F.lit(0)).otherwise(F.lit(3)),
     }
     base.update({k: F.lit(v) for k, v in SERVING_FIXED.items()})
+    base.update({
+        "temp_humidity_index": temp * sm, "leaf_wetness_duration": g("leaf_wetness"), "thermal_stress": F.abs(temp - F.lit(25.0)) / F.lit(10.0),
+        "water_stress": F.greatest(F.lit(0.0), F.lit(0.4) - sm), "vegetation_density": ndvi, "temp_variation": tmax - tmin,
+        "fungal_conditions": ((sm > 0.7) & temp.between(20, 30)).cast("int"),
+        "bacterial_conditions": ((sm > 0.8) & (temp > 25)).cast("int"),
+        "viral_conditions": (temp.between(25, 35) & sm.between(0.4, 0.8)).cast("int"),
+        "consecutive_fungal_days": F.lit(0),
+    })
     for w in (3, 7, 14, 15, 30):
+        base[f"leaf_wetness_ma_{w}"] = g("leaf_wetness")
         base.update({f"temp_ma_{w}": temp, f"precip_ma_{w}": precip, f"ssm_ma_{w}": ssm, f"ndvi_ma_{w}": ndvi,
                      f"humidity_ma_{w}": ssm, f"et0_ma_{w}": F.lit(5.0), f"temp_deviation_{w}": F.lit(0.0),
                      f"precip_deviation_{w}": F.lit(0.0), f"ndvi_deviation_{w}": F.lit(0.0)})
@@ -462,8 +479,22 @@ def serving_features(df: DataFrame, feature_names: Sequence[str], date_col: str
                      f"precip_cumul_{p}": p7 * (F.lit(float(p)) / F.lit(7.0))})
     for c in CROPS:
         base[f"crop_{c}"] = (crop == F.lit(c)).cast("int")
+    unknown = [f for f in feature_names if f not in base]
+    if unknown:
+        raise ValueError(f"unknown serving features: {unknown}")
     keys = [c for c in df.columns if c in ("city", "region", "date", "ts", "reading_id")]
-    return df.select(*keys, *[base.get(f, F.lit(0.0)).cast("double").alias(f) for f in feature_names])
+    if history is None:
+        return df.select(*keys, *[base[f].cast("double").alias(f) for f in feature_names])
+    day = F.to_date(F.col(date_col))
+    wanted = df.select(*on, day.alias("_day")).distinct()
+    past = history.select(*[F.col(c).alias(f"_h_{c}") for c in on], F.col("date").alias("_h_date"), *[F.col(f).cast("double").alias(f"_h_{f}") for f in feature_names])
+    same = F.col("_h_date") <= F.col("_day")
+    for c in on:
+        same = same & (F.col(c) == F.col(f"_h_{c}"))
+    # fixed-width buffers: the latest date, and per feature its value at the latest date
+    latest = wanted.join(past, same).groupBy(*on, "_day").agg(*[F.max_by(f"_h_{f}", "_h_date").alias(f"_h_{f}") for f in feature_names])
+    return df.withColumn("_day", day).join(latest, [*on, "_day"], "left").select(
+        *keys, *[F.coalesce(F.col(f"_h_{f}"), base[f].cast("double")).alias(f) for f in feature_names])
 
 
 # ----------------------------------------------------------------------------- H19 baseline

@@ -55,7 +55,7 @@ def et0_sql(tmax, tmin, hum, wind, solar):
            f"* ({e_s} - {ea}))")
     den = f"({delta} + {gamma} * ({D(1)} + {D(0.34)} * {wind}))"
     v = f"({num} / {den})"
-    return f"case when {v} > {D(0)} then {v} else {D(0)} end"
+    return f"case when not isnan({v}) and {v} > {D(0)} then {v} else {D(0)} end"
 
 
 def kc_sql(stage, ki, km, ke, days):

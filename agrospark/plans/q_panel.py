@@ -45,7 +45,10 @@ def q_merge_sources(spark, sf):
 
 @register("dedup_key", f"{_KEYED} select * from keyed")
 def q_dedup_key(spark, sf):
-    return _keyed(spark, sf)
+    """The key dedup operator itself, over the merged rows."""
+    obs = A.obs(spark, sf)
+    merged = C.merge_by_rank(obs, P.MERGE_KEYS, "source_rank", [c for c in C.PANEL_NUMERIC if c not in P.MERGE_KEYS], A.SOURCES, "data_source")
+    return C.dedup_key(merged, ("region", "date"), ("latitude", "longitude")).select(*_keyed(spark, sf).columns)
 
 
 @register("interpolate_linear", f"{_KEYED}, i as ({S._interp_select('keyed', NUM)}) select * from i")
@@ -89,8 +92,10 @@ select region, date, data_source, count(*) as n_rows, count(temperature_2m) as n
 from ({A.OBS_SQL}) o group by region, date, data_source""")
 def q_stack_sources(spark, sf):
     from agrospark.sources.satellite import stack_sources
-    obs = A.obs(spark, sf)
-    parts = [obs.filter(F.col("data_source") == s) for s in A.SOURCES]
+    from agrospark.plans.q_sources import _scratch
+    path = _scratch(spark, "sources")            # one table per source, as the feeds land; the raw table is read once
+    A.obs(spark, sf).write.partitionBy("data_source").parquet(path)
+    parts = [spark.read.parquet(f"{path}/data_source={s}").withColumn("data_source", F.lit(s)) for s in A.SOURCES]
     st = stack_sources(parts)
     return st.groupBy("region", "date", "data_source").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("temperature_2m").alias("n_temperature"),

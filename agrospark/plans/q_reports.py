@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from agrospark.dims import values_sql
@@ -159,14 +161,18 @@ def q_best_model(spark, sf):
     return RP.best_model(m, "r2").select("model", "r2")
 
 
+_OBS_COLUMNS = re.findall(r" as (\w+)(?=,|\n)", re.sub(r"\n\s*as ", " as ", A.OBS_SQL.split("\n  from lineitem")[0]) + "\n") + [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+
+
 @register("null_profile", f"""
 select column_name, n_rows, n_non_null, n_non_null / n_rows as completeness from (
-  select count(*) as n_rows, {', '.join(f"count({c}) as c_{c}" for c in ['temperature_2m', 'precipitation', 'lst_day_1km', 'ndvi', 'ssm', 'data_source'])}
+  select count(*) as n_rows, {', '.join(f"count({c}) as c_{c}" for c in _OBS_COLUMNS)}
   from ({A.OBS_SQL}) o) t
-unpivot (n_non_null for column_name in ({', '.join(f"c_{c} as '{c}'" for c in ['temperature_2m', 'precipitation', 'lst_day_1km', 'ndvi', 'ssm', 'data_source'])}))""")
+unpivot (n_non_null for column_name in ({', '.join(f"c_{c} as '{c}'" for c in _OBS_COLUMNS)}))""")
 def q_null_profile(spark, sf):
-    return RP.null_profile(A.obs(spark, sf), ["temperature_2m", "precipitation", "lst_day_1km", "ndvi", "ssm",
-                                              "data_source"])
+    """Completeness of every column."""
+    return RP.null_profile(A.obs(spark, sf))
 
 
 @register("clean_audit", f"""with raw as ({A.METEO_RAW_SQL}),
@@ -276,7 +282,7 @@ def q_city_region_overlap(spark, sf):
 
 
 @register("panel_with_weather", f"""{panel_ctes()},
-raw as ({A.METEO_RAW_SQL}),
+raw as ({A.STATIONS_SQL}),
 m as (select ville, date, try_cast(trim(temperature) as double) as temperature, cast(humidite as double) as humidite,
   cast(pluie as double) as pluie from raw),
 daily as (select ville as _city, cast(date as date) as _day, avg(temperature) as station_temperature,
@@ -286,7 +292,7 @@ select region, date, temperature_2m, {ssnap('station_temperature')} as station_t
 from panel left join daily on panel.region = daily._city and panel.date = daily._day""")
 def q_panel_with_weather(spark, sf):
     from agrospark.operators.clean import METEO_NUMERIC, coerce_numeric
-    m = coerce_numeric(A.meteo_raw(spark, sf), METEO_NUMERIC)
+    m = coerce_numeric(A.stations(spark, sf), METEO_NUMERIC)
     j = K.panel_with_weather(panel(spark, sf), m)
     return snapped(j.select("region", "date", "temperature_2m", "station_temperature", "station_humidite",
                             "station_pluie"), keep=("temperature_2m",))

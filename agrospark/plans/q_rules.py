@@ -226,24 +226,10 @@ select reading_id, city, crop, risk_level,
   case when risk_level = 2 then array_to_string(hi, ', ') when risk_level = 1 then array_to_string(med, ', ')
     else '' end as diseases, n_diseases from g""")
 def q_disease_rules(spark, sf):
-    d = R.disease_rules(_conditions(spark, sf), dim(spark, "disease_rules"), key=("reading_id", "city"))
+    d = R.disease_rules(_conditions(spark, sf), key=("reading_id", "city"))
     return d.withColumn("diseases", F.array_join("diseases", ", "))
 
 
-@register("rule_counts", f"""with r as (select * from {values_sql('disease_rules')}),
-c as (select reading_id from ({A.READINGS_SQL}) e)
-select crop, count(*) as n_diseases, (select count(*) from r) as n_total,
-  (select count(*) from c) * count(*) as n_evaluations from r group by crop""")
-def q_rule_counts(spark, sf):
-    """Rule catalogue per crop, and how many rule evaluations the readings table implies."""
-    rules = dim(spark, "disease_rules")
-    n_read = A.readings(spark, sf).agg(F.count(F.lit(1)).alias("_nr"))
-    per = rules.groupBy("crop").agg(F.count(F.lit(1)).alias("n_diseases"))
-    tot = rules.agg(F.count(F.lit(1)).alias("n_total"))
-    return per.crossJoin(F.broadcast(tot)).crossJoin(F.broadcast(n_read)) \
-        .select("crop", "n_diseases", "n_total", (F.col("_nr") * F.col("n_diseases")).alias("n_evaluations"))
-
-
 _DISEASE_LAB = f"""{panel_ctes()},
 dq as (select quantile_cont(ssm, 0.7) as qa, quantile_cont(total_precipitation_sum, 0.6) as qb,
         quantile_cont(surface_solar_radiation_downwards_sum, 0.4) as qc from panel),
@@ -310,10 +296,10 @@ al as (select city, city_rank, reading_id, ts, 0 as rule_rank, {q(R.ALERT_RULES[
     from cn where wind_speed > {D(10)})"""
 
 
-@register("daily_alerts", f"""with {_CURRENT}
+@register("daily_alerts", f"""with {_CURRENT.replace(_READ, f'({A.EXTREME_SQL}) r')}
 select * from al order by city_rank, rule_rank limit 3""")
 def q_daily_alerts(spark, sf):
-    return R.daily_alerts(A.readings(spark, sf), limit=3)
+    return R.daily_alerts(A.extreme_readings(spark, sf), limit=3)
 
 
 @register("alerts_all", f"""with cn as (select r.*, temp_max, hum_min from {_READ} {_NORMS_JOIN}),
@@ -502,13 +488,23 @@ def _serving_sql(features):
         "temp_day_celsius": tmax, "temp_night_celsius": tmin, "evi": evi, "ndvi": ndvi,
         "ndvi_normalized": ndvi, "evi_normalized": evi, "ssm": ssm,
         "month_sin": f"sin({two_pi} * month(date) / {D(12)})", "month_cos": f"cos({two_pi} * month(date) / {D(12)})",
-        "is_dry_season": "0",
+        "is_dry_season": "0", "is_wet_season": "1", "day_of_year": "dayofyear(date)", "wind_speed": wind, "temp_max": tmax, "temp_min": tmin,
+        "day_sin": f"sin({two_pi} * dayofyear(date) / {D(365)})", "day_cos": f"cos({two_pi} * dayofyear(date) / {D(365)})",
+        "temp_range": f"({tmax} - {tmin})", "temp_variation": f"({tmax} - {tmin})", "vegetation_health": f"({ndvi} + {evi}) / {D(2)}",
+        "temp_humidity_index": f"{temp} * {sm}", "leaf_wetness_duration": D(dv["leaf_wetness"]), "thermal_stress": f"abs({temp} - {D(25)}) / {D(10)}",
+        "water_stress": f"greatest({D(0)}, {D(0.4)} - {sm})", "soil_water_deficit": f"greatest({D(0)}, {D(0.4)} - {sm})", "vegetation_density": ndvi,
+        "vegetation_stress": f"{D(1)} - {ndvi}", "growth_stage": D(dv["growth_stage"]), "irrigation_efficiency": D(0.8), "et0": D(5), "etc": D(6),
+        "fungal_conditions": f"case when {sm} > {D(0.7)} and {temp} between 20 and 30 then 1 else 0 end",
+        "bacterial_conditions": f"case when {sm} > {D(0.8)} and {temp} > 25 then 1 else 0 end",
+        "viral_conditions": f"case when {temp} between 25 and 35 and {sm} between {D(0.4)} and {D(0.8)} then 1 else 0 end",
+        "consecutive_fungal_days": "0", "crop_mil": "1",
         "water_stress_index": f"({temp} - {D(25)}) / {D(10)} - ({ndvi} - {D(0.5)}) / {D(0.3)}",
         "meteorological_drought_index": f"({temp} - {D(25)}) / {D(10)} - ({precip} - {D(2)}) / {D(5)}",
         "agricultural_drought_index": f"({D(1)} - {sm}) * ({D(1)} - {ndvi})",
         "consecutive_dry_days": f"case when {p7} > 1 then 0 else 3 end",
     }
     for w in (3, 7, 14, 15, 30):
+        e[f"leaf_wetness_ma_{w}"], e[f"et0_ma_{w}"], e[f"humidity_ma_{w}"] = D(dv["leaf_wetness"]), D(5), ssm
         e.update({f"temp_ma_{w}": temp, f"precip_ma_{w}": precip, f"ssm_ma_{w}": ssm, f"ndvi_ma_{w}": ndvi,
                   f"temp_deviation_{w}": D(0), f"precip_deviation_{w}": D(0), f"ndvi_deviation_{w}": D(0)})
     for p in (1, 3, 7, 14, 15, 30, 60):
@@ -517,12 +513,19 @@ def _serving_sql(features):
     return f"""select reading_id, city, cast(ts as date) as date, {cols} from {_READ}"""
 
 
-@register("serving_features", _serving_sql(FT.DROUGHT_FEATURES))
+#: the names of all four models, and the other inputs that a model may ask for
+SERVING_LIST = list(dict.fromkeys([
+    *FT.RAINFALL_FEATURES, *FT.DROUGHT_FEATURES, *FT.IRRIGATION_FEATURES, *FT.DISEASE_FEATURES, "temp_humidity_index", "leaf_wetness_duration", "thermal_stress",
+    "water_stress", "vegetation_density", "temp_variation", "fungal_conditions", "bacterial_conditions", "viral_conditions", "consecutive_fungal_days",
+    *[f"leaf_wetness_ma_{w}" for w in (3, 7, 14, 15, 30)]]))
+
+
+@register("serving_features", _serving_sql(SERVING_LIST))
 def q_serving_features(spark, sf):
-    """Model inputs for the drought feature list, from each reading."""
+    """Model inputs of all four feature lists, from each reading."""
     r = A.readings(spark, sf).select("reading_id", "city", F.to_date("ts").alias("date"), "temperature", "humidity",
                                      "wind_speed", "precipitation")
-    return snapped(R.serving_features(r, FT.DROUGHT_FEATURES))
+    return snapped(R.serving_features(r, SERVING_LIST))
 
 
 @register("score_all_cities", f"""with {_CURRENT},

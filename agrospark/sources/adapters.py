@@ -165,6 +165,20 @@ _METEO_SELECT = """
 METEO_RAW_SQL = f"({_METEO_SELECT}) union all ({_METEO_SELECT} where event_id % 10 = 0)"
 
 
+# stations of the first six regions, in the panel's years: the same readings under the regions' names
+STATION_SHIFT_DAYS = 10957
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = meteo_raw(spark, sf_dir)
+    names = F.create_map(*[x for i, c in enumerate(METEO_CITIES) for x in (F.lit(c), F.lit(f"R{i:02d}"))])
+    return m.withColumns({"ville": names[F.col("ville")], "date": F.expr(f"date - interval {STATION_SHIFT_DAYS} days")})
+
+
+STATIONS_SQL = f"""select * replace (case ville {' '.join(f"when '{c}' then 'R{i:02d}'" for i, c in enumerate(METEO_CITIES))} end as ville,
+  date - INTERVAL {STATION_SHIFT_DAYS} DAY as date) from ({METEO_RAW_SQL}) raw0"""
+
+
 # ----------------------------------------------------------------------------- readings (typed weather)
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +200,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extreme_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of a heat wave: hotter, drier and windier, so that every alert rule fires somewhere."""
+    return readings(spark, sf_dir).withColumns({"temperature": F.col("temperature") + F.lit(30.0), "humidity": F.col("humidity") / F.lit(10.0),
+                                                "wind_speed": F.col("wind_speed") + F.lit(8.0)})
+
+
 READINGS_SQL = """
   select event_id as reading_id,
     case user_id % 6 when 0 then 'Dakar' when 1 then 'Thiès' when 2 then 'Saint-Louis' when 3 then 'Kaolack'
@@ -200,6 +220,10 @@ READINGS_SQL = """
   from events"""
 
 
+EXTREME_SQL = f"""select * replace (temperature + cast(30 as double) as temperature, humidity / cast(10 as double) as humidity,
+  wind_speed + cast(8 as double) as wind_speed) from ({READINGS_SQL}) r0"""
+
+
 # ----------------------------------------------------------------------------- fao raw (from orders)
 
 def fao_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,20 +35,18 @@ def parse_onecall(df: DataFrame, json_col: str = "payload", city_col: str = "vil
     Missing rain -> 0; daily temperature = temp.day and daily rain is a scalar."""
     p = df.select(F.col(city_col).alias("ville"), F.from_json(F.col(json_col), ONECALL_SCHEMA).alias("p"))
 
-    def reading(r: Column, typ: str) -> list[Column]:
-        return [F.col("ville"), F.lit(typ).alias("type"), _ts(r.dt).alias("date"), r.temp.alias("temperature"),
-                r.humidity.alias("humidite"), r.pressure.alias("pression"), r.wind_speed.alias("vent"),
-                F.coalesce(r.rain.getField("1h"), F.lit(0.0)).alias("pluie"), _desc(r.weather).alias("description")]
-
-    cur = p.filter(F.col("p.current").isNotNull() & F.col("p.current.dt").isNotNull()) \
-        .select(*reading(F.col("p.current"), "current"))
-    hourly = p.select("ville", F.explode("p.hourly").alias("h")).select(*reading(F.col("h"), "hourly"))
-    daily = p.select("ville", F.explode("p.daily").alias("d")).select(
-        F.col("ville"), F.lit("daily").alias("type"), _ts(F.col("d.dt")).alias("date"),
-        F.col("d.temp.day").alias("temperature"), F.col("d.humidity").alias("humidite"),
-        F.col("d.pressure").alias("pression"), F.col("d.wind_speed").alias("vent"),
-        F.coalesce(F.col("d.rain"), F.lit(0.0)).alias("pluie"), _desc(F.col("d.weather")).alias("description"))
-    return cur.unionByName(hourly).unionByName(daily)
+    def entry(typ: str, r: Column, temp: Column, rain: Column) -> Column:
+        return F.struct(F.lit(typ).alias("type"), _ts(r["dt"]).alias("date"), temp.alias("temperature"), r["humidity"].alias("humidite"),
+                        r["pressure"].alias("pression"), r["wind_speed"].alias("vent"), F.coalesce(rain, F.lit(0.0)).alias("pluie"),
+                        _desc(r["weather"]).alias("description"))
+
+    cur = F.col("p.current")
+    now = F.filter(F.array(cur), lambda r: r.isNotNull() & r["dt"].isNotNull())
+    none = lambda a: F.coalesce(a, F.array())
+    rows = F.concat(F.transform(now, lambda r: entry("current", r, r["temp"], r["rain"]["1h"])),
+                    none(F.transform("p.hourly", lambda r: entry("hourly", r, r["temp"], r["rain"]["1h"]))),
+                    none(F.transform("p.daily", lambda r: entry("daily", r, r["temp"]["day"], r["rain"]))))
+    return p.select("ville", F.inline(rows))
 
 
 def parse_current(df: DataFrame, json_col: str = "payload", wind_default: float = 0.0,

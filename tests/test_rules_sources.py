@@ -42,7 +42,7 @@ def test_parse_current_defaults(spark):
 def test_disease_rule_levels(spark):
     cond = spark.createDataFrame([("c1", 27.0, 85.0, "Wet"), ("c2", 27.0, 10.0, "Wet"), ("c3", 40.0, 99.0, "Wet")],
                                  "city string, temperature double, humidity double, season string")
-    out = {(r["city"], r["crop"]): r for r in R.disease_rules(cond, dim(spark, "disease_rules")).collect()}
+    out = {(r["city"], r["crop"]): r for r in R.disease_rules(cond).collect()}
     # riz: pyriculariose (25-30, >=90) medium only; helminthosporiose (28-35) temp fails; bacteriose (25-35, >=80) high
     assert out[("c1", "riz")]["risk_level"] == 2 and out[("c1", "riz")]["diseases"] == ["bacteriose"]
     # humidity too low everywhere, season matches -> medium for rules whose temperature range fits
