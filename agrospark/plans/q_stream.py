@@ -7,6 +7,10 @@ the query returns the sink as a batch DataFrame. Streaming results equal the bat
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from agrospark.dims import values_sql
+from agrospark.functions.numeric import snap
 from agrospark.plans.panel_sql import panel_ctes
 from agrospark.plans.q_panel import panel
 from agrospark.plans.q_sources import _scratch
@@ -21,9 +25,22 @@ def _land(spark, df, name, files: int = 4):
     return path, df.schema
 
 
-def _run(spark, name, build, stream_input, mode="append"):
+def _land_slices(spark, df, name, at, slices: int = 6, late=None):
+    """Land ``df`` as ``slices`` files in the order of the long column expression ``at``, one write after the other, so
+    that the file source reads them in that order; ``late`` rows come last."""
+    path = _scratch(spark, f"landing-{name}")
+    lo, hi = df.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.lit(slices - 1), F.floor((at - F.lit(lo)) * F.lit(slices) / F.lit(hi - lo + 1)))
+    for i in range(slices):
+        df.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    if late is not None:
+        late.coalesce(1).write.mode("append").parquet(path)
+    return path, df.schema
+
+
+def _run(spark, name, build, stream_input, mode="append", files: int = 2):
     src, schema = stream_input
-    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(src)
     out, ck = _scratch(spark, f"sink-{name}"), _scratch(spark, f"ckpt-{name}")
     L.run_to_table(build(sdf), out, ck, mode)
     return spark.read.parquet(out)
@@ -40,42 +57,65 @@ def q_stream_alerts(spark, sf):
     return _run(spark, "alerts", L.stream_alerts, _land(spark, A.readings(spark, sf), "readings"))
 
 
-@register("stream_daily_stats", f"""with r as ({A.READINGS_SQL}),
+_DAILY_SQL = f"""with r as ({A.READINGS_SQL}),
 w as (select time_bucket(INTERVAL 1 DAY, ts) as window_start, city, count(*) as n, avg(temperature) as avg_temperature,
   avg(precipitation) as avg_precipitation from r group by 1, 2)
 select window_start, window_start + INTERVAL 1 DAY as window_end, city, n,
   floor(avg_temperature * cast(1048576.0 as double) + 0.5) / cast(1048576.0 as double) as avg_temperature,
   floor(avg_precipitation * cast(1048576.0 as double) + 0.5) / cast(1048576.0 as double) as avg_precipitation
-from w where window_start + INTERVAL 1 DAY <= (select max(ts) from r) - INTERVAL 1 HOUR""")
-def q_stream_daily_stats(spark, sf):
-    from pyspark.sql import functions as F
+from w where window_start + INTERVAL 1 DAY <= (select max(ts) from r) - INTERVAL 1 HOUR"""
+
+
+def _micros():
+    return F.unix_micros(F.col("ts").cast("timestamp"))
 
-    from agrospark.functions.numeric import snap
-    d = _run(spark, "daily", lambda s: L.stream_daily_stats(s, "1 hour"), _land(spark, A.readings(spark, sf), "rd"))
+
+def _daily(spark, landed, files):
+    d = _run(spark, "daily", lambda s: L.stream_daily_stats(s, "1 hour"), landed, files=files)
     return d.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"), "city", "n",
                     snap(F.col("avg_temperature")).alias("avg_temperature"),
                     snap(F.col("avg_precipitation")).alias("avg_precipitation"))
 
 
+@register("stream_daily_stats", _DAILY_SQL)
+def q_stream_daily_stats(spark, sf):
+    """Readings land in event-time order, so every closed window is whole however many files a micro-batch takes."""
+    return _daily(spark, _land_slices(spark, A.readings(spark, sf), "rd", _micros()), 2)
+
+
+@register("stream_daily_stats_late", _DAILY_SQL)
+def q_stream_daily_stats_late(spark, sf):
+    """The late-row rule: readings that come again after the watermark has passed them change nothing."""
+    r = A.readings(spark, sf)
+    cut = r.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(F.expr("a + (b - a) / 2")).first()[0]
+    return _daily(spark, _land_slices(spark, r, "rd-late", _micros(), late=r.filter(F.col("ts") < F.lit(cut))), 1)
+
+
 @register("stream_dry_days", f"""{panel_ctes()},
 a as (select region, date, row_number() over (partition by region order by date) as _pos,
         coalesce(total_precipitation_sum < cast(0.1 as double), false) as _dry from panel),
 b as (select *, max(case when not _dry then _pos end) over (partition by region order by date rows between unbounded
         preceding and current row) as _lw from a)
 select region, date, cast(case when _dry then _pos - coalesce(_lw, 0) else 0 end as integer) as consecutive_dry_days
-from b""")
+from b where date < (select max(date) from panel) - INTERVAL 30 DAY""")
 def q_stream_dry_days(spark, sf):
+    """The panel in six files that overlap: each row lands up to 20 days late, by a hash. Days that the watermark
+    (30 days behind the last date) has passed are out."""
     p = panel(spark, sf).select("region", "date", "total_precipitation_sum")
-    return _run(spark, "dry", L.stream_dry_days, _land(spark, p, "panel", files=1))
+    jitter = F.unix_date("date").cast("long") + F.pmod(F.xxhash64("region", "date"), F.lit(21))
+    return _run(spark, "dry", L.stream_dry_days, _land_slices(spark, p, "panel", jitter))
 
 
-@register("stream_top_alerts")
+@register("stream_top_alerts", f"""with a as ({ORACLE["alerts_all"]}),
+m as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from ({A.READINGS_SQL}) r),
+b as (select a.*, pc.city_rank, cast(least(5, floor((epoch_us(ts) - lo) * 6 / (hi - lo + 1))) as bigint) as batch_id
+  from a join {values_sql('provider_cities', 'pc')} on a.city = pc.city, m)
+select * from b qualify row_number() over (partition by batch_id order by city_rank, rule_rank, ts, reading_id) <= 3""")
 def q_stream_top_alerts(spark, sf):
-    """Per micro-batch, the first three alerts in (city, rule) order via a foreachBatch sink
-    (rows-only: the answer depends on where the batches cut the input)."""
-    src, schema = _land(spark, A.readings(spark, sf), "readings-top")
-    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    """Per micro-batch (one event-time slice each) the first three alerts in (city, rule) order via a foreachBatch sink."""
+    src, schema = _land_slices(spark, A.readings(spark, sf), "readings-top", _micros())
+    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     out, ck = _scratch(spark, "sink-top"), _scratch(spark, "ckpt-top")
     L.run_to_table(L.stream_alerts(sdf), out, ck, foreach_batch=L.top_alerts_per_batch(3))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))

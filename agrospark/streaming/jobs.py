@@ -24,7 +24,8 @@ from agrospark.operators import rules as R
 def stream_clean_weather(sdf: DataFrame, delay: str = "1 day", ts: str = "date") -> DataFrame:
     """Dedup within the watermark, drop incomplete rows, coerce, range-filter. Rows without an
     event time are dropped first (they could never be deduplicated by time, and the batch
-    pipeline drops them anyway)."""
+    pipeline drops them anyway). Repeats are recognised within ``delay`` of event time: a row more than that
+    behind the largest time seen is late and dropped, and state for older rows is released."""
     ntz = isinstance(sdf.schema[ts].dataType, T.TimestampNTZType)
     s = sdf.filter(F.col(ts).isNotNull())
     if ntz:   # watermarks need a zoned timestamp; the session zone (UTC) makes the cast lossless
@@ -68,37 +69,49 @@ def stream_daily_stats(sdf: DataFrame, delay: str = "1 hour", ts: str = "ts", ci
 
 # ----------------------------------------------------------------------------- L4
 
-DRY_STATE = T.StructType([T.StructField("last_date", T.DateType()), T.StructField("run", T.IntegerType())])
-DRY_OUT = T.StructType([T.StructField("region", T.StringType()), T.StructField("date", T.DateType()),
-                        T.StructField("consecutive_dry_days", T.IntegerType())])
+DRY_STATE = "last int, run int, days array<int>, rain array<double>"
+DRY_OUT = "region string, date date, consecutive_dry_days int"
+_DAY_MS = 86_400_000
 
 
 def _dry_days_fn(threshold: float):
     def fn(key, pdfs, state):
+        import datetime as dt
+        import math
+
         import pandas as pd
-        last_date, run = (state.get if state.exists else (None, 0))
-        out = []
+        last, run, days, rain = state.get if state.exists else (None, 0, [], [])
+        waiting = dict(zip(days, rain))
         for pdf in pdfs:
-            pdf = pdf.sort_values("date")
-            for d, p in zip(pdf["date"], pdf["total_precipitation_sum"]):
-                if last_date is not None and d <= last_date:
-                    continue                      # late or repeated day: already counted
-                dry = p is not None and not pd.isna(p) and p < threshold
-                run = run + 1 if dry else 0
-                last_date = d
-                out.append((key[0], d, run))
-        state.update((last_date, run))
+            for d, p in zip(pdf["day"], pdf["rain"]):
+                d, p = int(d), math.inf if p is None or pd.isna(p) else float(p)     # a missing value counts as wet
+                if last is None or d > last:
+                    waiting[d] = min(p, waiting.get(d, p))                           # a repeated day counts once
+        mark = state.getCurrentWatermarkMs()
+        out = []
+        for d in sorted(waiting):
+            if d * _DAY_MS >= mark:
+                break
+            run = run + 1 if waiting.pop(d) < threshold else 0
+            last = d
+            out.append((key[0], dt.date(1970, 1, 1) + dt.timedelta(d), run))
+        state.update((last, run, list(waiting), [float(x) for x in waiting.values()]))
+        if waiting:
+            state.setTimeoutTimestamp(max(min(waiting) * _DAY_MS, mark + 1))
         yield pd.DataFrame(out, columns=["region", "date", "consecutive_dry_days"])
     return fn
 
 
-def stream_dry_days(sdf: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """Dry-run length as keyed state (one small record per region): in-order days extend or reset
-    the run; a day at or before the last seen day of its region is ignored. The per-row loop runs
-    inside the task on one region's micro-batch rows; state, not the history, carries over."""
+def stream_dry_days(sdf: DataFrame, threshold: float = 0.1, delay: str = "30 days") -> DataFrame:
+    """Dry-run length as keyed state: the days of a region wait in its state until the watermark (largest date seen
+    minus ``delay``) has passed them, then count in date order. The result does not depend on how the input is cut
+    into files or batches, as long as no row is more than ``delay`` late; later rows are dropped by the watermark.
+    State holds the days within ``delay`` per region, never the history."""
     from pyspark.sql.streaming.state import GroupStateTimeout
-    return sdf.select("region", "date", "total_precipitation_sum").groupBy("region").applyInPandasWithState(
-        _dry_days_fn(threshold), DRY_OUT, DRY_STATE, "append", GroupStateTimeout.NoTimeout)
+    s = sdf.select("region", F.unix_date("date").alias("day"), F.col("total_precipitation_sum").alias("rain"),
+                   F.timestamp_millis(F.unix_date("date").cast("long") * F.lit(_DAY_MS)).alias("ts")).filter("day is not null")
+    return s.withWatermark("ts", delay).groupBy("region").applyInPandasWithState(
+        _dry_days_fn(threshold), DRY_OUT, DRY_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ----------------------------------------------------------------------------- driver helper
