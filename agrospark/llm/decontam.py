@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from agrospark.llm.common import lookup, row_key, written
 
 #: bytes hashed at once (a longer word or text is read in further pieces)
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 MAX_SCREEN_BITS = 27
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95                       # odd multipliers

@@ -20,13 +20,14 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrospark.llm.common import lookup, row_key, written
 from agrospark.llm.components import components
+from agrospark.llm.decontam import by_bytes
 
 BITS = 64
 #: shingles whose votes are added at once; bounds a task's memory on very long texts
@@ -56,14 +57,13 @@ def _votes(h: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``id, _k1, _k2, fp``: the fingerprint as a signed long (the same 64 bits), with the row's content key."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.fromiter((simhash(t, shingle) for t in b["text"]), np.uint64, len(b))
-            yield b[["id", "_k1", "_k2"]].assign(fp=fp.view(np.int64))
-
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), *row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    got = rows.mapInPandas(run, "id string, _k1 long, _k2 long, fp long")          # ids as text: a null among longs would turn into a float
-    return got.withColumn("id", F.col("id").cast("long"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_bytes(batches):
+            fp = np.fromiter((simhash(t, shingle) for t in b.column("text").to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("id", "_k1", "_k2")], pa.array(fp.view(np.int64))], names=["id", "_k1", "_k2", "fp"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), *row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "id long, _k1 long, _k2 long, fp long")
 
 
 def segments(max_bits: int, count: int) -> list[tuple[int, int, int]]:
