@@ -25,9 +25,16 @@ SHARES = 1000
 BROADCAST_ROWS = 1_000_000
 
 
+#: rows per Arrow batch where the session keeps Spark's default: whole texts are long, and a batch is held on both sides
+ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000")
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once per application."""
+    """Send this package to the executors' Python, once per application, and keep Arrow batches of texts small."""
     sc = spark.sparkContext
+    name, default, fewer = ARROW_ROWS
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, fewer)
     if getattr(sc, "_agrospark_shipped", False):
         return
     base = os.path.join(tempfile.mkdtemp(prefix="agrospark-ship-"), "agrospark_package")   # on the driver; addPyFile copies it to executors
