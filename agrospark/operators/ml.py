@@ -8,12 +8,13 @@ the executors; metrics come from aggregations, not from collected predictions).
 Parity notes: the platform standardised with the population std and fitted imputer/scaler on
 all rows before the split; here both are fitted on the training rows only (``leak=True``
 restores the platform's behaviour for comparison). The kernel SVM has no MLlib twin and is
-approximated by random Fourier features (cosine projections as column expressions) and a
-one-vs-rest linear SVM.
+approximated by random Fourier features and a one-vs-rest linear SVM; the projection's scaler, gamma and
+seed are fitted on the training rows and kept in the model.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -84,8 +85,14 @@ def standardize(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None
     return j.withColumns(out).drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
-def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Balanced weight n / (k * n_c) attached per row (class table: k rows)."""
+def class_weights(df: DataFrame, label: str, out: str = "weight", fit: DataFrame | None = None) -> DataFrame:
+    """Balanced weight n / (k * n_c) attached per row (class table: k rows), counted on ``fit`` (default: df).
+    A class that ``fit`` lacks gets weight 0: it takes no part in training."""
+    if fit is not None:                      # k numbers, kept as literals
+        rows = fit.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+        total = sum(r["n"] for r in rows)
+        table = F.create_map(*[F.lit(x) for r in rows for x in (r[label], total / (len(rows) * r["n"]))])
+        return df.withColumn(out, F.coalesce(F.try_element_at(table, F.col(label)), F.lit(0.0)))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = counts.crossJoin(F.broadcast(tot)).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
@@ -104,27 +111,37 @@ def rff_weights(d: int, n_components: int = 64, gamma: float | None = None, seed
                                                                                            n_components)
 
 
-def rff_transform(df: DataFrame, features: Sequence[str], n_components: int = 64, gamma: float | None = None,
-                  seed: int = 42, keep: Sequence[str] = ()) -> DataFrame:
-    """Random Fourier features sqrt(2/D) cos(W x + b), approximating the RBF kernel. A dense
-    matrix product per Arrow batch (mapInPandas): per-row work is a numpy GEMM, not a Python loop,
-    and the projection would be too wide for a single generated expression."""
+def fit_projection(df: DataFrame, features: Sequence[str], n_components: int = 64, gamma: float | None = None, seed: int = 42) -> dict:
+    """Everything a projection needs, fitted on ``df``: means and deviations (one row), gamma, size and seed. Stored with the model."""
+    st = df.agg(*[x for i, c in enumerate(features) for x in (F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first()
+    return {"features": list(features), "mean": [float(st[f"m{i}"] or 0.0) for i in range(len(features))],
+            "std": [float(st[f"s{i}"] or 0.0) for i in range(len(features))],
+            "n_components": n_components, "gamma": gamma if gamma is not None else 1.0 / len(features), "seed": seed}
+
+
+def rff_transform(df: DataFrame, fitted: dict, keep: Sequence[str] = ()) -> DataFrame:
+    """Random Fourier features sqrt(2/D) cos(W z + b) of z = (x - mean) / std, approximating the RBF kernel. A
+    missing value takes the training mean; a constant feature counts as 0. A dense matrix product per Arrow batch
+    (mapInPandas): per-row work is a numpy GEMM, not a Python loop, and the projection would be too wide for a
+    single generated expression."""
     import numpy as np
-    W, b = rff_weights(len(features), n_components, gamma, seed)
-    scale = math.sqrt(2.0 / n_components)
-    feats = list(features)
+    from pyspark.sql import types as T
+    feats, n = list(fitted["features"]), int(fitted["n_components"])
+    W, b = rff_weights(len(feats), n, fitted["gamma"], int(fitted["seed"]))
+    scale = math.sqrt(2.0 / n)
+    mean, std = np.array(fitted["mean"]), np.array(fitted["std"])
+    width = np.where(std > 0, std, 1.0)
     keep = [c for c in keep if c not in feats]
-    out_names = [f"rff_{j}" for j in range(n_components)]
+    out_names = [f"rff_{j}" for j in range(n)]
     fields = [f for f in df.schema.fields if f.name in keep]
-    from pyspark.sql import types as T
-    schema = T.StructType(fields + [T.StructField(n, T.DoubleType()) for n in out_names])
+    schema = T.StructType(fields + [T.StructField(x, T.DoubleType()) for x in out_names])
 
     def proj(batches):
         import pandas as pd
         for pdf in batches:
-            x = pdf[feats].to_numpy(dtype="float64", na_value=0.0)
-            z = np.cos(x @ W.T + b) * scale
-            yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(z, columns=out_names)], axis=1)
+            x = pdf[feats].to_numpy(dtype="float64", na_value=np.nan)
+            z = np.where(std > 0, (np.where(np.isnan(x), mean, x) - mean) / width, 0.0)
+            yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(np.cos(z @ W.T + b) * scale, columns=out_names)], axis=1)
 
     return df.select(*keep, *feats).mapInPandas(proj, schema)
 
@@ -135,6 +152,8 @@ def make_estimator(task: str, algorithm: str = "random_forest", label: str = "la
                    weight: str | None = None, seed: int = 42, **overrides):
     kind = TASK_TYPE[task]
     params = dict(SIZES.get((task, algorithm), {}))
+    if algorithm in ("random_forest", "gradient_boosting"):
+        params.setdefault("maxMemoryInMB", 1024)      # node statistics per pass: deep forests need fewer passes over the rows
     params.update(overrides)
     common = dict(labelCol=label, featuresCol=features)
     if kind == "regression":
@@ -179,13 +198,18 @@ def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, a
     data = df.dropna(how="any", subset=feats + [label])
     data = data.withColumn("label", F.col(label).cast("double"))
     data = train_test_split(data, key, test, seed)
+    projection = None
     if algorithm == "svm" and kind == "classification":
-        std = standardize(data, feats, fit=data if leak else data.filter(~F.col("is_test")))
-        data = rff_transform(std, feats, seed=seed, keep=["region", "date", "label", "is_test"])
-        feats = [f"rff_{j}" for j in range(64)]
+        projection = fit_projection(data if leak else data.filter(~F.col("is_test")), feats, seed=seed)
+        data = rff_transform(data, projection, keep=["region", "date", "label", "is_test"])
+        feats = [f"rff_{j}" for j in range(projection["n_components"])]
+    # iterative learners scan the training rows many times: materialise the prepared frame once
+    # (MEMORY_AND_DISK; if an executor is lost its blocks are recomputed from the deterministic plan)
+    from pyspark import StorageLevel
+    prepared = data = data.persist(StorageLevel.MEMORY_AND_DISK)
     weight = None
     if kind == "classification" and task in BALANCED and algorithm != "gradient_boosting":
-        data = class_weights(data, "label", "weight")
+        data = class_weights(data, "label", "weight", fit=data if leak else data.filter(~F.col("is_test")))
         weight = "weight"
     if kind == "regression" and algorithm not in ("random_forest", "gradient_boosting"):
         alpha = overrides.pop("alpha", RIDGE_ALPHA.get(task, 0.0))
@@ -194,10 +218,6 @@ def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, a
                                                     F.stddev_pop("label").alias("sd")).first()
             overrides["regParam"] = float(alpha) * float(st["sd"] or 0.0) / max(int(st["n"]), 1)
     est = make_estimator(task, algorithm, "label", "features", weight, seed, **overrides)
-    # iterative learners scan the training rows many times: materialise the prepared frame once
-    # (MEMORY_AND_DISK; if an executor is lost its blocks are recomputed from the deterministic plan)
-    from pyspark import StorageLevel
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train = data.filter(~F.col("is_test"))
         pipe = _pipeline(feats, est)
@@ -208,18 +228,19 @@ def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, a
         m = regression_metrics(ev) if kind == "regression" else classification_metrics(ev)
         # a handful of numbers: evaluate now, while the training rows are still cached
         metrics = data.sparkSession.createDataFrame(m.collect(), m.schema)
+        n_train = train.count()
     finally:
-        data.unpersist()
-    return FittedModel(model, feats, label, task, metrics, {"algorithm": algorithm, "input_features": list(features)})
+        prepared.unpersist()
+    return FittedModel(model, feats, label, task, metrics,
+                       {"algorithm": algorithm, "input_features": list(features), "projection": projection, "n_train": n_train})
 
 
 def score(df: DataFrame, model: FittedModel, key: Sequence[str] = ("region", "date")) -> DataFrame:
     """Batch scoring: prediction and, for probabilistic classifiers, confidence = max p * 100
     (75 when the model has no probabilities)."""
     data = df
-    if model.extra.get("algorithm") == "svm":
-        inputs = model.extra["input_features"]
-        data = rff_transform(standardize(df, inputs), inputs, keep=list(key))
+    if model.extra.get("projection"):
+        data = rff_transform(df, model.extra["projection"], keep=list(key))
     out = model.pipeline.transform(data)
     conf = F.array_max(vector_to_array("probability")) * F.lit(100.0) if "probability" in out.columns \
         else F.lit(75.0)
@@ -228,14 +249,14 @@ def score(df: DataFrame, model: FittedModel, key: Sequence[str] = ("region", "da
 
 
 def save(model: FittedModel, path: str) -> None:
-    """Pipeline via the ML writer; the feature list is stored beside it as a one-row parquet."""
+    """Pipeline via the ML writer; the feature list and the projection are stored beside it as a one-row parquet."""
     from pyspark.sql import SparkSession
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(model.feature_names, model.label, model.task, model.extra.get("algorithm"),
-                            model.extra.get("input_features"))],
+                            model.extra.get("input_features"), json.dumps(model.extra.get("projection")))],
                           "features array<string>, label string, task string, algorithm string, "
-                          "input_features array<string>").write.mode("overwrite").parquet(f"{path}/meta")
+                          "input_features array<string>, projection string").write.mode("overwrite").parquet(f"{path}/meta")
 
 
 def load(spark, path: str) -> FittedModel:
@@ -245,7 +266,8 @@ def load(spark, path: str) -> FittedModel:
     if meta is None:
         raise ValueError(f"no trained model at {path}")
     return FittedModel(pipe, list(meta["features"]), meta["label"], meta["task"], None,
-                       {"algorithm": meta["algorithm"], "input_features": list(meta["input_features"] or [])})
+                       {"algorithm": meta["algorithm"], "input_features": list(meta["input_features"] or []),
+                        "projection": json.loads(meta["projection"])})
 
 
 def train_all(frames: dict[str, tuple[DataFrame, Sequence[str], str]], algorithm: str = "random_forest",

@@ -80,16 +80,16 @@ def _finish(df: DataFrame, features, fill: str | None = "table", carry=(), block
     return res.drop(*pos)
 
 
-def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
+def rainfall_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None, carry=()) -> DataFrame:
     block_rows = B.resolve(panel, block_rows)
     f = C.cyclic_time(_positions(panel, block_rows), day_basis="month")
     f = C.derived_features(f)
     f = G.lags(f, "total_precipitation_sum", (1, 3, 7), "precipitation_lag", block_rows=block_rows)
     f = G.moving_averages(f, {"temp": "temperature_2m", "humidity": "ssm"}, (3, 7, 15), block_rows=block_rows)
-    return _finish(f, RAINFALL_FEATURES, fill, block_rows=block_rows)
+    return _finish(f, RAINFALL_FEATURES, fill, carry, block_rows=block_rows)
 
 
-def drought_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
+def drought_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None, carry=()) -> DataFrame:
     block_rows = B.resolve(panel, block_rows)
     f = _month_cyc(_positions(panel, block_rows))
     f = C.season_flags(f)
@@ -99,7 +99,7 @@ def drought_features(panel: DataFrame, fill: str | None = "table", block_rows: i
     f = G.ma_deviation(f, {"temp": "temperature_2m", "precip": "total_precipitation_sum", "ndvi": "ndvi"}, DW)
     f = G.rolling_sums(f, "total_precipitation_sum", (7, 15, 30, 60), "precip_cumul", block_rows=block_rows)
     f = G.consecutive_dry_days(f, "total_precipitation_sum", 0.1, block_rows=block_rows)
-    return _finish(f, DROUGHT_FEATURES, fill, block_rows=block_rows)
+    return _finish(f, DROUGHT_FEATURES, fill, carry, block_rows=block_rows)
 
 
 def irrigation_base(panel: DataFrame) -> DataFrame:
@@ -128,14 +128,14 @@ def irrigation_features(panel: DataFrame, fill: str | None = "table", carry=(),
     return _finish(f, IRRIGATION_FEATURES, fill, [alias for alias, _ in carry], block_rows=block_rows)
 
 
-def disease_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None) -> DataFrame:
+def disease_features(panel: DataFrame, fill: str | None = "table", block_rows: int | None = None, carry=()) -> DataFrame:
     block_rows = B.resolve(panel, block_rows)
     f = _month_cyc(panel)
     f = C.season_flags(f)
     f = f.withColumn("day_of_year", F.dayofyear("date"))
     f = H.assign_crop(f)
     f = H.crop_onehot(f)
-    return _finish(f, DISEASE_FEATURES, fill, block_rows=block_rows)
+    return _finish(f, DISEASE_FEATURES, fill, carry, block_rows=block_rows)
 
 
 def irrigation_labelled(panel: DataFrame, block_rows: int | None = None) -> DataFrame:

@@ -56,26 +56,37 @@ def build_panel(obs: DataFrame, rank: str = "source_rank", labels=None, block_ro
     return C.project_known(df, C.PANEL_COLUMNS)
 
 
+def source_version(spark, sf_dir: str, table: str = "lineitem") -> tuple:
+    """Identifies the data behind a folder: its path and a digest of its files' names, sizes and times (metadata only)."""
+    import os
+
+    from pyspark.sql import functions as F
+    path = f"{sf_dir.split('/#')[0].rstrip('/')}/{table}.parquet"
+    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    r = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*files.columns).cast("decimal(20,0)")).alias("h")).first()
+    return (os.path.abspath(sf_dir), r["n"], int(r["h"] or 0))
+
+
 _TABLES: dict = {}
 _LOCK = threading.Lock()      # queries run from several threads write a table once
 
 
-def materialize(spark, key: str, build, buckets: int | None = None, name: str = "panel"):
+def materialize(spark, key: str, build, buckets: int | None = None, name: str = "panel", sized: DataFrame | None = None):
     """Write ``build()`` once per session and key, bucketed by region and sorted by (region, date),
     under the shared checkpoint folder, and return it as a table.
 
     This is the ETL's "load" step: downstream feature, label and scoring jobs read the clean
     table instead of recomputing the merge / interpolation plan in every branch. A written table
     also cuts lineage: losing an executor later does not replay the ETL. Because the table is
-    bucketed by region, windows partitioned by region read it without a shuffle.
+    bucketed by region, windows partitioned by region read it without a shuffle. ``sized``: the raw rows; if
+    their largest region is hot (``blocked.resolve``), the table is dealt by region and month instead.
     """
-    import os
-    ident = (spark.sparkContext.applicationId, name, os.path.abspath(key))
+    ident = (spark.sparkContext.applicationId, name, *source_version(spark, key))   # new or changed files: a new table
     with _LOCK:
-        return spark.table(_materialize_locked(spark, ident, build, buckets, name))
+        return spark.table(_materialize_locked(spark, ident, build, buckets, name, sized))
 
 
-def _materialize_locked(spark, ident, build, buckets, name):
+def _materialize_locked(spark, ident, build, buckets, name, sized):
     import hashlib
 
     from agrospark.session import checkpoint_dir
@@ -86,6 +97,14 @@ def _materialize_locked(spark, ident, build, buckets, name):
         table = f"agrospark_{name}_{digest}"
         path = f"{checkpoint_dir(spark).rstrip('/')}/{table}"
         df = build()
+        from pyspark.sql import functions as F
+
+        from agrospark.operators.blocked import resolve
+        if sized is not None and resolve(sized, None):
+            # a hot region: windows run in blocks, so rows are dealt by region and month and no file holds a whole region
+            df.repartition(buckets, "region", F.trunc("date", "month")).write.mode("overwrite").option("path", path).saveAsTable(table)
+            _TABLES[ident] = table
+            return table
         (df.repartition(buckets, "region").write.mode("overwrite").bucketBy(buckets, "region")
          .sortBy("region", "date").option("path", path).saveAsTable(table))
         _TABLES[ident] = table

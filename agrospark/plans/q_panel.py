@@ -22,7 +22,7 @@ def _keyed(spark, sf):
 def panel(spark, sf):
     """The clean panel as downstream jobs read it: written once per session and input as a
     table bucketed by region (see ``agrospark.plans.panel.materialize``)."""
-    return P.materialize(spark, sf, lambda: P.build_panel(A.obs(spark, sf)))
+    return P.materialize(spark, sf, lambda: P.build_panel(A.obs(spark, sf)), sized=A.obs(spark, sf))
 
 
 _MERGED = S.merged_sql()
