@@ -166,7 +166,7 @@ METEO_RAW_SQL = f"({_METEO_SELECT}) union all ({_METEO_SELECT} where event_id %
 
 
 # stations of the first six regions, in the panel's years: the same readings under the regions' names
-STATION_SHIFT_DAYS = 10957
+STATION_SHIFT_DAYS = 10227
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SAMPLE = ["clean_weather", "build_panel", "drought_label", "drought_features", "irrigation_need", "disease_rules",
-          "daily_alerts", "classification_metrics", "parse_onecall", "zonal_mean", "global_risk", "trend_wide"]
+          "daily_alerts", "panel_with_weather", "null_profile", "dedup_key", "serving_features", "stream_dry_days", "stream_daily_stats_late", "classification_metrics", "parse_onecall", "zonal_mean", "global_risk", "trend_wide"]
 
 
 def test_entry_runs(spark):
@@ -43,3 +43,5 @@ def test_oracle_sample(spark, name):
     assert sorted(rel.columns) == cols
     drows = sorted((tuple(_norm(dict(zip(rel.columns, r))[c]) for c in cols) for r in rel.fetchall()), key=repr)
     assert srows == drows
+    assert srows, "an empty answer checks nothing"
+    assert all(any(r[i] is not None for r in srows) for i in range(len(cols))), "a column is null throughout"
