@@ -38,8 +38,9 @@ def qname(col: str, q: float) -> str:
 
 
 def threshold_quantiles(df: DataFrame, spec: dict[str, list[float]], method: str = "rank",
-                        accuracy: int = 100000) -> DataFrame:
-    """One row with a column ``{col}_q{pp}`` per requested quantile (nulls and NaN skipped)."""
+                        slices: int | None = None, accuracy: int = 100000, tie_cols=None) -> DataFrame:
+    """One row with a column ``{col}_q{pp}`` per requested quantile (nulls and NaN skipped).
+    ``slices`` and ``tie_cols`` are accepted for older callers; the result never depended on them and needs neither now."""
     if method == "agg":
         return df.agg(*[F.expr(f"percentile(`{c}`, {q})").alias(qname(c, q)) for c, qs in spec.items() for q in qs])
     if method == "approx":
