@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrospark.operators import blocked as B
-from agrospark.session import cut_lineage
+from agrospark.session import written
 
 
 def _cols(part, order):
@@ -110,7 +110,7 @@ def _neighbour_carries_distributed(s: DataFrame, cols, part, block_rows: int) ->
     comes from a per-slice summary (a window over at most as many rows as there are slices). Same result as
     the single-partition window.
     """
-    s = cut_lineage(s)                       # one row per series, read by the split points, the slice summary and the windows
+    s = written(s)                           # one row per series, read by the split points, the slice summary and the windows
     slices = int(min(512, max(16, 2 * s.count() // block_rows)))
     key = F.struct(*[F.col(p).alias(p) for p in part])
     kinds = [s.schema[p].dataType for p in part]

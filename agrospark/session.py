@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def written(df):
+    """``df`` written as Parquet to the shared checkpoint folder and read back. Unlike a checkpoint the result carries no
+    partitioning or ordering of the old plan, so it can be joined with parts of itself."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
     checkpoint_dir(df.sparkSession)
