@@ -12,8 +12,9 @@ Scoring runs forward-backward over every token of every text. A document's score
 logistic curve, fitted on training documents, over the largest marginal's log-odds and the expected number
 of toxic tokens. Neighbouring tokens with a marginal of at least one half form a span.
 
-Fitting uses a bounded sample: at most ``sample_docs`` labelled documents per class, in hash order of their id, and
-of those at most ``crf_tokens`` tokens for the field's weights. Everything else covers all rows.
+Fitting uses a bounded sample: at most ``sample_docs`` labelled documents per class, in hash order of their id. The features, the
+field and the curve are fitted on all of them, whole texts whatever their length; the likelihood's gradient is summed over groups of
+documents of about GROUP_TOKENS tokens, which bounds memory and drops nothing. Everything else covers all rows.
 
 Defined results: null text has no words and gets the score of a text without toxic words; without any toxic or any clean label
 the score is the share of toxic labels (0 without labels); repeated rows score alike; a null label or id
@@ -39,6 +40,8 @@ PREFIXES = tuple(range(3, 13))
 #: least confidence that documents with a feature are toxic, tried in turn; least number of such documents
 LEVELS, MIN_DOCS, Z = (0.95, 0.9, 0.8, 0.65, 0.5), 5, 1.96
 SCREEN_BITS = 20
+#: tokens of the documents whose gradient is taken at a time (a longer text is a group of its own)
+GROUP_TOKENS = 100_000
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,34 +154,42 @@ def emission(m: Field, n: int, tok: np.ndarray, key: np.ndarray, begins: np.ndar
     return np.clip(e + before * m.near[0] + after * m.near[1], -30, 30), before, after
 
 
-def fit_field(keys: np.ndarray, tok, key, begins, y, rounds: int = 60, rate: float = 0.3, l2: float = 1e-3) -> Field:
-    """Gradient ascent (Adam) on the regularised log-likelihood of token labels ``y``."""
+def fit_field(keys: np.ndarray, groups, rounds: int = 60, rate: float = 0.3, l2: float = 1e-3) -> Field:
+    """Gradient ascent (Adam) on the regularised log-likelihood of token labels.
+
+    ``groups``: ``(tok, key, begins, y)`` of whole documents each; their gradients add up.
+    """
     m = Field(keys=keys, emit=np.full(len(keys), 4.0))
-    n, k = len(y), len(keys)
+    k = len(keys)
     theta = np.concatenate([m.emit, m.near, [m.first], m.step])
     g1, g2 = np.zeros_like(theta), np.zeros_like(theta)
-    was = np.append(0, y[:-1])
-    inner = ~begins
+    n_toxic = max(1, sum(y.sum() for _, _, _, y in groups))
     for i in range(1, rounds + 1):
         m.emit, m.near, m.first, m.step = theta[:k], theta[k:k + 2], theta[k + 2], theta[k + 3:]
-        e, before, after = emission(m, n, tok, key, begins)
-        odds = np.exp(e)
-        r, b, p = forward_backward(m, odds, begins)
-        prev = np.append(0, r[:-1])
-        t01, t11 = np.exp(m.step)
-        to1 = odds * b
-        z = (1 + prev) + (t01 + prev * t11) * to1
-        x01, x11 = np.where(inner, t01 * to1 / z, 0), np.where(inner, prev * t11 * to1 / z, 0)
-        err = y - p
-        grad = np.concatenate([np.bincount(key, err[tok], minlength=k), [err[before].sum(), err[after].sum()], [err[begins].sum()],
-                               [((was == 0) & (y == 1) & inner).sum() - x01.sum(), ((was == 1) & (y == 1) & inner).sum() - x11.sum()]])
-        grad = grad / max(1, y.sum()) - l2 * theta
+        grad = sum((_gradient(m, *g) for g in groups), np.zeros_like(theta)) / n_toxic - l2 * theta
         g1, g2 = 0.9 * g1 + 0.1 * grad, 0.99 * g2 + 0.01 * grad ** 2
         theta = np.clip(theta + rate * (g1 / (1 - 0.9 ** i)) / (np.sqrt(g2 / (1 - 0.99 ** i)) + 1e-6), -12, 12)
     m.emit, m.near, m.first, m.step = theta[:k], theta[k:k + 2], float(theta[k + 2]), theta[k + 3:]
     return m
 
 
+def _gradient(m: Field, tok, key, begins, y) -> np.ndarray:
+    """Gradient of the log-likelihood of token labels ``y``."""
+    was = np.append(0, y[:-1])
+    inner = ~begins
+    e, before, after = emission(m, len(y), tok, key, begins)
+    odds = np.exp(e)
+    r, b, p = forward_backward(m, odds, begins)
+    prev = np.append(0, r[:-1])
+    t01, t11 = np.exp(m.step)
+    to1 = odds * b
+    z = (1 + prev) + (t01 + prev * t11) * to1
+    x01, x11 = np.where(inner, t01 * to1 / z, 0), np.where(inner, prev * t11 * to1 / z, 0)
+    err = y - p
+    return np.concatenate([np.bincount(key, err[tok], minlength=len(m.keys)), [err[before].sum(), err[after].sum()], [err[begins].sum()],
+                           [((was == 0) & (y == 1) & inner).sum() - x01.sum(), ((was == 1) & (y == 1) & inner).sum() - x11.sum()]])
+
+
 def document_inputs(p: np.ndarray, owner: np.ndarray, n_docs: int) -> np.ndarray:
     """(docs, 3) inputs of the score's curve from token marginals; a text without words has the least log-odds."""
     top = np.full(n_docs, 1e-9)
@@ -303,7 +314,7 @@ def choose(rows: pd.DataFrame, n_keys: int, clean_weight: float) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        sample_docs: int = 4000, crf_tokens: int = 300_000, most_features: int = 20_000) -> Field:
+        sample_docs: int = 4000, most_features: int = 20_000) -> Field:
     sample, size = _labelled_sample(docs, labels, id_col, text_col, label_col, sample_docs)
     n0, n1 = size.get(0, 0), size.get(1, 0)
     base = (n1 + 0.0) / max(1, n0 + n1)
@@ -319,7 +330,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     back = np.full(len(keys), -1)
     back[chosen] = np.arange(len(chosen))
     rows = rows[(rows["n"] > 0).to_numpy()].reset_index(drop=True)
-    part = rows[(rows["n"].cumsum() <= crf_tokens).to_numpy()].reset_index(drop=True)        # in hash order
+    of = ((rows["n"].cumsum() - rows["n"]) // GROUP_TOKENS).to_numpy()                       # group of each document
+    parts = [rows[of == g] for g in np.unique(of)]
 
     def chain(some: pd.DataFrame):
         n = some["n"].to_numpy()
@@ -329,16 +341,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         tok, key = tok[key >= 0], key[key >= 0]
         begins = np.zeros(n.sum(), bool)
         begins[base] = True
-        return tok, key, begins, np.repeat(np.arange(len(some)), n)
-
-    tok, key, begins, owner = chain(part)
-    y = np.zeros(len(begins))
-    y[tok] = part["y"].to_numpy()[owner[tok]]
-    m = fit_field(keys[chosen], tok, key, begins, y)
-    e, _, _ = emission(m, len(begins), tok, key, begins)
-    p = forward_backward(m, np.exp(e), begins)[2]
-    x, label = document_inputs(p, owner, len(part)), part["y"].to_numpy().astype(float)
-    m.curve = fit_curve(x, label, np.where(label == 1, 1.0, weight))
+        y = np.zeros(len(begins), np.int8)
+        y[tok] = np.repeat(some["y"].to_numpy(), n)[tok]
+        return tok, key, begins, y
+
+    groups = [chain(p) for p in parts]
+    m = fit_field(keys[chosen], groups)
+    inputs = []
+    for part, (tok, key, begins, _) in zip(parts, groups):
+        e, _, _ = emission(m, len(begins), tok, key, begins)
+        p = forward_backward(m, np.exp(e), begins)[2]
+        inputs.append(document_inputs(p, np.cumsum(begins) - 1, len(part)))
+    label = rows["y"].to_numpy().astype(float)
+    m.curve = fit_curve(np.concatenate(inputs), label, np.where(label == 1, 1.0, weight))
     return m
 
 

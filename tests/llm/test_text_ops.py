@@ -120,6 +120,28 @@ def test_toxicity_without_labels(labelled, spark):
     assert toxicity.toxicity(docs, labels.filter("toxic = 0")).filter("predicted = 1").count() == 0
 
 
+def hashed(spark, texts):
+    return {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+
+
+def trained(spark, texts):
+    """The field fitted on (text, toxic) rows, none of them held out, and scores of some probes by text."""
+    ids = [i for i in range(4 * len(texts) + 40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in zip(ids, texts)], "doc_id long, toxic int")
+    probes = spark.createDataFrame(list(enumerate(["here a blorg stands", "here a vile one stands", "here nothing stands"])), "doc_id long, text string")
+    return [r["score"] >= 0.3 for r in toxicity.score(probes, toxicity.fit(docs, labels)).orderBy("id").collect()]
+
+
+def test_toxicity_trains_on_late_documents(spark):
+    rng = random.Random(2)
+    clean = [(words(rng, 12_000, "aeiklmnorst"), 0) for _ in range(60)]
+    early = [(words(rng, 20, "aeiklmnorst") + " vile", 1) for _ in range(20)]
+    late = [t for t, h in hashed(spark, [words(rng, 20, "aeiklmnorst") + " blorg" for _ in range(60)]).items() if h > 1 << 62]
+    assert len(late) >= 6 and sum(len(t.split()) for t, h in hashed(spark, [t for t, _ in clean]).items() if h < 1 << 62) > 300_000
+    assert trained(spark, clean + early + [(t, 1) for t in late]) == [True, True, False]
+
+
 # ------------------------------------------------------------------ mixing
 def test_mix(docs, corpus):
     got = mixing.pareto_mix(docs, [1, 2, 3]).cache()
