@@ -16,14 +16,15 @@ Fitting uses a bounded sample: at most ``sample_docs`` labelled documents per cl
 field and the curve are fitted on all of them, whole texts whatever their length; the likelihood's gradient is summed over groups of
 documents of about GROUP_TOKENS tokens, which bounds memory and drops nothing. Everything else covers all rows.
 
-Defined results: null text has no words and gets the score of a text without toxic words; without any toxic or any clean label
-the score is the share of toxic labels (0 without labels); repeated rows score alike; a null label or id
+Defined results: null text has no words and gets the score of a text without toxic words; without any toxic or any clean label, or
+without a sampled text of one class (which warns), the score is the share of toxic labels (0 without labels); repeated rows score alike; a null label or id
 is no training row; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -324,12 +325,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weight = (n0 / min(n0, sample_docs)) / (n1 / min(n1, sample_docs))            # a clean sample row stands for that many
     keys = _candidates(sample, weight, most_features)
     rows = _encode(sample, keys)
+    rows = rows[(rows["n"] > 0).to_numpy()].reset_index(drop=True)
+    missing = {0, 1} - set(rows["y"])
+    if missing:
+        names = " or ".join(("clean", "toxic")[y] for y in sorted(missing))
+        warnings.warn(f"no labelled {names} document has words: every score is the share of toxic labels, {base:.3f}", stacklevel=2)
+        return flat
     chosen = choose(rows, len(keys), weight)
     if not len(chosen):
         return flat
     back = np.full(len(keys), -1)
     back[chosen] = np.arange(len(chosen))
-    rows = rows[(rows["n"] > 0).to_numpy()].reset_index(drop=True)
     of = ((rows["n"].cumsum() - rows["n"]) // GROUP_TOKENS).to_numpy()                       # group of each document
     parts = [rows[of == g] for g in np.unique(of)]
 

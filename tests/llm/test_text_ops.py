@@ -142,6 +142,27 @@ def test_toxicity_trains_on_late_documents(spark):
     assert trained(spark, clean + early + [(t, 1) for t in late]) == [True, True, False]
 
 
+@pytest.mark.parametrize("label", [0, 1])
+def test_toxicity_with_a_very_long_first_text(spark, label):
+    rng = random.Random(6)
+    texts = [(words(rng, 20, "aeiklmnorst") + (" vile" if i % 2 else ""), i % 2) for i in range(120)]
+    later = hashed(spark, [t for t, _ in texts])
+    long_ = hashed(spark, [f"{'word ' * 320_000}{i}" + " vile" * label for i in range(24)])
+    first = min(long_, key=long_.get)
+    kept = [(t, y) for t, y in texts if later[t] > long_[first]]
+    assert len(kept) > 90
+    assert trained(spark, [(first, label), *kept]) == [False, True, False]
+
+
+def test_toxicity_warns_when_a_class_has_no_text(labelled):
+    docs, labels, _ = labelled
+    for y, name in ((0, "clean"), (1, "toxic")):
+        only = docs.join(labels.filter(f"toxic = {y}").select("doc_id"), "doc_id", "left_anti")
+        with pytest.warns(UserWarning, match=f"no labelled {name} document"):
+            m = toxicity.fit(only, labels)
+        assert not len(m.keys) and not m.curve[1:].any() and 0.15 < 1 / (1 + math.exp(-m.curve[0])) < 0.25
+
+
 # ------------------------------------------------------------------ mixing
 def test_mix(docs, corpus):
     got = mixing.pareto_mix(docs, [1, 2, 3]).cache()
