@@ -6,8 +6,16 @@ same layout with its check digits computed anew. The permutation depends on the
 format only, so equal values get equal pseudonyms in every document, whatever their separators, and different values
 never share one. Nothing is looked up or joined: each row is rewritten where it lies.
 
+A pattern takes as much as it can, so a value may be followed, or a card preceded, by digits or capitals of its own: where the
+whole match isn't valid, its parts between separators are tried (a country's IBAN length and usual card layouts first, then the
+longest; a card only in groups of three digits or more, lest lists of small numbers pass by chance), then the other kinds, and the
+search resumes right after the accepted value.
+
+Phones are North American layouts and international ones with a plus sign; national layouts of other countries (without a plus sign)
+are out of scope: nothing validates them.
+
 Defined results: null text stays null with no finds; values that fail validation stay as they are; overlapping candidates: the first
-kind in the order of KINDS that fits at a place wins; repeated rows get equal results; empty tables work; further columns are ignored.
+kind in the order of KINDS that is valid at a place wins; repeated rows get equal results; empty tables work; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,11 +40,21 @@ KINDS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![\d.\-/])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d\-/]|\.\d)",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
-    "phone": r"(?<![\w+])(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\w\-])",
+    "phone": r"(?<![\w+])(?:(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\w\-])|\+[1-9](?:[ .\-/]?(?:\(\d{1,4}\)|\d)){6,14}(?!\w))",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "card": r"(?<![\w\-.])\d(?:[ \-]?\d){12,18}(?![\w\-])",
 }
 PATTERN = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
+EACH = {k: re.compile(p) for k, p in KINDS.items()}
+#: characters of a country's IBAN
+IBAN_LENGTH = {c: int(n) for n, cs in {
+    "15": "NO", "16": "BE", "18": "DK FI FO GL NL SD", "19": "MK SI", "20": "AT BA EE KZ LT LU MN XK", "21": "CH HR LI LV", "22": "BG BH CR DE GB GE IE ME RS VA",
+    "23": "AE GI IL IQ OM SO TL", "24": "AD CZ ES MD PK RO SA SE SK TN VG", "25": "LY PT ST", "26": "IS TR", "27": "BI DJ FR GR IT MC MR SM",
+    "28": "AL AZ BY CY DO EG GT HU LB NI PL SV", "29": "BR PS QA UA", "30": "JO KW MU YE", "31": "MT SC", "32": "LC", "33": "RU"}.items() for c in cs.split()}
+#: calling codes of one and two digits (all others have three); national digits where a country has one length
+CODES = re.compile("[17]|20|27|3[0123469]|4[013456789]|5[1-8]|6[0-6]|8[1246]|9[0-58]|" + r"\d{3}")
+NATIONAL = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "48": 9, "351": 9}
+CARD_LAYOUT = re.compile(r"\d{13,19}|\d{4}(?:[ \-]\d{4}){3}(?:[ \-]\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{4,5}")
 
 
 class Permutation:
@@ -142,6 +160,16 @@ def pseudonym(kind: str, value: str, key: bytes) -> str | None:
         x = int(digits)
         return _fill(value, str(_walk(permutation(key, "ssn", 10 ** 9), x, _ssn_ok)).zfill(9)) if _ssn_ok(x) else None
     if kind == "phone":
+        code = CODES.match(digits)[0] if value[0] == "+" else "1"
+        if code != "1":
+            national = digits[len(code):]
+            if not 8 <= len(digits) <= 15 or len(national) < 4:
+                return None
+            p, lead = permutation(key, f"phone:+{code}:{len(national)}", 10 ** len(national)), national[0] == "0"
+            new = _walk(p, int(national), lambda x: (x < 10 ** (len(national) - 1)) == lead)
+            return _fill(value, code + str(new).zfill(len(national)))
+        if len(digits) not in (10, 11):
+            return None
         national = digits[-10:]
         return _fill(value, digits[:-10] + str(permutation(key, "phone:10", 10 ** 10)(int(national))).zfill(10))
     if kind == "ip":
@@ -180,19 +208,61 @@ def pseudonym(kind: str, value: str, key: bytes) -> str | None:
     return f"{_characters(key, 'email', local)}@{domain}"
 
 
+def candidates(kind: str, text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Places inside a match where a value of the kind may stand, in the order in which they are tried; the whole match is among them."""
+    if kind not in ("card", "iban", "phone"):
+        yield start, stop
+        return
+    value = text[start:stop]
+    size = lambda a, b: sum(c.isalnum() for c in text[a:b])
+    edges = [i for i in range(start + 1, stop) if not text[i].isalnum() and text[i - 1].isalnum()] + [stop]
+    if kind == "card":
+        begins = [start] + [i for i in range(start + 1, stop) if text[i].isdigit() and not text[i - 1].isdigit()]
+        spots = [(a, b) for a in begins for b in reversed(edges) if 13 <= size(a, b) <= 19 and ((a, b) == (start, stop) or min(map(len, re.split("[ -]", text[a:b]))) > 2)]
+        yield from sorted(spots, key=lambda s: (s != (start, stop), CARD_LAYOUT.fullmatch(text[s[0]:s[1]]) is None))
+        return
+    ends = edges[::-1]
+    if kind == "iban":
+        want, flat = IBAN_LENGTH.get(value[:2], 0), [i + 1 for i in range(start, stop) if text[i].isalnum()]
+        ends = [flat[want - 1]] * (0 < want <= len(flat)) + ends
+    elif value[0] == "+":
+        code = CODES.match(re.sub(r"\D", "", value))[0]
+        want = len(code) + NATIONAL.get(code, 99)
+        ends.sort(key=lambda e: size(start, e) != want)
+    yield from ((start, e) for e in dict.fromkeys(ends))
+
+
+def find(text: str, place: int, key: bytes, kinds: list[str]) -> tuple[str, int, int, str] | None:
+    """The first valid value of ``kinds`` (tried in order) at a place, or inside what a card's pattern takes there."""
+    for kind in kinds:
+        m = EACH[kind].match(text, place)
+        if m:
+            for start, stop in candidates(kind, text, m.start(), m.end()):
+                new = pseudonym(kind, text[start:stop], key)
+                if new is not None:
+                    return kind, start, stop, new
+    return None
+
+
 def rewrite(text: str, key: bytes, kinds: frozenset[str]) -> tuple[str, list[tuple[str, int, int, str]]]:
     """Text with pseudonyms, and (kind, start, end, pseudonym) of each find in the original."""
     finds: list[tuple[str, int, int, str]] = []
-
-    def swap(m: re.Match) -> str:
-        kind = m.lastgroup
-        new = pseudonym(kind, m.group(), key) if kind in kinds else None
-        if new is None:
-            return m.group()
-        finds.append((kind, m.start(), m.end(), new))
-        return new
-
-    return PATTERN.sub(swap, text), finds
+    out, done, at = [], 0, 0
+    order = list(KINDS)
+    while m := PATTERN.search(text, at):
+        got = find(text, m.start(), key, order[order.index(m.lastgroup):])
+        if got is None:
+            at = m.start() + 1
+            if m.lastgroup == "iban" and len(m.group().replace(" ", "")) == IBAN_LENGTH.get(m.group()[:2]):
+                at = m.end()                                       # mistyped: its digits are no card
+            continue
+        kind, start, stop, new = got
+        at = stop
+        if kind in kinds:
+            finds.append(got)
+            out += [text[done:start], new]
+            done = stop
+    return "".join([*out, text[done:]]), finds
 
 
 _FINDS = "array<struct<kind: string, start: int, stop: int, pseudonym: string>>"

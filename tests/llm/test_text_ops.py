@@ -329,3 +329,23 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert got[3]["masked_text"] is None and got[4]["masked_text"] == "" and got[5]["masked_text"].endswith(dates[0])
     assert pii.pseudonymise(df, b"other").filter("doc_id = 1" if False else "id = 1").first()["masked_text"] != out
     assert pii.pseudonymise(df.limit(0), b"key").count() == 0
+
+
+def test_values_followed_or_preceded_by_digits_and_capitals():
+    kinds = frozenset(pii.KINDS)
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    for value, texts in {card: ["{} 123", "{} 50 EUR", "no. 12 {} 12", "{} 12/28", "20 {}", "AB12 {}", "{}-123", "000-45-6789 {}"],
+                         card.replace(" ", ""): ["{} 12/28", "{} 123", "7 {} 99"], card.replace(" ", "-"): ["{}-123", "{} 123"],
+                         "3782 822463 10005": ["{} 1234"],
+                         iban: ["{} BIC", "{} OK", "{} BIC GKCCBEBB", "{} 1234 5678"], iban.replace(" ", ""): ["{} OK", "{}EUR"],
+                         "+33 6 12 34 56 78": ["{}", "{} 12 rue", "Tel. {}."], "+33612345678": ["{}"], "+49 (30) 901820": ["{}"], "+34 612-345-678": ["{}, {}"]}.items():
+        alone = pii.rewrite(value, b"key", kinds)[0]
+        assert alone != value and re.sub(r"\d", "9", alone) == re.sub(r"\d", "9", value)
+        for t in texts:
+            old = t.replace("{}", value)
+            new, finds = pii.rewrite(old, b"key", kinds)
+            assert new == t.replace("{}", alone), old
+            assert all(old[a:b] == value for _, a, b, _ in finds)
+    for t in ("4111 1111 1111 1112", "DE89 3704 0044 0532 0130 01", "10.0.0.1", "2023-02-30", "000-45-6789", "+12", "x +1234"):
+        assert pii.rewrite(t, b"key", kinds) == (t, [])
+    assert pii.rewrite(f"{card} 12/28 {iban} OK", b"key", frozenset(["iban"]))[0].startswith(f"{card} 12/28 BE")
