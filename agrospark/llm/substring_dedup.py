@@ -1,10 +1,13 @@
-"""Substring dedup by sliding sentence spans.
+"""Substring dedup by sliding spans of sentence parts.
 
-Every run of several consecutive sentences (at least ``run`` of them and ``min_words`` words, whichever needs more) is hashed,
-one run from each sentence on; equal runs are found by one global join, and the sentences that any
+Every run of several consecutive parts (at least ``run`` of them and ``min_words`` words, whichever needs more) is hashed,
+one run from each part on; equal runs are found by one global join, and the parts that any
 non-first occurrence covers are removed. First is the occurrence in the smallest id, then the earliest in
-its text. Sentences end at [.!?] or a line end; one of more than ``long_words`` words is cut after words whose checksum is divisible by
-``cut``, a rule that depends on the words alone, so that the same passage is cut alike wherever it stands.
+its text. Sentences end at [.!?\n] or [。！？], and every sentence, short or long, is cut into parts after each word whose checksum is the least of
+some ``window`` consecutive words of the sentence (the first, if several are). So every ``window`` words have a cut, and whether
+there is one after a word depends on at most ``window - 1`` words on either side: a passage is cut alike wherever it stands, but
+for that margin where it starts or ends inside a sentence. A repeated stretch of ``min_words + 4 * window`` words is always found,
+in part also a single sentence. In scripts written without blanks every code point counts as a word.
 
 Span rows are narrow (ids, offsets, 128-bit hash). Hot spans (a passage in a third of all documents) are counted
 map-side and joined by ``lookup``.
@@ -17,43 +20,53 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrospark.llm.common import lookup, written
 
-_PIECE = re.compile(r"[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-_SPAN = "id long, k long, i int, n int, start int, stop int, h1 long, h2 long"
+_ENDS = ".!?\\n。！？"
+_PIECE = re.compile(rf"[^{_ENDS}]*[{_ENDS}]+[\x20\x09-\x0D]*|[^{_ENDS}]+")
+#: scripts without blanks between words: Thai, Lao, Burmese, Khmer, kana, Han
+_DENSE = "\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
+_WORD = re.compile(rf"\s*(?:[{_DENSE}]|[^\s{_DENSE}]+)\s*")
+_SPAN = "id long, k long, at long, h1 long, h2 long"
 
 
-def sentences(text: str, long_words: int = 40, cut: int = 8) -> list[tuple[int, int, bytes, int]]:
-    """(start, end, key, words) of each sentence; they cover the text without gaps."""
-    out = []
+@lru_cache(1 << 17)
+def _mark(word: str) -> int:
+    return crc32(word.strip().lower().encode())
+
+
+def sentences(text: str, window: int = 8) -> list[tuple[int, int, bytes, int]]:
+    """(start, end, key, words) of each part of a sentence; they cover the text without gaps."""
+    words, stops = [], []
     for m in _PIECE.finditer(text):
-        at, piece = m.start(), m.group()
-        words = piece.split()
-        if len(words) <= long_words:
-            parts = [piece]
-        else:
-            parts, cur = [], []
-            for w in _WORD.findall(piece) or [piece]:
-                cur.append(w)
-                if crc32(w.strip().lower().encode()) % cut == 0:
-                    parts.append("".join(cur))
-                    cur = []
-            parts += ["".join(cur)] * bool(cur)
-            lead = len(piece) - sum(map(len, parts))             # blanks before the first word
-            if lead:
-                parts[0] = piece[:lead] + parts[0]
-        for p in parts:
-            words = p.lower().split()
-            out.append((at, at + len(p), " ".join(words).encode(), len(words)))
-            at += len(p)
+        words += _WORD.findall(m.group()) or [m.group()]
+        stops.append(len(words))
+    if not words:
+        return []
+    n = len(words)
+    last = np.zeros(n, bool)                                      # words with a cut after them
+    last[np.array(stops) - 1] = True
+    if n >= window:
+        piece = np.cumsum(last) - last
+        least = np.arange(n - window + 1) + sliding_window_view(np.fromiter(map(_mark, words), np.int64, n), window).argmin(axis=1)
+        last[least[piece[:1 - window or None] == piece[window - 1:]]] = True
+    chars = np.cumsum(np.fromiter(map(len, words), np.int64, n))
+    out, at, done = [], 0, 0
+    for i in np.flatnonzero(last).tolist():
+        end = int(chars[i])
+        key = " ".join(text[at:end].lower().split())
+        out.append((at, end, key.encode(), i + 1 - done if key else 0))
+        at, done = end, i + 1
     return out
 
 
@@ -72,14 +85,14 @@ def runs(keys: list[tuple[int, int, bytes, int]], run: int, min_words: int) -> I
 
 
 def spans(docs: DataFrame, run: int, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per run: row key (id, k), first sentence, sentences, code point offsets, hash."""
+    """One row per run: row key (id, k), code point offsets as start << 32 | stop, hash."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for id_, known, k, text in zip(b["id"], b["known"], b["k"], b["text"]):
                 keys = sentences(text)
                 for i, n, h in runs(keys, run, min_words):
-                    rows.append((id_ if known else None, k, i, n, keys[i][0], keys[i + n - 1][1],
+                    rows.append((id_ if known else None, k, keys[i][0] << 32 | keys[i + n - 1][1],
                                  int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
                 if len(rows) > 100_000:
                     yield _frame(rows)
@@ -92,8 +105,8 @@ def spans(docs: DataFrame, run: int, min_words: int, id_col: str, text_col: str)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["id", "k", "i", "n", "start", "stop", "h1", "h2"])
-    return out.astype({"id": "Int64", "i": "int32", "n": "int32", "start": "int32", "stop": "int32"})
+    out = pd.DataFrame(rows, columns=["id", "k", "at", "h1", "h2"])
+    return out.astype({"id": "Int64"})
 
 
 def text_key(id_col: str, text_col: str) -> Column:
@@ -104,11 +117,12 @@ def repeated(docs: DataFrame, run: int = 2, min_words: int = 12, id_col: str = "
     """``id, k, start, stop``: the runs that stand elsewhere before, as code point ranges (end excluded)."""
     all_spans = written(spans(docs, run, min_words, id_col, text_col), "spans")
     twice = written(all_spans.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter("c > 1"), "spans-twice")
-    again = written(lookup(all_spans, twice, ["h1", "h2"], "c", ["k", "i"]).filter("c is not null"), "spans-repeated")
-    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "k", "i")
+    again = written(lookup(all_spans, twice, ["h1", "h2"], "c", ["k", "at"]).filter("c is not null"), "spans-repeated")
+    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "k", "at")
     first = written(again.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")), "spans-first")
-    later = lookup(again.drop("c"), first, ["h1", "h2"], "c", ["k", "i"])
-    return later.filter(~((F.col("k") == F.col("first.k")) & F.col("id").eqNullSafe(F.col("first.id")) & (F.col("i") == F.col("first.i")))).select("id", "k", "start", "stop")
+    later = lookup(again.drop("c"), first, ["h1", "h2"], "c", ["k", "at"])
+    return later.filter(~((F.col("k") == F.col("first.k")) & F.col("id").eqNullSafe(F.col("first.id")) & (F.col("at") == F.col("first.at")))).select(
+        "id", "k", F.shiftright("at", 32).cast("int").alias("start"), F.col("at").bitwiseAND((1 << 32) - 1).cast("int").alias("stop"))
 
 
 def merged(ranges: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exact, line, near and substring dedup against plain Python, on a table with nulls, copies, ties and long texts."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from agrospark.llm import substring_dedup as U
 from agrospark.llm.components import components
 from agrospark.llm.exact_dedup import exact_dedup, fuse_build, fuse_contains
 from agrospark.llm.queries import snapshot_rule
-from brute import collect
+from brute import collect, words
 
 
 def test_fuse_filter_has_no_false_negatives_and_few_false_positives():
@@ -142,6 +143,28 @@ def test_substring_passage_over_50_words(docs, corpus):
         assert got[i].startswith(whole[i][:40]) and got[i].endswith(whole[i][-40:])
 
 
+def removed(first, second):
+    """Code points of the second text that its runs share with the first one's."""
+    known = {h for _, _, h in U.runs(U.sentences(first), 2, 12)}
+    keys = U.sentences(second)
+    return {c for a, n, h in U.runs(keys, 2, 12) if h in known for c in range(keys[a][0], keys[a + n - 1][1])}
+
+
+def test_substring_passages_mid_line():
+    rng = random.Random(8)
+    for i in range(600):
+        n = rng.randint(50, 60)
+        passage = words(rng, n) if i % 2 else f"{words(rng, 27)}. {words(rng, 27)}."
+        lead, tail = words(rng, rng.randint(0, 30)), words(rng, rng.randint(0, 30))
+        a, b = f"{lead} {passage} {tail}", f"{passage} {words(rng, 5)}" if i % 3 else f"{words(rng, 15)} {passage} {words(rng, 9)}"
+        cut, at = removed(a, b), b.index(passage)
+        core = range(at + len(" ".join(passage.split()[:15])) + 1, at + len(" ".join(passage.split()[:-15])))
+        assert cut.issuperset(core)
+        assert not [c for c in cut if c < at or c > at + len(passage)]
+    dense = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(60))
+    assert removed(f"一二三{dense}四五", f"六{dense}七八九") >= set(range(16, 46))
+
+
 def test_sentences_cover_the_text():
     for t in ("", "one", "A b. C d!\n\nE f?  g", "  lead. \t.. x", "w " * 300, "\n\n"):
         s = U.sentences(t)
