@@ -235,7 +235,7 @@ _METRICS = {"regression": ["mae", "mape", "mse", "r2", "rmse"], "classification"
   {', '.join(f"('{t}', {_METRICS[k]!r})" for t, k in M.TASK_TYPE.items())}) v(task, metrics)
   where (select count(*) from lineitem) > 0""")
 def q_train_all(spark, sf):
-    """Every task trained at its size; a task that fails fails the query."""
+    """Every task trained, the disease forest at QUERY_SIZES and the others at the platform's sizes; a task that fails fails the query."""
     from agrospark.plans.panel import source_version
     fitted(spark, sf, "rainfall")
     metrics = _MODELS[spark.sparkContext.applicationId, source_version(spark, sf)]
