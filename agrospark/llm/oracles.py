@@ -119,3 +119,27 @@ SELECT c.page_id, host, day::VARCHAR AS fetch_day, coalesce(blocked, '') AS bloc
        CASE WHEN allowed IS NOT NULL THEN 'allow' WHEN blocked IS NOT NULL THEN 'block' ELSE 'none' END AS verdict
 FROM c LEFT JOIN g USING (page_id)
 """
+
+
+def _centroids(k: int = 40, rounds: int = 5) -> str:
+    """K-means over whole numbers, one pair of CTEs a round."""
+    ctes = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+x AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+f AS (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM v),
+c0 AS MATERIALIZED (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM f WHERE c < {k})"""]
+    near = "SELECT r, min(d * 1000 + c) % 1000 AS c, min(d) AS d FROM (SELECT r, c, sum((x.x - m.x) * (x.x - m.x))::BIGINT AS d FROM x JOIN c{n} m USING (i) GROUP BY r, c) GROUP BY r"
+    for n in range(rounds):
+        ctes.append(f"""a{n} AS MATERIALIZED ({near.format(n=n)}),
+s{n} AS (SELECT c, i, sum(x)::BIGINT AS t, count(*) AS n FROM x JOIN a{n} USING (r) GROUP BY c, i),
+c{n + 1} AS MATERIALIZED (SELECT c, i, coalesce((t - ((t % n) + n) % n) // n, x) AS x FROM c{n} LEFT JOIN s{n} USING (c, i))""")
+    ctes.append(f"a{rounds} AS MATERIALIZED ({near.format(n=rounds)})")
+    ctes.append(f"h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN h USING (c)
+"""
+
+
+CENTROIDS = _centroids()

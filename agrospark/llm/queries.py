@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrospark.llm import oracles as SQL
+from agrospark.llm.centroids import centroid_clusters, digest_of
 from agrospark.llm.common import ship
 from agrospark.llm.decontam import contaminated, decontaminate
 from agrospark.llm.exact_dedup import exact_dedup
@@ -130,3 +131,10 @@ def op10_pii_pseudonyms(spark, sf_dir):
     got = pseudonymise(table(spark, sf_dir, "documents"), key=b"demonstration key")
     count = lambda k: F.size(F.filter("finds", lambda f: f["kind"] == k)).cast("long").alias(f"n_{k}")
     return got.select(F.col("id").alias("doc_id"), F.size("finds").cast("long").alias("n_finds"), *[count(k) for k in KINDS], "masked_text")
+
+
+@register("op13_centroids", SQL.CENTROIDS)
+def op13_centroids(spark, sf_dir):
+    """All embeddings of 64 components around 40 centroids, five rounds."""
+    got, centroids = centroid_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, size=64, scale=256, seed="2")
+    return got.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest_of(centroids).alias("centroid_sha256"))
