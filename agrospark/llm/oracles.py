@@ -143,3 +143,50 @@ FROM v JOIN a{rounds} USING (r) JOIN h USING (c)
 
 
 CENTROIDS = _centroids()
+
+
+def _crc_table() -> list[int]:
+    """CRC-32 of the 16 values of half a byte."""
+    out = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ 0xEDB88320 * (c & 1)
+        out.append(c)
+    return out
+
+
+_BYTES = "flatten(list_transform(range(1, length(s) + 1), lambda i: CASE WHEN unicode(s[i]) < 128 THEN [unicode(s[i])] ELSE [195, unicode(s[i]) - 64] END))"
+def _crc_step() -> str:
+    """The checksum ``c`` after byte ``b``, half a byte at a time."""
+    half = "xor({c} >> 4, {t}[(xor({c}, {b}) & 15) + 1])"
+    return half.format(t=_crc_table(), b="(b >> 4)", c="(" + half.format(t=_crc_table(), b="b", c="c") + ")")
+
+
+SPELLING = rf"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+g AS (SELECT id, w, count(*) AS n FROM r WHERE length(w) >= 7 GROUP BY id, w),
+b AS (SELECT w, n, {_BYTES.replace("s[i]", "(id || ':' || w)[i]").replace("length(s)", "length(id || ':' || w)")} AS bytes FROM g),
+h AS (
+  SELECT w, n, xor(list_reduce(bytes, lambda c, b: CRC_STEP, 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM b),
+t AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM t WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS gone FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (
+  SELECT x.word, y.word AS other FROM d x JOIN d y ON x.i = y.i AND x.gone = y.gone AND x.word <> y.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.gone = v.word
+  UNION SELECT v.word, d.word FROM d JOIN v ON d.gone = v.word),
+o AS (
+  SELECT p.word, v.n, p.other, u.n AS other_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY u.n DESC, p.other) AS k
+  FROM p JOIN v ON v.word = p.word JOIN v u ON u.word = p.other),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * v.n THEN other END AS form, CASE WHEN other_n >= 10 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN (FROM o WHERE k = 1) o USING (word)),
+q AS (
+  SELECT word, word AS tip, 0 AS steps FROM f
+  UNION ALL SELECT q.word, f.form, steps + 1 FROM q JOIN f ON q.tip = f.word WHERE f.form IS NOT NULL),
+z AS (SELECT word, arg_max(tip, steps) AS root FROM q GROUP BY word)
+SELECT word, n, n_near, form, form_n, root FROM f JOIN z USING (word)
+""".replace("CRC_STEP", _crc_step())

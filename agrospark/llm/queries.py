@@ -15,6 +15,7 @@ from agrospark.llm.mixing import pareto_mix
 from agrospark.llm.pii import KINDS, pseudonymise
 from agrospark.llm.registry import register
 from agrospark.llm.simhash import simhash_dedup
+from agrospark.llm.spelling import spelling_variants, vocabulary
 from agrospark.llm.substring_dedup import substring_dedup
 from agrospark.llm.toxicity import toxicity
 from agrospark.llm.url_filters import domain_keys, evaluate, host_of, path_of
@@ -138,3 +139,10 @@ def op13_centroids(spark, sf_dir):
     """All embeddings of 64 components around 40 centroids, five rounds."""
     got, centroids = centroid_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, size=64, scale=256, seed="2")
     return got.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest_of(centroids).alias("centroid_sha256"))
+
+
+@register("op11_spelling", SQL.SPELLING)
+def op11_spelling(spark, sf_dir):
+    """All words of at least 7 letters and 2 occurrences, with their near words and the form ten times as common."""
+    vocab = vocabulary(table(spark, sf_dir, "documents"), min_letters=7, min_count=2, one_in=31)
+    return spelling_variants(vocab, times=10)[0].select("word", "form", "root", "n", "n_near", "form_n")
