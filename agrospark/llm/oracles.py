@@ -190,3 +190,29 @@ q AS (
 z AS (SELECT word, arg_max(tip, steps) AS root FROM q GROUP BY word)
 SELECT word, n, n_near, form, form_n, root FROM f JOIN z USING (word)
 """.replace("CRC_STEP", _crc_step())
+
+
+JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[i:i + 2], ' ') AS gram
+  FROM (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS digest FROM s GROUP BY r),
+k AS MATERIALIZED (SELECT digest, min(r) AS c, any_value(n) AS n FROM n GROUP BY digest),
+f AS MATERIALIZED (SELECT gram, count(*) AS f FROM s JOIN k ON s.r = k.c GROUP BY gram),
+p AS MATERIALIZED (
+  SELECT c, gram FROM (SELECT c, n, s.gram, row_number() OVER (PARTITION BY c ORDER BY f, s.gram) AS k FROM k JOIN s ON s.r = k.c JOIN f USING (gram))
+  WHERE k <= n - ceil(n * 90 / 100.0) + 1),
+x AS MATERIALIZED (SELECT DISTINCT p.c AS a, q.c AS b FROM p JOIN p q ON p.gram = q.gram AND p.c < q.c),
+o AS (SELECT a, b, count(*) AS o FROM x JOIN s sa ON sa.r = a JOIN s sb ON sb.r = b AND sb.gram = sa.gram GROUP BY a, b),
+l AS MATERIALIZED (
+  SELECT a, b FROM o JOIN k ka ON ka.c = a JOIN k kb ON kb.c = b WHERE 100 * o >= 90 * (ka.n + kb.n - o)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT c AS a, c AS b FROM k UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+g AS (SELECT a AS c, min(b) AS root FROM reach GROUP BY a),
+m AS (SELECT n.r, n.n, root, min(doc_id) OVER (PARTITION BY root) AS component_id FROM n JOIN k USING (digest) JOIN g ON g.c = k.c JOIN d ON d.r = n.r)
+SELECT doc_id, coalesce(m.n, 0)::BIGINT AS n_shingles, CASE WHEN m.r IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM d LEFT JOIN m USING (r)
+"""

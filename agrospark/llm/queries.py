@@ -10,6 +10,7 @@ from agrospark.llm.centroids import centroid_clusters, digest_of
 from agrospark.llm.common import ship
 from agrospark.llm.decontam import contaminated, decontaminate
 from agrospark.llm.exact_dedup import exact_dedup
+from agrospark.llm.jaccard import jaccard_components
 from agrospark.llm.line_dedup import line_dedup
 from agrospark.llm.mixing import pareto_mix
 from agrospark.llm.pii import KINDS, pseudonymise
@@ -146,3 +147,10 @@ def op11_spelling(spark, sf_dir):
     """All words of at least 7 letters and 2 occurrences, with their near words and the form ten times as common."""
     vocab = vocabulary(table(spark, sf_dir, "documents"), min_letters=7, min_count=2, one_in=31)
     return spelling_variants(vocab, times=10)[0].select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@register("op12_jaccard", SQL.JACCARD)
+def op12_jaccard(spark, sf_dir):
+    """Components of all documents whose distinct 3-word shingles agree to 90 percent."""
+    got, _ = jaccard_components(table(spark, sf_dir, "documents"), k=3, share=90)
+    return got.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
