@@ -47,15 +47,23 @@ def _weighted(terms) -> Column:
     return acc
 
 
-def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region", order="date",
-                  method: str = "rank", block_rows: int | None = None) -> DataFrame:
-    """Drought class 0..3 from .3[30-row precip sum < q20] + .2[temp > q80] + .3[ssm < q20] + .2[ndvi < q20]."""
+#: what the drought label compares with, over all rows
+DROUGHT_SPEC = {"precip_sum_30": [0.2], "temperature_2m": [0.8], "ssm": [0.2], "ndvi": [0.2]}
+
+
+def drought_inputs(df: DataFrame, precip="total_precipitation_sum", part="region", order="date", block_rows: int | None = None) -> DataFrame:
+    """Adds ``precip_sum_30``: the 30-row sum, snapped (grid 2^-30) so ties with its own quantile do not depend on summation order."""
     from agrospark.operators.windows import rolling_sums
-    # the 30-row sum is snapped (grid 2^-30) so ties with its own quantile do not depend on summation order
     d = rolling_sums(df, precip, (30,), "_psum", part, order, block_rows=block_rows)
-    d = d.withColumn("precip_sum_30", snap(F.col("_psum_30"), 9)).drop("_psum_30")
-    spec = {"precip_sum_30": [0.2], "temperature_2m": [0.8], "ssm": [0.2], "ndvi": [0.2]}
-    q = threshold_quantiles(d, spec, method=method)
+    return d.withColumn("precip_sum_30", snap(F.col("_psum_30"), 9)).drop("_psum_30")
+
+
+def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region", order="date",
+                  method: str = "rank", block_rows: int | None = None, thresholds: DataFrame | None = None) -> DataFrame:
+    """Drought class 0..3 from .3[30-row precip sum < q20] + .2[temp > q80] + .3[ssm < q20] + .2[ndvi < q20].
+    ``thresholds``: the one row of quantiles, where it is kept up to date elsewhere (``summaries.SummaryStore`` of DROUGHT_SPEC)."""
+    d = drought_inputs(df, precip, part, order, block_rows)
+    q = threshold_quantiles(d, DROUGHT_SPEC, method=method) if thresholds is None else thresholds
     j = with_stats(d, q)
     score = _weighted([
         (F.col("precip_sum_30") < F.col(qname("precip_sum_30", 0.2)), 0.3),

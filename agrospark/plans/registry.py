@@ -26,5 +26,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     """Import every module that registers queries."""
-    from agrospark.plans import q_clean, q_panel, q_features, q_rules, q_reports, q_sources, q_ml, q_stream  # noqa: F401
+    from agrospark.plans import q_clean, q_panel, q_incremental, q_features, q_rules, q_reports, q_sources, q_ml, q_stream  # noqa: F401
     return QUERIES, ORACLE
