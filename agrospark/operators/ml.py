@@ -24,7 +24,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, OneVsRest, Rand
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrospark.operators.reports import classification_metrics, regression_metrics
@@ -72,6 +72,41 @@ def train_test_split(df: DataFrame, key: Column | None = None, test: float = 0.2
     return df.withColumn(out, (F.pmod(h, F.lit(1000)) < F.lit(int(round(test * 1000)))))
 
 
+def stratified_split(df: DataFrame, label: str, test: float = 0.2, seed: int = 42, key: Column | None = None, ties: Sequence[str] = ("region", "date"),
+                     out: str = "is_test") -> DataFrame:
+    """Exact split per class: of a class of n rows, the round(test * n) rows of smallest (hash of the key, ``ties``) are test rows.
+
+    The cut is found by histograms of the hash: counts per class and upper half of its 32 bits name a bucket, counts inside it the hash
+    at the cut, and only the rows of that very hash are ordered by ``ties``. No class is sorted, and nothing depends on how rows are dealt out. The classes'
+    cuts are one row each. Rows without a label are a class of their own; rows equal in ``ties`` and key stay together.
+    """
+    from agrospark.operators.blocked import join_null_safe
+    from agrospark.session import written
+    key = key if key is not None else split_key()
+    h = F.pmod((key + F.lit(seed)) * F.lit(2654435761), F.lit(4294967296))
+    tie = F.struct(*ties)
+    rows = written(df.select(F.col(label).alias("_label"), h.alias("_h"), *[F.col(c) for c in ties]))
+    upper, lower = F.shiftright("_h", 16), F.col("_h").bitwiseAND(65535)
+
+    def cut(counts: DataFrame, quota: DataFrame, bucket: str) -> DataFrame:
+        """Per class the bucket that holds the quota's last row, and what is left of the quota there."""
+        upto = F.sum("_c").over(Window.partitionBy("_label").orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0))
+        c = join_null_safe(counts.withColumn("_to", upto), quota, ["_label"], "inner")
+        return c.filter((F.col("_to") - F.col("_c") < F.col("_q")) & (F.col("_q") <= F.col("_to"))).select("_label", bucket, (F.col("_q") - F.col("_to") + F.col("_c")).alias("_q"))
+
+    quota = rows.groupBy("_label").agg(F.floor(F.count(F.lit(1)) * F.lit(test) + F.lit(0.5)).alias("_q"))
+    first = written(cut(rows.groupBy("_label", upper.alias("_u")).agg(F.count(F.lit(1)).alias("_c")), quota, "_u"))
+    near = join_null_safe(rows.withColumn("_u", upper), first, ["_label", "_u"], "inner")
+    second = cut(near.groupBy("_label", "_u", lower.alias("_v")).agg(F.count(F.lit(1)).alias("_c")), first.select("_label", "_q"), "_v")
+    at = written(join_null_safe(first.drop("_q"), second, ["_label"], "inner").select("_label", (F.col("_u") * 65536 + F.col("_v")).alias("_h"), "_q"))
+    same = join_null_safe(rows, at, ["_label", "_h"], "inner")
+    last = same.withColumn("_k", F.row_number().over(Window.partitionBy("_label").orderBy(*ties))).filter(F.col("_k") <= F.col("_q"))
+    last = written(last.groupBy("_label").agg(F.first("_h").alias("_t"), F.max(tie).alias("_last")))
+    got = join_null_safe(df.withColumns({"_label": F.col(label), "_h": h}), last, ["_label"])
+    inside = (F.col("_h") < F.col("_t")) | ((F.col("_h") == F.col("_t")) & (tie <= F.col("_last")))
+    return got.withColumn(out, F.coalesce(inside, F.lit(False))).drop("_label", "_h", "_t", "_last")
+
+
 def standardize(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None, ddof: int = 0,
                 suffix: str = "") -> DataFrame:
     """(x - mean) / std with statistics from ``fit`` (default: df); ddof 0 = population std.
@@ -189,15 +224,15 @@ def _pipeline(features: Sequence[str], estimator) -> Pipeline:
 
 
 def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, algorithm: str = "random_forest",
-                test: float = 0.2, seed: int = 42, key: Column | None = None, leak: bool = False,
+                test: float = 0.2, seed: int = 42, key: Column | None = None, leak: bool = False, stratify: bool = False,
                 **overrides) -> FittedModel:
     """Fit on the training rows, evaluate on the held-out rows. Rows with a missing label or any
-    missing feature are dropped first (as the platform did)."""
+    missing feature are dropped first (as the platform did). ``stratify``: hold out exactly the share ``test`` of each class."""
     kind = TASK_TYPE[task]
     feats = list(features)
     data = df.dropna(how="any", subset=feats + [label])
     data = data.withColumn("label", F.col(label).cast("double"))
-    data = train_test_split(data, key, test, seed)
+    data = stratified_split(data, "label", test, seed, key) if stratify else train_test_split(data, key, test, seed)
     projection = None
     if algorithm == "svm" and kind == "classification":
         projection = fit_projection(data if leak else data.filter(~F.col("is_test")), feats, seed=seed)

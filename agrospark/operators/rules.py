@@ -412,15 +412,14 @@ def condition_flags(df: DataFrame, ssm: str = "soil_moisture", temp: str = "temp
 
 
 def serving_features(df: DataFrame, feature_names: Sequence[str], date_col: str = "date",
-                     history: DataFrame | None = None, on: Sequence[str] = ("region",)) -> DataFrame:
+                     history: DataFrame | None = None, on: Sequence[str] = ("region",), as_of: str | None = None) -> DataFrame:
     """Model input columns from a thin reading (one wide projection, no UDF): defaults for absent
     measures, moving averages = instant values, deviations and lags 0, cumulative rain from the
     7-day total. A feature name that is not known is an error. Keeps the input's key columns.
 
     ``history``: a feature frame (see ``plans.features``) with ``on`` and ``date``; each reading then takes the
-    features of the latest history row of its series up to its own day, and the instant values only where there is
-    none. Readings outnumber neither side: the join is on the series key, the latest row is a map-side combined
-    aggregation per reading."""
+    features of the latest history row of its series up to the day in ``as_of`` (default: ``date_col``), and the instant values only
+    where there is none (``operators.asof``: no pairs of readings and history). Adds ``as_of``, the matched day."""
     def g(name):
         return F.coalesce(F.col(name), F.lit(SERVING_DEFAULTS[name])) if name in df.columns \
             else F.lit(SERVING_DEFAULTS[name])
@@ -485,16 +484,10 @@ def serving_features(df: DataFrame, feature_names: Sequence[str], date_col: str
     keys = [c for c in df.columns if c in ("city", "region", "date", "ts", "reading_id")]
     if history is None:
         return df.select(*keys, *[base[f].cast("double").alias(f) for f in feature_names])
-    day = F.to_date(F.col(date_col))
-    wanted = df.select(*on, day.alias("_day")).distinct()
-    past = history.select(*[F.col(c).alias(f"_h_{c}") for c in on], F.col("date").alias("_h_date"), *[F.col(f).cast("double").alias(f"_h_{f}") for f in feature_names])
-    same = F.col("_h_date") <= F.col("_day")
-    for c in on:
-        same = same & (F.col(c) == F.col(f"_h_{c}"))
-    # fixed-width buffers: the latest date, and per feature its value at the latest date
-    latest = wanted.join(past, same).groupBy(*on, "_day").agg(*[F.max_by(f"_h_{f}", "_h_date").alias(f"_h_{f}") for f in feature_names])
-    return df.withColumn("_day", day).join(latest, [*on, "_day"], "left").select(
-        *keys, *[F.coalesce(F.col(f"_h_{f}"), base[f].cast("double")).alias(f) for f in feature_names])
+    from agrospark.operators.asof import asof_join
+    base = df.withColumns({f"_b_{f}": base[f].cast("double") for f in feature_names}).select(*keys, *[c for c in dict.fromkeys([*on, as_of or date_col]) if c not in keys], *[f"_b_{f}" for f in feature_names])
+    got = asof_join(base, history, on, as_of or date_col, "date", feature_names, prefix="_h_")
+    return got.select(*keys, "as_of", *[F.coalesce(F.col(f"_h_{f}").cast("double"), F.col(f"_b_{f}")).alias(f) for f in feature_names])
 
 
 # ----------------------------------------------------------------------------- H19 baseline

@@ -19,10 +19,11 @@ from agrospark.operators.windows import rain_target
 from agrospark.plans import features as FT
 from agrospark.plans import features_sql as FS
 from agrospark.plans.panel_sql import panel_ctes
-from agrospark.plans.q_features import snapped
+from agrospark.plans.q_features import _drought_label_sql, snapped
 from agrospark.plans.q_panel import panel
 from agrospark.plans.registry import register
 from agrospark.plans.sqlkit import snap as ssnap
+from agrospark.sources import adapters as A
 
 D = FS.D
 KEYS = ["region", "date"]
@@ -63,6 +64,15 @@ def q_train_test_split(spark, sf):
     return M.train_test_split(panel(spark, sf).select(*KEYS))
 
 
+@register("stratified_split", f"""{_drought_label_sql()},
+h as (select region, date, drought_class, (({_KEY_SQL} + 42) * 2654435761) % 4294967296 as h from labelled),
+r as (select *, row_number() over (partition by drought_class order by h, region, date) as k, count(*) over (partition by drought_class) as n from h)
+select region, date, drought_class, k <= floor(n * {D(0.2)} + 0.5) as is_test from r""")
+def q_stratified_split(spark, sf):
+    """A fifth of each drought class, to the row."""
+    return M.stratified_split(drought_label(panel(spark, sf)).select(*KEYS, "drought_class"), "drought_class")
+
+
 @register("class_weights", f"""{panel_ctes()},
 d as (select *, {ssnap(FS.strict('sum', 'total_precipitation_sum', 30), 9)} as precip_sum_30 from panel),
 q as (select quantile_cont(precip_sum_30, 0.2) as qa, quantile_cont(temperature_2m, 0.8) as qb,
@@ -292,3 +302,33 @@ _score("score_rainfall", "rainfall")
 _score("score_irrigation", "irrigation")
 _score("score_drought", "drought")
 _score("score_disease", "disease")
+
+
+@register("score_readings", f"""{panel_ctes()},
+f as ({A.FIELD_SQL}), d as (select distinct region, date from panel)
+select f.reading_id, f.region, cast(d.date as varchar) as as_of, true as rainfall_as_of_row, true as drought_as_of_row, true as irrigation_as_of_row, true as in_range
+from f asof left join d on f.region = d.region and f.as_of_day >= d.date""")
+def q_score_readings(spark, sf):
+    """Every reading scored by the saved and reloaded rainfall, drought and irrigation models: a reading with history is predicted as the panel row
+    that it matches in a plain batch scoring of the panel; all predictions are in the labels' range."""
+    from agrospark.plans.q_sources import _scratch
+    from agrospark.plans.scoring import PREDICTED, score_readings
+    tasks = ("rainfall", "drought", "irrigation")
+    frames = labelled_frames(spark, sf)
+    models = {}
+    for t in tasks:
+        path = _scratch(spark, f"served-{t}")
+        M.save(fitted(spark, sf, t), path)
+        models[t] = M.load(spark, path)
+    r = A.field_readings(spark, sf).select("reading_id", "region", "date", "as_of_day", "temperature", "humidity", "wind_speed", "precipitation")
+    got = score_readings(r, models, {t: frames[t][0] for t in tasks})
+    ok = F.lit(True)
+    for t in tasks:
+        df, _, label = frames[t]
+        rows = M.score(df, models[t]).select(F.col("region"), F.col("date").alias(f"{t}_as_of"), F.col("prediction").alias(f"_{t}"))
+        got = got.join(rows, ["region", f"{t}_as_of"], "left")
+        lo, hi = df.agg(F.min(label).cast("double"), F.max(label).cast("double")).first()
+        ok = ok & F.col(PREDICTED[t]).between(lo - 1e-9, hi + 1e-9)
+    same = [(F.col(f"{t}_as_of").isNull() | (F.abs(F.col(f"_{t}") - F.col(PREDICTED[t])) <= 1e-9)).alias(f"{t}_as_of_row") for t in tasks]
+    return got.select("reading_id", "region", F.col("drought_as_of").cast("string").alias("as_of"), *same, ok.alias("in_range"))
+

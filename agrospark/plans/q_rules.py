@@ -528,6 +528,18 @@ def q_serving_features(spark, sf):
     return snapped(R.serving_features(r, SERVING_LIST))
 
 
+@register("serving_history", f"""with base as ({_serving_sql(FT.DROUGHT_FEATURES)}), hist as ({FS.drought_sql()}),
+f as ({A.FIELD_SQL}),
+m as (select f.reading_id, f.region, f.as_of_day, h.date as as_of, h.* exclude (region, date) from f asof left join hist h on f.region = h.region and f.as_of_day >= h.date)
+select m.reading_id, m.region, cast(m.as_of as varchar) as as_of, {', '.join(f"coalesce(cast(m.{c} as double), base.{c}) as {c}" for c in FT.DROUGHT_FEATURES)}
+from m join base using (reading_id)""")
+def q_serving_history(spark, sf):
+    """The drought model's inputs of every reading: the features of its region's latest day up to the reading's, its own values before the first."""
+    r = A.field_readings(spark, sf).select("reading_id", "region", "date", "as_of_day", "temperature", "humidity", "wind_speed", "precipitation")
+    got = R.serving_features(r, FT.DROUGHT_FEATURES, history=FT.drought_features(panel(spark, sf)), as_of="as_of_day")
+    return got.select("reading_id", "region", F.col("as_of").cast("string").alias("as_of"), *[snap(F.col(c)).alias(c) for c in FT.DROUGHT_FEATURES])
+
+
 @register("score_all_cities", f"""with {_CURRENT},
 bs as (select c.city, c.city_rank, c.temperature, c.humidity,
     case when month(cast(c.ts as date)) in (5,6,7,8,9,10) then 'Wet' else 'Dry' end as season from cur c),

@@ -224,6 +224,20 @@ EXTREME_SQL = f"""select * replace (temperature + cast(30 as double) as temperat
   wind_speed + cast(8 as double) as wind_speed) from ({READINGS_SQL}) r0"""
 
 
+def field_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as taken in the panel's regions, on days (``as_of_day``) in and before the panel's time."""
+    r = readings(spark, sf_dir)
+    place = table(spark, sf_dir, "events").select(F.col("event_id").alias("reading_id"), F.concat(F.lit("R"), F.lpad((F.col("user_id") % 14).cast("string"), 2, "0")).alias("region"))
+    day = F.date_add(F.lit("1991-12-01").cast("date"), ((F.col("reading_id") * 7919) % 2600).cast("int"))
+    return r.join(place, "reading_id").withColumns({"as_of_day": day, "date": F.to_date("ts")})
+
+
+FIELD_SQL = """
+  select event_id as reading_id, concat('R', lpad(cast(user_id % 14 as varchar), 2, '0')) as region,
+    DATE '1991-12-01' + cast((event_id * 7919) % 2600 as integer) as as_of_day
+  from events"""
+
+
 # ----------------------------------------------------------------------------- fao raw (from orders)
 
 def fao_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
