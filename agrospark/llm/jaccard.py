@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrospark.llm.common import SHARES, lookup, row_key, ship, within, written
+from agrospark.llm.common import SHARES, lookup, row_key, ship, written
 from agrospark.llm.components import components
-from agrospark.llm.decontam import _columns, by_bytes, gram_hashes, word_hashes
+from agrospark.llm.decontam import _columns, by_bytes, gram_hashes, screen_table, word_hashes
 
 CELL_BITS = 22
 CELLS = 1 << CELL_BITS
@@ -158,63 +159,127 @@ def summaries(docs: DataFrame, k: int, share: int, levels: np.ndarray, id_col: s
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, _k1 long, _k2 long, n long, node struct<d1: bigint, d2: bigint>, pivots array<bigint>")
 
 
-def _sets(docs: DataFrame, reps: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``node, items``: whole sets of the classes ``reps`` (``node, _k1, _k2``), read again from their texts."""
+# ---- distances and joins ----
+
+#: pairs of a node whose set is made at once
+TOGETHER = 64
+#: rows (a node and up to TOGETHER pairs each) that are broadcast to the texts; more are joined by a shuffle
+NODE_ROWS = 250_000
+
+
+def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """``a, b, na, nb, o`` of distinct pairs ``a, b`` (written): set sizes and the size of the intersection, written.
+
+    ``reps``: ``node, _k1, _k2``, a row of each class. A class's text is read again and its whole set made where the text lies; the set goes to each pair of the node, so a
+    pair's two sets meet in a group of their own, however many pairs a node has.
+    """
+    rows = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+    table = written(rows.groupBy("node").agg(F.count("*").alias("w")).join(reps, "node"), "to-read")
+    rows = lookup(rows, table, ["node"], "w", ["a", "b"])
+    part = F.pmod(F.xxhash64("a", "b"), F.ceil(F.col("w") / TOGETHER))
+    rows = written(rows.groupBy("node", "_k1", "_k2", part.alias("part")).agg(F.collect_list(F.struct("a", "b")).alias("pairs")).drop("part"), "pairs-of")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches):
             h, at = shingles(b.column("text"), k)
-            got = [np.unique(h[at[i]:at[i + 1]]).view(np.int64) for i in range(b.num_rows)]
-            ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("_k1", "_k2")], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got)))], names=["_k1", "_k2", "items"])
+            sets = [np.unique(h[at[i]:at[i + 1]]).view(np.int64) for i in range(b.num_rows)]
+            count = pc.list_value_length(b.column("pairs")).to_numpy(zero_copy_only=False)
+            owner = pa.array(np.repeat(np.arange(b.num_rows), count))
+            own, pair = b.column("node").take(owner), b.column("pairs").flatten()
+            first = pc.and_(*[pc.equal(pc.struct_field(own, d), pc.struct_field(pair, ["a", d])) for d in ("d1", "d2")])
+            for lo in range(0, len(pair), 1024):
+                items = [sets[i] for i in owner.slice(lo, 1024).to_pylist()]
+                ends = np.cumsum([0, *map(len, items)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*[pc.struct_field(pair.slice(lo, 1024), x) for x in "ab"], first.slice(lo, 1024),
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(items)))], names=["a", "b", "first", "items"])
+
+    texts = docs.select(*row_key(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    read = texts.join(F.broadcast(rows) if rows.count() <= NODE_ROWS else rows, ["_k1", "_k2"]).select("node", "pairs", "text")
+    kind = "struct<d1: bigint, d2: bigint>"
+    sent = read.mapInArrow(run, f"a {kind}, b {kind}, first boolean, items array<bigint>")
+    met = sent.groupBy("a", "b").agg(F.first(F.when(F.col("first"), F.col("items")), True).alias("x"), F.first(F.when(~F.col("first"), F.col("items")), True).alias("y"))
+    return written(met.select("a", "b", F.size("x").cast("long").alias("na"), F.size("y").cast("long").alias("nb"), F.size(F.array_intersect("x", "y")).cast("long").alias("o")), "overlaps")
 
-    texts = within(_keyed(docs, id_col, text_col).drop("id"), reps, ["_k1", "_k2"])
-    found = texts.mapInArrow(run, "_k1 long, _k2 long, items array<bigint>")
-    return reps.join(found, ["_k1", "_k2"]).dropDuplicates(["node"]).select("node", "items")
 
+def _linked(share: int):
+    return F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * share
 
-# ---- distances and joins ----
 
-def _with_sets(rows: DataFrame, sets: DataFrame, on: str, name: str, spread: str) -> DataFrame:
-    """``rows`` with the set of node ``on`` as ``name``. Sets are long, so those of nodes above 1/SHARES of the rows are dealt over as many salts
-    as they hold shares; only the salt counts (fewer than SHARES rows) are broadcast."""
-    w = written(rows.groupBy(on).agg(F.count("*").alias("w")), "uses")
-    total = w.agg(F.sum("w")).first()[0] or 0
-    heavy = w.filter(F.col("w") * SHARES > total).select(on, F.ceil(F.col("w") * SHARES / total).alias("salts"))
-    salt = F.pmod(F.xxhash64(spread), F.coalesce("salts", F.lit(1).cast("long")))
-    r = rows.join(F.broadcast(heavy), on, "left").withColumn("_salt", salt).drop("salts")
-    s = sets.select(F.col("node").alias(on), F.col("items").alias(name)).join(w.select(on), on, "left_semi")
-    s = s.join(F.broadcast(heavy), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1).cast("long")) - 1))).drop("salts")
-    return r.join(s, [on, "_salt"]).drop("_salt")
+def _least_common(na, nb, share: int):
+    """Members that two linked sets of these sizes have in common at least."""
+    return F.ceil(F.lit(share) * (na + nb) / F.lit(100 + share) - F.lit(1e-6))
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, na, nb, o`` of distinct pairs ``a, b``: set sizes and the size of the intersection, written."""
-    got = _with_sets(_with_sets(pairs, sets, "a", "sa", "b"), sets, "b", "sb", "a")
-    return written(got.select("a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"),
-                              F.size(F.array_intersect("sa", "sb")).cast("long").alias("o")), "overlaps")
+def _region_rows(classes: DataFrame, share: int) -> DataFrame:
+    """``region, node, n, pos, label`` of the first diagram: the regions where a linked pair can meet, and in them the members that have a possible partner.
 
+    The smaller one of a linked pair holds the shared pivot so early that it could link to its like (``core``); the larger one leaves
+    room for the smallest such member. A bit table of the regions (bounded) spares the rows of all others, the join decides.
+    """
+    core = F.col("n") - F.col("pos") >= _least_common(F.col("n"), F.col("n"), share)
+    some = classes.filter("n > 0")
+    places = some.select("n", F.posexplode("pivots").alias("pos", "region"))
+    shared = places.groupBy("region").agg(F.count("*").alias("size"), F.min(F.when(core, F.col("n"))).alias("least"))
+    shared = written(shared.filter("size > 1 and least is not null").withColumnRenamed("region", "h"), "regions")
+    screen, bits = screen_table(shared)
+    table = np.frombuffer(screen, np.uint8)
 
-def _linked(share: int):
-    return F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * share
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("pivots")
+            ends = np.cumsum(np.concatenate([[0], pc.list_value_length(lists).to_numpy(zero_copy_only=False)]))
+            h = lists.flatten().to_numpy(zero_copy_only=False)
+            at = (h.view(_U) >> _U(64 - bits)).astype(np.int64)
+            hit = np.flatnonzero(table[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            owner = np.searchsorted(ends, hit, "right") - 1
+            rows = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([b.column("node").take(rows), b.column("n").take(rows), pa.array((hit - ends[owner]).astype(np.int32)), pa.array(h[hit])],
+                                             names=["node", "n", "pos", "h"])
+
+    rows = some.select("node", "n", "pivots").mapInArrow(run, "node struct<d1: bigint, d2: bigint>, n long, pos int, h long")
+    got = lookup(written(rows, "region-places"), shared, ["h"], "size", ["node"]).filter("size is not null")
+    room = (F.col("n") - F.col("pos")) * F.lit(100 + share) / F.lit(share) - F.col("n") + F.lit(1e-6)
+    got = got.filter(core | (room >= F.col("least")))
+    return got.select(F.col("h").alias("region"), "node", "n", "pos", F.xxhash64("node").alias("label"))
+
+
+def _allowed(share: int):
+    """Sizes and positions of a pair ``a, b`` that may be linked; members with the same label are known to be connected."""
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * share
+    return sizes & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _least_common(F.col("na"), F.col("nb"), share)) & (F.col("la") != F.col("lb"))
+
+
+def _sides(rows: DataFrame, *more):
+    side = lambda i: rows.select("region", *more, F.col("node").alias(i), *[F.col(c).alias(f"{c[0]}{i}") for c in ("n", "pos", "label")])
+    return side("a"), side("b")
 
 
 def _paired(rows: DataFrame, share: int) -> DataFrame:
-    """``a, b``: pairs within the regions of ``rows`` (``region, node, n, pos, home``) that sizes and positions allow, one of them at home. ``blocks``
-    of a large region meet two by two, so that no task holds it whole."""
-    x = rows.select("region", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("home").alias("ha"))
-    y = rows.select("region", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("home").alias("hb"))
-    least = F.ceil(F.lit(share) * (F.col("na") + F.col("nb")) / F.lit(100 + share) - F.lit(1e-6))
-    sizes = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * share)
-    places = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= least
-    return x.join(y, "region").filter((F.col("a") < F.col("b")) & sizes & places & (F.col("ha") | F.col("hb"))).select("a", "b")
+    """``a, b``: the allowed pairs within the (small) regions of ``rows``."""
+    x, y = _sides(rows)
+    return x.join(y, "region").filter((F.col("a") < F.col("b")) & _allowed(share)).select("a", "b")
 
 
-def _in_blocks(rows: DataFrame, sizes: DataFrame, block: int = 256) -> DataFrame:
-    """Rows of large regions as rows of smaller ones, one for each two blocks, so that every pair meets exactly in one of them."""
-    r = rows.join(sizes.select("region", F.ceil(F.col("size") / block).alias("blocks")), "region")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    r = r.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return r.withColumn("region", F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))).select("region", "node", "n", "pos", "home")
+def _apart(rows: DataFrame, share: int, block: int = 64) -> DataFrame:
+    """``a, b``: the allowed pairs with at least one member outside of its region's main label (``out``). Members outside are dealt into blocks, and every
+    block meets the region's other rows in a task of its own, so that no task holds a region; rows in the main label never meet each other."""
+    blocks = rows.groupBy("region").agg(F.ceil(F.count(F.when(F.col("out"), 1)) / block).alias("blocks")).filter("blocks > 0")
+    r = rows.join(blocks, "region")
+    x = _sides(r.filter("out").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks"))), "part")[0]
+    y = _sides(r.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))), "part", "out")[1]
+    pair = x.join(y, ["region", "part"]).filter(_allowed(share) & (~F.col("out") | (F.col("a") < F.col("b"))))
+    return pair.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _labels(near: DataFrame, slots: int) -> DataFrame:
+    """``region, slot, group``: the pivots' groups, from ``region, slot, other``: pivots within t of each other. A region has at most slots^2 rows."""
+    got = near.select("region", "slot", F.least("slot", "other").alias("group"))
+    got = written(got.groupBy("region", "slot").agg(F.min("group").alias("group")), "groups")
+    for _ in range(max(1, (slots - 1).bit_length())):
+        step = near.join(got.select("region", F.col("slot").alias("other"), "group"), ["region", "other"]).groupBy("region", "slot").agg(F.min("group").alias("group"))
+        jump = got.select("region", F.col("slot").alias("group"), F.col("group").alias("further"))
+        got = written(step.join(jump, ["region", "group"]).select("region", "slot", F.least("group", "further").alias("group")), "groups")
+    return got
 
 
 def jaccard_links(docs: DataFrame, classes: DataFrame, k: int = 3, share: int = 90, small: int = 24, pivots: int = 8, depth: int = 4,
@@ -226,63 +291,89 @@ def jaccard_links(docs: DataFrame, classes: DataFrame, k: int = 3, share: int =
     t = 1 - share / 100
     node = lambda c, salt: F.struct(F.col(f"{c}.d1").alias("d1"), F.col(f"{c}.d2").alias("d2"), salt.alias("salt"))
     none = F.lit(0).cast("long")
-    region = classes.filter("n > 0").select("node", "n", F.posexplode("pivots").alias("pos", "region"))
-    shared = written(region.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1"), "regions")
-    rows = written(within(region, shared, ["region"]).withColumn("home", F.lit(True)), "region-rows")
-    pairs, links, measured = [], [], []
+    rows = written(_region_rows(classes, share).withColumns({"main": F.lit(False), "out": F.lit(True)}), "region-rows")
+    pairs, links = [], []
     reps = classes.select("node", "_k1", "_k2")
     for level in range(depth + 1):
-        sizes = written(rows.groupBy("region").agg(F.count("*").alias("size")), "sizes")
+        sizes = rows.groupBy("region").agg(F.count("*").alias("size"), F.count(F.when(F.col("out"), 1)).alias("n_out"))
         large = written(sizes.filter(F.col("size") > small), "large")
         if not large.limit(1).count():
             pairs.append(_paired(rows, share))
             break
-        inside = written(rows.join(large.select("region"), "region", "left_semi"), "large-rows")
         pairs.append(_paired(rows.join(large.select("region"), "region", "left_anti"), share))
+        inside = written(rows.join(large.select("region"), "region", "left_semi"), "large-rows")
+        if level:                                 # with few members outside of the main label, each simply meets the rest
+            few = large.filter(F.col("n_out") <= small).select("region")
+            pairs.append(_apart(inside.join(few, "region", "left_semi"), share))
+            large = written(large.filter(F.col("n_out") > small), "larger")
+            inside = inside.join(large.select("region"), "region", "left_semi")
+            if not large.limit(1).count():
+                break
         if level == depth:
-            pairs.append(_paired(_in_blocks(inside, large), share))
+            pairs.append(_apart(inside, share))
             break
-        # pivots of a region: of each slot the member that comes first by hash, the same in every region that it is in
+        # pivots: of each slot the member outside that holds the region's own pivot earliest, so has least of its own; then by hash
         mixed = F.xxhash64(F.lit(level), "node.d1", "node.d2")
-        chosen = written(inside.filter("home").groupBy("region", F.pmod(mixed, F.lit(pivots)).alias("slot"))
-                         .agg(F.min(F.struct(mixed.alias("h"), "node")).alias("p")).select("region", "slot", F.col("p.node").alias("b")), "pivots")
-        # a region's pivots are at most ``pivots`` rows; its members may be a third of all, so they are not moved by region alone
-        each = chosen.groupBy("region").agg(F.collect_list(F.struct("slot", "b")).alias("ps"))
-        met = written(_by_region(inside, each, large).select("region", "node", "n", "pos", "home", F.explode("ps").alias("p"))
-                      .select("region", F.col("node").alias("a"), "n", "pos", "home", "p.slot", "p.b"), "met")
-        want = met.filter("a <> b").select("a", "b").distinct()
-        nodes = written(want.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "measured")
-        sets = written(_sets(docs, reps.join(nodes, "node"), k, id_col, text_col), "sets")
-        far = overlaps(written(want, "to-measure"), sets)
+        chosen = (inside.filter("out").groupBy("region", F.pmod(mixed, F.lit(pivots)).alias("slot"))
+                  .agg(F.min(F.struct("pos", mixed.alias("h"), "node")).alias("p")).select("region", "slot", F.col("p.node").alias("b")))
+        chosen = chosen.groupBy("region").agg(F.collect_list(F.struct("slot", "b")).alias("ps"))        # at most ``pivots`` a region
+        table = written(chosen.join(large.select("region", F.col("size").alias("w")), "region"), "pivots")
+        met = lookup(inside, table, ["region"], "w", ["node"]).filter("ps is not null").select("region", "node", "n", "pos", "label", "main", "out", F.explode("ps").alias("p"))
+        met = written(met.select("region", F.col("node").alias("a"), "n", "pos", "label", "main", "out", "p.slot", "p.b"), "met")
+        want = written(met.filter("a <> b").select("a", "b").distinct(), "to-measure")
+        far = overlaps(want, docs, reps, k, id_col, text_col)
         hit = far.filter(_linked(share)).select("a", "b")
         salt = F.pmod(F.xxhash64("a"), F.lit(SHARES)) + 1
         links += [hit.select(node("a", none).alias("a"), node("b", salt).alias("b")), hit.select(node("b", none).alias("a"), node("b", salt).alias("b")).distinct()]
         d = F.when(F.col("a") == F.col("b"), 0.0).otherwise(1 - F.col("o") / (F.col("na") + F.col("nb") - F.col("o")))
-        got = written(met.join(far, ["a", "b"], "left").select("region", "a", "n", "pos", "home", "slot", "b", d.alias("d")), "distances")
-        best = got.groupBy("region", "a").agg(F.min(F.struct("d", "slot")).alias("m"))
-        cells = written(got.join(best, ["region", "a"]).filter(F.col("d") <= F.col("m.d") + 2 * t + 1e-9)
-                        .select("region", "a", "n", "pos", "slot", "d", (F.col("home") & (F.col("slot") == F.col("m.slot"))).alias("home"), (F.col("a") == F.col("b")).alias("is_pivot")), "cells")
-        # of a cell go on: the shell, and the members that may be within t of its nearest
-        shell = F.col("d") > t + 1e-9
-        edge = written(cells.filter(shell).groupBy("region", "slot").agg(F.min("d").alias("edge")), "edges")
-        rest = cells.filter("not is_pivot").join(edge, ["region", "slot"]).filter(shell | (F.col("d") >= F.col("edge") - t - 1e-9))
-        rows = written(rest.select(F.xxhash64("region", "slot").alias("region"), F.col("a").alias("node"), "n", "pos", "home"), "cell-rows")
+        linked = (F.col("a") == F.col("b")) | _linked(share)
+        got = written(met.join(far, ["a", "b"], "left").select("region", "a", "b", "n", "pos", "label", "main", "slot", d.alias("d"), linked.alias("linked")), "distances")
+        rows = written(_cells(got, pivots, t), "cell-rows")
+        # cells that spare less than half of the pairs are not split further
+        pairs.append(_apart(rows.filter("stop").drop("stop"), share))
+        rows = rows.filter("not stop").drop("stop")
     want = pairs[0]
     for p in pairs[1:]:
         want = want.unionByName(p)
     want = written(want.distinct(), "pairs")
-    nodes = written(want.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
-    sets = written(_sets(docs, reps.join(nodes, "node"), k, id_col, text_col), "sets")
-    out = overlaps(want, sets).filter(_linked(share)).select(node("a", none).alias("a"), node("b", none).alias("b"))
+    out = overlaps(want, docs, reps, k, id_col, text_col).filter(_linked(share)).select(node("a", none).alias("a"), node("b", none).alias("b"))
     for x in links:
         out = out.unionByName(x)
     return out
 
 
-def _by_region(rows: DataFrame, each: DataFrame, large: DataFrame) -> DataFrame:
-    """``rows`` with the pivots of their region; a region may hold a third of all rows."""
-    table = written(each.join(large.withColumnRenamed("size", "w"), "region"), "region-pivots")
-    return lookup(rows, table.select("region", "w", "ps"), ["region"], "w", ["node"]).filter("ps is not null")
+def _cells(got: DataFrame, pivots: int, t: float) -> DataFrame:
+    """The next level's rows, from the distances ``region, a, b, n, pos, label, main, slot, d, linked`` of members to pivots.
+
+    Members linked to a pivot, and groups of pivots linked to each other, are one component: they share a label (an earlier main label
+    that a pivot links to stays). The region's ``main`` label is its most frequent one. A linked pair of different labels has a member outside of it; in
+    the cell where that one is at home (``out``) the other one is too, by the inequality. Of a cell's other members, those that the inequality keeps apart from all such go.
+    ``stop``: the region's cells hold more than half of the pairs that the region holds.
+    """
+    is_pivot = F.col("a") == F.col("b")
+    places = got.filter(is_pivot).select("region", F.col("slot").alias("other"), "a")
+    near = written(got.filter("linked").join(places, ["region", "a"]).select("region", "slot", "other").distinct(), "pivot-links")
+    near = near.unionByName(near.select("region", F.col("other").alias("slot"), F.col("slot").alias("other")))
+    named = got.filter("linked").join(_labels(near, pivots), ["region", "slot"])
+    kept = named.filter("main").groupBy("region", "group").agg(F.min("label").alias("old"))
+    name = named.select("region", "group").distinct().join(kept, ["region", "group"], "left").select(
+        "region", "group", F.coalesce("old", F.xxhash64(F.lit("group"), "region", "group")).alias("name"))
+    mine = named.join(name, ["region", "group"]).groupBy("region", "a").agg(F.min("name").alias("name"))
+    best = got.groupBy("region", "a").agg(F.min(F.struct("d", "slot")).alias("m"))
+    rows = got.join(best, ["region", "a"]).join(mine, ["region", "a"], "left").filter(F.col("d") <= F.col("m.d") + 2 * t + 1e-9)
+    rows = rows.select("region", "slot", "a", "n", "pos", F.coalesce("name", "label").alias("label"), "d", (F.col("slot") == F.col("m.slot")).alias("home"),
+                       is_pivot.alias("is_pivot"))
+    rows = written(rows, "cells")
+    top = rows.filter("home").groupBy("region", "label").agg(F.count("*").alias("c")).groupBy("region").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
+    top = written(top.select("region", F.col("top.label").alias("first"), "all"), "main-labels")
+    rows = rows.join(top, "region").withColumn("main", F.col("label") == F.col("first")).withColumn("out", F.col("home") & ~F.col("main") & ~F.col("is_pivot"))
+    reach = F.col("d").between(F.col("lo") - t - 1e-9, F.col("hi") + t + 1e-9)
+    span = written(rows.filter("out").groupBy("region", "slot").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "spans")
+    rows = rows.filter("not is_pivot").join(span, ["region", "slot"]).filter(reach)
+    work = rows.groupBy("region", "slot").agg(F.count("*").alias("size"), F.count(F.when(F.col("out"), 1)).alias("n_out"))
+    work = work.groupBy("region").agg(F.sum(F.col("size") * F.col("n_out")).alias("work"), F.sum("n_out").alias("n_out"))
+    stop = written(work.join(top, "region").select("region", (F.col("work") * 2 > F.col("n_out") * F.col("all")).alias("stop")), "worth")
+    return rows.join(stop, "region").select(F.xxhash64("region", "slot").alias("region"), F.col("a").alias("node"), "n", "pos", "label", "main", "out", "stop")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, share: int = 90, small: int = 24, pivots: int = 8, depth: int = 4,
