@@ -5,12 +5,12 @@ replacement, deletion and insertion over the small alphabet) and joined with the
 one edit apart have reduced forms at most one edit apart, so no pair is missed. Every pair that meets is verified on the original strings.
 
 Forms are 64-bit polynomial hashes mod 2^64 that numpy derives from prefix sums, so a word of L letters costs O(L), not
-O(L^2), however long it is. A bit table of the vocabulary's forms (at most 2^27 bits whatever the vocabulary) goes to every task and
-spares the neighbours that nobody has; the join decides.
+O(L^2), however long it is. Two bit tables of the vocabulary's forms (at most 2^27 bits each whatever the vocabulary) go to every task and
+spare the neighbours that nobody has; the join decides.
 
 A reduced form that more than ``crowd`` words share is not paired at this level: whoever reaches it tries again at the
-next level, whose alphabet is larger, among the crowded words only; at the last level every letter is its own symbol. So a pair is found
-exactly once per direction, and no bucket is ever paired with itself in full.
+next level, whose alphabet is larger, among the crowded words only; at the last level every letter is its own symbol. So either word finds the other
+exactly once (one of the two finds is kept), and no bucket is ever paired with itself in full.
 
 Words are counted once per task in Python and combined before the shuffle; a document may be of any length.
 
@@ -162,9 +162,23 @@ def _formed(words: DataFrame, q: int) -> DataFrame:
     return words.select("_k1", "_k2", "word").mapInArrow(run, "_k1 long, _k2 long, h long")
 
 
-def _probes(words: DataFrame, q: int, screen: tuple[bytes, int]) -> DataFrame:
-    """``_k1, _k2, h``: of each word, the forms of its neighbourhood that the screen knows."""
-    table, bits = np.frombuffer(screen[0], np.uint8), screen[1]
+def _screens(formed: DataFrame) -> list[tuple[bytes, int]]:
+    """Two bit tables of the forms, by the upper and by the lower bits of their hashes."""
+    turned = F.shiftleft("h", 32).bitwiseOR(F.shiftrightunsigned("h", 32))
+    return [screen_table(formed.select("h")), screen_table(formed.select(turned.alias("h")))]
+
+
+def _known(h: np.ndarray, screens: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    ok = np.ones(len(h), bool)
+    for (table, bits), x in zip(screens, (h, h << _U(32) | h >> _U(32))):
+        place = (x >> _U(64 - bits)).astype(np.int64)
+        ok &= (table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+    return ok
+
+
+def _probes(words: DataFrame, q: int, screens: list[tuple[bytes, int]]) -> DataFrame:
+    """``_k1, _k2, h``: of each word, the forms of its neighbourhood that the screens know."""
+    tables = [(np.frombuffer(t, np.uint8), bits) for t, bits in screens]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in by_bytes(batches, "word"):
@@ -172,8 +186,7 @@ def _probes(words: DataFrame, q: int, screen: tuple[bytes, int]) -> DataFrame:
                 b = whole.slice(at, 2000)
                 who, hits = [], []
                 for i, h in neighbours(b.column("word").to_pylist(), q):
-                    place = (h >> _U(64 - bits)).astype(np.int64)
-                    ok = (table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                    ok = _known(h, tables)
                     who.append(i[ok])
                     hits.append(h[ok])
                 pair = np.unique(np.stack([np.concatenate(who).astype(_U), np.concatenate(hits)]), axis=1)
@@ -183,20 +196,22 @@ def _probes(words: DataFrame, q: int, screen: tuple[bytes, int]) -> DataFrame:
     return words.select("_k1", "_k2", "word").mapInArrow(run, "_k1 long, _k2 long, h long")
 
 
-def near_words(vocab: DataFrame, levels=(8, 32, 0), crowd: int = 32) -> DataFrame:
-    """``_k1, _k2, o1, o2``: keys of candidate pairs (word, other word), each direction a row of its own, before verification.
+def near_words(vocab: DataFrame, levels=(16, 0), crowd: int = 32) -> DataFrame:
+    """``_k1, _k2, o1, o2``: keys of candidate pairs before verification, the lesser key first, each pair once.
 
     ``vocab``: ``_k1, _k2, word``, one row per word, written. ``levels``: symbols of each level, the last one 0 (all letters).
     """
     table, tries, found = vocab, vocab, None
+    lesser = (F.col("_k1") < F.col("o1")) | ((F.col("_k1") == F.col("o1")) & (F.col("_k2") < F.col("o2")))
     for i, q in enumerate(levels):
         formed = written(_formed(table, q), "reduced")
-        hits = written(_probes(tries, q, screen_table(formed)), "probes")
+        hits = _probes(tries, q, _screens(formed))
         last = i + 1 == len(levels)
         crowded = None if last else written(formed.groupBy("h").count().filter(F.col("count") > crowd).select("h"), "crowded")
         some = not last and crowded.limit(1).count() > 0
+        hits = written(hits, "probes") if some else hits
         here = formed.join(crowded, "h", "left_anti") if some else formed
-        got = hits.join(here.select("h", F.col("_k1").alias("o1"), F.col("_k2").alias("o2")), "h").drop("h").filter("_k1 <> o1 or _k2 <> o2")
+        got = hits.join(here.select("h", F.col("_k1").alias("o1"), F.col("_k2").alias("o2")), "h").drop("h").filter(lesser)
         found = got if found is None else found.unionByName(got)
         if not some:
             break
@@ -207,10 +222,10 @@ def near_words(vocab: DataFrame, levels=(8, 32, 0), crowd: int = 32) -> DataFram
     return found
 
 
-def spelling_variants(vocab: DataFrame, times: int = 10, levels=(8, 32, 0), crowd: int = 32) -> tuple[DataFrame, DataFrame]:
+def spelling_variants(vocab: DataFrame, times: int = 10, levels=(16, 0), crowd: int = 32) -> tuple[DataFrame, DataFrame]:
     """``(words, pairs)`` of a table ``word, n``.
 
-    words: ``word, n, n_near, form, form_n, root``. pairs: ``_k1, _k2, word, n, o1, o2, other, other_n``: the near words, both ways.
+    words: ``word, n, n_near, form, form_n, root``. pairs: ``word, n, other, other_n`` (with keys): the near words, each pair once.
     """
     ship(vocab.sparkSession)
     vocab = written(vocab.select(*hash128(F.col("word"), "_k1", "_k2"), "word", "n"), "vocabulary")
@@ -218,8 +233,9 @@ def spelling_variants(vocab: DataFrame, times: int = 10, levels=(8, 32, 0), crow
     other = vocab.select(F.col("_k1").alias("o1"), F.col("_k2").alias("o2"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     # a word has at most a few letters times the alphabet of near words, so no key of these joins is hot
     pairs = written(found.join(vocab, ["_k1", "_k2"]).join(other, ["o1", "o2"]).filter(F.levenshtein("word", "other", 1) == 1), "near-words")
-    first = F.min(F.struct((-F.col("other_n")).alias("less"), "other", "o1", "o2"))
-    best = pairs.groupBy("_k1", "_k2").agg(F.count("*").alias("n_near"), first.alias("b"))
+    sides = [F.struct(F.col(a).alias("_k1"), F.col(b).alias("_k2"), F.struct((-F.col(n)).alias("less"), F.col(w).alias("other"), F.col(c).alias("o1"), F.col(d).alias("o2")).alias("b"))
+             for a, b, c, d, w, n in (("_k1", "_k2", "o1", "o2", "other", "other_n"), ("o1", "o2", "_k1", "_k2", "word", "n"))]
+    best = pairs.select(F.explode(F.array(*sides)).alias("x")).select("x.*").groupBy("_k1", "_k2").agg(F.count("*").alias("n_near"), F.min("b").alias("b"))
     has = -F.col("b.less") >= F.col("n") * times
     words = written(vocab.join(best, ["_k1", "_k2"], "left").select(
         "_k1", "_k2", "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(has, F.col("b.other")).alias("form"),
