@@ -101,7 +101,8 @@ class SummaryStore:
     def rebracket(self, all_rows: DataFrame) -> None:
         """Place brackets around the present estimates and count all loads' rows around them; the moments stay."""
         state = self._state()
-        merged = self._live("moments", state).groupBy().pivot("column", list(self.spec)).agg(F.kll_merge_agg_double("sketch", F.lit(KLL_K)))
+        merged = self._live("moments", state).groupBy("column").agg(F.kll_merge_agg_double("sketch", F.lit(KLL_K)).alias("sketch"))
+        merged = merged.groupBy().pivot("column", list(self.spec)).agg(F.first("sketch"))
         epoch = state["epoch"] + 1
         brackets = self._place(merged)
         self._summarise(all_rows, 0, epoch, brackets, False)

@@ -76,53 +76,51 @@ def summarise(keyed: DataFrame) -> DataFrame:
 
 
 def _carry(s: DataFrame, part: list[str], order: str) -> DataFrame:
-    """For each node, what its siblings offer: ``p_<c>`` the last known value before it and ``x_<c>`` the first after it, each with the rows
+    """For each node (``n, s``), what its siblings offer: ``p`` the last known value before it and ``x`` the first after it, each with the rows
     between; and ``_off``, ``_after``: rows of earlier and later siblings."""
     before = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*part).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     s = s.withColumns({"_off": F.coalesce(F.sum("n").over(before), zero), "_after": F.coalesce(F.sum("n").over(after), zero)})
-    out = {}
-    for c in MEASURES:
-        x = F.col(f"s_{c}")
-        p = F.last(F.when(x.isNotNull(), F.struct((F.col("_off") + F.col("n") - x["ld"]).alias("at"), x["lv"].alias("v"))), True).over(before)
-        q = F.last(F.when(x.isNotNull(), F.struct((F.col("_after") + F.col("n") - x["fd"]).alias("at"), x["fv"].alias("v"))), True).over(after)
-        out[f"p_{c}"] = F.when(p.isNotNull(), F.struct((F.col("_off") - p["at"]).alias("d"), p["v"].alias("v")))
-        out[f"x_{c}"] = F.when(q.isNotNull(), F.struct((F.col("_after") - q["at"]).alias("d"), q["v"].alias("v")))
-    return s.withColumns(out)
+    p = F.last(F.when(F.col("s").isNotNull(), F.struct((F.col("_off") + F.col("n") - F.col("s.ld")).alias("at"), F.col("s.lv").alias("v"))), True).over(before)
+    x = F.last(F.when(F.col("s").isNotNull(), F.struct((F.col("_after") + F.col("n") - F.col("s.fd")).alias("at"), F.col("s.fv").alias("v"))), True).over(after)
+    s = s.withColumns({"p": p, "x": x})
+    return s.withColumns({k: F.when(F.col(k).isNotNull(), F.struct((F.col(o) - F.col(f"{k}.at")).alias("d"), F.col(f"{k}.v").alias("v"))) for k, o in (("p", "_off"), ("x", "_after"))})
 
 
 def _rollup(s: DataFrame, part: list[str], order: str) -> DataFrame:
     """The parents' summaries, from nodes with ``_off`` and ``_after``."""
-    aggs = []
-    for c in MEASURES:
-        x = F.col(f"s_{c}")
-        known = F.when(x.isNotNull(), F.col(order))
-        f, t = F.min_by(F.struct((F.col("_off") + x["fd"]).alias("d"), x["fv"].alias("v")), known), F.max_by(F.struct((F.col("_after") + x["ld"]).alias("d"), x["lv"].alias("v")), known)
-        aggs.append(F.when(F.count(x) > 0, F.struct(f["d"].alias("fd"), f["v"].alias("fv"), t["d"].alias("ld"), t["v"].alias("lv"))).alias(f"s_{c}"))
-    return s.groupBy(*part).agg(F.sum("n").alias("n"), *aggs)
+    known = F.when(F.col("s").isNotNull(), F.col(order))
+    got = s.groupBy(*part).agg(F.sum("n").alias("n"), F.min_by(F.struct((F.col("_off") + F.col("s.fd")).alias("d"), F.col("s.fv").alias("v")), known).alias("f"),
+                               F.max_by(F.struct((F.col("_after") + F.col("s.ld")).alias("d"), F.col("s.lv").alias("v")), known).alias("l"))
+    return got.select(*part, "n", F.when(F.col("f").isNotNull(), F.struct(F.col("f.d").alias("fd"), F.col("f.v").alias("fv"), F.col("l.d").alias("ld"), F.col("l.v").alias("lv"))).alias("s"))
 
 
 def carries(blocks: DataFrame) -> DataFrame:
-    """``region, block, e_<c>, carry``: per measure what the block's edge gaps take from outside (null where it has no such gap), and its digest."""
-    leaf = _carry(blocks.select(*BLOCK, "n", *[f"s_{c}" for c in MEASURES]).withColumn("year", F.year("block")), ["region", "year"], "block")
-    year = _carry(_rollup(leaf, ["region", "year"], "block"), ["region"], "year")
-    root = _rollup(year, ["region"], "year")
+    """``region, block, e, carry``: ``e`` maps a measure to what the block's edge gaps take from outside (null where it has no such gap); ``carry`` is its digest.
+
+    The tree has a row per block (or year, or region) and measure."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("m"), F.col(f"s_{c}").alias("s")) for c in MEASURES])).alias("x")
+    leaf = blocks.select(*BLOCK, "n", each).select(*BLOCK, F.year("block").alias("year"), "n", "x.m", "x.s")
+    leaf = written(_carry(leaf, ["region", "m", "year"], "block"))
+    year = _carry(_rollup(leaf, ["region", "m", "year"], "block"), ["region", "m"], "year")
+    root = written(_rollup(year, ["region", "m"], "year"))
     # a measure that a whole region lacks takes the first value of the next region that has one
-    flat = written(root.select("region", "n", *[F.col(f"s_{c}.fv").alias(c) for c in MEASURES]))
-    follow = D._series_edges(flat, MEASURES, ["region"], ["n"], B.resolve(flat, None, "region"))
-    up = year.select("region", "year", *[F.col(f"{k}_{c}").alias(f"y{k}_{c}") for c in MEASURES for k in "px"])
-    j = leaf.join(up, ["region", "year"]).join(follow.select("region", *[f"_next_{c}" for c in MEASURES]), "region")
-    out = []
-    for c in MEASURES:
-        x = F.col(f"s_{c}")
-        p = F.coalesce(F.col(f"p_{c}"), F.when(F.col(f"yp_{c}").isNotNull(), F.struct((F.col(f"yp_{c}.d") + F.col("_off")).alias("d"), F.col(f"yp_{c}.v").alias("v"))))
-        q = F.coalesce(F.col(f"x_{c}"), F.when(F.col(f"yx_{c}").isNotNull(), F.struct((F.col(f"yx_{c}.d") + F.col("_after")).alias("d"), F.col(f"yx_{c}.v").alias("v"))))
-        lead, trail = x.isNull() | (x["fd"] > 0), x.isNull() | (x["ld"] > 0)
-        # a gap at the front also needs the value after it: that one is inside unless the block knows none
-        out.append(F.struct(F.when(lead, p).alias("p"), F.when(trail, q).alias("x"), F.when(x.isNull() & p.isNull() & q.isNull(), F.col(f"_next_{c}")).alias("r")).alias(f"e_{c}"))
-    e = j.select(*BLOCK, *out)
-    return e.withColumn("carry", F.xxhash64(*[F.col(f"e_{c}") for c in MEASURES]))
+    follow = None
+    if root.filter("s is null").limit(1).count():
+        flat = written(root.groupBy("region").agg(F.first("n").alias("n"), *[F.max(F.when(F.col("m") == c, F.col("s.fv"))).alias(c) for c in MEASURES]))
+        edge = D._series_edges(flat, MEASURES, ["region"], ["n"], B.resolve(flat, None, "region"))
+        follow = edge.select("region", F.explode(F.array(*[F.struct(F.lit(c).alias("m"), F.col(f"_next_{c}").alias("r")) for c in MEASURES])).alias("y")).select("region", "y.m", "y.r")
+    j = leaf.join(year.select("region", "m", "year", F.col("p").alias("yp"), F.col("x").alias("yx")), ["region", "m", "year"])
+    j = j.join(follow, ["region", "m"]) if follow is not None else j.withColumn("r", F.lit(None).cast("double"))
+    up = lambda k, o: F.coalesce(k, F.when(F.col(f"y{k}").isNotNull(), F.struct((F.col(f"y{k}.d") + F.col(o)).alias("d"), F.col(f"y{k}.v").alias("v"))))
+    p, x, s = up("p", "_off"), up("x", "_after"), F.col("s")
+    # a gap at one edge also needs the value behind it: that one is inside unless the block knows none
+    e = F.struct(F.when(s.isNull() | (F.col("s.fd") > 0), p).alias("p"), F.when(s.isNull() | (F.col("s.ld") > 0), x).alias("x"), F.when(s.isNull() & p.isNull() & x.isNull(), F.col("r")).alias("r"))
+    e = j.select(*BLOCK, "m", e.alias("e"))
+    # one row per measure: a block's list is as long as MEASURES
+    got = e.groupBy(*BLOCK).agg(F.array_sort(F.collect_list(F.struct("m", "e"))).alias("list"))
+    return got.select(*BLOCK, F.map_from_entries("list").alias("e"), F.xxhash64("list").alias("carry"))
 
 
 def finish(keyed: DataFrame, carry: DataFrame) -> DataFrame:
@@ -134,7 +132,7 @@ def finish(keyed: DataFrame, carry: DataFrame) -> DataFrame:
     fwd = at.orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, 0)
     i, out = F.col("_i"), {}
     for c in MEASURES:
-        x, e = F.col(c), F.col(f"e_{c}")
+        x, e = F.col(c), F.col("e")[c]
         known = F.when(x.isNotNull(), i)
         p_at, p_v = F.coalesce(F.max(known).over(back), -e["p"]["d"]), F.coalesce(F.last(x, True).over(back), e["p"]["v"])
         n_at, n_v = F.coalesce(F.min(known).over(fwd), F.col("_n") + 1 + e["x"]["d"]), F.coalesce(F.last(x, True).over(fwd), e["x"]["v"])
