@@ -193,15 +193,18 @@ def series_fills(df: DataFrame, cols: Sequence[str], part: str = "region", order
 
 #: rows of the largest series from which per-series windows give way to blocks, and the rows of a block
 HOT_SERIES_ROWS, BLOCK_ROWS = 2_000_000, 1_000_000
+#: series from which a window over their summary is too much for one task
+MANY_SERIES = 1_000_000
 _CHOICE: dict = {}
 
 
 def resolve(df: DataFrame, block_rows: int | None, part="region") -> int:
     """Rows per block, 0 for one window group per series. Both give the same result.
 
-    An explicit ``block_rows`` holds; else the session's ``agrospark.window.blockRows``; else the largest series is
+    An explicit ``block_rows`` holds; else the session's ``agrospark.window.blockRows``; else the largest series and the number of series are
     measured (one map-side combined count of the key column per plan and session): from HOT_SERIES_ROWS
-    rows on, windows are evaluated in blocks, so that a hot series is spread over many tasks.
+    rows on, windows are evaluated in blocks, so that a hot series is spread over many tasks; from MANY_SERIES series on too, since
+    blocked operators also spread the summary of the series.
     """
     if block_rows is not None:
         return block_rows
@@ -213,6 +216,6 @@ def resolve(df: DataFrame, block_rows: int | None, part="region") -> int:
     part = [part] if isinstance(part, str) else list(part)
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), *part)
     if key not in _CHOICE:
-        largest = df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0
-        _CHOICE[key] = BLOCK_ROWS if largest >= HOT_SERIES_ROWS else 0
+        largest, series = df.groupBy(*part).count().agg(F.max("count"), F.count(F.lit(1))).first()
+        _CHOICE[key] = BLOCK_ROWS if (largest or 0) >= HOT_SERIES_ROWS or series >= MANY_SERIES else 0
     return _CHOICE[key]

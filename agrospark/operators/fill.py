@@ -151,9 +151,11 @@ def _series_edges(df: DataFrame, cols, part, order, block_rows: int | None = Non
         keep = F.when(F.col(c).isNotNull(), ordk)
         aggs += [F.min_by(F.col(c), keep).alias(f"_first_{c}"), F.max_by(F.col(c), keep).alias(f"_last_{c}")]
     s = df.groupBy(*part).agg(*aggs)
-    if block_rows:
-        return _neighbour_carries_distributed(s, cols, part, block_rows)
-    # over the per-series summary only (#series rows), never over the facts
+    return _neighbour_carries_distributed(s, cols, part, block_rows) if block_rows else _neighbour_carries(s, cols, part)
+
+
+def _neighbour_carries(s: DataFrame, cols, part) -> DataFrame:
+    """Carries by windows over the per-series summary (#series rows), never over the facts."""
     before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy(*[F.col(p).desc() for p in part]).rowsBetween(Window.unboundedPreceding, -1)
     sel = [F.col(p) for p in part]
@@ -188,19 +190,43 @@ def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date
     return j.withColumns(out).select(*df.columns)
 
 
+#: series from which the neighbour search over their summary is itself distributed, and the summary rows of a slice then
+MANY_SERIES, SLICE_SERIES = 200_000, 50_000
+
+
 def fill_table_order(df: DataFrame, cols: Sequence[str], part="region", order="date",
                      scope: str = "table", block_rows: int | None = None) -> DataFrame:
     """Frame-wide ffill then bfill in (part, order) order (``scope='table'``, the platform's
     behaviour: warm-up rows of a series take the last value of the previous series), or
-    per-series only (``scope='region'``)."""
+    per-series only (``scope='region'``).
+
+    ``df`` is written once, so its own windows run once. One pass then tells which columns have nulls at all, a second one summarises
+    those per series. A column whose nulls all come before its series' first value needs no window: the row takes the previous
+    series' last value, else its own series' first. Only columns with gaps behind a known value get fill windows."""
     part, order = _cols(part, order)
-    block_rows = B.resolve(df, block_rows, part)
     if scope == "region":
-        return ffill_bfill(df, cols, part, order, block_rows)
-    edges = _series_edges(df, cols, part, order, block_rows)
-    d, ff, bf, _ = _legs(df, cols, part, order, block_rows)
+        return ffill_bfill(df, cols, part, order, B.resolve(df, block_rows, part))
+    rows = written(df)
+    have = rows.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in cols]).first()
+    open_ = [c for c in cols if have[c] < have["_all"]]
+    if not open_:
+        return rows
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
+    aggs = []
+    for c in open_:
+        known = F.when(F.col(c).isNotNull(), at)
+        aggs += [F.min_by(F.col(c), known).alias(f"_first_{c}"), F.max_by(F.col(c), known).alias(f"_last_{c}"),
+                 (F.max(F.when(F.col(c).isNull(), at)) > F.min(known)).alias(f"_gap_{c}")]
+    s = written(rows.groupBy(*part).agg(*aggs))
+    told = s.agg(F.count(F.lit(1)).alias("_n"), *[F.max(f"_gap_{c}").alias(c) for c in open_]).first()
+    gaps = [c for c in open_ if told[c]]
+    edges = _neighbour_carries_distributed(s, open_, part, SLICE_SERIES) if told["_n"] >= MANY_SERIES else _neighbour_carries(s, open_, part)
+    edges = B.join_null_safe(edges, s.select(*part, *[f"_first_{c}" for c in open_]), part)
+    d, ff, bf = rows, {}, {}
+    if gaps:
+        d, ff, bf, _ = _legs(rows, gaps, part, order, B.resolve(df, block_rows, part))
     j = B.join_null_safe(d, edges, part)
-    out = {c: F.coalesce(F.col(c), ff[c], F.col(f"_prev_{c}"), bf[c], F.col(f"_next_{c}")) for c in cols}
+    out = {c: F.coalesce(F.col(c), *([ff[c]] if c in ff else []), F.col(f"_prev_{c}"), bf.get(c, F.col(f"_first_{c}")), F.col(f"_next_{c}")) for c in open_}
     return j.withColumns(out).select(*df.columns)
 
 

@@ -76,10 +76,11 @@ def drought_label(df: DataFrame, precip="total_precipitation_sum", part="region"
         .select(*df.columns, "precip_sum_30", "drought_score", "drought_class")
 
 
-def disease_label(df: DataFrame, method: str = "rank") -> DataFrame:
-    """Disease risk 0..3 from .4[ssm > q70] + .3[20 <= temp <= 32] + .2[precip > q60] + .1[solar < q40]."""
+def disease_label(df: DataFrame, method: str = "rank", stored: bool = False) -> DataFrame:
+    """Disease risk 0..3 from .4[ssm > q70] + .3[20 <= temp <= 32] + .2[precip > q60] + .1[solar < q40].
+    ``stored``: ``df`` is a table, so its columns are read again rather than copied."""
     spec = {"ssm": [0.7], "total_precipitation_sum": [0.6], "surface_solar_radiation_downwards_sum": [0.4]}
-    j = with_stats(df, threshold_quantiles(df, spec, method=method))
+    j = with_stats(df, threshold_quantiles(df, spec, method=method, stored=stored))
     score = _weighted([
         (F.col("ssm") > F.col(qname("ssm", 0.7)), 0.4),
         (F.col("temperature_2m").between(F.lit(20.0), F.lit(32.0)), 0.3),

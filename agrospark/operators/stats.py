@@ -38,14 +38,15 @@ def qname(col: str, q: float) -> str:
 
 
 def threshold_quantiles(df: DataFrame, spec: dict[str, list[float]], method: str = "rank",
-                        slices: int | None = None, accuracy: int = 100000, tie_cols=None) -> DataFrame:
+                        slices: int | None = None, accuracy: int = 100000, tie_cols=None, stored: bool = False) -> DataFrame:
     """One row with a column ``{col}_q{pp}`` per requested quantile (nulls and NaN skipped).
+    ``stored``: ``df`` is a table or cheap to evaluate again, so no copy of its columns is made (``method="rank"``).
     ``slices`` and ``tie_cols`` are accepted for older callers; the result never depended on them and needs neither now."""
     if method == "agg":
         return df.agg(*[F.expr(f"percentile(`{c}`, {q})").alias(qname(c, q)) for c, qs in spec.items() for q in qs])
     if method == "approx":
         return df.agg(*[F.percentile_approx(c, q, accuracy).alias(qname(c, q)) for c, qs in spec.items() for q in qs])
-    return exact_quantiles(df, spec)
+    return exact_quantiles(df, spec, stored=stored)
 
 
 @dataclass
@@ -75,18 +76,12 @@ class _Rank:
         return math.ceil(self.pos)
 
 
-def _narrow_brackets(data: DataFrame, ranks: list[_Rank], limit: int, accuracy: int) -> None:
-    """One round: approximate quantiles inside each open bracket, then exact counts around them."""
-    todo = [r for r in ranks if r.open]
-    inside = lambda r: F.when(F.col(r.col).between(r.a, r.b), F.col(r.col))
-    share = lambda r, rank: min(1.0, max(0.0, (rank - r.below) / r.inside))
-    found = data.agg(*[F.percentile_approx(inside(r), F.array(F.lit(max(0.0, share(r, r.lo) - r.slack)), F.lit(min(1.0, share(r, r.hi + 1) + r.slack))),
-                                           accuracy).alias(f"e{i}") for i, r in enumerate(todo)]).first()
-    edges = [found[f"e{i}"] for i in range(len(todo))]
-    counts = data.agg(*[x for i, (r, (a, b)) in enumerate(zip(todo, edges)) for x in (
+def _take(data: DataFrame, ranks: list[_Rank], edges: list, limit: int) -> None:
+    """Exact counts around the proposed brackets; those that hold the ranks are taken, others are widened next time."""
+    counts = data.agg(*[x for i, (r, (a, b)) in enumerate(zip(ranks, edges)) for x in (
         F.count(F.when(F.col(r.col) < a, 1)).alias(f"below{i}"), F.count(F.when(F.col(r.col).between(a, b), 1)).alias(f"in{i}"),
         F.approx_count_distinct(F.when(F.col(r.col).between(a, b), F.col(r.col))).alias(f"kinds{i}"))]).first()
-    for i, (r, (a, b)) in enumerate(zip(todo, edges)):
+    for i, (r, (a, b)) in enumerate(zip(ranks, edges)):
         below, rows = counts[f"below{i}"], counts[f"in{i}"]
         if not (below <= r.lo and r.hi < below + rows):
             r.slack *= 4                                     # the sketch missed the ranks: a wider bracket
@@ -96,13 +91,34 @@ def _narrow_brackets(data: DataFrame, ranks: list[_Rank], limit: int, accuracy:
         r.open = counts[f"kinds{i}"] > limit and shrunk
 
 
-def exact_quantiles(df: DataFrame, spec: dict[str, list[float]], limit: int = 100_000, accuracy: int = 10_000) -> DataFrame:
+def _narrow_brackets(data: DataFrame, ranks: list[_Rank], limit: int, accuracy: int) -> None:
+    """A further round: approximate quantiles inside each open bracket, then exact counts around them."""
+    todo = [r for r in ranks if r.open]
+    inside = lambda r: F.when(F.col(r.col).between(r.a, r.b), F.col(r.col))
+    share = lambda r, rank: min(1.0, max(0.0, (rank - r.below) / r.inside))
+    found = data.agg(*[F.percentile_approx(inside(r), F.array(F.lit(max(0.0, share(r, r.lo) - r.slack)), F.lit(min(1.0, share(r, r.hi + 1) + r.slack))),
+                                           accuracy).alias(f"e{i}") for i, r in enumerate(todo)]).first()
+    _take(data, todo, [found[f"e{i}"] for i in range(len(todo))], limit)
+
+
+#: share of the rows to either side of a quantile in its first bracket
+FIRST_SLACK = 0.002
+
+
+def exact_quantiles(df: DataFrame, spec: dict[str, list[float]], limit: int = 100_000, accuracy: int = 10_000, stored: bool = False) -> DataFrame:
+    """The first pass counts and sketches at once; a second one counts around the brackets; where a bracket misses or holds over ``limit`` distinct
+    values, further rounds follow. ``stored``: read ``df`` itself each time instead of a copy of its columns."""
     spark = df.sparkSession
     value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-    data = cut_lineage(df.select(*[value(c).alias(c) for c in spec]))
-    n = data.agg(*[F.count(c).alias(c) for c in spec]).first()
-    ranks = [_Rank(c, q, n[c], inside=n[c], slack=2 / accuracy) for c, qs in spec.items() for q in qs]
+    data = df.select(*[value(c).alias(c) for c in spec])
+    data = data if stored else cut_lineage(data)
+    wanted = [(c, q) for c, qs in spec.items() for q in qs]
+    first = data.agg(*[F.count(c).alias(f"n_{c}") for c in spec], *[F.percentile_approx(c, F.array(F.lit(max(0.0, q - FIRST_SLACK)), F.lit(min(1.0, q + FIRST_SLACK))), accuracy).alias(f"e{i}")
+                                                                     for i, (c, q) in enumerate(wanted)]).first()
+    ranks = [_Rank(c, q, first[f"n_{c}"], inside=first[f"n_{c}"], slack=FIRST_SLACK) for c, q in wanted]
     some = [r for r in ranks if r.n]
+    if some:
+        _take(data, some, [first[f"e{i}"] for i, r in enumerate(ranks) if r.n], limit)
     while any(r.open for r in some):
         _narrow_brackets(data, some, limit, accuracy)
     got = {}

@@ -188,7 +188,7 @@ s as (select panel.*, (case when coalesce(ssm > qa, false) then {FS.D(0.4)} else
 select region, date, disease_score, case when disease_score <= {FS.D(0.3)} then 0 when disease_score <= {FS.D(0.6)}
   then 1 when disease_score <= {FS.D(0.8)} then 2 else 3 end as disease_class from s""")
 def q_disease_label(spark, sf):
-    return H.disease_label(panel(spark, sf)).select("region", "date", "disease_score", "disease_class")
+    return H.disease_label(panel(spark, sf), stored=True).select("region", "date", "disease_score", "disease_class")
 
 
 @register("et0", f"""{panel_ctes()}

@@ -35,7 +35,7 @@ def labelled_frames(spark, sf):
     rain = FT.rainfall_features(rain_target(p), carry=["target"])
     dr = FT.drought_features(drought_label(p), carry=["drought_class"])
     irr = FT.irrigation_labelled(p)
-    dis = FT.disease_features(disease_label(p), carry=["disease_class"])
+    dis = FT.disease_features(disease_label(p, stored=True), carry=["disease_class"])
     return {"rainfall": (rain, FT.RAINFALL_FEATURES, "target"),
             "drought": (dr, FT.DROUGHT_FEATURES, "drought_class"),
             "irrigation": (irr, FT.IRRIGATION_FEATURES, "irrigation_need"),

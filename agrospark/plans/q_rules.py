@@ -256,7 +256,7 @@ select region, date, disease_class,
   {lookup_sql('disease_class', [(k, lv) for k, lv, _, _ in R.DISEASE_LEVELS], R.UNKNOWN)} as risk_short
 from dx""")
 def q_disease_advice(spark, sf):
-    d = disease_label(panel(spark, sf)).select("region", "date", "disease_class")
+    d = disease_label(panel(spark, sf), stored=True).select("region", "date", "disease_class")
     return R.disease_advice(d).drop("prevention_measures")
 
 
@@ -367,7 +367,7 @@ def q_global_risk(spark, sf):
     p = panel(spark, sf)
     t = rain_target(p, out="predicted_mm").select("region", "date", "predicted_mm")
     dr = drought_label(p).select("region", "date", F.col("drought_class").alias("severity"))
-    di = disease_label(p).select("region", "date", "disease_class")
+    di = disease_label(p, stored=True).select("region", "date", "disease_class")
     c = t.join(dr, ["region", "date"]).join(di, ["region", "date"])
     g = R.global_risk(c)
     return g.select("region", "date", "risk_mean", "global_risk", F.array_join("alerts", " | ").alias("alerts"))
