@@ -25,17 +25,16 @@ def _land(spark, df, name, files: int = 4):
     return path, df.schema
 
 
-def _land_slices(spark, df, name, at, slices: int = 6, late=None):
-    """Land ``df`` as ``slices`` files in the order of the long column expression ``at``, one write after the other, so
-    that the file source reads them in that order; ``late`` rows come last."""
-    path = _scratch(spark, f"landing-{name}")
+def _run_slices(spark, name, build, df, at, slices: int = 6, late=None, **sink):
+    """Land ``df`` in ``slices`` steps in the order of the long column expression ``at`` (``late`` rows come last) and let the same query take up each
+    step from its checkpoint, as a daily run does. A step is one micro-batch of as many files as its rows have partitions."""
+    path, out, ck = _scratch(spark, f"landing-{name}"), _scratch(spark, f"sink-{name}"), _scratch(spark, f"ckpt-{name}")
     lo, hi = df.agg(F.min(at), F.max(at)).first()
-    part = F.least(F.lit(slices - 1), F.floor((at - F.lit(lo)) * F.lit(slices) / F.lit(hi - lo + 1)))
-    for i in range(slices):
-        df.filter(part == i).coalesce(1).write.mode("append").parquet(path)
-    if late is not None:
-        late.coalesce(1).write.mode("append").parquet(path)
-    return path, df.schema
+    part = F.coalesce(F.least(F.lit(slices - 1), F.floor((at - F.lit(lo)) * F.lit(slices) / F.lit(hi - lo + 1))), F.lit(0))
+    for step in [df.filter(part == i) for i in range(slices)] + ([late] if late is not None else []):
+        step.write.mode("append").parquet(path)
+        L.run_to_table(build(spark.readStream.schema(df.schema).parquet(path)), out, ck, **sink)
+    return spark.read.parquet(out)
 
 
 def _run(spark, name, build, stream_input, mode="append", files: int = 2):
@@ -70,8 +69,8 @@ def _micros():
     return F.unix_micros(F.col("ts").cast("timestamp"))
 
 
-def _daily(spark, landed, files):
-    d = _run(spark, "daily", lambda s: L.stream_daily_stats(s, "1 hour"), landed, files=files)
+def _daily(spark, readings, name, late=None):
+    d = _run_slices(spark, name, lambda s: L.stream_daily_stats(s, "1 hour"), readings, _micros(), late=late)
     return d.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"), "city", "n",
                     snap(F.col("avg_temperature")).alias("avg_temperature"),
@@ -80,8 +79,8 @@ def _daily(spark, landed, files):
 
 @register("stream_daily_stats", _DAILY_SQL)
 def q_stream_daily_stats(spark, sf):
-    """Readings land in event-time order, so every closed window is whole however many files a micro-batch takes."""
-    return _daily(spark, _land_slices(spark, A.readings(spark, sf), "rd", _micros()), 2)
+    """Readings land in event-time order, so every closed window is whole however many files a step has."""
+    return _daily(spark, A.readings(spark, sf), "rd")
 
 
 @register("stream_daily_stats_late", _DAILY_SQL)
@@ -89,7 +88,7 @@ def q_stream_daily_stats_late(spark, sf):
     """The late-row rule: readings that come again after the watermark has passed them change nothing."""
     r = A.readings(spark, sf)
     cut = r.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(F.expr("a + (b - a) / 2")).first()[0]
-    return _daily(spark, _land_slices(spark, r, "rd-late", _micros(), late=r.filter(F.col("ts") < F.lit(cut))), 1)
+    return _daily(spark, r, "rd-late", late=r.filter(F.col("ts") < F.lit(cut)))
 
 
 @register("stream_dry_days", f"""{panel_ctes()},
@@ -100,11 +99,11 @@ b as (select *, max(case when not _dry then _pos end) over (partition by region
 select region, date, cast(case when _dry then _pos - coalesce(_lw, 0) else 0 end as integer) as consecutive_dry_days
 from b where date < (select max(date) from panel) - INTERVAL 30 DAY""")
 def q_stream_dry_days(spark, sf):
-    """The panel in six files that overlap: each row lands up to 20 days late, by a hash. Days that the watermark
+    """The panel in six steps that overlap: each row lands up to 20 days late, by a hash. Days that the watermark
     (30 days behind the last date) has passed are out."""
     p = panel(spark, sf).select("region", "date", "total_precipitation_sum")
     jitter = F.unix_date("date").cast("long") + F.pmod(F.xxhash64("region", "date"), F.lit(21))
-    return _run(spark, "dry", L.stream_dry_days, _land_slices(spark, p, "panel", jitter))
+    return _run_slices(spark, "dry", L.stream_dry_days, p, jitter)
 
 
 @register("stream_top_alerts", f"""with a as ({ORACLE["alerts_all"]}),
@@ -114,8 +113,5 @@ b as (select a.*, pc.city_rank, cast(least(5, floor((epoch_us(ts) - lo) * 6 / (h
 select * from b qualify row_number() over (partition by batch_id order by city_rank, rule_rank, ts, reading_id) <= 3""")
 def q_stream_top_alerts(spark, sf):
     """Per micro-batch (one event-time slice each) the first three alerts in (city, rule) order via a foreachBatch sink."""
-    src, schema = _land_slices(spark, A.readings(spark, sf), "readings-top", _micros())
-    sdf = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out, ck = _scratch(spark, "sink-top"), _scratch(spark, "ckpt-top")
-    L.run_to_table(L.stream_alerts(sdf), out, ck, foreach_batch=L.top_alerts_per_batch(3))
-    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
+    got = _run_slices(spark, "top", L.stream_alerts, A.readings(spark, sf), _micros(), foreach_batch=L.top_alerts_per_batch(3))
+    return got.withColumn("batch_id", F.col("batch_id").cast("long"))
