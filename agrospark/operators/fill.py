@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from agrospark.operators import blocked as B
@@ -145,24 +145,17 @@ def _series_edges(df: DataFrame, cols, part, order, block_rows: int | None = Non
     over the summary, or with ``block_rows`` (skew-proof mode) a distributed block evaluation.
     """
     # a single order column keeps the aggregation buffers fixed-width (hash aggregation)
-    ordk = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
-    aggs = []
-    for c in cols:
-        keep = F.when(F.col(c).isNotNull(), ordk)
-        aggs += [F.min_by(F.col(c), keep).alias(f"_first_{c}"), F.max_by(F.col(c), keep).alias(f"_last_{c}")]
-    s = df.groupBy(*part).agg(*aggs)
+    at = f"`{order[0]}`" if len(order) == 1 else f"struct({', '.join(f'`{o}`' for o in order)})"
+    known = "case when `{0}` is not null then {1} end"
+    s = df.groupBy(*part).agg(*[F.expr(f"{f}_by(`{c}`, {known.format(c, at)})").alias(f"_{n}_{c}") for c in cols for f, n in (("min", "first"), ("max", "last"))])
     return _neighbour_carries_distributed(s, cols, part, block_rows) if block_rows else _neighbour_carries(s, cols, part)
 
 
 def _neighbour_carries(s: DataFrame, cols, part) -> DataFrame:
     """Carries by windows over the per-series summary (#series rows), never over the facts."""
-    before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(*[F.col(p).desc() for p in part]).rowsBetween(Window.unboundedPreceding, -1)
-    sel = [F.col(p) for p in part]
-    for c in cols:
-        sel += [F.last(f"_last_{c}", True).over(before).alias(f"_prev_{c}"),
-                F.last(f"_first_{c}", True).over(after).alias(f"_next_{c}")]
-    return s.select(*sel)
+    keys, back = ", ".join(f"`{p}`" for p in part), ", ".join(f"`{p}` desc" for p in part)
+    over = "over (order by {} rows between unbounded preceding and 1 preceding)"
+    return s.selectExpr(*[f"`{p}`" for p in part], *[x for c in cols for x in (f"last(`_last_{c}`, true) {over.format(keys)} as `_prev_{c}`", f"last(`_first_{c}`, true) {over.format(back)} as `_next_{c}`")])
 
 
 def fallback_fill(df: DataFrame, cols: Sequence[str], part="region", order="date",
@@ -200,34 +193,38 @@ def fill_table_order(df: DataFrame, cols: Sequence[str], part="region", order="d
     behaviour: warm-up rows of a series take the last value of the previous series), or
     per-series only (``scope='region'``).
 
-    ``df`` is written once, so its own windows run once. One pass then tells which columns have nulls at all, a second one summarises
+    ``df`` is written once, so its own windows run once; the write counts which columns have nulls at all, and one pass summarises
     those per series. A column whose nulls all come before its series' first value needs no window: the row takes the previous
     series' last value, else its own series' first. Only columns with gaps behind a known value get fill windows."""
     part, order = _cols(part, order)
     if scope == "region":
         return ffill_bfill(df, cols, part, order, B.resolve(df, block_rows, part))
-    rows = written(df)
-    have = rows.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in cols]).first()
+    seen = Observation()
+    rows = written(df.observe(seen, F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in cols]))
+    have = seen.get
     open_ = [c for c in cols if have[c] < have["_all"]]
     if not open_:
         return rows
-    at = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order])
+    # as SQL text: one call a column instead of one a function, for some dozens of columns
+    at = f"`{order[0]}`" if len(order) == 1 else f"struct({', '.join(f'`{o}`' for o in order)})"
     aggs = []
     for c in open_:
-        known = F.when(F.col(c).isNotNull(), at)
-        aggs += [F.min_by(F.col(c), known).alias(f"_first_{c}"), F.max_by(F.col(c), known).alias(f"_last_{c}"),
-                 (F.max(F.when(F.col(c).isNull(), at)) > F.min(known)).alias(f"_gap_{c}")]
-    s = written(rows.groupBy(*part).agg(*aggs))
-    told = s.agg(F.count(F.lit(1)).alias("_n"), *[F.max(f"_gap_{c}").alias(c) for c in open_]).first()
+        known = f"case when `{c}` is not null then {at} end"
+        aggs += [f"min_by(`{c}`, {known}) as `_first_{c}`", f"max_by(`{c}`, {known}) as `_last_{c}`",
+                 f"max(case when `{c}` is null then {at} end) > min({known}) as `_gap_{c}`"]
+    s = written(rows.groupBy(*part).agg(*[F.expr(x) for x in aggs]))
+    told = s.selectExpr("count(*) as `_n`", *[f"max(`_gap_{c}`) as `{c}`" for c in open_]).first()
     gaps = [c for c in open_ if told[c]]
     edges = _neighbour_carries_distributed(s, open_, part, SLICE_SERIES) if told["_n"] >= MANY_SERIES else _neighbour_carries(s, open_, part)
     edges = B.join_null_safe(edges, s.select(*part, *[f"_first_{c}" for c in open_]), part)
-    d, ff, bf = rows, {}, {}
+    plain = [c for c in open_ if c not in gaps]
+    j = B.join_null_safe(rows, edges, part)
+    j = j.selectExpr(*[f"coalesce(`{c}`, `_prev_{c}`, `_first_{c}`, `_next_{c}`) as `{c}`" if c in plain else f"`{c}`" for c in df.columns],
+                     *[f"`_{k}_{c}`" for c in gaps for k in ("prev", "next")])
     if gaps:
-        d, ff, bf, _ = _legs(rows, gaps, part, order, B.resolve(df, block_rows, part))
-    j = B.join_null_safe(d, edges, part)
-    out = {c: F.coalesce(F.col(c), *([ff[c]] if c in ff else []), F.col(f"_prev_{c}"), bf.get(c, F.col(f"_first_{c}")), F.col(f"_next_{c}")) for c in open_}
-    return j.withColumns(out).select(*df.columns)
+        j, ff, bf, _ = _legs(j, gaps, part, order, B.resolve(df, block_rows, part))
+        j = j.withColumns({c: F.coalesce(F.col(c), ff[c], F.col(f"_prev_{c}"), bf[c], F.col(f"_next_{c}")) for c in gaps}).select(*df.columns)
+    return j
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str], means: DataFrame | None = None) -> DataFrame:
