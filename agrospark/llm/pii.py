@@ -44,7 +44,11 @@ KINDS = {
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "card": r"(?<![\w\-.])\d(?:[ \-]?\d){12,18}(?![\w\-])",
 }
-PATTERN = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
+#: a search tries an address only at the start of a run of its characters: from inside it the same @ would be found or missed again, which would
+#: cost the square of the run's length. Behind an accepted value ``HERE`` tries it at that very place.
+START = {"email": r"(?<![A-Za-z0-9._%+\-À-ɏ])"}
+PATTERN = re.compile("|".join(f"(?P<{k}>{START.get(k, '')}{p})" for k, p in KINDS.items()))
+HERE = re.compile(f"(?P<email>{KINDS['email']})")
 EACH = {k: re.compile(p) for k, p in KINDS.items()}
 #: characters of a country's IBAN
 IBAN_LENGTH = {c: int(n) for n, cs in {
@@ -224,7 +228,7 @@ def candidates(kind: str, text: str, start: int, stop: int) -> Iterator[tuple[in
     ends = edges[::-1]
     if kind == "iban":
         want, flat = IBAN_LENGTH.get(value[:2], 0), [i + 1 for i in range(start, stop) if text[i].isalnum()]
-        ends = [flat[want - 1]] * (0 < want <= len(flat)) + ends
+        ends = ([flat[want - 1]] if 0 < want <= len(flat) else []) + ends
     elif value[0] == "+":
         code = CODES.match(re.sub(r"\D", "", value))[0]
         want = len(code) + NATIONAL.get(code, 99)
@@ -247,14 +251,15 @@ def find(text: str, place: int, key: bytes, kinds: list[str]) -> tuple[str, int,
 def rewrite(text: str, key: bytes, kinds: frozenset[str]) -> tuple[str, list[tuple[str, int, int, str]]]:
     """Text with pseudonyms, and (kind, start, end, pseudonym) of each find in the original."""
     finds: list[tuple[str, int, int, str]] = []
-    out, done, at = [], 0, 0
+    out, done, at, inside = [], 0, 0, False
     order = list(KINDS)
-    while m := PATTERN.search(text, at):
+    while m := (inside and HERE.match(text, at)) or PATTERN.search(text, at):
         got = find(text, m.start(), key, order[order.index(m.lastgroup):])
+        inside = got is not None or m.lastgroup == "email"
         if got is None:
             at = m.start() + 1
             if m.lastgroup == "iban" and len(m.group().replace(" ", "")) == IBAN_LENGTH.get(m.group()[:2]):
-                at = m.end()                                       # mistyped: its digits are no card
+                at, inside = m.end(), True                         # mistyped: its digits are no card
             continue
         kind, start, stop, new = got
         at = stop

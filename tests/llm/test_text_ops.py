@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from datetime import date, timedelta
 
@@ -349,3 +350,18 @@ def test_values_followed_or_preceded_by_digits_and_capitals():
     for t in ("4111 1111 1111 1112", "DE89 3704 0044 0532 0130 01", "10.0.0.1", "2023-02-30", "000-45-6789", "+12", "x +1234"):
         assert pii.rewrite(t, b"key", kinds) == (t, [])
     assert pii.rewrite(f"{card} 12/28 {iban} OK", b"key", frozenset(["iban"]))[0].startswith(f"{card} 12/28 BE")
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, "7" * 1_000_000, "qZ9+/" * 200_000, "a." * 500_000, "x" * 500_000 + "@"])
+def test_pii_of_one_long_run_takes_linear_time(text):
+    begin = time.process_time()
+    assert pii.rewrite(text, b"key", frozenset(pii.KINDS)) == (text, [])
+    assert time.process_time() - begin < 5
+
+
+def test_pii_addresses_behind_other_values_and_short_ibans():
+    kinds = frozenset(pii.KINDS)
+    for before in ("1/2/2020", "192.168.1.1 ", "BE68 5390 0754 7034 ", "BE68 5390 0754 "):
+        _, finds = pii.rewrite(before + "jane.roe@mail.example", b"key", kinds)
+        assert [f[:1] + f[2:3] for f in finds if f[0] == "email"] == [("email", len(before) + 21)], before
+    assert pii.rewrite("BE68 5390 0754", b"key", kinds)[1] == []
