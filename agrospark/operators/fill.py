@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrospark.operators import blocked as B
@@ -193,15 +193,14 @@ def fill_table_order(df: DataFrame, cols: Sequence[str], part="region", order="d
     behaviour: warm-up rows of a series take the last value of the previous series), or
     per-series only (``scope='region'``).
 
-    ``df`` is written once, so its own windows run once; the write counts which columns have nulls at all, and one pass summarises
+    ``df`` is written once, so its own windows run once. One pass then tells which columns have nulls at all, a second one summarises
     those per series. A column whose nulls all come before its series' first value needs no window: the row takes the previous
     series' last value, else its own series' first. Only columns with gaps behind a known value get fill windows."""
     part, order = _cols(part, order)
     if scope == "region":
         return ffill_bfill(df, cols, part, order, B.resolve(df, block_rows, part))
-    seen = Observation()
-    rows = written(df.observe(seen, F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in cols]))
-    have = seen.get
+    rows = written(df)
+    have = rows.selectExpr("count(*) as `_all`", *[f"count(`{c}`) as `{c}`" for c in cols]).first()
     open_ = [c for c in cols if have[c] < have["_all"]]
     if not open_:
         return rows
