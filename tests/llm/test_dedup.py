@@ -108,29 +108,87 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert all(got[i] == 0 for i in range(61)) and all(got[1000 + i] == 1000 for i in range(41))
 
 
+def plain_hash(word):
+    """The operator's word hash, over Python's integers: it only decides where sentences are cut."""
+    m = (1 << 64) - 1
+    h = sum((ord(c) + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(word)) + len(word) & m
+    h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & m
+    return h ^ h >> 32
+
+
+def plain_parts(text, window=8):
+    """[(start, stop, words)] of a text, word by word."""
+    def small(c):
+        return c.lower() if ord(c) < 1 << 16 and len(c.lower()) == 1 else c
+
+    def dense(c):
+        return any(a <= ord(c) <= b for a, b in [*U._DENSE_RANGES, U._DENSE_PLANES])
+
+    found, i = [], 0                                                                # [start, stop, word, sentence ends]
+    while i < len(text):
+        j = i + 1
+        if not text[i].isspace():
+            while j < len(text) and not dense(text[i]) and not text[j].isspace() and not dense(text[j]) and j - i < U.LONG:
+                j += 1
+            found.append([i, j, "".join(map(small, text[i:j])), text[j - 1] in ".!?。！？"])
+        elif text[i] == "\n" and found:
+            found[-1][3] = True
+        i = j
+    out, sentence = [], []
+    for n, w in enumerate(found):
+        sentence.append(w)
+        if w[3] or n == len(found) - 1:
+            hashes = [plain_hash(x[2]) for x in sentence]
+            cuts = {m + min(range(window), key=lambda j: (hashes[m + j], j)) for m in range(len(sentence) - window + 1)} | {len(sentence) - 1}
+            first = 0
+            for c in sorted(cuts):
+                out.append((sentence[first][0], [x[2] for x in sentence[first:c + 1]]))
+                first = c + 1
+            sentence = []
+    begins = [0] + [a for a, _ in out[1:]] + [len(text)]
+    return [(begins[i], begins[i + 1], ws) for i, (_, ws) in enumerate(out)]
+
+
 def substring_brute(rows, run=2, min_words=12):
-    """{(id, text): set of removed code points}; identical rows are one document."""
-    docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    """{row: set of removed code points} of distinct rows (order key, id, text), in order; runs are compared as words."""
     place = {}
-    for d, (i, t) in enumerate(docs):
-        keys = U.sentences(t or "")
-        for a, n, h in U.runs(keys, run, min_words):
-            place.setdefault(h, []).append((d, a, keys[a][0], keys[a + n - 1][1]))
+    for d, (_, _, text) in enumerate(rows):
+        parts = plain_parts(text or "")
+        for i in range(len(parts)):
+            for j in range(i + run, len(parts) + 1):
+                ws = [w for p in parts[i:j] for w in p[2]]
+                if len(ws) >= min_words:
+                    place.setdefault(tuple(ws), []).append((d, parts[i][0], parts[j - 1][1]))
+                    break
     cut = {}
     for spots in place.values():
-        for d, _, a, b in sorted(spots)[1:]:
-            cut.setdefault(docs[d], set()).update(range(a, b))
+        for d, a, b in sorted(spots)[1:]:
+            cut.setdefault(rows[d], set()).update(range(a, b))
     return cut
 
 
-def test_substring(docs, corpus):
-    rows = [(i, t) for i, t, _ in corpus[0] if i is not None]
-    rows = [r for r in rows if sum(x[0] == r[0] for x in set(rows)) == 1]            # ids with two texts: see the next test
+@pytest.mark.parametrize("together", [U.TOGETHER, 2000])
+def test_substring(docs, corpus, together):
+    """All rows: null ids, ids with two texts, repeated rows; texts combined in one or many tables."""
+    keyed = {(r["doc_id"], r["text"]): r["k"] for r in docs.select("doc_id", "text", U.text_key("doc_id", "text")).collect()}
+    rows = [(k, i, t) for (i, t), k in keyed.items()]
+    rows = [((r[1] is not None, r[1] or 0, r[0]), r[1], r[2]) for r in rows]
+    rows.sort(key=lambda r: r[0])
     cut = substring_brute(rows)
-    want = sorted(((i, "".join(c for j, c in enumerate(t or "") if j not in cut.get((i, t), ()))) for i, t in rows), key=repr)
-    ids = {i for i, _ in rows}
-    got = U.substring_dedup(docs.filter(F.col("doc_id").isin(*ids)))
-    assert collect(got, "id", "kept_text") == want
+    kept = {(i, t): "".join(c for j, c in enumerate(t or "") if j not in cut.get((o, i, t), ())) for o, i, t in rows}
+    want = sorted(((i, kept[i, t]) for i, t, _ in corpus[0]), key=repr)
+    assert cut and collect(U.substring_dedup(docs, together=together), "id", "kept_text") == want
+
+
+def test_hot_runs_are_combined_before_the_shuffle(spark):
+    """3000 copies give rows by tables of texts, not by copies; the first copy stays."""
+    rng = random.Random(4)
+    text = ". ".join(words(rng, 9) for _ in range(20)) + "."
+    df = spark.createDataFrame([(i, text) for i in range(3000)], "doc_id long, text string").repartition(4)
+    got = U.spans(df, 2, 12, "doc_id", "text").groupBy("later").count().collect()
+    assert {r["later"]: r["count"] for r in got}[False] <= 8 * len(U.runs([text], 2, 12)[0])
+    assert U.substring_dedup(df).filter("kept_text <> ''").collect()[0]["id"] == 0
+    assert U.substring_dedup(df).filter("kept_text <> ''").count() == 1
 
 
 def test_substring_passage_over_50_words(docs, corpus):
@@ -145,9 +203,9 @@ def test_substring_passage_over_50_words(docs, corpus):
 
 def removed(first, second):
     """Code points of the second text that its runs share with the first one's."""
-    known = {h for _, _, h in U.runs(U.sentences(first), 2, 12)}
-    keys = U.sentences(second)
-    return {c for a, n, h in U.runs(keys, 2, 12) if h in known for c in range(keys[a][0], keys[a + n - 1][1])}
+    doc, start, stop, h1, h2 = (x.tolist() for x in U.runs([first, "", second], 2, 12))
+    known = {h for d, h in zip(doc, zip(h1, h2)) if d == 0}
+    return {c for d, a, b, h in zip(doc, start, stop, zip(h1, h2)) if d == 2 and h in known for c in range(a, b)}
 
 
 def test_substring_passages_mid_line():
@@ -165,10 +223,12 @@ def test_substring_passages_mid_line():
     assert removed(f"一二三{dense}四五", f"六{dense}七八九") >= set(range(16, 46))
 
 
-def test_sentences_cover_the_text():
-    for t in ("", "one", "A b. C d!\n\nE f?  g", "  lead. \t.. x", "w " * 300, "\n\n"):
-        s = U.sentences(t)
-        assert "".join(t[a:b] for a, b, _, _ in s) == t
+def test_parts_cover_the_text():
+    texts = ["", "one", "A b. C d!\n\nE f?  g", "  lead. \t.. x", "w " * 300, "\n\n", "日本語。テキスト x", "y" * 150_000 + " z", "İ \U00010400 ẞ."]
+    doc, start, stop, _, _ = (x.tolist() for x in U.runs(texts, 1, 1))
+    for d, t in enumerate(texts):
+        assert [(a, b) for x, a, b in zip(doc, start, stop) if x == d] == [(a, b) for a, b, _ in plain_parts(t)]
+        assert not t.strip() or "".join(t[a:b] for x, a, b in zip(doc, start, stop) if x == d) == t
 
 
 def test_substring_empty(empty):
