@@ -8,8 +8,9 @@ the executors; metrics come from aggregations, not from collected predictions).
 Parity notes: the platform standardised with the population std and fitted imputer/scaler on
 all rows before the split; here both are fitted on the training rows only (``leak=True``
 restores the platform's behaviour for comparison). The kernel SVM has no MLlib twin and is
-approximated by random Fourier features and a one-vs-rest linear SVM; the projection's scaler, gamma and
-seed are fitted on the training rows and kept in the model.
+approximated by a feature map and a one-vs-rest linear SVM: random Fourier features (``svm``), or Nystroem features
+of landmarks chosen in the data (``nystroem_svm``), whose kernel error is measured. The projection's scaler, gamma,
+seed and landmarks are fitted on the training rows and kept in the model.
 """
 
 from __future__ import annotations
@@ -181,6 +182,78 @@ def rff_transform(df: DataFrame, fitted: dict, keep: Sequence[str] = ()) -> Data
     return df.select(*keep, *feats).mapInPandas(proj, schema)
 
 
+def _scaled(pdf, fitted: dict):
+    """z = (x - mean) / std of a batch: a missing value takes the training mean, a constant feature counts as 0."""
+    import numpy as np
+    x = pdf[fitted["features"]].to_numpy(dtype="float64", na_value=np.nan)
+    mean, std = np.array(fitted["mean"]), np.array(fitted["std"])
+    return np.where(std > 0, (np.where(np.isnan(x), mean, x) - mean) / np.where(std > 0, std, 1.0), 0.0)
+
+
+def rbf(a, b, gamma: float):
+    """Kernel exp(-gamma |a_i - b_j|^2) of the rows of two matrices."""
+    import numpy as np
+    d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
+    return np.exp(-gamma * np.maximum(d, 0.0))
+
+
+def _rows_by_hash(df: DataFrame, features: Sequence[str], n: int, seed: int):
+    """The ``n`` distinct feature rows with the smallest hash: a uniform sample that does not depend on how rows are dealt out."""
+    h = F.xxhash64(F.lit(seed), *[F.col(c).cast("double") for c in features])
+    return df.select(*[F.col(c).cast("double").alias(c) for c in features], h.alias("_h")).distinct().orderBy("_h", *features).limit(n).drop("_h").toPandas()
+
+
+def fit_nystroem(df: DataFrame, features: Sequence[str], n_landmarks: int = 64, gamma: float | None = None, seed: int = 42, error_rows: int = 512) -> dict:
+    """Nystroem map of the RBF kernel, fitted on ``df``: phi(x) = k(x, landmarks) K^(-1/2), K the landmarks' own kernel.
+
+    Landmarks are ``n_landmarks`` distinct rows by hash (a bounded sample; directions in which K vanishes are left out, so
+    repeated or collinear landmarks do no harm). ``kernel_error`` is the relative Frobenius error |phi phi' - k| / |k| over
+    other ``error_rows`` rows by hash, ``rff_error`` that of as many random Fourier features there. Empty table: no landmark, features 0.
+    """
+    import numpy as np
+    fitted = {**fit_projection(df, features, n_landmarks, gamma, seed), "kind": "nystroem"}
+    land = _scaled(_rows_by_hash(df, features, n_landmarks, seed), fitted)
+    value, vector = np.linalg.eigh(rbf(land, land, fitted["gamma"])) if len(land) else (np.zeros(0), np.zeros((0, 0)))
+    use = value > 1e-10 * max(1.0, float(value.max(initial=0.0)))
+    root = np.zeros((len(land), n_landmarks))
+    root[:, :int(use.sum())] = vector[:, use] / np.sqrt(value[use])
+    fitted |= {"landmarks": land.tolist(), "root": root.tolist()}
+    z = _scaled(_rows_by_hash(df, features, error_rows, seed + 1), fitted)
+    exact = rbf(z, z, fitted["gamma"])
+    W, b = rff_weights(len(features), n_landmarks, fitted["gamma"], seed)
+
+    def error(phi) -> float:
+        return float(np.linalg.norm(phi @ phi.T - exact) / max(float(np.linalg.norm(exact)), 1e-300))
+    return fitted | {"kernel_error": error(_nystroem(z, fitted)), "rff_error": error(np.cos(z @ W.T + b) * math.sqrt(2.0 / n_landmarks))}
+
+
+def _nystroem(z, fitted: dict):
+    import numpy as np
+    land = np.array(fitted["landmarks"]).reshape(-1, z.shape[1])
+    return rbf(z, land, fitted["gamma"]) @ np.array(fitted["root"]).reshape(len(land), fitted["n_components"])
+
+
+def nystroem_transform(df: DataFrame, fitted: dict, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns ``nys_0 ..`` of ``fit_nystroem``'s map beside ``keep``: two matrix products per Arrow batch."""
+    from pyspark.sql import types as T
+    feats = list(fitted["features"])
+    keep = [c for c in keep if c not in feats]
+    names = [f"nys_{j}" for j in range(fitted["n_components"])]
+    schema = T.StructType([f for f in df.schema.fields if f.name in keep] + [T.StructField(x, T.DoubleType()) for x in names])
+
+    def proj(batches):
+        import pandas as pd
+        for pdf in batches:
+            yield pd.concat([pdf[keep].reset_index(drop=True), pd.DataFrame(_nystroem(_scaled(pdf, fitted), fitted), columns=names)], axis=1)
+
+    return df.select(*keep, *feats).mapInPandas(proj, schema)
+
+
+def project(df: DataFrame, fitted: dict, keep: Sequence[str] = ()) -> DataFrame:
+    """The feature map that a model was trained on."""
+    return (nystroem_transform if fitted.get("kind") == "nystroem" else rff_transform)(df, fitted, keep)
+
+
 # ----------------------------------------------------------------------------- J3-J5 estimators
 
 def make_estimator(task: str, algorithm: str = "random_forest", label: str = "label", features: str = "features",
@@ -234,10 +307,12 @@ def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, a
     data = data.withColumn("label", F.col(label).cast("double"))
     data = stratified_split(data, "label", test, seed, key) if stratify else train_test_split(data, key, test, seed)
     projection = None
-    if algorithm == "svm" and kind == "classification":
-        projection = fit_projection(data if leak else data.filter(~F.col("is_test")), feats, seed=seed)
-        data = rff_transform(data, projection, keep=["region", "date", "label", "is_test"])
-        feats = [f"rff_{j}" for j in range(projection["n_components"])]
+    if algorithm in ("svm", "nystroem_svm") and kind == "classification":
+        fit = fit_projection if algorithm == "svm" else fit_nystroem
+        sizes = {k: overrides.pop(k) for k in ("n_landmarks", "n_components") if k in overrides}
+        projection = fit(data if leak else data.filter(~F.col("is_test")), feats, seed=seed, **sizes)
+        data = project(data, projection, keep=["region", "date", "label", "is_test"])
+        feats = [f"{'rff' if algorithm == 'svm' else 'nys'}_{j}" for j in range(projection["n_components"])]
     # iterative learners scan the training rows many times: materialise the prepared frame once
     # (MEMORY_AND_DISK; if an executor is lost its blocks are recomputed from the deterministic plan)
     from pyspark import StorageLevel
@@ -275,7 +350,7 @@ def score(df: DataFrame, model: FittedModel, key: Sequence[str] = ("region", "da
     (75 when the model has no probabilities)."""
     data = df
     if model.extra.get("projection"):
-        data = rff_transform(df, model.extra["projection"], keep=list(key))
+        data = project(df, model.extra["projection"], keep=list(key))
     out = model.pipeline.transform(data)
     conf = F.array_max(vector_to_array("probability")) * F.lit(100.0) if "probability" in out.columns \
         else F.lit(75.0)

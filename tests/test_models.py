@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,9 +20,9 @@ def frame(spark):
     return spark.createDataFrame(rows, "region string, date date, a double, b double, fixed double, y double").cache()
 
 
-@pytest.mark.parametrize("algorithm", ["svm", "random_forest"])
+@pytest.mark.parametrize("algorithm", ["svm", "nystroem_svm", "random_forest"])
 def test_scores_of_a_subset(spark, frame, tmp_path, algorithm):
-    size = dict(maxIter=5) if algorithm == "svm" else dict(numTrees=5, maxDepth=3)
+    size = dict(maxIter=5) if "svm" in algorithm else dict(numTrees=5, maxDepth=3)
     m = M.train_model(frame, ["a", "b", "fixed"], "y", "drought", algorithm, seed=7, **size)
     everything = {(r["region"], r["date"]): r["prediction"] for r in M.score(frame, m).collect()}
     M.save(m, str(tmp_path / "m"))
@@ -36,3 +37,38 @@ def test_class_weights_come_from_the_fitted_rows(frame):
     got = {r["y"]: r["weight"] for r in M.class_weights(frame, "y", fit=part).select("y", "weight").distinct().collect()}
     assert got == {k: pytest.approx(sum(n.values()) / (len(n) * v)) for k, v in n.items()}
     assert M.class_weights(frame, "y", fit=part.filter("y = 1")).filter(F.col("y") == 0).first()["weight"] == 0.0
+
+
+def test_nystroem_features_are_exact_on_their_landmarks(spark, frame):
+    rows = frame.limit(60).select("a", "b", "fixed")
+    rows = rows.unionByName(rows).unionByName(spark.createDataFrame([(None, 4.0, 7.0)], "a double, b double, fixed double"))
+    fit = M.fit_nystroem(rows, ["a", "b", "fixed"], n_landmarks=80)                  # every distinct row is a landmark
+    pdf = rows.toPandas()
+    phi = M.nystroem_transform(rows, fit).toPandas().to_numpy()
+    z = M._scaled(pdf, fit)
+    gap = np.sort((phi @ phi.T).ravel()) - np.sort(M.rbf(z, z, fit["gamma"]).ravel())
+    assert abs(gap).max() < 1e-6 and fit["kernel_error"] < 1e-6 < fit["rff_error"]
+    assert M.nystroem_transform(rows.limit(0), fit).count() == 0
+    none = M.fit_nystroem(rows.limit(0), ["a", "b", "fixed"], n_landmarks=4)
+    assert M.nystroem_transform(rows.limit(3), none).collect()[0]["nys_0"] == 0.0
+
+
+def test_nystroem_error_falls_with_landmarks_and_does_not_depend_on_partitions(frame):
+    errors = [M.fit_nystroem(frame, ["a", "b"], n_landmarks=n)["kernel_error"] for n in (4, 16, 64)]
+    assert errors[0] > errors[1] > errors[2]
+    a, b = (M.fit_nystroem(frame.repartition(n), ["a", "b"], n_landmarks=16) for n in (1, 7))
+    assert np.allclose(a["landmarks"], b["landmarks"])
+
+
+def test_nystroem_svm_against_an_exact_kernel_machine(frame):
+    """Classes that no line separates: held-out accuracy within 0.05 of an exact kernel ridge classifier on the same rows."""
+    m = M.train_model(frame, ["a", "b"], "y", "drought", "nystroem_svm", seed=7, n_landmarks=48)
+    rows = M.train_test_split(frame, seed=7).toPandas()
+    p = m.extra["projection"]
+    z, y, test = M._scaled(rows, p), rows["y"].to_numpy() * 2 - 1, rows["is_test"].to_numpy()
+    k = M.rbf(z, z[~test], p["gamma"])
+    exact = np.sign(k @ np.linalg.solve(k[~test] + 0.1 * np.eye((~test).sum()), y[~test]))
+    got = {(r["region"], r["date"]): r["prediction"] for r in M.score(frame, m).collect()}
+    ours = np.array([got[r, d] for r, d in zip(rows["region"], rows["date"])]) * 2 - 1
+    right = [(x[test] == y[test]).mean() for x in (exact, ours)]
+    assert right[1] >= right[0] - 0.05 and right[1] > 0.8
