@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrospark.operators.reports import classification_metrics, regression_metrics
+from agrospark.session import written
 
 # model sizes of the platform (task, algorithm) -> parameters
 SIZES = {
@@ -82,7 +83,6 @@ def stratified_split(df: DataFrame, label: str, test: float = 0.2, seed: int = 4
     cuts are one row each. Rows without a label are a class of their own; rows equal in ``ties`` and key stay together.
     """
     from agrospark.operators.blocked import join_null_safe
-    from agrospark.session import written
     key = key if key is not None else split_key()
     h = F.pmod((key + F.lit(seed)) * F.lit(2654435761), F.lit(4294967296))
     tie = F.struct(*ties)
@@ -207,7 +207,7 @@ def fit_nystroem(df: DataFrame, features: Sequence[str], n_landmarks: int = 64,
     """Nystroem map of the RBF kernel, fitted on ``df``: phi(x) = k(x, landmarks) K^(-1/2), K the landmarks' own kernel.
 
     Landmarks are ``n_landmarks`` distinct rows by hash (a bounded sample; directions in which K vanishes are left out, so
-    repeated or collinear landmarks do no harm). ``kernel_error`` is the relative Frobenius error |phi phi' - k| / |k| over
+    repeated or collinear landmarks do no harm). ``df`` is read three times: pass a written table. ``kernel_error`` is the relative Frobenius error |phi phi' - k| / |k| over
     other ``error_rows`` rows by hash, ``rff_error`` that of as many random Fourier features there. Empty table: no landmark, features 0.
     """
     import numpy as np
@@ -310,6 +310,8 @@ def train_model(df: DataFrame, features: Sequence[str], label: str, task: str, a
     if algorithm in ("svm", "nystroem_svm") and kind == "classification":
         fit = fit_projection if algorithm == "svm" else fit_nystroem
         sizes = {k: overrides.pop(k) for k in ("n_landmarks", "n_components") if k in overrides}
+        if algorithm == "nystroem_svm":                  # fit and projection read the rows four times
+            data = written(data.select("region", "date", "label", "is_test", *feats))
         projection = fit(data if leak else data.filter(~F.col("is_test")), feats, seed=seed, **sizes)
         data = project(data, projection, keep=["region", "date", "label", "is_test"])
         feats = [f"{'rff' if algorithm == 'svm' else 'nys'}_{j}" for j in range(projection["n_components"])]

@@ -180,9 +180,11 @@ select 'drought_nystroem_svm' as model, count(*) filter (where not is_test) as n
 def q_train_svm_nystroem(spark, sf):
     """Kernel SVM at the platform's 50 iterations on Nystroem features: its kernel error is below that of as many random features,
     and its recall, averaged over the classes, is above a constant predictor's."""
+    from agrospark.session import written
     df, feats, label = labelled_frames(spark, sf)["drought"]
+    df = written(df.dropna(how="any", subset=[*feats, label]))
     fm = M.train_model(df, feats, label, "drought", "nystroem_svm")
-    test = M.train_test_split(df.dropna(how="any", subset=[*feats, label])).filter("is_test").withColumn("y", F.col(label).cast("double"))
+    test = M.train_test_split(df).filter("is_test").withColumn("y", F.col(label).cast("double"))
     got = test.select(*KEYS, "y").join(M.score(test, fm), KEYS).groupBy("y").agg(F.avg((F.col("y") == F.col("prediction")).cast("double")).alias("r"))
     recall = got.agg(F.avg("r").alias("mean_recall"), F.count(F.lit(1)).alias("classes"))
     p = fm.extra["projection"]

@@ -19,7 +19,7 @@ from agrospark.plans.sqlkit import snap as ssnap
 from agrospark.session import checkpoint_dir
 from agrospark.sources import adapters as A
 from agrospark.sources import json_feeds as J
-from agrospark.sources.satellite import region_boxes, zonal_mean
+from agrospark.sources.satellite import region_boxes, zonal_mean, zonal_mean_weighted
 
 _CITY_SQL = ("case user_id % 6 when 0 then 'Dakar' when 1 then 'Thiès' when 2 then 'Saint-Louis' when 3 then "
              "'Kaolack' when 4 then 'Ziguinchor' else 'Tambacounda' end")
@@ -166,6 +166,22 @@ def q_zonal_mean(spark, sf):
     return z.withColumn("band", snap(F.col("band")))
 
 
+@register("zonal_mean_weighted", f"""with p as (select date, band, lon - 0.25::double as x1, lon + 0.25::double as x2, lat - 0.25::double as y1, lat + 0.25::double as y2
+  from ({A.PIXELS_SQL}) q),
+b as (select region, lon - buffer as lon_min, lat - buffer as lat_min, lon + buffer as lon_max, lat + buffer as lat_max
+  from {values_sql('regions')}),
+j as (select region, date, band, x1, x2, y1, y2, greatest(x1, lon_min) as a, least(x2, lon_max) as b, greatest(y1, lat_min) as c, least(y2, lat_max) as d
+  from p join b on greatest(x1, lon_min) < least(x2, lon_max) and greatest(y1, lat_min) < least(y2, lat_max)
+  where date >= DATE '2024-01-01' and date < DATE '2025-01-01'),
+w as (select *, (sin(radians(d)) - sin(radians(c))) * (b - a) as w, (sin(radians(y2)) - sin(radians(y1))) * (x2 - x1) as whole from j)
+select region, date, {ssnap('sum(band * w) / sum(case when band is not null then w end)')} as band, {ssnap('sum(w / whole)')} as covered, count(*) as n_pixels
+from w group by region, date""")
+def q_zonal_mean_weighted(spark, sf):
+    """The year's area-weighted daily means of pixels half a degree wide: border pixels count by their covered share."""
+    z = zonal_mean_weighted(A.pixels(spark, sf), region_boxes(dim(spark, "regions")), ["band"], 0.5, "2024-01-01", "2025-01-01")
+    return z.withColumns({"band": snap(F.col("band")), "covered": snap(F.col("covered"))})
+
+
 def _scratch(spark, name):
     """A fresh folder under the session's shared checkpoint location (never a machine-local temp dir)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/agrospark-{name}-{uuid.uuid4().hex}"
