@@ -109,6 +109,30 @@ def q_parse_current(spark, sf):
     return J.parse_current(p, wind_default=0.0, keep=("city", "event_id"))
 
 
+@register("payload_quarantine", f"""with {_EV},
+r as (select event_id, value / cast(10 as double) as temperature, case when event_id % 29 = 0 then 'empty' when event_id % 13 = 0 then 'malformed'
+  when event_id % 23 = 0 then 'not an object' when event_id % 19 = 0 or value is null or k is null then 'missing main.' || case when value is null then 'temp' else 'humidity' end
+  when event_id % 17 = 0 then 'not a number: main.pressure' when event_id % 31 = 0 then 'not a number: wind.speed' else 'good' end as reason from e)
+select reason, count(*) as n_rows, min(event_id) as first_event, max(event_id) as last_event,
+  {ssnap("sum(case when reason = 'good' then temperature end)")} as temperature_sum from r group by reason""")
+def q_payload_quarantine(spark, sf):
+    """Current-weather payloads, some of them broken by a rule over event_id: good and quarantined rows by reason add up to the events."""
+    from agrospark.sources.quarantine import split
+    e, eid = _events(spark, sf), F.col("event_id")
+    pressure, speed = (F.lit(1000) + eid % 30).cast("string"), ((eid % 150) / F.lit(10)).cast("string")
+    quoted = lambda c, bad: F.when(bad, F.concat(F.lit('"'), c, F.lit(' "'))).otherwise(c)
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    humidity = F.when(eid % 19 != 0, F.concat(F.lit(', "humidity": '), number(F.col("k")))).otherwise(F.lit(""))
+    text = F.concat(F.lit('{"main": {"temp": '), number(F.col("value") / F.lit(10.0)), humidity, F.lit(', "pressure": '), quoted(pressure, eid % 17 == 0),
+                    F.lit('}, "wind": {"speed": '), quoted(speed, eid % 31 == 0), F.lit("}}"))
+    payload = F.when(eid % 29 == 0, F.when(eid % 2 == 0, F.lit("  "))).when(eid % 13 == 0, F.expr("substring(t, 1, char_length(t) - 2)")).when(eid % 23 == 0, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    df = e.withColumn("t", text).select("event_id", F.col("ville").alias("city"), payload.alias("payload"))
+    good, bad = split(df, "current", keep=("event_id",))
+    rows = good.select(F.lit("good").alias("reason"), "event_id", "temperature").unionByName(bad.select("reason", "event_id", F.lit(None).cast("double").alias("temperature")))
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"),
+                                      snap(F.sum("temperature")).alias("temperature_sum"))
+
+
 @register("parse_forecast", f"""with {_EV}
 select ville as city, event_id, cast(i as integer) as pos, make_timestamp((ep + 10800 * i) * 1000000) as datetime,
   value / cast(10 as double) + cast(i as double) * cast(0.5 as double) as temperature, k as humidity,
