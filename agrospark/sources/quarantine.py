@@ -56,8 +56,11 @@ def reason(v: Column, payload: Column, feed: str) -> Column:
 
 
 def checked(df: DataFrame, feed: str, json_col: str = "payload", out: str = "reason") -> DataFrame:
-    """``df`` with the fault of each payload (null: none)."""
-    return df.withColumn("_variant", F.try_parse_json(F.col(json_col))).withColumn(out, reason(F.col("_variant"), F.col(json_col), feed)).drop("_variant")
+    """``df`` with the fault of each payload (null: none).
+
+    Both columns come out of ``explode`` over one element: a filter on the reason is then not pushed into them, which would copy the parsing into every check."""
+    parsed = df.select("*", F.explode(F.array(F.try_parse_json(F.col(json_col)))).alias("_variant"))
+    return parsed.select(*df.columns, F.explode(F.array(reason(F.col("_variant"), F.col(json_col), feed))).alias(out))
 
 
 def split(df: DataFrame, feed: str, json_col: str = "payload", **parser) -> tuple[DataFrame, DataFrame]:
