@@ -87,6 +87,8 @@ def near_pairs(fps: DataFrame, max_bits: int = 2, count: int = 2, dense: int | N
     """``a, b``: all pairs a < b of distinct fingerprints (``fp``, written) that differ in at most ``max_bits`` bits.
 
     ``dense``: size from which a segment value's bucket is searched by balls over the other bits.
+    Probes and table meet in a sort-merge join by hint: the planner takes a probe table for as small as the fingerprints that it is
+    exploded from, and would gather its rows, some dozens a fingerprint, on the driver to broadcast them.
     """
     found = None
     for first, width, radius in segments(max_bits, count):
@@ -104,7 +106,7 @@ def near_pairs(fps: DataFrame, max_bits: int = 2, count: int = 2, dense: int | N
         some = crowded.limit(1).count() > 0
         if some:
             table = table.join(crowded, "key", "left_anti")
-        sparse = probes.join(table, "key").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b")
+        sparse = probes.join(table.hint("merge"), "key").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b")
         found = sparse if found is None else found.unionByName(sparse)
         if some:
             # the same search where buckets are crowded: all fingerprints of the ball, looked up by their full value
@@ -113,7 +115,7 @@ def near_pairs(fps: DataFrame, max_bits: int = 2, count: int = 2, dense: int | N
                     .select("a", F.explode(F.array(*[F.lit(m) for m in balls])).alias("more"), "flip", left.alias("left"))
                     .filter(F.bit_count("more") <= F.col("left"))
                     .select("a", F.col("a").bitwiseXOR(F.col("flip")).bitwiseXOR(F.col("more")).alias("b")).filter("a < b"))
-            found = found.unionByName(full.join(fps.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b"))
+            found = found.unionByName(full.join(fps.select(F.col("fp").alias("b")).hint("merge"), "b", "left_semi").select("a", "b"))
     return found.distinct()
 
 

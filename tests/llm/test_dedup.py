@@ -92,6 +92,17 @@ def test_near_pairs_equal_all_pairs(spark, dense):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_near_pairs_broadcast_no_probes(spark):
+    """The probes are exploded from the fingerprints, so their size is misjudged: they must not be gathered on the driver, however small the table looks."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    fps = spark.range(300).select(F.xxhash64("id").alias("fp"))
+    plan = S.near_pairs(fps, 2, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    crowded = spark.range(100).select(F.col("id").alias("fp"))                       # one value in the upper segment: the search by balls
+    plan = S.near_pairs(crowded, 2, 2, 5)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "[b#" in x]
+
+
 def test_simhash(docs, corpus):
     got = S.simhash_dedup(docs).cache()
     assert collect(got, "id", "fingerprint", "component_id") == brute.simhash([(i, t) for i, t, _ in corpus[0]])
