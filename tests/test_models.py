@@ -72,3 +72,41 @@ def test_nystroem_svm_against_an_exact_kernel_machine(frame):
     ours = np.array([got[r, d] for r, d in zip(rows["region"], rows["date"])]) * 2 - 1
     right = [(x[test] == y[test]).mean() for x in (exact, ours)]
     assert right[1] >= right[0] - 0.05 and right[1] > 0.8
+
+
+def test_a_feature_without_values_takes_no_rows(spark, frame, tmp_path):
+    """A strict mean that no row has: the model is the one without it, on all rows; a reloaded one scores the same."""
+    blind = frame.withColumn("never", F.lit(None).cast("double")).withColumn("y", F.col("y").cast("int"))
+    size = {"random_forest": dict(numTrees=3, maxDepth=3), "svm": dict(maxIter=3), "nystroem_svm": dict(maxIter=3, n_landmarks=8), "gradient_boosting": dict(maxIter=2)}
+    for algorithm, few in size.items():
+        with_it, without = (M.train_model(blind, feats, "y", "drought", algorithm, **few) for feats in (["a", "never", "b"], ["a", "b"]))
+        n = with_it.extra["n_train"] + with_it.metrics.first()["n"]
+        assert n == frame.count() and with_it.extra["input_features"] == ["a", "b"]
+        M.save(with_it, str(tmp_path / algorithm))
+        a, b = (M.score(blind, m).orderBy("region", "date").collect() for m in (M.load(spark, str(tmp_path / algorithm)), without))
+        assert a == b
+    ridge = M.train_model(blind, ["never", "a", "b"], "y", "irrigation", "linear")
+    assert ridge.extra["n_train"] + ridge.metrics.first()["n"] == frame.count()
+    some = blind.withColumn("a", F.when(F.col("b") > 5, F.col("a")))                 # known in some rows: the others go, as before
+    rows, feats = M.usable_rows(some, ["a", "never", "b"], "y")
+    assert feats == ["a", "b"] and rows.count() == frame.filter("b > 5").count()
+
+
+@pytest.mark.parametrize("algorithm", ["random_forest", "gradient_boosting", "svm", "nystroem_svm"])
+def test_one_class_only(frame, algorithm):
+    size = {"random_forest": dict(numTrees=3, maxDepth=3), "gradient_boosting": dict(maxIter=2)}.get(algorithm, dict(maxIter=3))
+    m = M.train_model(frame.withColumn("y", F.lit(0)), ["a", "b"], "y", "drought", algorithm, **size)
+    assert m.metrics.first()["accuracy"] == 1.0
+    assert {r["prediction"] for r in M.score(frame, m).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("algorithm", ["random_forest", "gradient_boosting"])
+def test_constant_target(frame, algorithm):
+    m = M.train_model(frame.withColumn("y", F.lit(0.0)), ["a", "b"], "y", "rainfall", algorithm, **{"numTrees" if algorithm == "random_forest" else "maxIter": 2})
+    got = m.metrics.first()
+    assert (got["mse"], got["r2"]) == (0.0, 1.0)
+
+
+def test_node_memory_follows_the_session(spark):
+    heap, cores = spark.sparkContext.getConf().get("spark.driver.memory"), spark.sparkContext.defaultParallelism
+    assert heap.endswith("g") and M.node_memory(spark) == max(64, min(1024, int(heap[:-1]) * 1024 // (4 * cores)))
