@@ -39,6 +39,13 @@ def _events(spark, sf):
                            "k": F.get_json_object("props", "$.k").cast("double")})
 
 
+def _spread(df):
+    """Small rows from which large payloads are made, dealt out to every core: a compact table is one or a few splits, which took the
+    work of all its payloads."""
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _weather(eid):
     return F.when(eid % 7 == 0, F.array().cast("array<struct<description:string>>")) \
         .otherwise(F.array(F.struct(F.col("event_type").alias("description"))))
@@ -141,21 +148,22 @@ select ville as city, event_id, cast(i as integer) as pos, make_timestamp((ep +
   cast(event_id % 100 as double) as cloudiness, event_type as weather_description
 from e cross join range(0, 8) t(i)""")
 def q_parse_forecast(spark, sf):
-    e = _events(spark, sf)
+    e = _spread(_events(spark, sf).drop("props"))
     eid = F.col("event_id")
 
     def entry(i):
         return F.struct(
-            (F.col("ep") + i.cast("long") * F.lit(10800)).alias("dt"),
-            F.struct((F.col("value") / F.lit(10.0) + i.cast("double") * F.lit(0.5)).alias("temp"),
+            (F.col("ep") + F.lit(10800 * i)).alias("dt"),
+            F.struct((F.col("value") / F.lit(10.0) + F.lit(i * 0.5)).alias("temp"),
                      F.col("k").alias("humidity"), (F.lit(1000) + eid % 30).cast("double").alias("pressure"))
             .alias("main"),
             F.struct(((eid % 150).cast("double") / F.lit(10.0)).alias("speed")).alias("wind"),
-            F.when(i % 2 == 0, F.struct((F.col("value") / F.lit(50.0)).alias("3h"))).alias("rain"),
+            F.when(F.lit(i % 2 == 0), F.struct((F.col("value") / F.lit(50.0)).alias("3h"))).alias("rain"),
             F.struct((eid % 100).cast("double").alias("all")).alias("clouds"),
             F.array(F.struct(F.col("event_type").alias("description"))).alias("weather"))
 
-    payload = F.to_json(F.struct(F.transform(F.sequence(F.lit(0), F.lit(9)), entry).alias("list")))
+    # entries spelled out: a lambda is interpreted, and would read props anew for each entry
+    payload = F.to_json(F.struct(F.array(*[entry(i) for i in range(10)]).alias("list")))
     p = e.select(F.col("ville").alias("city"), "event_id", payload.alias("payload"))
     return J.parse_forecast(p, days=1, keep=("city", "event_id"))
 

@@ -94,3 +94,24 @@ def test_score_all_cities_with_a_model(spark):
     assert set(out) == {"Dakar", "Kaolack"}
     assert all(out[c]["severity"] in (0, 1, 2) for c in out)            # from the model's classes
     assert all(out[c]["frequency"] is not None for c in out)
+
+
+def test_forecasts_of_one_split_are_parsed_on_every_core(spark, tmp_path):
+    """Few and small event rows come in one split; their payloads are made and read by all tasks, the entries without a lambda (it read props for each)."""
+    from agrospark.plans.q_sources import q_parse_forecast
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), i % 7, "view" if i % 3 else None, None if i % 5 == 0 else i / 4,
+             None if i % 4 == 0 else f'{{"k": {i % 90}}}') for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    df = q_parse_forecast(spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["event_id"], r["pos"]): r for r in df.collect()}
+    assert len(got) == df.count() == 8 * len(rows)
+    for i, ts, _, kind, value, props in rows:
+        for pos in range(8):
+            r = got[i, pos]
+            assert r["datetime"] == ts + dt.timedelta(hours=3 * pos) and r["weather_description"] == kind
+            assert r["temperature"] == (None if value is None else value / 10 + pos * 0.5) and r["humidity"] == (None if props is None else i % 90)
+            assert r["precipitation"] == (0.0 if pos % 2 or value is None else value / 50)
+            assert (r["pressure"], r["wind_speed"], r["cloudiness"]) == (1000.0 + i % 30, (i % 150) / 10, i % 100)
