@@ -110,3 +110,17 @@ def test_constant_target(frame, algorithm):
 def test_node_memory_follows_the_session(spark):
     heap, cores = spark.sparkContext.getConf().get("spark.driver.memory"), spark.sparkContext.defaultParallelism
     assert heap.endswith("g") and M.node_memory(spark) == max(64, min(1024, int(heap[:-1]) * 1024 // (4 * cores)))
+
+
+@pytest.mark.parametrize("algorithm", ["random_forest", "gradient_boosting"])
+def test_training_in_a_thread_of_its_own(spark, frame, tmp_path, algorithm):
+    """Threads of the caller have no active session."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run():
+        m = M.train_model(frame.withColumn("y", (F.col("b") > 5).cast("int")), ["a", "b"], "y", "drought", algorithm, maxDepth=2, **{"numTrees" if algorithm == "random_forest" else "maxIter": 2})
+        M.save(m, str(tmp_path / "model"))
+        return M.score(frame, M.load(spark, str(tmp_path / "model"))).count()
+
+    with ThreadPoolExecutor(1) as pool:
+        assert pool.submit(run).result() == frame.count()
