@@ -34,10 +34,10 @@ def test_a_model_does_not_depend_on_how_its_rows_came(frame):
     assert one == many
 
 
-SIZES = {}
+SIZES = {("disease", "random_forest"): dict(numTrees=200, maxDepth=15, minInstancesPerNode=2)}
 
 
-@pytest.mark.parametrize("task, algorithm", [("drought", "random_forest"), ("irrigation", "random_forest")])
+@pytest.mark.parametrize("task, algorithm", [*SIZES, ("drought", "random_forest"), ("irrigation", "random_forest")])
 def test_a_query_trains_its_own_model_at_the_platforms_size(spark, monkeypatch, task, algorithm):
     calls = []
     monkeypatch.setattr(q_ml, "_MODELS", {})
