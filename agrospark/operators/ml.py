@@ -46,6 +46,7 @@ TASK_TYPE = {"rainfall": "regression", "irrigation": "regression", "drought": "c
              "disease": "classification"}
 BALANCED = {"drought", "disease"}      # class_weight='balanced' there
 RIDGE_ALPHA = {"irrigation": 1.0}      # the linear fallback is ridge for irrigation, OLS for rainfall
+CLASSES_AT_ONCE = 4                    # one-vs-rest: rounds and iterations are many small jobs, so the classes' learners run side by side
 
 
 @dataclass
@@ -284,10 +285,10 @@ def make_estimator(task: str, algorithm: str = "random_forest", label: str = "la
         return rf.setWeightCol(weight) if weight else rf
     if algorithm == "gradient_boosting":
         gbt = GBTClassifier(seed=seed, labelCol="label", featuresCol="features", **params)
-        ovr = OneVsRest(classifier=gbt, **common)
+        ovr = OneVsRest(classifier=gbt, parallelism=CLASSES_AT_ONCE, **common)
         return ovr.setWeightCol(weight) if weight else ovr
     svc = LinearSVC(maxIter=params.pop("maxIter", 50), regParam=params.pop("regParam", 0.01))
-    ovr = OneVsRest(classifier=svc, **common)
+    ovr = OneVsRest(classifier=svc, parallelism=CLASSES_AT_ONCE, **common)
     return ovr.setWeightCol(weight) if weight else ovr
 
 

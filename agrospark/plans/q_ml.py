@@ -119,7 +119,7 @@ def q_fit_linear(spark, sf):
 _MODELS: dict = {}
 _LOCKS: dict = collections.defaultdict(threading.Lock)      # queries run from several threads train a model once
 #: registered sizes below the platform's (``ml.SIZES``): these trainings take many minutes on a few cores
-QUERY_SIZES = {("drought", "gradient_boosting"): dict(maxIter=3, maxDepth=4), ("drought", "svm"): dict(maxIter=10)}
+QUERY_SIZES = {("drought", "svm"): dict(maxIter=10)}
 
 
 def fitted(spark, sf, task, algorithm="random_forest"):
