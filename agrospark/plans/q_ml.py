@@ -1,6 +1,6 @@
 """Registered queries: model training, evaluation and scoring.
 
-The rainfall, drought and irrigation forests are trained at the platform's sizes (``ml.SIZES``), the others at QUERY_SIZES. Forests differ from any SQL, so these queries
+Every model is trained at the platform's size (``ml.SIZES``). Forests differ from any SQL, so these queries
 return what SQL can check: rows per split, keys scored, and conditions that every right run meets
 (finite metrics in their ranges, predictions within the classes or the labels' range, a reloaded model
 scoring as the saved one, ridge equal to its closed form). Numbers themselves come from ``ml.train_model``.
@@ -118,17 +118,15 @@ def q_fit_linear(spark, sf):
 
 _MODELS: dict = {}
 _LOCKS: dict = collections.defaultdict(threading.Lock)      # queries run from several threads train a model once
-#: registered sizes below the platform's (``ml.SIZES``): these trainings take many minutes on a few cores
-QUERY_SIZES = {("drought", "svm"): dict(maxIter=10)}
 
 
 def fitted(spark, sf, task, algorithm="random_forest"):
-    """The task's model, trained once per session and data: at the platform's size, or at QUERY_SIZES where that takes too long."""
+    """The task's model at the platform's size, trained once per session and data."""
     key = (spark.sparkContext.applicationId, source_version(spark, sf), task, algorithm)
     with _LOCKS[key]:
         if key not in _MODELS:
             df, feats, label = labelled_frames(spark, sf, [task])[task]
-            _MODELS[key] = M.train_model(df, feats, label, task, algorithm, **QUERY_SIZES.get((task, algorithm), {}))
+            _MODELS[key] = M.train_model(df, feats, label, task, algorithm)
         return _MODELS[key]
 
 

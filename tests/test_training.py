@@ -35,7 +35,7 @@ def test_a_model_does_not_depend_on_how_its_rows_came(frame):
 
 
 SIZES = {("disease", "random_forest"): dict(numTrees=200, maxDepth=15, minInstancesPerNode=2), ("rainfall", "gradient_boosting"): dict(maxIter=100, maxDepth=6, stepSize=0.1),
-         ("drought", "gradient_boosting"): dict(maxIter=100, maxDepth=6, stepSize=0.1)}
+         ("drought", "gradient_boosting"): dict(maxIter=100, maxDepth=6, stepSize=0.1), ("drought", "svm"): dict(maxIter=50)}
 
 
 @pytest.mark.parametrize("task, algorithm", [*SIZES, ("drought", "random_forest"), ("irrigation", "random_forest")])
