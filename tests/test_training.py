@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import threading
 from types import SimpleNamespace
 
 import pytest
@@ -58,3 +59,18 @@ def test_a_query_trains_its_own_model_at_the_platforms_size(spark, monkeypatch,
     est = est.getClassifier() if hasattr(est, "getClassifier") else est
     for name, value in SIZES.get((task, algorithm), M.SIZES.get((task, algorithm))).items():
         assert est.getOrDefault(name) == value
+
+
+def test_tasks_train_side_by_side_and_a_failing_one_is_reported(frame, monkeypatch):
+    both = threading.Barrier(3, timeout=60)
+
+    def train(df, features, label, task, algorithm="random_forest", **overrides):
+        both.wait()
+        if task == "irrigation":
+            raise ValueError("no rows")
+        return SimpleNamespace(metrics=df.sparkSession.createDataFrame([(task, 1.0, 9)], "model string, mse double, n long"))
+
+    monkeypatch.setattr(M, "train_model", train)
+    models, metrics = M.train_all({t: (frame, ["a"], "y") for t in ("rainfall", "irrigation", "drought")})
+    assert list(models) == ["rainfall", "drought"]
+    assert sorted(map(tuple, metrics.collect()), key=str) == [("drought", "ok", "mse", 1.0), ("irrigation", "error: no rows", None, None), ("rainfall", "ok", "mse", 1.0)]
