@@ -5,7 +5,10 @@ import random
 import threading
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from agrospark.operators import ml as M
 from agrospark.plans import q_ml
@@ -74,3 +77,18 @@ def test_tasks_train_side_by_side_and_a_failing_one_is_reported(frame, monkeypat
     models, metrics = M.train_all({t: (frame, ["a"], "y") for t in ("rainfall", "irrigation", "drought")})
     assert list(models) == ["rainfall", "drought"]
     assert sorted(map(tuple, metrics.collect()), key=str) == [("drought", "ok", "mse", 1.0), ("irrigation", "error: no rows", None, None), ("rainfall", "ok", "mse", 1.0)]
+
+
+def test_ridge_with_constant_and_collinear_features_is_its_closed_form(frame):
+    """A feature that never varies made the normal equations singular, and the solver only came near their solution."""
+    d = frame.withColumns({"a2": F.col("a") * 2, "noise": (F.lit(0.1) + F.col("b") * 1e-17), "y": F.col("a") * 3 + F.col("b")})
+    feats = ["a", "a2", "b", "fixed", "noise"]
+    fm = M.train_model(d, feats, "y", "irrigation", "linear")
+    assert fm.feature_names == fm.extra["input_features"] == ["a", "a2", "b"]
+    train = M.train_test_split(d).filter("not is_test")
+    beta, b0 = q_ml.ridge_closed_form(train, feats, "y", M.RIDGE_ALPHA["irrigation"])
+    assert beta[3] == beta[4] == 0
+    got = fm.pipeline.transform(train).select(vector_to_array("features").alias("x"), "prediction").collect()
+    assert max(abs(np.dot(r["x"], beta[:3]) + b0 - r["prediction"]) for r in got) < 1e-9
+    nothing = M.train_model(frame, ["fixed"], "y", "irrigation", "linear")              # none varies: the mean is predicted
+    assert nothing.feature_names == ["fixed"]
